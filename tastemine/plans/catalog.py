@@ -125,3 +125,165 @@ def q_integrate(spark, sf):
   (SELECT count(*) FROM integ)::BIGINT AS merged_after_key_dedup"""))
 def q_integrate_stats(spark, sf):
     return Stages(spark, sf).integrated().stats
+
+
+# --- A12 / A13 imputation, P18 transform ------------------------------------------------------
+
+def _impute_raw_sql() -> str:
+    ctes = O.raw_ctes() + [
+        """t_don AS (
+  SELECT movie_id, movie_title,
+    CASE WHEN trim("cast") <> '' THEN trim("cast") END AS c,
+    CASE WHEN trim(genres) <> '' THEN trim(genres) END AS g
+  FROM raw_a)""",
+    ]
+    for key, col, name in [("movie_id", "c", "a"), ("movie_id", "g", "b"), ("movie_title", "c", "c"),
+                           ("movie_title", "g", "d")]:
+        ctes.append(f"""m_{name} AS (
+  SELECT {key}, v FROM (SELECT {key}, {col} AS v, count(*) AS n FROM t_don WHERE {col} IS NOT NULL GROUP BY ALL)
+  QUALIFY row_number() OVER (PARTITION BY {key} ORDER BY n DESC, v) = 1)""")
+    ctes.append("""imp AS (
+  SELECT r.user_id, r.movie_id, r.movie_title,
+    coalesce(CASE WHEN trim(r."cast") <> '' THEN r."cast" END, a.v, c.v, 'unknown') AS "cast",
+    coalesce(CASE WHEN trim(r.genres) <> '' THEN r.genres END, b.v, d.v, 'unknown') AS genres
+  FROM raw_a r
+  LEFT JOIN m_a a ON r.movie_id = a.movie_id LEFT JOIN m_b b ON r.movie_id = b.movie_id
+  LEFT JOIN m_c c ON r.movie_title = c.movie_title LEFT JOIN m_d d ON r.movie_title = d.movie_title)""")
+    return ctes
+
+
+def _impute_raw(spark, sf):
+    from tastemine.operators import impute as I
+    raw = Stages(spark, sf).raw("A").select("row_ord", "user_id", "movie_id", "movie_title", "cast", "genres")
+    return I.impute_by_mode(raw)
+
+
+@register("impute_mode_raw", O.with_query(_impute_raw_sql(), 'SELECT user_id, movie_id, movie_title, "cast", genres FROM imp'))
+def q_impute_mode_raw(spark, sf):
+    return emit(_impute_raw(spark, sf))
+
+
+@register("imputation_audit", O.with_query(_impute_raw_sql(), """SELECT count(*)::BIGINT AS rows,
+  round(avg(CASE WHEN "cast" IS NULL THEN 1.0 ELSE 0.0 END) * 100, 6) AS missing_pct_cast,
+  count_if("cast" IS NOT NULL AND trim("cast") = '')::BIGINT AS empty_cast,
+  count_if(lower("cast") = 'unknown')::BIGINT AS unknown_cast,
+  round(avg(CASE WHEN genres IS NULL THEN 1.0 ELSE 0.0 END) * 100, 6) AS missing_pct_genres,
+  count_if(genres IS NOT NULL AND trim(genres) = '')::BIGINT AS empty_genres,
+  count_if(lower(genres) = 'unknown')::BIGINT AS unknown_genres
+FROM imp"""))
+def q_imputation_audit(spark, sf):
+    from tastemine.operators import impute as I
+    return I.imputation_audit(_impute_raw(spark, sf))
+
+
+@register("impute_unknown_raw", O.with_query(O.raw_ctes(), """SELECT user_id, movie_id,
+  coalesce(nullif(trim("cast"), ''), 'unknown') AS "cast", coalesce(nullif(trim(genres), ''), 'unknown') AS genres
+FROM raw_a"""))
+def q_impute_unknown_raw(spark, sf):
+    from tastemine.operators import impute as I
+    raw = Stages(spark, sf).raw("A").select("row_ord", "user_id", "movie_id", "cast", "genres")
+    return emit(I.impute_unknown(raw))
+
+
+TRANS_OUT = ('user_id, movie_id, movie_title, {r} AS rating, "cast", {y} AS release_year, language, '
+             "array_to_string(genres_list, '|') AS genres_list, primary_genre, genre_count, source")
+
+
+@register("transform", O.with_query(O.stage_ctes("transformed"),
+                                    f"SELECT {TRANS_OUT.format(r=O.r6('rating'), y=O.r6('release_year'))} FROM trans"))
+def q_transform(spark, sf):
+    return emit(Stages(spark, sf).transformed())
+
+
+# --- E7 encode, E5 TF-IDF ---------------------------------------------------------------------
+
+ENC_COLS = ["user_id", "movie_id", "rating", "user_idx", "movie_idx", "primary_genre", "primary_genre_encoded",
+            "source_encoded", "rating_scaled", "year_scaled", "genre_count_scaled"]
+
+
+@register("encode", O.with_query(O.stage_ctes("encoded"), """SELECT user_id, movie_id, round(rating, 6) AS rating,
+  user_idx::BIGINT AS user_idx, movie_idx::BIGINT AS movie_idx, primary_genre,
+  primary_genre_encoded::BIGINT AS primary_genre_encoded, source_encoded::INTEGER AS source_encoded,
+  round(rating_scaled, 6) AS rating_scaled, round(year_scaled, 6) AS year_scaled,
+  round(genre_count_scaled, 6) AS genre_count_scaled
+FROM enc"""))
+def q_encode(spark, sf):
+    return emit(Stages(spark, sf).encoded().df.select(*ENC_COLS))
+
+
+@register("encode_genre_onehot", O.with_query(O.stage_ctes("encoded"), """SELECT user_idx::BIGINT AS user_idx,
+  movie_idx::BIGINT AS movie_idx, round(rating, 6) AS rating, g AS genre
+FROM enc, unnest(list_distinct(genres_list)) AS t(g)"""))
+def q_encode_genre_onehot(spark, sf):
+    """E3 checked in long form: one row per (row, genre) whose one-hot cell is 1."""
+    enc = Stages(spark, sf).encoded()
+    cols = [F.when(F.col(f"`{E_name(g)}`") == 1, F.lit(g)) for g in enc.genre_vocab]
+    hot = enc.df.select("user_idx", "movie_idx", "rating", F.explode(F.array(*cols)).alias("genre"))
+    return emit(hot.filter(F.col("genre").isNotNull()))
+
+
+def E_name(g: str) -> str:
+    from tastemine.operators.encode import genre_column_name
+    return genre_column_name(g)
+
+
+@register("tfidf_cast", O.with_query(O.stage_ctes("transformed"), """,
+tok AS (SELECT user_id, movie_id, rating, t AS term
+        FROM (SELECT *, coalesce("cast", 'unknown') AS c FROM trans), unnest(regexp_extract_all(lower(c), '[^,]+')) AS u(t)),
+tf AS (SELECT user_id, movie_id, rating, term, count(*) AS tf FROM tok GROUP BY ALL),
+st AS (SELECT term, sum(tf) AS total, count(*) AS df FROM tf GROUP BY term),
+voc AS (SELECT term, ln((1.0 + (SELECT count(*) FROM trans)) / (1.0 + df)) + 1.0 AS idf
+        FROM st ORDER BY total DESC, term LIMIT 500),
+w AS (SELECT tf.*, tf.tf * voc.idf AS w FROM tf JOIN voc USING (term))
+SELECT user_id, movie_id, round(rating, 6) AS rating, term,
+       round(w / sqrt(sum(w * w) OVER (PARTITION BY user_id, movie_id, rating)), 6) AS weight
+FROM w"""))
+def q_tfidf_cast(spark, sf):
+    from tastemine.operators.encode import tfidf
+    t = Stages(spark, sf).transformed().withColumn("_k", F.struct("user_id", "movie_id", "rating"))
+    out = tfidf(t, "_k")
+    return emit(out.select("_k.user_id", "_k.movie_id", "_k.rating", "term", "weight"))
+
+
+# --- W8 / W9 / A18 / U5 split -----------------------------------------------------------------
+
+@register("split_assign", O.with_query(O.stage_ctes("split"), "SELECT user_idx::BIGINT AS user_idx, split FROM assign"))
+def q_split_assign(spark, sf):
+    from tastemine.operators.split import group_assignment
+    return emit(group_assignment(Stages(spark, sf).encoded().df, "user_idx"))
+
+
+@register("split_report", O.with_query(O.stage_ctes("split"), """SELECT split, count(*)::BIGINT AS samples,
+  count(DISTINCT user_idx)::BIGINT AS users, count(DISTINCT movie_id)::BIGINT AS movies,
+  round(count(*) / (SELECT count(*) FROM splitted), 6) AS ratio,
+  round(count(DISTINCT user_idx) / (SELECT count(DISTINCT user_idx) FROM splitted) * 100.0, 6) AS user_pct
+FROM splitted GROUP BY split"""))
+def q_split_report(spark, sf):
+    from tastemine.operators.split import sampling_report
+    return sampling_report(Stages(spark, sf).split(), "user_idx", "movie_id")
+
+
+@register("split_index", O.with_query(O.stage_ctes("split"), f"""SELECT
+  (row_number() OVER (ORDER BY _part, {O.ORD}) - 1)::BIGINT AS "index", split FROM splitted"""))
+def q_split_index(spark, sf):
+    from tastemine.operators.split import split_index
+    return split_index(Stages(spark, sf).split())
+
+
+@register("split_overlap", O.with_query(O.stage_ctes("split"), """SELECT user_idx::BIGINT AS user_idx,
+  count(DISTINCT split)::BIGINT AS n_splits FROM splitted GROUP BY user_idx HAVING count(DISTINCT split) > 1"""))
+def q_split_overlap(spark, sf):
+    from tastemine.operators.integrate import split_overlap
+    return split_overlap(Stages(spark, sf).split(), "user_idx")
+
+
+@register("split_events", """WITH g AS (SELECT DISTINCT user_id FROM events),
+r AS (SELECT user_id, row_number() OVER (ORDER BY md5('42:' || CAST(user_id AS VARCHAR)), user_id) - 1 AS r,
+             count(*) OVER () AS u FROM g)
+SELECT user_id, CASE WHEN r < floor(0.7 * u) THEN 'train'
+                     WHEN r < floor(0.7 * u) + floor(0.5 * (u - floor(0.7 * u))) THEN 'val' ELSE 'test' END AS split
+FROM r""")
+def q_split_events(spark, sf):
+    from tastemine.operators.split import group_assignment
+    from tastemine.sources.views import events
+    return group_assignment(events(spark, sf), "user_id")

@@ -170,3 +170,87 @@ def r6(expr: str) -> str:
 
 def joined(expr: str) -> str:
     return f"array_to_string({expr}, '|')"
+
+
+def transform_ctes() -> list[str]:
+    """A12 + F3 + P18 over ``integ`` -> ``trans``."""
+    def mode(key: str, col: str, name: str) -> str:
+        return f"""{name} AS (
+  SELECT {key}, v FROM (SELECT {key}, {col} AS v, count(*) AS n FROM t_don WHERE {col} IS NOT NULL GROUP BY ALL)
+  QUALIFY row_number() OVER (PARTITION BY {key} ORDER BY n DESC, v) = 1)"""
+    return [
+        """t_don AS (
+  SELECT movie_id, movie_title,
+    CASE WHEN trim("cast") <> '' THEN trim("cast") END AS c,
+    CASE WHEN trim(genres) <> '' THEN trim(genres) END AS g
+  FROM integ)""",
+        mode("movie_id", "c", "m_id_c"), mode("movie_id", "g", "m_id_g"),
+        mode("movie_title", "c", "m_ti_c"), mode("movie_title", "g", "m_ti_g"),
+        """t_imp AS (
+  SELECT i.* REPLACE (
+    coalesce(CASE WHEN trim(i."cast") <> '' THEN i."cast" END, a.v, c.v, 'unknown') AS "cast",
+    coalesce(CASE WHEN trim(i.genres) <> '' THEN i.genres END, b.v, d.v, 'unknown') AS genres)
+  FROM integ i
+  LEFT JOIN m_id_c a ON i.movie_id = a.movie_id
+  LEFT JOIN m_id_g b ON i.movie_id = b.movie_id
+  LEFT JOIN m_ti_c c ON i.movie_title = c.movie_title
+  LEFT JOIN m_ti_g d ON i.movie_title = d.movie_title)""",
+        f"""t_gen AS (
+  SELECT * REPLACE ({genre_parse('genres')} AS genres_list) FROM t_imp)""",
+        """trans AS (
+  SELECT * EXCLUDE (genres, release_year_clean) REPLACE (
+    coalesce(genres_list[1], 'unknown') AS primary_genre,
+    CAST(len(genres_list) AS INTEGER) AS genre_count,
+    coalesce(TRY_CAST(release_year AS DOUBLE), CAST(release_year_clean AS DOUBLE)) AS release_year)
+  FROM t_gen)""",
+    ]
+
+
+def encode_ctes() -> list[str]:
+    """E7 (non-wide part) over ``trans`` -> ``enc``."""
+    def mm(x: str) -> str:
+        return (f"CASE WHEN max({x}) OVER () = min({x}) OVER () THEN {x} - min({x}) OVER () "
+                f"ELSE ({x} - min({x}) OVER ()) / (max({x}) OVER () - min({x}) OVER ()) END")
+    return [
+        """e0 AS (
+  SELECT * REPLACE (coalesce("cast", 'unknown') AS "cast"),
+    coalesce(release_year, 0.0) AS _y, coalesce(CAST(genre_count AS DOUBLE), 0.0) AS _gc
+  FROM trans)""",
+        f"""enc AS (
+  SELECT * EXCLUDE (_y, _gc),
+    dense_rank() OVER (ORDER BY coalesce(primary_genre, 'unknown')) - 1 AS primary_genre_encoded,
+    dense_rank() OVER (ORDER BY user_id) - 1 AS user_idx,
+    dense_rank() OVER (ORDER BY CAST(movie_id AS VARCHAR)) - 1 AS movie_idx,
+    CASE source WHEN 'TMDB_cleaned' THEN 0 WHEN 'Trakt_cleaned' THEN 1 END AS source_encoded,
+    {mm('rating')} AS rating_scaled,
+    {mm('_y')} AS year_scaled,
+    {mm('_gc')} AS genre_count_scaled
+  FROM e0)""",
+    ]
+
+
+def split_ctes(seed: int = 42) -> list[str]:
+    """W8 over ``enc`` by ``user_idx`` -> ``assign`` (user_idx, split), ``splitted``."""
+    return [
+        f"""u_rank AS (
+  SELECT user_idx, row_number() OVER (ORDER BY md5('{seed}:' || CAST(user_idx AS VARCHAR)), user_idx) - 1 AS r,
+         count(*) OVER () AS u
+  FROM (SELECT DISTINCT user_idx FROM enc))""",
+        """assign AS (
+  SELECT user_idx, CASE WHEN r < floor(0.7 * u) THEN 'train'
+                        WHEN r < floor(0.7 * u) + floor(0.5 * (u - floor(0.7 * u))) THEN 'val'
+                        ELSE 'test' END AS split
+  FROM u_rank)""",
+        "splitted AS (SELECT e.*, a.split FROM enc e JOIN assign a USING (user_idx))",
+    ]
+
+
+def stage_ctes(through: str) -> list[str]:
+    ctes = pipeline_ctes("integrated")
+    order = ["transformed", "encoded", "split"]
+    builders = [transform_ctes, encode_ctes, split_ctes]
+    for name, build in zip(order, builders):
+        ctes += build()
+        if name == through:
+            break
+    return ctes

@@ -16,7 +16,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tastemine.operators import cleaning as C
+from tastemine.operators import encode as E
+from tastemine.operators import impute as I
 from tastemine.operators import integrate as U
+from tastemine.operators import split as S
+from tastemine.session import checkpoint
 from tastemine.sources import views as V
 
 
@@ -45,6 +49,32 @@ class Stages:
         return self._memo("integ", lambda: U.integrate(
             {U.SOURCE_TAGS[0]: self.adjusted("A"), U.SOURCE_TAGS[1]: self.adjusted("B")}))
 
+    # Stage boundaries below are checkpointed (reliable, in spark.checkpoint.dir):
+    # each later stage reads its input several times (donor aggregates, joins,
+    # vocabulary and label-code jobs), and the reference hands stages over as
+    # files too. A lost executor then recomputes from the last boundary.
+
+    def integrated_table(self) -> DataFrame:
+        return self._memo("integ_t", lambda: checkpoint(self.integrated().df))
+
+    def transformed(self) -> DataFrame:
+        def build():
+            pre = checkpoint(I.transform(self.integrated_table(), drop_identical=False))
+            return I.consolidate_fields(pre, drop_identical=True)
+        return self._memo("transformed", build)
+
+    def encoded(self) -> E.Encoded:
+        def build():
+            enc = E.preprocess_features(self.transformed())
+            return E.Encoded(checkpoint(enc.df), enc.genre_vocab)
+        return self._memo("encoded", build)
+
+    def split(self) -> DataFrame:
+        return self._memo("split", lambda: S.group_split(self.encoded().df, "user_idx"))
+
+    def part(self, name: str) -> DataFrame:
+        return self.split().filter(F.col("split") == name).drop("split")
+
 
 def emit(df: DataFrame, digits: int = 6, drop: tuple[str, ...] = (C.ORDER_COL,)) -> DataFrame:
     """Output convention of registered queries: drop ``row_ord``, arrays as
