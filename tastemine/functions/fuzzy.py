@@ -1,0 +1,79 @@
+"""Title matching for rule lookups.
+
+Exact (score 2.0) and substring (1.5) matches are plain column logic; the
+fuzzy score is difflib's Ratcliff-Obershelp ``SequenceMatcher.ratio``
+(argument order: query, title), applied in Arrow batches by ``mapInPandas``.
+
+The dictionary side is the set of distinct antecedent titles of the mined
+rules. Every such title is a frequent item, so there are at most
+``mean basket size / min_support`` of them, whatever the data volume: that is
+the proven bound that lets the dictionary be broadcast. Queries stay
+distributed; each task scores its batch of queries against the dictionary,
+skipping titles whose length alone rules out the threshold.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+EXACT_SCORE = 2.0
+SUBSTRING_SCORE = 1.5
+FUZZY_THRESHOLD = 0.7
+MAX_DICTIONARY = 1_000_000
+
+MATCH_SCHEMA = "query string, title string, score double"
+
+
+def ratio(a: str, b: str) -> float:
+    from difflib import SequenceMatcher
+
+    return SequenceMatcher(None, a, b).ratio()
+
+
+def _scorer(titles: list[str], fuzzy: bool, threshold: float):
+    lowered = [t.lower() for t in titles]
+    lengths = [len(t) for t in lowered]
+
+    def score(q: str):
+        from difflib import SequenceMatcher
+
+        ql = q.lower()
+        n = len(ql)
+        out = []
+        for title, tl, tn in zip(titles, lowered, lengths):
+            if ql == tl:
+                out.append((title, EXACT_SCORE))
+            elif ql in tl:
+                out.append((title, SUBSTRING_SCORE))
+            elif fuzzy and n + tn > 0 and 2.0 * min(n, tn) / (n + tn) > threshold:
+                sm = SequenceMatcher(None, ql, tl)
+                if sm.real_quick_ratio() > threshold and sm.quick_ratio() > threshold:
+                    r = sm.ratio()
+                    if r > threshold:
+                        out.append((title, r))
+        return out
+
+    return score
+
+
+def match_titles(queries: DataFrame, titles: DataFrame, query_col: str = "query", title_col: str = "title",
+                 fuzzy: bool = True, threshold: float = FUZZY_THRESHOLD) -> DataFrame:
+    """``(query, title, score)`` for every query/title pair that matches."""
+    names = [r[0] for r in titles.select(title_col).distinct().limit(MAX_DICTIONARY + 1).collect()]
+    if len(names) > MAX_DICTIONARY:
+        raise ValueError("title dictionary exceeds its bound; raise min_support")
+    names = sorted(n for n in names if n is not None)
+    sc = queries.sparkSession.sparkContext
+    bc = sc.broadcast(names)
+
+    def run(batches):
+        import pandas as pd
+
+        score = _scorer(bc.value, fuzzy, threshold)
+        for pdf in batches:
+            rows = [(q, t, s) for q in pdf[query_col] if q for t, s in score(q)]
+            yield pd.DataFrame(rows, columns=["query", "title", "score"])
+
+    q = queries.select(F.col(query_col).alias(query_col)).filter(F.col(query_col).isNotNull()).distinct()
+    return q.mapInPandas(run, MATCH_SCHEMA)

@@ -54,3 +54,19 @@ def encode_labels(df: DataFrame, col: str, out: str, fill: str | None = None) ->
     keyed = df.withColumn("_key", key)
     codes = label_codes(keyed, "_key", out)
     return keyed.join(codes, keyed["_key"].eqNullSafe(codes["_value"]), "left").drop("_key", "_value")
+
+
+def top_k_per_group(df: DataFrame, group_cols: list[str], order_cols: list[Column], k: int,
+                    rank_col: str = "rank", buckets: int = 64) -> DataFrame:
+    """First ``k`` rows of every group in ``order_cols`` order, with ranks 1..k.
+
+    Two levels so that no group is sorted whole in one task: rows are salted
+    into ``buckets`` by a hash, the top ``k`` per (group, bucket) are kept, and
+    the final ranking sees at most ``k * buckets`` rows per group.
+    """
+    salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(buckets))
+    w1 = Window.partitionBy(*group_cols, "_salt").orderBy(*order_cols)
+    first = (df.withColumn("_salt", salt).withColumn("_r1", F.row_number().over(w1))
+             .filter(F.col("_r1") <= k).drop("_r1", "_salt"))
+    w2 = Window.partitionBy(*group_cols).orderBy(*order_cols)
+    return first.withColumn(rank_col, F.row_number().over(w2)).filter(F.col(rank_col) <= k)

@@ -287,3 +287,175 @@ def q_split_events(spark, sf):
     from tastemine.operators.split import group_assignment
     from tastemine.sources.views import events
     return group_assignment(events(spark, sf), "user_id")
+
+
+# --- M1-M6 / A22 / A23 / L4 / L5 association rules --------------------------------------------
+# Baskets: transaction = order, item = part name, no rating floor (FIXTURES.md:
+# a (customer, name) basket makes every pair frequent). min_support 0.0007 covers
+# itemsets of size 3, hence multi-item consequents.
+
+RULE_SUPPORT = 0.0007
+
+
+def _mined(spark, sf):
+    from tastemine.operators import rules as R
+    from tastemine.sources.views import table
+    li = table(spark, sf, "lineitem").select("l_orderkey", "l_partkey")
+    part = table(spark, sf, "part").select(F.col("p_partkey").alias("l_partkey"), "p_name")
+    return R.mine(li.join(part, "l_partkey"), "l_orderkey", "p_name", min_support=RULE_SUPPORT)
+
+
+def _itemset_sql() -> list[str]:
+    s = RULE_SUPPORT
+    return [
+        "bk AS (SELECT DISTINCT l.l_orderkey AS t, p.p_name AS item FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey)",
+        "nb AS (SELECT count(DISTINCT t) AS n, ceil(" + repr(s) + " * count(DISTINCT t)) AS m FROM bk)",
+        "i1 AS (SELECT [item] AS items, count(*) AS c FROM bk GROUP BY item HAVING count(*) >= (SELECT m FROM nb))",
+        """i2 AS (SELECT [x.item, y.item] AS items, count(*) AS c FROM bk x JOIN bk y ON x.t = y.t AND x.item < y.item
+  WHERE [x.item] IN (SELECT items FROM i1) AND [y.item] IN (SELECT items FROM i1)
+  GROUP BY x.item, y.item HAVING count(*) >= (SELECT m FROM nb))""",
+        """i3 AS (SELECT [x.item, y.item, z.item] AS items, count(*) AS c
+  FROM bk x JOIN bk y ON x.t = y.t AND x.item < y.item JOIN bk z ON y.t = z.t AND y.item < z.item
+  WHERE [x.item, y.item] IN (SELECT items FROM i2) AND [y.item, z.item] IN (SELECT items FROM i2)
+  GROUP BY x.item, y.item, z.item HAVING count(*) >= (SELECT m FROM nb))""",
+        "fi AS (SELECT items, c, c / (SELECT n FROM nb) AS support FROM (SELECT * FROM i1 UNION ALL SELECT * FROM i2 UNION ALL SELECT * FROM i3))",
+        """sp AS (SELECT items, support, m AS mask FROM fi, range(1, (1 << len(items)) - 1) AS r(m) WHERE len(items) >= 2)""",
+        """ru AS (SELECT list_filter(items, lambda x, i: ((mask >> (i - 1)) & 1) = 1) AS antecedents,
+                 list_filter(items, lambda x, i: ((mask >> (i - 1)) & 1) = 0) AS consequents, support FROM sp)""",
+        """rules AS (SELECT ru.antecedents, ru.consequents, a.support AS antecedent_support, c.support AS consequent_support,
+     ru.support, ru.support / a.support AS confidence, ru.support / a.support / c.support AS lift,
+     ru.support - a.support * c.support AS leverage,
+     CASE WHEN ru.support / a.support < 1 THEN (1 - c.support) / (1 - ru.support / a.support) END AS conviction
+   FROM ru JOIN fi a ON ru.antecedents = a.items JOIN fi c ON ru.consequents = c.items
+   WHERE ru.support / a.support / c.support >= 1.0)""",
+    ]
+
+
+@register("frequent_itemsets", O.with_query(_itemset_sql(), """SELECT array_to_string(items, '|') AS items,
+  c::BIGINT AS freq, round(support, 6) AS support FROM fi"""))
+def q_frequent_itemsets(spark, sf):
+    return emit(_mined(spark, sf).itemsets)
+
+
+RULE_COLS = ["antecedents", "consequents", "antecedent_support", "consequent_support", "support", "confidence",
+             "lift", "leverage", "conviction"]
+
+
+@register("association_rules", O.with_query(_itemset_sql(), """SELECT array_to_string(antecedents, '|') AS antecedents,
+  array_to_string(consequents, '|') AS consequents, round(antecedent_support, 6) AS antecedent_support,
+  round(consequent_support, 6) AS consequent_support, round(support, 6) AS support, round(confidence, 6) AS confidence,
+  round(lift, 6) AS lift, round(leverage, 6) AS leverage, round(conviction, 6) AS conviction FROM rules"""))
+def q_association_rules(spark, sf):
+    return emit(_mined(spark, sf).rules.select(*RULE_COLS))
+
+
+@register("rule_stats", O.with_query(_itemset_sql(), """SELECT count(*)::BIGINT AS num_rules,
+  (SELECT count(*) FROM fi)::BIGINT AS num_itemsets,
+  round(min(support), 6) AS min_support, round(max(support), 6) AS max_support, round(coalesce(avg(support), 0), 6) AS avg_support,
+  round(min(confidence), 6) AS min_confidence, round(max(confidence), 6) AS max_confidence, round(coalesce(avg(confidence), 0), 6) AS avg_confidence,
+  round(min(lift), 6) AS min_lift, round(max(lift), 6) AS max_lift, round(coalesce(avg(lift), 0), 6) AS avg_lift
+FROM rules"""))
+def q_rule_stats(spark, sf):
+    from tastemine.operators.rules import rule_stats
+    m = _mined(spark, sf)
+    return rule_stats(m.rules, m.itemsets)
+
+
+@register("itemset_lengths", O.with_query(_itemset_sql(),
+                                          "SELECT len(items)::INTEGER AS length, count(*)::BIGINT AS count FROM fi GROUP BY 1"))
+def q_itemset_lengths(spark, sf):
+    from tastemine.operators.rules import itemset_lengths
+    return itemset_lengths(_mined(spark, sf).itemsets)
+
+
+@register("basket_shape", O.with_query(_itemset_sql(), """SELECT (SELECT count(DISTINCT item) FROM bk)::BIGINT AS items,
+  count(*)::BIGINT AS baskets, round(avg(k), 6) AS mean_size FROM (SELECT t, count(*) AS k FROM bk GROUP BY t)"""))
+def q_basket_shape(spark, sf):
+    from tastemine.operators.rules import basket_shape
+    return basket_shape(_mined(spark, sf).baskets)
+
+
+def _top_rules_sql(n: int, keys: list[str]) -> str:
+    order = ", ".join(f"round({k}, 9) DESC" for k in keys)
+    return O.with_query(_itemset_sql(), f"""SELECT array_to_string(antecedents, '|') AS antecedents,
+  array_to_string(consequents, '|') AS consequents, round(support, 6) AS support, round(confidence, 6) AS confidence,
+  round(lift, 6) AS lift FROM rules
+ORDER BY {order}, array_to_string(antecedents, '|'), array_to_string(consequents, '|') LIMIT {n}""")
+
+
+@register("top_rules_lift", _top_rules_sql(100, ["lift"]))
+def q_top_rules_lift(spark, sf):
+    """Top 100 rules by lift (null / NaN / inf lift dropped)."""
+    from tastemine.operators.rules import top_rules
+    return emit(top_rules(_mined(spark, sf).rules, 100, ("lift",)).select(
+        "antecedents", "consequents", "support", "confidence", "lift"))
+
+
+@register("top_rules_multi", _top_rules_sql(10, ["lift", "confidence", "support"]))
+def q_top_rules_multi(spark, sf):
+    """Top 10 by lift, confidence, support."""
+    from tastemine.operators.rules import top_rules
+    return emit(top_rules(_mined(spark, sf).rules, 10, ("lift", "confidence", "support")).select(
+        "antecedents", "consequents", "support", "confidence", "lift"))
+
+
+def _title_queries(spark, sf):
+    """Query table derived from the part names: the name, its upper case,
+    its first word and the name without its last letter (exact, exact,
+    substring, substring); the fuzzy variant drops the second letter."""
+    from tastemine.sources.views import table
+    p = table(spark, sf, "part").select("p_name")
+    return (p.select(F.col("p_name").alias("query"))
+            .unionByName(p.select(F.upper("p_name").alias("query")))
+            .unionByName(p.select(F.split("p_name", " ")[0].alias("query")))
+            .unionByName(p.select(F.expr("substring(p_name, 1, length(p_name) - 1)").alias("query")))
+            .filter(F.length("query") > 0).distinct())
+
+
+TITLE_QUERIES_SQL = """q AS (SELECT DISTINCT query FROM (
+  SELECT p_name AS query FROM part UNION ALL SELECT upper(p_name) FROM part
+  UNION ALL SELECT split_part(p_name, ' ', 1) FROM part UNION ALL SELECT left(p_name, length(p_name) - 1) FROM part)
+  WHERE length(query) > 0)"""
+
+
+@register("rule_lookup_exact", O.with_query(_itemset_sql() + [TITLE_QUERIES_SQL, """titles AS (
+  SELECT DISTINCT unnest(antecedents) AS title FROM rules)""", """m AS (
+  SELECT query, title, score FROM (
+    SELECT query, title, CASE WHEN lower(query) = lower(title) THEN 2.0
+                              WHEN contains(lower(title), lower(query)) THEN 1.5 END AS score FROM q, titles)
+  WHERE score IS NOT NULL)""", """best AS (
+  SELECT query, title AS searched_movie FROM m QUALIFY row_number() OVER (PARTITION BY query ORDER BY score DESC, title) = 1)""",
+    """rr AS (SELECT row_number() OVER () AS rid, * FROM rules)""", """hit AS (
+  SELECT DISTINCT m.query, rr.rid FROM m JOIN (SELECT rid, unnest(antecedents) AS title FROM rr) a ON m.title = a.title
+  JOIN rr ON rr.rid = a.rid)""", """cand AS (
+  SELECT h.query, b.searched_movie, c AS movie_title, rr.confidence, rr.lift, array_to_string(rr.antecedents, '|') AS atext
+  FROM hit h JOIN rr ON h.rid = rr.rid JOIN best b ON b.query = h.query, unnest(rr.consequents) AS u(c)
+  WHERE lower(c) <> lower(b.searched_movie))""", """per AS (
+  SELECT * FROM cand QUALIFY row_number() OVER (PARTITION BY query, movie_title
+    ORDER BY lift DESC, confidence DESC, length(atext) DESC, atext DESC) = 1)"""],
+    """SELECT query, searched_movie, movie_title, round(confidence, 6) AS confidence, round(lift, 6) AS lift, rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY query ORDER BY lift DESC, movie_title)::INTEGER AS rank FROM per) WHERE rank <= 20"""))
+def q_rule_lookup_exact(spark, sf):
+    """L5 with exact and substring matching (SQL-checkable)."""
+    from tastemine.operators.lookup import rule_recommendations
+    return emit(rule_recommendations(_title_queries(spark, sf), _mined(spark, sf).rules, fuzzy=False))
+
+
+@register("rule_lookup_fuzzy")
+def q_rule_lookup_fuzzy(spark, sf):
+    """L5 with fuzzy matching (SequenceMatcher ratio > 0.7): queries with a
+    dropped second letter. Rows-only (no SQL equivalent of the ratio)."""
+    from tastemine.operators.lookup import rule_recommendations
+    from tastemine.sources.views import table
+    q = table(spark, sf, "part").select(
+        F.concat(F.substring("p_name", 1, 1), F.expr("substring(p_name, 3)")).alias("query")).distinct()
+    return emit(rule_recommendations(q, _mined(spark, sf).rules, fuzzy=True))
+
+
+@register("item_dictionary", O.with_query(O.stage_ctes("split"), f"""SELECT movie_id, movie_title FROM (
+  SELECT movie_id, movie_title, min((_part, {O.ORD})) AS f FROM splitted WHERE split = 'train' GROUP BY ALL)
+QUALIFY row_number() OVER (PARTITION BY movie_id ORDER BY f DESC) = 1"""))
+def q_item_dictionary(spark, sf):
+    """M5 over the training split."""
+    from tastemine.operators.rules import item_dictionary
+    return item_dictionary(Stages(spark, sf).part("train"))
