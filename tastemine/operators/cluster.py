@@ -77,7 +77,8 @@ def cluster_stats(points: DataFrame, feat: str, label: str) -> DataFrame:
     """Per cluster: n, centroid, sum of squared norms (one partial aggregate)."""
     from pyspark.ml.stat import Summarizer
 
-    vec = array_to_vector(feat) if dict(points.dtypes)[feat].startswith("array") else F.col(feat)
+    vec = array_to_vector(F.col(feat).cast("array<double>")) if dict(points.dtypes)[feat].startswith("array") \
+        else F.col(feat)
     s = points.select(F.col(label).alias("_c"), vec.alias("_v"), _sq_norm(vector_to_array(vec)).alias("_q"))
     agg = s.groupBy("_c").agg(F.count(F.lit(1)).alias("_n"), Summarizer.mean(F.col("_v")).alias("_mu"),
                               F.sum("_q").alias("_qs"))
@@ -85,7 +86,8 @@ def cluster_stats(points: DataFrame, feat: str, label: str) -> DataFrame:
 
 
 def _as_array(points: DataFrame, feat: str) -> Column:
-    return F.col(feat) if dict(points.dtypes)[feat].startswith("array") else vector_to_array(feat)
+    c = F.col(feat) if dict(points.dtypes)[feat].startswith("array") else vector_to_array(feat)
+    return c.cast("array<double>")
 
 
 def silhouette_sq(points: DataFrame, feat: str = "features", label: str = "prediction") -> DataFrame:
@@ -130,20 +132,22 @@ def davies_bouldin(points: DataFrame, feat: str = "features", label: str = "pred
 
 
 def calinski_harabasz(points: DataFrame, feat: str = "features", label: str = "prediction") -> DataFrame:
-    """K5: (B / (k - 1)) / (W / (n - k)) from per-cluster n, mean and sum of
-    squared norms: W_C = Q_C - n_C |mu_C|^2, B = sum n_C |mu_C - mu|^2."""
+    """K5: (B / (k - 1)) / (W / (n - k)); W = sum of squared distances to the
+    own centroid (one pass, k centroids broadcast), B = sum n_C |mu_C - mu|^2
+    over the k clusters (mu = global mean)."""
     st = cluster_stats(points, feat, label)
-    dims = F.size(F.col("_mu"))
-    w = st.select("_c", "_n", "_mu", (F.col("_qs") - F.col("_n") * _sq_norm(F.col("_mu"))).alias("_w"))
-    tot = w.agg(F.sum("_n").alias("N"), F.count(F.lit(1)).alias("K"), F.sum("_w").alias("W"),
-                F.first(dims).alias("D"))
-    # global mean = sum n_C mu_C / N, done per dimension over k rows
-    g = w.select("_n", F.posexplode("_mu").alias("_d", "_m")).groupBy("_d").agg(
-        (F.sum(F.col("_n") * F.col("_m")) / F.sum("_n")).alias("_g"))
-    gm = g.agg(F.array_sort(F.collect_list(F.struct("_d", "_g"))).alias("_gs")).select(
-        F.transform("_gs", lambda s: s["_g"]).alias("_gmu"))
-    b = w.crossJoin(gm).agg(F.sum(F.col("_n") * _sq_dist(F.col("_mu"), F.col("_gmu"))).alias("B"))
-    return tot.crossJoin(b).select(
+    x = points.select(F.col(label).alias("_c"), _as_array(points, feat).alias("_x"))
+    w = x.join(F.broadcast(st.select("_c", "_mu")), "_c").agg(
+        F.sum(_sq_dist(F.col("_x"), F.col("_mu"))).alias("W"))
+    packed = st.agg(F.collect_list(F.struct("_n", "_mu")).alias("_cs"), F.sum("_n").alias("N"),
+                    F.count(F.lit(1)).alias("K"))
+    gmu = F.aggregate(
+        F.col("_cs"), F.array_repeat(F.lit(0.0), F.size(F.col("_cs")[0]["_mu"])),
+        lambda acc, c: F.zip_with(acc, c["_mu"], lambda a, m: a + m * c["_n"]))
+    packed = packed.withColumn("_g", F.transform(gmu, lambda a: a / F.col("N")))
+    b = packed.select("N", "K", F.aggregate(
+        "_cs", F.lit(0.0), lambda acc, c: acc + c["_n"] * _sq_dist(c["_mu"], F.col("_g"))).alias("B"))
+    return b.crossJoin(w).select(
         (F.when(F.col("W") == 0, F.lit(1.0))
          .otherwise((F.col("B") / (F.col("K") - 1)) / (F.col("W") / (F.col("N") - F.col("K"))))).alias("calinski_harabasz"))
 

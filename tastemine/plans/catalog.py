@@ -459,3 +459,139 @@ def q_item_dictionary(spark, sf):
     """M5 over the training split."""
     from tastemine.operators.rules import item_dictionary
     return item_dictionary(Stages(spark, sf).part("train"))
+
+
+# --- A14-A16 profiles, K3-K5 indices on given labels -------------------------------------------
+
+def _profiles(spark, sf):
+    from tastemine.operators.profiles import user_profiles
+    return user_profiles(Stages(spark, sf).part("train"))
+
+
+TRAIN = "tr AS (SELECT * FROM splitted WHERE split = 'train')"
+
+
+@register("user_profile_stats", O.with_query(O.stage_ctes("split") + [TRAIN], """SELECT user_idx::BIGINT AS user_idx,
+  round(avg(rating_scaled), 6) AS avg_rating, count(*)::BIGINT AS num_ratings, round(stddev_samp(rating_scaled), 6) AS rating_std,
+  round(avg(genre_count), 6) AS genre_count_pref, round(avg(genre_count_scaled), 6) AS genre_count_scaled_pref
+FROM tr GROUP BY user_idx"""))
+def q_user_profile_stats(spark, sf):
+    """A14 (scalar part) on the training split."""
+    return emit(_profiles(spark, sf).select("user_idx", "avg_rating", "num_ratings", "rating_std",
+                                            "genre_count_pref", "genre_count_scaled_pref"))
+
+
+@register("user_genre_prefs", O.with_query(O.stage_ctes("split") + [TRAIN], """SELECT user_idx::BIGINT AS user_idx,
+  replace(g, ' ', '_') AS genre, round(count(*) / any_value(n), 6) AS preference_score
+FROM (SELECT *, count(*) OVER (PARTITION BY user_idx) AS n FROM tr), unnest(list_distinct(genres_list)) AS u(g)
+GROUP BY user_idx, g"""))
+def q_user_genre_prefs(spark, sf):
+    """A14 (genre part), long form, non-zero preferences."""
+    from tastemine.operators.profiles import long_prefs
+    p = long_prefs(_profiles(spark, sf), ["user_idx"])
+    return emit(p.filter(~F.col("genre").isin("count", "count_scaled") & (F.col("preference_score") > 0)))
+
+
+def _segment_labels(spark, sf):
+    """Given labels for users: their customer's market segment (code 0..4)."""
+    from tastemine.operators.indexing import encode_labels
+    from tastemine.sources.views import table
+    c = table(spark, sf, "customer").select(
+        F.concat(F.lit("u"), F.col("c_custkey").cast("string")).alias("user_id"), "c_mktsegment")
+    return encode_labels(c, "c_mktsegment", "user_cluster").select("user_id", F.col("user_cluster").cast("int"))
+
+
+def _labelled_profiles(spark, sf):
+    st = Stages(spark, sf)
+    users = st.part("train").select("user_idx", "user_id").distinct()
+    return _profiles(spark, sf).join(users, "user_idx").join(_segment_labels(spark, sf), "user_id")
+
+
+SEG_SQL = """seg AS (SELECT 'u' || CAST(c_custkey AS VARCHAR) AS user_id,
+  (dense_rank() OVER (ORDER BY c_mktsegment) - 1)::INTEGER AS user_cluster FROM customer)"""
+PROF_SQL = """prof AS (SELECT user_idx, any_value(user_id) AS user_id, avg(rating_scaled) AS avg_rating,
+  count(*) AS num_ratings, stddev_samp(rating_scaled) AS rating_std FROM tr GROUP BY user_idx)"""
+
+
+@register("cluster_distribution", O.with_query(O.stage_ctes("split") + [TRAIN, SEG_SQL, PROF_SQL], """SELECT
+  s.user_cluster, count(*)::BIGINT AS count, round(count(*) * 100.0 / sum(count(*)) OVER (), 6) AS percentage
+FROM prof p JOIN seg s USING (user_id) GROUP BY s.user_cluster"""))
+def q_cluster_distribution(spark, sf):
+    """A16 on given labels (customer segment of each training user)."""
+    from tastemine.operators.profiles import cluster_distribution
+    return emit(cluster_distribution(_labelled_profiles(spark, sf)))
+
+
+@register("cluster_profiles", O.with_query(O.stage_ctes("split") + [TRAIN, SEG_SQL, PROF_SQL, """gp AS (
+  SELECT s.user_cluster, replace(g, ' ', '_') AS genre, avg(CASE WHEN list_contains(t.genres_list, g) THEN 1.0 ELSE 0.0 END) AS x
+  FROM tr t JOIN seg s USING (user_id), (SELECT DISTINCT unnest(genres_list) AS g FROM tr) v
+  GROUP BY ALL)""", """up AS (
+  SELECT t.user_idx, s.user_cluster, v.g, avg(CASE WHEN list_contains(t.genres_list, v.g) THEN 1.0 ELSE 0.0 END) AS x
+  FROM tr t JOIN seg s USING (user_id), (SELECT DISTINCT unnest(genres_list) AS g FROM tr) v GROUP BY ALL)""",
+    """cg AS (SELECT user_cluster, replace(g, ' ', '_') AS genre, avg(x) AS score FROM up GROUP BY ALL
+  UNION ALL SELECT s.user_cluster, 'count', avg(gc) FROM (SELECT user_idx, any_value(user_id) AS user_id, avg(genre_count) AS gc FROM tr GROUP BY 1) q JOIN seg s USING (user_id) GROUP BY 1, 2
+  UNION ALL SELECT s.user_cluster, 'count_scaled', avg(gc) FROM (SELECT user_idx, any_value(user_id) AS user_id, avg(genre_count_scaled) AS gc FROM tr GROUP BY 1) q JOIN seg s USING (user_id) GROUP BY 1, 2)""",
+    """top AS (SELECT user_cluster, string_agg(genre, '|' ORDER BY r) AS top_genres FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_cluster ORDER BY round(score, 12) DESC, genre) AS r FROM cg) WHERE r <= 5 GROUP BY 1)"""],
+    """SELECT s.user_cluster AS cluster_id, count(*)::BIGINT AS num_users,
+  round(count(*) * 100.0 / sum(count(*)) OVER (), 6) AS percentage, round(avg(avg_rating), 6) AS avg_rating,
+  round(avg(num_ratings), 6) AS avg_num_ratings, round(avg(rating_std), 6) AS avg_rating_std, any_value(top.top_genres) AS top_genres
+FROM prof p JOIN seg s USING (user_id) JOIN top ON top.user_cluster = s.user_cluster GROUP BY s.user_cluster"""))
+def q_cluster_profiles(spark, sf):
+    """A15 on given labels: sizes, means and the top-5 genre preferences."""
+    from tastemine.operators.profiles import cluster_profiles
+    cp = cluster_profiles(_labelled_profiles(spark, sf))
+    return emit(cp.withColumn("top_genres", F.array_join(F.transform("top_genres", lambda g: g["genre"]), "|")))
+
+
+EMB_SQL = [
+    "e AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS x FROM embeddings)",
+    "el AS (SELECT vec_id, label, unnest(x) AS v, generate_subscripts(x, 1) AS i FROM e)",
+    "mu AS (SELECT label, i, avg(v) AS m FROM el GROUP BY label, i)",
+    "cn AS (SELECT label, count(*) AS n FROM e GROUP BY label)",
+]
+
+
+@register("embedding_silhouette", O.with_query(EMB_SQL + [
+    """pd AS (SELECT p.vec_id, p.label AS own, c.label AS c, sum((p.v - c.m) * (p.v - c.m)) AS d2
+  FROM el p JOIN mu c ON p.i = c.i GROUP BY 1, 2, 3)""",
+    """sq AS (SELECT c.label, sum(l.v * l.v) / count(DISTINCT l.vec_id) - sum(m.m * m.m) / count(DISTINCT l.vec_id) AS var_c
+  FROM el l JOIN mu m ON l.label = m.label AND l.i = m.i JOIN cn c ON c.label = l.label GROUP BY c.label)""",
+    """ds AS (SELECT pd.vec_id, pd.own, pd.c, cn.n, pd.d2 + (SELECT sum(v * v) FROM el WHERE el.label = pd.c) / cn.n
+       - (SELECT sum(m * m) FROM mu WHERE mu.label = pd.c) AS d FROM pd JOIN cn ON cn.label = pd.c)""",
+    """ps AS (SELECT vec_id, max(CASE WHEN c = own THEN n END) AS nown, max(CASE WHEN c = own THEN d * n / (n - 1) END) AS a,
+  min(CASE WHEN c <> own THEN d END) AS b FROM ds GROUP BY vec_id)"""],
+    """SELECT round(avg(CASE WHEN nown <= 1 THEN 0.0 WHEN a < b THEN 1 - a / b WHEN a > b THEN b / a - 1 ELSE 0.0 END), 6)
+  AS silhouette FROM ps"""))
+def q_embedding_silhouette(spark, sf):
+    """K3 on the given embedding labels (squared Euclidean, linear time)."""
+    from tastemine.operators.cluster import silhouette_sq
+    from tastemine.sources.views import table
+    return emit(silhouette_sq(table(spark, sf, "embeddings"), "embedding", "label"))
+
+
+@register("embedding_davies_bouldin", O.with_query(EMB_SQL + [
+    """sp AS (SELECT label, avg(sqrt(d2)) AS s FROM (SELECT p.vec_id, p.label, sum((p.v - c.m) * (p.v - c.m)) AS d2
+  FROM el p JOIN mu c ON p.i = c.i AND p.label = c.label GROUP BY 1, 2) GROUP BY label)""",
+    """mm AS (SELECT a.label AS la, b.label AS lb, sqrt(sum((a.m - b.m) * (a.m - b.m))) AS dist
+  FROM mu a JOIN mu b ON a.i = b.i AND a.label <> b.label GROUP BY 1, 2)"""],
+    """SELECT round(avg(r), 6) AS davies_bouldin FROM (
+  SELECT mm.la, max((sa.s + sb.s) / mm.dist) AS r FROM mm JOIN sp sa ON sa.label = mm.la JOIN sp sb ON sb.label = mm.lb GROUP BY mm.la)"""))
+def q_embedding_davies_bouldin(spark, sf):
+    """K4 on the given embedding labels."""
+    from tastemine.operators.cluster import davies_bouldin
+    from tastemine.sources.views import table
+    return emit(davies_bouldin(table(spark, sf, "embeddings"), "embedding", "label"))
+
+
+@register("embedding_calinski_harabasz", O.with_query(EMB_SQL + [
+    "g AS (SELECT i, avg(v) AS m FROM el GROUP BY i)",
+    "w AS (SELECT sum((p.v - c.m) * (p.v - c.m)) AS W FROM el p JOIN mu c ON p.i = c.i AND p.label = c.label)",
+    "bb AS (SELECT sum(cn.n * d) AS B FROM (SELECT mu.label, sum((mu.m - g.m) * (mu.m - g.m)) AS d FROM mu JOIN g USING (i) GROUP BY 1) x JOIN cn USING (label))"],
+    """SELECT round((B / ((SELECT count(*) FROM cn) - 1)) / (W / ((SELECT count(*) FROM e) - (SELECT count(*) FROM cn))), 6)
+  AS calinski_harabasz FROM w, bb"""))
+def q_embedding_calinski_harabasz(spark, sf):
+    """K5 on the given embedding labels."""
+    from tastemine.operators.cluster import calinski_harabasz
+    from tastemine.sources.views import table
+    return emit(calinski_harabasz(table(spark, sf, "embeddings"), "embedding", "label"))
