@@ -161,7 +161,7 @@ def cluster_indices(points: DataFrame, feat: str = "features", label: str = "pre
 # --- K2 / K6 -------------------------------------------------------------------------------------
 
 def fit_kmeans(features: DataFrame, k: int, seed: int = SEED, n_init: int = N_INIT,
-               parallel: int = 4) -> KMeansModel:
+               parallel: int = 8) -> KMeansModel:
     """Best of ``n_init`` k-means runs (seeds seed..seed+n_init-1) by cost.
     Runs are independent Spark jobs submitted from a small thread pool."""
     def one(s):
@@ -180,20 +180,35 @@ class Sweep:
 
 
 def k_sweep(features: DataFrame, k_values=K_RANGE, seed: int = SEED, n_init: int = N_INIT,
-            parallel: int = 4) -> Sweep:
+            parallel: int = 8) -> Sweep:
     """K2: for each k the best-of-n_init model, its inertia and the three
     indices; best k = first maximum of the silhouette (ties -> smaller k).
-    The per-k metric rows are tiny; they are gathered into one frame."""
+
+    All (k, seed) fits are independent Spark jobs over the same cached
+    features and run concurrently from a thread pool; the per-k metric rows
+    are tiny and gathered into one frame."""
     spark = features.sparkSession
     features = features.persist()
-    rows, models = [], {}
-    for k in k_values:
-        m = fit_kmeans(features, k, seed, n_init, parallel)
-        models[k] = m
-        pred = m.transform(features)
-        idx = cluster_indices(pred).first()
-        rows.append((k, float(m.summary.trainingCost), float(idx["silhouette"]),
-                     float(idx["davies_bouldin"]), float(idx["calinski_harabasz"])))
+    ks = list(k_values)
+
+    def one(ks_):
+        k, s = ks_
+        return k, KMeans(k=k, seed=s, featuresCol="features", predictionCol="prediction").fit(features)
+
+    with ThreadPoolExecutor(max_workers=parallel) as ex:
+        fits = list(ex.map(one, [(k, s) for k in ks for s in range(seed, seed + n_init)]))
+    models = {}
+    for k, m in fits:  # first seed wins ties of cost
+        if k not in models or m.summary.trainingCost < models[k].summary.trainingCost:
+            models[k] = m
+
+    def score(k):
+        idx = cluster_indices(models[k].transform(features)).first()
+        return (k, float(models[k].summary.trainingCost), float(idx["silhouette"]),
+                float(idx["davies_bouldin"]), float(idx["calinski_harabasz"]))
+
+    with ThreadPoolExecutor(max_workers=parallel) as ex:
+        rows = list(ex.map(score, ks))
     best = max(rows, key=lambda r: (r[2], -r[0]))[0]
     table = spark.createDataFrame(rows, "k int, inertia double, silhouette double, davies_bouldin double, "
                                         "calinski_harabasz double")

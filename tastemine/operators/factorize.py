@@ -19,7 +19,10 @@ from pyspark.mllib.linalg.distributed import IndexedRow, IndexedRowMatrix
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pyspark import StorageLevel
+
 from tastemine.operators.indexing import dense_index
+from tastemine.session import checkpoint
 
 N_FACTORS = 50
 TOP_K = 10
@@ -62,7 +65,7 @@ def factorize(ratings: DataFrame, user_col: str = "user_id", item_col: str = "mo
     cells = rating_matrix(ratings, user_col, item_col, rating_col)
     u_idx = dense_index(cells.select(user_col).distinct(), [user_col], "u_row")
     i_idx = dense_index(cells.select(item_col).distinct(), [item_col], "i_col")
-    cells = cells.join(u_idx, user_col).join(i_idx, item_col)
+    cells = checkpoint(cells.join(u_idx, user_col).join(i_idx, item_col))
     n_items = i_idx.count()
     k = max(1, min(n_factors, n_items - 1))
     rows = cells.groupBy("u_row").agg(F.collect_list(F.struct("i_col", "rating")).alias("_cells"))
@@ -71,13 +74,20 @@ def factorize(ratings: DataFrame, user_col: str = "user_id", item_col: str = "mo
         pairs = sorted((int(c["i_col"]), float(c["rating"])) for c in r["_cells"])
         return IndexedRow(int(r["u_row"]), MLlibVectors.sparse(n_items, [p[0] for p in pairs], [p[1] for p in pairs]))
 
-    mat = IndexedRowMatrix(rows.rdd.map(to_row), numCols=n_items)
+    # ARPACK iterates over the rows many times: keep them materialised
+    # (memory + disk) and reliably checkpointed so that iterations neither
+    # recompute the lineage nor lose it with an executor.
+    row_rdd = rows.rdd.map(to_row).persist(StorageLevel.MEMORY_AND_DISK)
+    row_rdd.checkpoint()
+    row_rdd.count()
+    mat = IndexedRowMatrix(row_rdd, numCols=n_items)
     svd = mat.computeSVD(k, computeU=True)
     s = np.array(svd.s.toArray())
     v = np.array(svd.V.toArray())  # items x k
     # U.Sigma per user row (distributed)
     us = svd.U.rows.map(lambda r: (int(r.index), [float(x) for x in (r.vector.toArray() * s)]))
-    users = spark.createDataFrame(us, "u_row bigint, factors array<double>").join(u_idx, "u_row")
+    users = checkpoint(spark.createDataFrame(us, "u_row bigint, factors array<double>").join(u_idx, "u_row"))
+    row_rdd.unpersist()
     ids = [r[item_col] for r in i_idx.orderBy("i_col").select(item_col).collect()]
     items = spark.createDataFrame(
         [(ids[j], j, [float(x) for x in v[j]]) for j in range(len(ids))],

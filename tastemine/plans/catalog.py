@@ -38,12 +38,12 @@ CLEAN_OUT = (
 
 @register("clean_tmdb", O.with_query(O.pipeline_ctes(), f"SELECT {CLEAN_OUT.format(r=O.r6('rating'))} FROM clean_a"))
 def q_clean_tmdb(spark, sf):
-    return emit(Stages(spark, sf).cleaned("A").df)
+    return emit(Stages.of(spark, sf).cleaned("A").df)
 
 
 @register("clean_trakt", O.with_query(O.pipeline_ctes(), f"SELECT {CLEAN_OUT.format(r=O.r6('rating'))} FROM clean_b"))
 def q_clean_trakt(spark, sf):
-    return emit(Stages(spark, sf).cleaned("B").df)
+    return emit(Stages.of(spark, sf).cleaned("B").df)
 
 
 def _stats_sql(src: str, name: str) -> str:
@@ -64,12 +64,12 @@ def _stats_sql(src: str, name: str) -> str:
 
 @register("clean_stats_tmdb", O.with_query(O.pipeline_ctes(), _stats_sql("a", "clean_a")))
 def q_clean_stats_tmdb(spark, sf):
-    return Stages(spark, sf).cleaned("A").stats
+    return Stages.of(spark, sf).cleaned("A").stats
 
 
 @register("clean_stats_trakt", O.with_query(O.pipeline_ctes(), _stats_sql("b", "clean_b")))
 def q_clean_stats_trakt(spark, sf):
-    return Stages(spark, sf).cleaned("B").stats
+    return Stages.of(spark, sf).cleaned("B").stats
 
 
 def _basic_sql() -> str:
@@ -79,7 +79,7 @@ def _basic_sql() -> str:
 
 @register("clean_basic_trakt", _basic_sql())
 def q_clean_basic(spark, sf):
-    return emit(Stages(spark, sf).cleaned("B", profile="basic").df)
+    return emit(Stages.of(spark, sf).cleaned("B", profile="basic").df)
 
 
 # --- A10 rating balance (flagship) -------------------------------------------------------------
@@ -102,7 +102,7 @@ FROM {src} WHERE rating IS NOT NULL"""
 @register("rating_balance", O.with_query(O.pipeline_ctes("adjusted"), BALANCE_SQL.format(src="clean_a_adj")))
 def q_rating_balance(spark, sf):
     """Flagship: clean the TMDB-like source, adjust half steps, balance verdict."""
-    return Q.rating_balance(Stages(spark, sf).adjusted("A"))
+    return Q.rating_balance(Stages.of(spark, sf).adjusted("A"))
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -114,7 +114,7 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("integrate", O.with_query(O.pipeline_ctes("integrated"),
                                     f"SELECT {CLEAN_OUT.format(r=O.r6('rating'))}, source FROM integ"))
 def q_integrate(spark, sf):
-    return emit(Stages(spark, sf).integrated().df)
+    return emit(Stages.of(spark, sf).integrated().df)
 
 
 @register("integrate_stats", O.with_query(O.pipeline_ctes("integrated"), """SELECT
@@ -124,7 +124,7 @@ def q_integrate(spark, sf):
   (SELECT count(*) FROM integ_ex)::BIGINT AS merged_after_exact_dedup,
   (SELECT count(*) FROM integ)::BIGINT AS merged_after_key_dedup"""))
 def q_integrate_stats(spark, sf):
-    return Stages(spark, sf).integrated().stats
+    return Stages.of(spark, sf).integrated().stats
 
 
 # --- A12 / A13 imputation, P18 transform ------------------------------------------------------
@@ -154,7 +154,7 @@ def _impute_raw_sql() -> str:
 
 def _impute_raw(spark, sf):
     from tastemine.operators import impute as I
-    raw = Stages(spark, sf).raw("A").select("row_ord", "user_id", "movie_id", "movie_title", "cast", "genres")
+    raw = Stages.of(spark, sf).raw("A").select("row_ord", "user_id", "movie_id", "movie_title", "cast", "genres")
     return I.impute_by_mode(raw)
 
 
@@ -181,7 +181,7 @@ def q_imputation_audit(spark, sf):
 FROM raw_a"""))
 def q_impute_unknown_raw(spark, sf):
     from tastemine.operators import impute as I
-    raw = Stages(spark, sf).raw("A").select("row_ord", "user_id", "movie_id", "cast", "genres")
+    raw = Stages.of(spark, sf).raw("A").select("row_ord", "user_id", "movie_id", "cast", "genres")
     return emit(I.impute_unknown(raw))
 
 
@@ -192,7 +192,7 @@ TRANS_OUT = ('user_id, movie_id, movie_title, {r} AS rating, "cast", {y} AS rele
 @register("transform", O.with_query(O.stage_ctes("transformed"),
                                     f"SELECT {TRANS_OUT.format(r=O.r6('rating'), y=O.r6('release_year'))} FROM trans"))
 def q_transform(spark, sf):
-    return emit(Stages(spark, sf).transformed())
+    return emit(Stages.of(spark, sf).transformed())
 
 
 # --- E7 encode, E5 TF-IDF ---------------------------------------------------------------------
@@ -208,7 +208,7 @@ ENC_COLS = ["user_id", "movie_id", "rating", "user_idx", "movie_idx", "primary_g
   round(genre_count_scaled, 6) AS genre_count_scaled
 FROM enc"""))
 def q_encode(spark, sf):
-    return emit(Stages(spark, sf).encoded().df.select(*ENC_COLS))
+    return emit(Stages.of(spark, sf).encoded().df.select(*ENC_COLS))
 
 
 @register("encode_genre_onehot", O.with_query(O.stage_ctes("encoded"), """SELECT user_idx::BIGINT AS user_idx,
@@ -216,7 +216,7 @@ def q_encode(spark, sf):
 FROM enc, unnest(list_distinct(genres_list)) AS t(g)"""))
 def q_encode_genre_onehot(spark, sf):
     """E3 checked in long form: one row per (row, genre) whose one-hot cell is 1."""
-    enc = Stages(spark, sf).encoded()
+    enc = Stages.of(spark, sf).encoded()
     cols = [F.when(F.col(f"`{E_name(g)}`") == 1, F.lit(g)) for g in enc.genre_vocab]
     hot = enc.df.select("user_idx", "movie_idx", "rating", F.explode(F.array(*cols)).alias("genre"))
     return emit(hot.filter(F.col("genre").isNotNull()))
@@ -240,7 +240,7 @@ SELECT user_id, movie_id, round(rating, 6) AS rating, term,
 FROM w"""))
 def q_tfidf_cast(spark, sf):
     from tastemine.operators.encode import tfidf
-    t = Stages(spark, sf).transformed().withColumn("_k", F.struct("user_id", "movie_id", "rating"))
+    t = Stages.of(spark, sf).transformed().withColumn("_k", F.struct("user_id", "movie_id", "rating"))
     out = tfidf(t, "_k")
     return emit(out.select("_k.user_id", "_k.movie_id", "_k.rating", "term", "weight"))
 
@@ -250,7 +250,7 @@ def q_tfidf_cast(spark, sf):
 @register("split_assign", O.with_query(O.stage_ctes("split"), "SELECT user_idx::BIGINT AS user_idx, split FROM assign"))
 def q_split_assign(spark, sf):
     from tastemine.operators.split import group_assignment
-    return emit(group_assignment(Stages(spark, sf).encoded().df, "user_idx"))
+    return emit(group_assignment(Stages.of(spark, sf).encoded().df, "user_idx"))
 
 
 @register("split_report", O.with_query(O.stage_ctes("split"), """SELECT split, count(*)::BIGINT AS samples,
@@ -260,21 +260,21 @@ def q_split_assign(spark, sf):
 FROM splitted GROUP BY split"""))
 def q_split_report(spark, sf):
     from tastemine.operators.split import sampling_report
-    return sampling_report(Stages(spark, sf).split(), "user_idx", "movie_id")
+    return sampling_report(Stages.of(spark, sf).split(), "user_idx", "movie_id")
 
 
 @register("split_index", O.with_query(O.stage_ctes("split"), f"""SELECT
   (row_number() OVER (ORDER BY _part, {O.ORD}) - 1)::BIGINT AS "index", split FROM splitted"""))
 def q_split_index(spark, sf):
     from tastemine.operators.split import split_index
-    return split_index(Stages(spark, sf).split())
+    return split_index(Stages.of(spark, sf).split())
 
 
 @register("split_overlap", O.with_query(O.stage_ctes("split"), """SELECT user_idx::BIGINT AS user_idx,
   count(DISTINCT split)::BIGINT AS n_splits FROM splitted GROUP BY user_idx HAVING count(DISTINCT split) > 1"""))
 def q_split_overlap(spark, sf):
     from tastemine.operators.integrate import split_overlap
-    return split_overlap(Stages(spark, sf).split(), "user_idx")
+    return split_overlap(Stages.of(spark, sf).split(), "user_idx")
 
 
 @register("split_events", """WITH g AS (SELECT DISTINCT user_id FROM events),
@@ -298,11 +298,7 @@ RULE_SUPPORT = 0.0007
 
 
 def _mined(spark, sf):
-    from tastemine.operators import rules as R
-    from tastemine.sources.views import table
-    li = table(spark, sf, "lineitem").select("l_orderkey", "l_partkey")
-    part = table(spark, sf, "part").select(F.col("p_partkey").alias("l_partkey"), "p_name")
-    return R.mine(li.join(part, "l_partkey"), "l_orderkey", "p_name", min_support=RULE_SUPPORT)
+    return Stages.of(spark, sf).mined(RULE_SUPPORT)
 
 
 def _itemset_sql() -> list[str]:
@@ -458,14 +454,13 @@ QUALIFY row_number() OVER (PARTITION BY movie_id ORDER BY f DESC) = 1"""))
 def q_item_dictionary(spark, sf):
     """M5 over the training split."""
     from tastemine.operators.rules import item_dictionary
-    return item_dictionary(Stages(spark, sf).part("train"))
+    return item_dictionary(Stages.of(spark, sf).part("train"))
 
 
 # --- A14-A16 profiles, K3-K5 indices on given labels -------------------------------------------
 
 def _profiles(spark, sf):
-    from tastemine.operators.profiles import user_profiles
-    return user_profiles(Stages(spark, sf).part("train"))
+    return Stages.of(spark, sf).profiles()
 
 
 TRAIN = "tr AS (SELECT * FROM splitted WHERE split = 'train')"
@@ -502,7 +497,7 @@ def _segment_labels(spark, sf):
 
 
 def _labelled_profiles(spark, sf):
-    st = Stages(spark, sf)
+    st = Stages.of(spark, sf)
     users = st.part("train").select("user_idx", "user_id").distinct()
     return _profiles(spark, sf).join(users, "user_idx").join(_segment_labels(spark, sf), "user_id")
 
@@ -595,3 +590,190 @@ def q_embedding_calinski_harabasz(spark, sf):
     from tastemine.operators.cluster import calinski_harabasz
     from tastemine.sources.views import table
     return emit(calinski_harabasz(table(spark, sf, "embeddings"), "embedding", "label"))
+
+
+# --- K1/K2/K6/K7/E12 k-means on user profiles (rows-only: iterative, seeded) ------------------
+
+def _features(spark, sf):
+    st = Stages.of(spark, sf)
+    return st.features(), st.profiles()
+
+
+@register("kmeans_sweep")
+def q_kmeans_sweep(spark, sf):
+    """K2: k = 2..10, best of 10 seeded runs each; inertia and the three indices."""
+    return emit(Stages.of(spark, sf).sweep().table)
+
+
+def _clustered(spark, sf, k: int | None = None):
+    st = Stages.of(spark, sf)
+    labels, users, model = st.clustered(k)
+    return st.features(), users, labels, model
+
+
+@register("user_clusters")
+def q_user_clusters(spark, sf):
+    """K6: final labels at the best k (relabelled by cluster size)."""
+    _, _, labels, _ = _clustered(spark, sf)
+    return labels
+
+
+@register("kmeans_evaluation")
+def q_kmeans_evaluation(spark, sf):
+    """K6/K7/F9 at a fixed k = 10 (the committed best k): indices + quality label."""
+    from tastemine.operators.cluster import cluster_indices, evaluation
+    feats, _, labels, model = _clustered(spark, sf, k=10)
+    pts = feats.join(labels, "user_idx").withColumnRenamed("user_cluster", "prediction")
+    return emit(evaluation(cluster_indices(pts)).withColumn("inertia", F.lit(float(model.summary.trainingCost))))
+
+
+@register("kmeans_cluster_cards")
+def q_kmeans_cluster_cards(spark, sf):
+    """A15 + L6 on the k-means labels: id, users, avg rating, display genres."""
+    from tastemine.operators.lookup import cluster_cards
+    from tastemine.operators.profiles import cluster_profiles
+    _, users, _, _ = _clustered(spark, sf, k=10)
+    return emit(cluster_cards(cluster_profiles(users)))
+
+
+@register("kmeans_cluster_insight")
+def q_kmeans_cluster_insight(spark, sf):
+    """Top two genres and five sample users per cluster."""
+    from tastemine.operators.lookup import cluster_insight
+    from tastemine.operators.profiles import cluster_profiles
+    _, users, _, _ = _clustered(spark, sf, k=10)
+    out = cluster_insight(cluster_profiles(users), users)
+    return out.withColumn("sample_users", F.array_join("sample_users", "|"))
+
+
+@register("cluster_pca")
+def q_cluster_pca(spark, sf):
+    """Explained variance of the first two components of the scaled profiles."""
+    from tastemine.operators.cluster import pca_2d
+    feats, _ = _features(spark, sf)
+    _, ratios = pca_2d(feats)
+    return spark.createDataFrame([(i, r) for i, r in enumerate(ratios)], "component int, ratio double")
+
+
+# --- E8-E11 feature selection (rows-only: eigen-decomposition) --------------------------------
+
+@register("feature_reduction")
+def q_feature_reduction(spark, sf):
+    """Fit on train (scale, variance filter, PCA 95 %), per-component report."""
+    from tastemine.operators.features import fit_reduction
+    red = fit_reduction(Stages.of(spark, sf).part("train"))
+    return red.report(spark)
+
+
+@register("feature_projection")
+def q_feature_projection(spark, sf):
+    """Train / val / test projected with the train fit (ids + pca_i)."""
+    from tastemine.operators.features import fit_reduction
+    st = Stages.of(spark, sf)
+    red = fit_reduction(st.part("train"))
+    parts = [red.transform(st.part(n)).withColumn("split", F.lit(n)) for n in ("train", "val", "test")]
+    out = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return emit(out)
+
+
+# --- A19/A20/R1-R4/W2 factorization -----------------------------------------------------------
+
+@register("rating_matrix", O.with_query(O.stage_ctes("split") + [TRAIN], """SELECT user_id, movie_id,
+  round(avg(rating), 6) AS rating FROM tr GROUP BY user_id, movie_id"""))
+def q_rating_matrix(spark, sf):
+    """Mean rating per (user, movie) of the training split."""
+    from tastemine.operators.factorize import rating_matrix
+    return emit(rating_matrix(Stages.of(spark, sf).part("train")))
+
+
+@register("matrix_shape", O.with_query(O.stage_ctes("split") + [TRAIN, """cells AS (
+  SELECT user_id, movie_id, avg(rating) AS rating FROM tr GROUP BY ALL)"""], """SELECT count(DISTINCT user_id)::BIGINT AS users,
+  count(DISTINCT movie_id)::BIGINT AS items, count_if(rating <> 0)::BIGINT AS nnz,
+  round(1 - count_if(rating <> 0) / (count(DISTINCT user_id) * count(DISTINCT movie_id)), 9) AS sparsity FROM cells"""))
+def q_matrix_shape(spark, sf):
+    """Users, items, non-zeros, sparsity."""
+    from tastemine.operators.factorize import matrix_shape, rating_matrix
+    return matrix_shape(rating_matrix(Stages.of(spark, sf).part("train")))
+
+
+def _factorized(spark, sf):
+    st = Stages.of(spark, sf)
+    return st, st.factorization()
+
+
+def _recs(spark, sf):
+    st = Stages.of(spark, sf)
+    return st, st.recommendations()
+
+
+@register("svd_recommendations")
+def q_svd_recommendations(spark, sf):
+    """Top-10 items per training user from U.Sigma.V^T (all users)."""
+    return _recs(spark, sf)[1]
+
+
+@register("svd_metrics")
+def q_svd_metrics(spark, sf):
+    """RMSE / MAE on rated cells, all-cells RMSE, explained variance, k."""
+    from tastemine.operators.factorize import explained_variance, reconstruction_error
+    _, fact = _factorized(spark, sf)
+    ev = explained_variance(fact).agg(F.sum("ratio").alias("explained_variance"))
+    return reconstruction_error(fact).crossJoin(ev).withColumn("n_factors", F.lit(fact.n_factors))
+
+
+@register("svd_explained_variance")
+def q_svd_explained_variance(spark, sf):
+    """R4 per component with W5 cumulative sum."""
+    from tastemine.operators.factorize import explained_variance
+    from tastemine.operators.stats import cumulative
+    _, fact = _factorized(spark, sf)
+    return cumulative(explained_variance(fact), "component", "ratio")
+
+
+# --- L1-L3, L6-L8, J1, A31, A32 lookups over the artifacts ------------------------------------
+
+@register("users_with_recommendations")
+def q_users_with_recommendations(spark, sf):
+    """L1."""
+    from tastemine.operators.lookup import users_with_recommendations
+    return users_with_recommendations(_recs(spark, sf)[1])
+
+
+@register("popular_recommended")
+def q_popular_recommended(spark, sf):
+    """The ten most recommended titles (cold-start list)."""
+    from tastemine.operators.lookup import popular_titles
+    return popular_titles(_recs(spark, sf)[1])
+
+
+@register("recommendations_lookup")
+def q_recommendations_lookup(spark, sf):
+    """L2 + L3 + J1: requests = every user of the validation split plus the
+    new-user sentinel; answers = own recommendations or the popular list,
+    with the user's k-means cluster (null when unknown)."""
+    from tastemine.operators.lookup import NEW_USER, recommendations_for, user_clusters
+    st, recs = _recs(spark, sf)
+    reqs = st.part("val").select("user_id").distinct().unionByName(
+        st.part("train").select("user_id").distinct()).unionByName(
+        spark.range(1).select(F.lit(NEW_USER).alias("user_id")))
+    _, _, labels, _ = _clustered(spark, sf, k=10)
+    clusters = user_clusters(st.encoded().df, labels)
+    return recommendations_for(reqs, recs, clusters, cold_start="absent")
+
+
+@register("sample_user_recommendations")
+def q_sample_user_recommendations(spark, sf):
+    """Recommendations of the first training user (by id), by rank."""
+    from tastemine.operators.lookup import user_recommendations
+    st, recs = _recs(spark, sf)
+    first = st.part("train").agg(F.min("user_id")).first()[0]
+    return user_recommendations(recs, first)
+
+
+@register("report_overview")
+def q_report_overview(spark, sf):
+    """Users, rules, clusters, recommendations."""
+    from tastemine.operators.stats import overview
+    st, recs = _recs(spark, sf)
+    _, _, labels, _ = _clustered(spark, sf, k=10)
+    return overview(st.part("train"), _mined(spark, sf).rules, labels, recs)

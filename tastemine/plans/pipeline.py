@@ -24,12 +24,29 @@ from tastemine.session import checkpoint
 from tastemine.sources import views as V
 
 
+_SESSIONS: dict = {}
+
+
 @dataclass
 class Stages:
+    """Lazily built, memoised stage outputs for one session and data folder.
+
+    ``Stages.of(spark, sf_dir)`` returns the same object for the same session,
+    so stage tables checkpointed once are shared by every query of the
+    session (the reference likewise hands stage outputs over as files).
+    """
+
     spark: SparkSession
     sf_dir: str
     _cache: dict = field(default_factory=dict)
 
+    @classmethod
+    def of(cls, spark: SparkSession, sf_dir: str) -> "Stages":
+        key = (spark.sparkContext.applicationId, sf_dir)
+        if key not in _SESSIONS:
+            _SESSIONS[key] = cls(spark, sf_dir)
+        return _SESSIONS[key]
+
     def _memo(self, key, build):
         if key not in self._cache:
             self._cache[key] = build()
@@ -70,11 +87,67 @@ class Stages:
         return self._memo("encoded", build)
 
     def split(self) -> DataFrame:
-        return self._memo("split", lambda: S.group_split(self.encoded().df, "user_idx"))
+        return self._memo("split", lambda: checkpoint(S.group_split(self.encoded().df, "user_idx")))
 
     def part(self, name: str) -> DataFrame:
         return self.split().filter(F.col("split") == name).drop("split")
 
+    # --- downstream stages (fan-out from the training split) -----------------------------------
+
+    def mined(self, min_support: float = 0.0007):
+        """Rules over order baskets of part names (see catalog)."""
+        from tastemine.operators import rules as R
+
+        def build():
+            li = V.table(self.spark, self.sf_dir, "lineitem").select("l_orderkey", "l_partkey")
+            part = V.table(self.spark, self.sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), "p_name")
+            m = R.mine(li.join(part, "l_partkey"), "l_orderkey", "p_name", min_support=min_support)
+            fi = checkpoint(m.itemsets)
+            return R.Mined(m.baskets, fi, R.rule_text(R.association_rules(fi)))
+        return self._memo(("mined", min_support), build)
+
+    def profiles(self) -> DataFrame:
+        from tastemine.operators.profiles import user_profiles
+        return self._memo("profiles", lambda: checkpoint(user_profiles(self.part("train"))))
+
+    def features(self) -> DataFrame:
+        from tastemine.operators.cluster import feature_matrix
+        from tastemine.operators.profiles import profile_features
+
+        def build():
+            prof = self.profiles()
+            return checkpoint(feature_matrix(prof, profile_features(prof)))
+        return self._memo("features", build)
+
+    def sweep(self):
+        from tastemine.operators.cluster import k_sweep
+        return self._memo("sweep", lambda: k_sweep(self.features()))
+
+    def clustered(self, k: int | None = None):
+        """(labels, users-with-labels, model) at k (default: the sweep's best k)."""
+        from tastemine.operators.cluster import fit_kmeans, relabel_by_size
+
+        def build():
+            sw = self.sweep() if k is None or "sweep" in self._cache else None
+            kk = k if k is not None else sw.best_k
+            model = sw.models[kk] if sw is not None and kk in sw.models else fit_kmeans(self.features(), kk)
+            labels = checkpoint(relabel_by_size(model.transform(self.features()).select("user_idx", "prediction")))
+            return labels, self.profiles().join(labels, "user_idx"), model
+        return self._memo(("clustered", k), build)
+
+    def factorization(self):
+        from tastemine.operators.factorize import factorize
+        return self._memo("fact", lambda: factorize(self.part("train")))
+
+    def recommendations(self) -> DataFrame:
+        from tastemine.operators.factorize import recommend
+        from tastemine.operators.rules import item_dictionary
+
+        def build():
+            titles = item_dictionary(self.part("train"))
+            return checkpoint(recommend(self.factorization(), titles=titles))
+        return self._memo("recs", build)
+
 
 def emit(df: DataFrame, digits: int = 6, drop: tuple[str, ...] = (C.ORDER_COL,)) -> DataFrame:
     """Output convention of registered queries: drop ``row_ord``, arrays as
