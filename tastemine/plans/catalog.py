@@ -777,3 +777,241 @@ def q_report_overview(spark, sf):
     st, recs = _recs(spark, sf)
     _, _, labels, _ = _clustered(spark, sf, k=10)
     return overview(st.part("train"), _mined(spark, sf).rules, labels, recs)
+
+
+# --- A1-A11 quality aggregates ----------------------------------------------------------------
+
+RAW_FIELDS_A = ["user_id", "movie_id", "movie_title", "rating", "genres", "cast", "release_year", "language"]
+RAW_FIELDS_B = ["user_id", "movie_id", "movie_title", "rating", "genres", "cast_names", "release_year", "language"]
+
+
+def _missing_sql(src: str, fields: list[str]) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{f}' AS field, avg(CASE WHEN \"{f}\" IS NULL THEN 1.0 ELSE 0.0 END) * 100 AS missing_pct FROM {src}"
+        for f in fields)
+
+
+@register("missing_top", O.with_query(O.raw_ctes(), f"""SELECT field, round(missing_pct, 6) AS missing_pct FROM (
+  {_missing_sql('raw_a', RAW_FIELDS_A)}) WHERE missing_pct > 0 ORDER BY missing_pct DESC, field LIMIT 8"""))
+def q_missing_top(spark, sf):
+    """A1: top-8 fields by missing % of the raw TMDB-like source."""
+    return emit(Q.missing_top(Stages.of(spark, sf).raw("A"), 8))
+
+
+@register("missing_comparison", O.with_query(O.raw_ctes() + [
+    f"ma AS ({_missing_sql('raw_a', RAW_FIELDS_A)})", f"mb AS ({_missing_sql('raw_b', RAW_FIELDS_B)})",
+    "u AS (SELECT field, 'TMDB_cleaned' AS dataset, missing_pct FROM ma UNION ALL SELECT field, 'Trakt_cleaned', missing_pct FROM mb)",
+    "tf AS (SELECT field FROM u GROUP BY field HAVING sum(missing_pct) > 0 ORDER BY sum(missing_pct) DESC, field LIMIT 10)"],
+    """SELECT tf.field, d.dataset, round(coalesce(u.missing_pct, 0.0), 6) AS missing_pct
+FROM tf CROSS JOIN (VALUES ('TMDB_cleaned'), ('Trakt_cleaned')) d(dataset) LEFT JOIN u ON u.field = tf.field AND u.dataset = d.dataset"""))
+def q_missing_comparison(spark, sf):
+    """A2: missing % of the two raw sources for the top-10 fields (absent -> 0)."""
+    st = Stages.of(spark, sf)
+    return emit(Q.missing_comparison({"TMDB_cleaned": st.raw("A"), "Trakt_cleaned": st.raw("B")}))
+
+
+@register("rating_counts", O.with_query(O.pipeline_ctes("adjusted"),
+                                        "SELECT round(rating, 6) AS rating, count(*)::BIGINT AS count FROM clean_a_adj WHERE rating IS NOT NULL GROUP BY rating"))
+def q_rating_counts(spark, sf):
+    """A3: rating value counts of the cleaned TMDB-like source."""
+    return emit(Q.value_counts(Stages.of(spark, sf).adjusted("A"), "rating"))
+
+
+@register("language_top", """SELECT coalesce(lang, 'unknown') AS value, count(*)::BIGINT AS count FROM documents
+GROUP BY 1 ORDER BY count DESC, value LIMIT 10""")
+def q_language_top(spark, sf):
+    """A4: top-10 languages of the documents table (null -> unknown)."""
+    from tastemine.sources.views import table
+    return Q.top_values(table(spark, sf, "documents"), "lang", 10)
+
+
+@register("top_genres", O.with_query(O.pipeline_ctes("adjusted"), """SELECT g AS genre, count(*)::BIGINT AS count
+FROM clean_a_adj, unnest(genres_list) AS u(g) GROUP BY g ORDER BY count DESC, genre LIMIT 10"""))
+def q_top_genres(spark, sf):
+    """A5: top-10 genres of the cleaned TMDB-like source."""
+    return Q.top_genres(Stages.of(spark, sf).adjusted("A"))
+
+
+@register("year_counts", O.with_query(O.pipeline_ctes("adjusted"), """SELECT year, count FROM (
+  SELECT release_year_clean AS year, count(*)::BIGINT AS count FROM clean_a_adj WHERE release_year_clean IS NOT NULL
+  GROUP BY 1 ORDER BY year DESC LIMIT 20)"""))
+def q_year_counts(spark, sf):
+    """Counts of the latest 20 release years."""
+    return Q.year_counts(Stages.of(spark, sf).adjusted("A"))
+
+
+def _two(spark, sf, adjusted: bool = True):
+    st = Stages.of(spark, sf)
+    if adjusted:
+        return {"TMDB_cleaned": st.adjusted("A"), "Trakt_cleaned": st.adjusted("B")}
+    return {"TMDB_cleaned": st.raw("A"), "Trakt_cleaned": st.raw("B")}
+
+
+TWO_SQL = """two AS (SELECT rating, language, release_year_clean, 'TMDB_cleaned' AS dataset FROM clean_a_adj
+  UNION ALL SELECT rating, language, release_year_clean, 'Trakt_cleaned' FROM clean_b_adj)"""
+GRID = "(VALUES ('TMDB_cleaned'), ('Trakt_cleaned')) d(dataset)"
+
+
+@register("rating_comparison", O.with_query(O.pipeline_ctes("adjusted") + [TWO_SQL], f"""SELECT round(k.rating, 6) AS rating,
+  d.dataset, coalesce(c.count, 0)::BIGINT AS count
+FROM (SELECT DISTINCT rating FROM two WHERE rating IS NOT NULL) k CROSS JOIN {GRID}
+LEFT JOIN (SELECT rating, dataset, count(*) AS count FROM two GROUP BY ALL) c ON c.rating = k.rating AND c.dataset = d.dataset"""))
+def q_rating_comparison(spark, sf):
+    """Rating distribution of both cleaned sources, aligned, 0-filled."""
+    return emit(Q.rating_comparison(_two(spark, sf)))
+
+
+@register("language_comparison", O.with_query(O.raw_ctes() + ["""tw AS (
+  SELECT coalesce(language, 'unknown') AS language, 'TMDB_cleaned' AS dataset FROM raw_a
+  UNION ALL SELECT coalesce(language, 'unknown'), 'Trakt_cleaned' FROM raw_b)"""], f"""SELECT k.language, d.dataset,
+  coalesce(c.count, 0)::BIGINT AS count
+FROM (SELECT language FROM tw GROUP BY 1 ORDER BY count(*) DESC, language LIMIT 10) k CROSS JOIN {GRID}
+LEFT JOIN (SELECT language, dataset, count(*) AS count FROM tw GROUP BY ALL) c ON c.language = k.language AND c.dataset = d.dataset"""))
+def q_language_comparison(spark, sf):
+    """Language counts of the two raw sources, top 10 by total."""
+    return Q.language_comparison(_two(spark, sf, adjusted=False))
+
+
+@register("year_comparison", O.with_query(O.pipeline_ctes("adjusted") + [TWO_SQL], f"""SELECT k.year, d.dataset,
+  coalesce(c.count, 0)::BIGINT AS count
+FROM (SELECT DISTINCT release_year_clean AS year FROM two WHERE release_year_clean IS NOT NULL ORDER BY year DESC LIMIT 20) k
+CROSS JOIN {GRID}
+LEFT JOIN (SELECT release_year_clean AS year, dataset, count(*) AS count FROM two GROUP BY ALL) c ON c.year = k.year AND c.dataset = d.dataset"""))
+def q_year_comparison(spark, sf):
+    """Release-year counts of both cleaned sources, latest 20 years."""
+    return Q.year_comparison(_two(spark, sf))
+
+
+@register("labels_balance", """SELECT count_if(quality = 0)::BIGINT AS low, count_if(quality = 1)::BIGINT AS high,
+  round(least(count_if(quality = 0), count_if(quality = 1)) / nullif(greatest(count_if(quality = 0), count_if(quality = 1)), 0), 6) AS ratio,
+  CASE WHEN count(*) = 0 THEN 'cannot-evaluate'
+       WHEN least(count_if(quality = 0), count_if(quality = 1)) / greatest(count_if(quality = 0), count_if(quality = 1)) >= 0.6 THEN 'balanced'
+       WHEN least(count_if(quality = 0), count_if(quality = 1)) / greatest(count_if(quality = 0), count_if(quality = 1)) >= 0.35 THEN 'moderately-imbalanced'
+       ELSE 'imbalanced' END AS verdict
+FROM labels WHERE quality IS NOT NULL""")
+def q_labels_balance(spark, sf):
+    """A10 generalised: class balance of the document quality labels."""
+    from tastemine.sources.views import table
+    lab = table(spark, sf, "labels").filter(F.col("quality").isNotNull())
+    return Q.class_balance(lab, {"low": F.col("quality") == 0, "high": F.col("quality") == 1})
+
+
+@register("quality_report", O.with_query(O.pipeline_ctes("adjusted") + [f"""ms AS (
+  SELECT field, missing_pct FROM ({_missing_sql('clean_a_adj', [c.strip('"') for c in O.CLEAN_COLUMNS.split(', ')])})
+  WHERE missing_pct > 0 ORDER BY missing_pct DESC, field LIMIT 8)""", """bal AS (
+  SELECT count_if(rating < 4) AS neg, count_if(rating >= 4 AND rating < 7) AS neu, count_if(rating >= 7) AS pos FROM clean_a_adj)""",
+    """ver AS (SELECT *, least(neg, neu, pos) / greatest(neg, neu, pos) AS ratio,
+  CASE WHEN least(neg, neu, pos) / greatest(neg, neu, pos) >= 0.6 THEN 'balanced'
+       WHEN least(neg, neu, pos) / greatest(neg, neu, pos) >= 0.35 THEN 'moderately-imbalanced' ELSE 'imbalanced' END AS verdict FROM bal)"""],
+    f"""SELECT 'size' AS section, 'rows_before' AS key, CAST((SELECT count(*) FROM raw_a) AS VARCHAR) AS value
+UNION ALL SELECT 'size', 'rows_after', CAST((SELECT count(*) FROM clean_a) AS VARCHAR)
+UNION ALL SELECT 'size', 'columns', '12'
+UNION ALL SELECT 'cleaning', 'dropped_exact_duplicates', CAST((SELECT count(*) FROM raw_a) - (SELECT count(*) FROM clean_a_ex) AS VARCHAR)
+UNION ALL SELECT 'cleaning', 'dropped_missing_core_fields', CAST((SELECT count(*) FROM clean_a_ex) - (SELECT count(*) FROM clean_a) AS VARCHAR)
+UNION ALL SELECT 'missing', field, printf('%.2f', missing_pct) FROM ms
+UNION ALL SELECT 'balance', 'negative', CAST(neg AS VARCHAR) FROM ver
+UNION ALL SELECT 'balance', 'neutral', CAST(neu AS VARCHAR) FROM ver
+UNION ALL SELECT 'balance', 'positive', CAST(pos AS VARCHAR) FROM ver
+UNION ALL SELECT 'balance', 'ratio', printf('%.3f', ratio) FROM ver
+UNION ALL SELECT 'balance', 'verdict', verdict FROM ver
+UNION ALL SELECT 'recommendation', 'text', CASE verdict
+  WHEN 'balanced' THEN '{Q.RECOMMENDATIONS["balanced"]}'
+  WHEN 'moderately-imbalanced' THEN '{Q.RECOMMENDATIONS["moderately-imbalanced"]}'
+  ELSE '{Q.RECOMMENDATIONS["imbalanced"]}' END FROM ver"""))
+def q_quality_report(spark, sf):
+    """The dataset report of the cleaned, adjusted TMDB-like source."""
+    st = Stages.of(spark, sf)
+    return Q.quality_report(st.adjusted("A"), st.cleaned("A").stats)
+
+
+# --- A21 / A24-A30 / A33 statistics -----------------------------------------------------------
+
+@register("describe_events", """SELECT field, count, round(mean, 6) AS mean, round(std, 6) AS std, round("min", 6) AS "min",
+  round(p25, 6) AS p25, round(p50, 6) AS p50, round(p75, 6) AS p75, round("max", 6) AS "max" FROM (
+  SELECT 'value' AS field, count(value)::BIGINT AS count, avg(value) AS mean, stddev_samp(value) AS std, min(value) AS "min",
+    quantile_cont(value, 0.25) AS p25, quantile_cont(value, 0.5) AS p50, quantile_cont(value, 0.75) AS p75, max(value) AS "max" FROM events
+  UNION ALL SELECT 'user_id', count(user_id), avg(user_id), stddev_samp(user_id), min(user_id), quantile_cont(user_id, 0.25),
+    quantile_cont(user_id, 0.5), quantile_cont(user_id, 0.75), max(user_id) FROM events)""")
+def q_describe_events(spark, sf):
+    """describe() of the events table's numeric columns (exact quartiles)."""
+    from tastemine.operators.stats import describe
+    from tastemine.sources.views import table
+    return emit(describe(table(spark, sf, "events"), ["value", "user_id"]))
+
+
+@register("rating_histogram", O.with_query(O.stage_ctes("transformed") + ["""r AS (SELECT min(rating) AS lo, max(rating) AS hi FROM trans)""",
+    """b AS (SELECT CASE WHEN hi = lo THEN 1 ELSE least(floor(10.0 * (rating - lo) / (hi - lo)) + 1, 10) END AS bin
+  FROM trans, r WHERE rating IS NOT NULL)"""], """SELECT g.bin::INTEGER AS bin, round(lo + (g.bin - 1) * (hi - lo) / 10, 6) AS lower,
+  round(lo + g.bin * (hi - lo) / 10, 6) AS upper, coalesce(c.count, 0)::BIGINT AS count
+FROM range(1, 11) g(bin) CROSS JOIN r LEFT JOIN (SELECT bin, count(*) AS count FROM b GROUP BY bin) c ON c.bin = g.bin"""))
+def q_rating_histogram(spark, sf):
+    """10 equal-width bins of the integrated ratings."""
+    from tastemine.operators.stats import histogram
+    return emit(histogram(Stages.of(spark, sf).transformed(), "rating", 10))
+
+
+@register("rating_density")
+def q_rating_density(spark, sf):
+    """Gaussian KDE (Scott bandwidth) of the integrated ratings on 50 points."""
+    from tastemine.operators.stats import density
+    return emit(density(Stages.of(spark, sf).transformed(), "rating", 50))
+
+
+@register("box_value_by_type", """WITH q AS (SELECT event_type, quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.5) AS median,
+  quantile_cont(value, 0.75) AS q3, min(value) AS mn, max(value) AS mx FROM events GROUP BY event_type)
+SELECT q.event_type, round(q1, 6) AS q1, round(median, 6) AS median, round(q3, 6) AS q3, round(mn, 6) AS "min", round(mx, 6) AS "max",
+  round(min(CASE WHEN e.value >= q1 - 1.5 * (q3 - q1) THEN e.value END), 6) AS whisker_low,
+  round(max(CASE WHEN e.value <= q3 + 1.5 * (q3 - q1) THEN e.value END), 6) AS whisker_high
+FROM events e JOIN q USING (event_type) GROUP BY ALL""")
+def q_box_value_by_type(spark, sf):
+    """Box statistics of event values per event type."""
+    from tastemine.operators.stats import box_stats
+    from tastemine.sources.views import table
+    return emit(box_stats(table(spark, sf, "events"), "event_type", "value"))
+
+
+@register("source_share", O.with_query(O.stage_ctes("transformed"), """SELECT source, count(*)::BIGINT AS count,
+  round(count(*) * 100.0 / sum(count(*)) OVER (), 6) AS percentage FROM trans GROUP BY source"""))
+def q_source_share(spark, sf):
+    """Share of each source in the integrated data."""
+    from tastemine.operators.stats import category_share
+    return emit(category_share(Stages.of(spark, sf).transformed(), "source"))
+
+
+@register("genre_indicator_sums", O.with_query(O.stage_ctes("encoded"), """SELECT 'genre_' || replace(g, ' ', '_') AS genre,
+  count(*)::BIGINT AS count FROM enc, unnest(list_distinct(genres_list)) AS u(g) GROUP BY g"""))
+def q_genre_indicator_sums(spark, sf):
+    """Sums of the one-hot genre columns."""
+    from tastemine.operators.encode import genre_column_name
+    from tastemine.operators.stats import indicator_sums
+    enc = Stages.of(spark, sf).encoded()
+    return indicator_sums(enc.df, [genre_column_name(g) for g in enc.genre_vocab])
+
+
+CORR_COLS = ["rating", "release_year", "genre_count", "primary_genre_encoded", "source_encoded"]
+
+
+@register("feature_correlation", O.with_query(O.stage_ctes("encoded"), " UNION ALL ".join(
+    f"SELECT '{a}' AS a, '{b}' AS b, round(corr(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE)), 6) AS corr FROM enc"
+    for a in CORR_COLS for b in CORR_COLS)))
+def q_feature_correlation(spark, sf):
+    """Pearson correlation matrix of five numeric features (long form)."""
+    from tastemine.operators.stats import correlation
+    return emit(correlation(Stages.of(spark, sf).encoded().df, CORR_COLS))
+
+
+@register("genre_count_distribution", O.with_query(O.stage_ctes("transformed"),
+                                                   "SELECT genre_count, count(*)::BIGINT AS count FROM trans GROUP BY 1"))
+def q_genre_count_distribution(spark, sf):
+    """A30."""
+    from tastemine.operators.stats import value_distribution
+    return value_distribution(Stages.of(spark, sf).transformed(), "genre_count", "genre_count")
+
+
+@register("high_rated_profile", O.with_query(O.stage_ctes("split") + [TRAIN], """SELECT count_if(rating >= 7)::BIGINT AS rows,
+  round(count_if(rating >= 7) / count(*), 6) AS share, count(DISTINCT CASE WHEN rating >= 7 THEN user_id END)::BIGINT AS users,
+  count(DISTINCT CASE WHEN rating >= 7 THEN movie_title END)::BIGINT AS titles FROM tr"""))
+def q_high_rated_profile(spark, sf):
+    """The high-rated subset of the training split."""
+    from tastemine.operators.stats import high_rated_profile
+    return emit(high_rated_profile(Stages.of(spark, sf).part("train")))
