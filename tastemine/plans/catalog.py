@@ -1015,3 +1015,113 @@ def q_high_rated_profile(spark, sf):
     """The high-rated subset of the training split."""
     from tastemine.operators.stats import high_rated_profile
     return emit(high_rated_profile(Stages.of(spark, sf).part("train")))
+
+
+# --- F1-F5 scalar functions, P17, U6, W6, W7, M4 ----------------------------------------------
+
+@register("genre_parse_variants", O.with_query(O.raw_ctes() + [
+    "g AS (SELECT DISTINCT trim(genres) AS genres FROM (SELECT genres FROM raw_a UNION ALL SELECT genres FROM raw_b))"],
+    f"""SELECT genres, array_to_string({O.genre_parse('genres', 'clean')}, '|') AS parsed_clean,
+  array_to_string({O.genre_parse('genres', 'clean')}, '|') AS parsed_transform,
+  array_to_string({O.genre_parse('genres', 'notebook')}, '|') AS parsed_notebook FROM g"""))
+def q_genre_parse_variants(spark, sf):
+    """Every distinct raw genre text through the three parsers."""
+    from tastemine.functions import genres as G
+    from tastemine.functions.text import strip_unicode
+    st = Stages.of(spark, sf)
+    g = st.raw("A").select("genres").unionByName(st.raw("B").select("genres")).select(
+        strip_unicode(F.col("genres")).alias("genres")).distinct()
+    return emit(g.select("genres", G.parse_genres_clean(F.col("genres")).alias("parsed_clean"),
+                         G.parse_genres_transform(F.col("genres")).alias("parsed_transform"),
+                         G.parse_genres_notebook(F.col("genres")).alias("parsed_notebook")))
+
+
+@register("genre_json_roundtrip", O.with_query(O.pipeline_ctes(), """SELECT user_id, movie_id, to_json(genres_list)::VARCHAR AS genres_json,
+  array_to_string(CAST(json(to_json(genres_list)) AS VARCHAR[]), '|') AS genres_decoded FROM clean_a"""))
+def q_genre_json_roundtrip(spark, sf):
+    """genre lists encoded to JSON text and decoded back."""
+    from tastemine.functions.genres import from_json_list, to_json_list
+    c = Stages.of(spark, sf).cleaned("A").df
+    j = c.select("user_id", "movie_id", to_json_list(F.col("genres_list")).alias("genres_json"))
+    return emit(j.withColumn("genres_decoded", from_json_list(F.col("genres_json"))))
+
+
+@register("event_props", """SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events""")
+def q_event_props(spark, sf):
+    """F5 decode of the JSON ``props`` column of events."""
+    from tastemine.sources.views import table
+    ev = table(spark, sf, "events")
+    return ev.select("event_id", F.from_json("props", "k bigint")["k"].alias("k"))
+
+
+def _joined_lo(spark, sf):
+    from tastemine.sources.views import table
+    li = table(spark, sf, "lineitem")
+    o = table(spark, sf, "orders")
+    return li.join(o, li.l_orderkey == o.o_orderkey)
+
+
+LO_COLUMNS = [("l_orderkey", "n"), ("l_partkey", "n"), ("l_suppkey", "n"), ("l_linenumber", "n"), ("l_quantity", "n"),
+              ("l_extendedprice", "n"), ("l_discount", "n"), ("l_tax", "n"), ("l_returnflag", "s"),
+              ("l_linestatus", "s"), ("l_shipdate", "t"), ("o_orderkey", "n"), ("o_custkey", "n"),
+              ("o_orderstatus", "s"), ("o_totalprice", "n"), ("o_orderdate", "t"), ("o_orderpriority", "s")]
+
+
+def _identical_sql() -> str:
+    pairs = [(i, j) for j in range(len(LO_COLUMNS)) for i in range(j) if LO_COLUMNS[i][1] == LO_COLUMNS[j][1]]
+    flags = ", ".join(f"bool_and({LO_COLUMNS[i][0]} IS NOT DISTINCT FROM {LO_COLUMNS[j][0]}) AS e{i}_{j}" for i, j in pairs)
+    sel = []
+    for j, (name, _) in enumerate(LO_COLUMNS):
+        eq = [f"e{i}_{j}" for i, jj in pairs if jj == j]
+        cond = " OR ".join(eq) if eq else "false"
+        sel.append(f"SELECT {j}::INTEGER AS position, '{name}' AS column_name FROM flags WHERE NOT ({cond})")
+    return f"""WITH lo AS (SELECT * FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey),
+flags AS (SELECT {flags} FROM lo)
+""" + "\nUNION ALL ".join(sel)
+
+
+@register("identical_columns", _identical_sql())
+def q_identical_columns(spark, sf):
+    """Columns kept after dropping those identical to an earlier one,
+    on lineitem joined to orders (``o_orderkey`` repeats ``l_orderkey``)."""
+    from tastemine.operators.cleaning import drop_identical_columns
+    joined = _joined_lo(spark, sf)
+    kept, _ = drop_identical_columns(joined, protect=())
+    return spark.createDataFrame([(joined.columns.index(c), c) for c in kept.columns],
+                                 "position int, column_name string")
+
+
+@register("rating_domain", O.with_query(O.pipeline_ctes("adjusted"), """SELECT round(value, 6) AS value,
+  string_agg(DISTINCT dataset, '|' ORDER BY dataset) AS datasets FROM (
+  SELECT rating AS value, 'TMDB_cleaned' AS dataset FROM clean_a_adj UNION ALL SELECT rating, 'Trakt_cleaned' FROM clean_b_adj)
+WHERE value IS NOT NULL GROUP BY value"""))
+def q_rating_domain(spark, sf):
+    """Union of the rating-value domains of both sources, with presence."""
+    from tastemine.operators.integrate import union_domain
+    return emit(union_domain(_two(spark, sf), "rating").withColumnRenamed("datasets", "datasets"))
+
+
+@register("first_users_sample", O.with_query(O.stage_ctes("split") + [TRAIN],
+                                             "SELECT DISTINCT user_id FROM tr ORDER BY user_id LIMIT 50"))
+def q_first_users_sample(spark, sf):
+    """The first 50 training users by sorted id (the reference's scoring sample)."""
+    return Stages.of(spark, sf).part("train").select("user_id").distinct().orderBy("user_id").limit(50)
+
+
+@register("cells_sample", O.with_query(O.stage_ctes("split") + [TRAIN], """SELECT user_id, movie_id, round(rating, 6) AS rating
+FROM tr ORDER BY md5('42:' || user_id || ':' || CAST(movie_id AS VARCHAR)), user_id, movie_id, rating LIMIT 1000"""))
+def q_cells_sample(spark, sf):
+    """Reproducible sample of 1000 rated cells (order by md5(seed:key))."""
+    from tastemine.operators.split import seeded_hash
+    t = Stages.of(spark, sf).part("train")
+    key = F.concat_ws(":", "user_id", F.col("movie_id").cast("string"))
+    return emit(t.orderBy(seeded_hash(key), "user_id", "movie_id", "rating").limit(1000).select(
+        "user_id", "movie_id", "rating"))
+
+
+@register("rule_labels", O.with_query(_itemset_sql(), """SELECT array_to_string(antecedents, ', ') AS antecedents_str,
+  array_to_string(consequents, ', ') AS consequents_str,
+  array_to_string(antecedents, ', ') || ' -> ' || array_to_string(consequents, ', ') AS rule FROM rules"""))
+def q_rule_labels(spark, sf):
+    """M4: rule export text columns."""
+    return _mined(spark, sf).rules.select("antecedents_str", "consequents_str", "rule")
