@@ -306,15 +306,12 @@ def _itemset_sql() -> list[str]:
     return [
         "bk AS (SELECT DISTINCT l.l_orderkey AS t, p.p_name AS item FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey)",
         "nb AS (SELECT count(DISTINCT t) AS n, ceil(" + repr(s) + " * count(DISTINCT t)) AS m FROM bk)",
-        "i1 AS (SELECT [item] AS items, count(*) AS c FROM bk GROUP BY item HAVING count(*) >= (SELECT m FROM nb))",
-        """i2 AS (SELECT [x.item, y.item] AS items, count(*) AS c FROM bk x JOIN bk y ON x.t = y.t AND x.item < y.item
-  WHERE [x.item] IN (SELECT items FROM i1) AND [y.item] IN (SELECT items FROM i1)
-  GROUP BY x.item, y.item HAVING count(*) >= (SELECT m FROM nb))""",
-        """i3 AS (SELECT [x.item, y.item, z.item] AS items, count(*) AS c
-  FROM bk x JOIN bk y ON x.t = y.t AND x.item < y.item JOIN bk z ON y.t = z.t AND y.item < z.item
-  WHERE [x.item, y.item] IN (SELECT items FROM i2) AND [y.item, z.item] IN (SELECT items FROM i2)
-  GROUP BY x.item, y.item, z.item HAVING count(*) >= (SELECT m FROM nb))""",
-        "fi AS (SELECT items, c, c / (SELECT n FROM nb) AS support FROM (SELECT * FROM i1 UNION ALL SELECT * FROM i2 UNION ALL SELECT * FROM i3))",
+        "bs AS (SELECT t, list_sort(list(item)) AS items FROM bk GROUP BY t)",
+        # every non-empty subset of every basket, counted: exact for any itemset size
+        """sub AS (SELECT list_filter(items, lambda x, i: ((mask >> (i - 1)) & 1) = 1) AS items
+  FROM bs, range(1, 1 << len(items)) AS r(mask))""",
+        """fi AS (SELECT items, count(*) AS c, count(*) / (SELECT n FROM nb) AS support FROM sub
+  GROUP BY items HAVING count(*) >= (SELECT m FROM nb))""",
         """sp AS (SELECT items, support, m AS mask FROM fi, range(1, (1 << len(items)) - 1) AS r(m) WHERE len(items) >= 2)""",
         """ru AS (SELECT list_filter(items, lambda x, i: ((mask >> (i - 1)) & 1) = 1) AS antecedents,
                  list_filter(items, lambda x, i: ((mask >> (i - 1)) & 1) = 0) AS consequents, support FROM sp)""",
