@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tastemine.functions.text import quality_label
+from tastemine.session import partitions_for
 
 SEED = 42
 N_INIT = 10
@@ -188,7 +189,9 @@ def k_sweep(features: DataFrame, k_values=K_RANGE, seed: int = SEED, n_init: int
     features and run concurrently from a thread pool; the per-k metric rows
     are tiny and gathered into one frame."""
     spark = features.sparkSession
-    features = features.persist()
+    n = features.count()
+    features = features.repartition(partitions_for(spark, n, 50_000)).persist()
+    features.count()
     ks = list(k_values)
 
     def one(ks_):

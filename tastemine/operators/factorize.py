@@ -15,14 +15,16 @@ from dataclasses import dataclass
 
 import numpy as np
 from pyspark.mllib.linalg import Vectors as MLlibVectors
+from pyspark.mllib.linalg import VectorUDT as MLlibVectorUDT
 from pyspark.mllib.linalg.distributed import IndexedRow, IndexedRowMatrix
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pyspark import StorageLevel
 
 from tastemine.operators.indexing import dense_index
-from tastemine.session import checkpoint
+from tastemine.session import checkpoint, partitions_for
 
 N_FACTORS = 50
 TOP_K = 10
@@ -72,22 +74,26 @@ def factorize(ratings: DataFrame, user_col: str = "user_id", item_col: str = "mo
 
     def to_row(r):
         pairs = sorted((int(c["i_col"]), float(c["rating"])) for c in r["_cells"])
-        return IndexedRow(int(r["u_row"]), MLlibVectors.sparse(n_items, [p[0] for p in pairs], [p[1] for p in pairs]))
-
-    # ARPACK iterates over the rows many times: keep them materialised
-    # (memory + disk) and reliably checkpointed so that iterations neither
-    # recompute the lineage nor lose it with an executor.
-    row_rdd = rows.rdd.map(to_row).persist(StorageLevel.MEMORY_AND_DISK)
-    row_rdd.checkpoint()
-    row_rdd.count()
-    mat = IndexedRowMatrix(row_rdd, numCols=n_items)
+        return int(r["u_row"]), MLlibVectors.sparse(n_items, [p[0] for p in pairs], [p[1] for p in pairs])
+
+    # One Python pass builds the sparse rows; the result is checkpointed
+    # (reliable) and cached on the JVM side, so the many ARPACK iterations
+    # read cached rows instead of re-running the Python conversion, and a
+    # lost executor recomputes from the checkpoint.
+    n_users = u_idx.count()
+    parts = partitions_for(spark, n_users, rows_per_partition=50_000)
+    row_df = spark.createDataFrame(rows.rdd.map(to_row), T.StructType([
+        T.StructField("index", T.LongType(), False), T.StructField("vector", MLlibVectorUDT(), False)]))
+    row_df = checkpoint(row_df.repartition(parts)).persist(StorageLevel.MEMORY_AND_DISK)
+    row_df.count()
+    mat = IndexedRowMatrix(row_df, numCols=n_items)
     svd = mat.computeSVD(k, computeU=True)
     s = np.array(svd.s.toArray())
     v = np.array(svd.V.toArray())  # items x k
     # U.Sigma per user row (distributed)
     us = svd.U.rows.map(lambda r: (int(r.index), [float(x) for x in (r.vector.toArray() * s)]))
     users = checkpoint(spark.createDataFrame(us, "u_row bigint, factors array<double>").join(u_idx, "u_row"))
-    row_rdd.unpersist()
+    row_df.unpersist()
     ids = [r[item_col] for r in i_idx.orderBy("i_col").select(item_col).collect()]
     items = spark.createDataFrame(
         [(ids[j], j, [float(x) for x in v[j]]) for j in range(len(ids))],
