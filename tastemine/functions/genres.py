@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tastemine.functions.text import strip_unicode
+from tastemine.functions.text import collapse_whitespace, strip_unicode
 
 # Fixed values that must equal the reference: the genre alias table.
 GENRE_ALIASES = {
@@ -28,11 +28,17 @@ def canonical_genre(name: Column) -> Column:
 
     A final strip is applied so that ``"-drama"`` and ``"drama"`` agree.
     """
-    x = F.lower(strip_unicode(name))
-    x = F.translate(x, "_-", "  ")
-    x = strip_unicode(F.regexp_replace(x, r"(?U)\s+", " "))
-    alias = F.create_map(*[F.lit(v) for kv in GENRE_ALIASES.items() for v in kv])
-    return F.coalesce(alias[x], x)
+    x = F.translate(F.lower(strip_unicode(name)), "_-", "  ")
+    x = strip_unicode(collapse_whitespace(x))
+    # the alias table as one anchored pattern: no second evaluation of x
+    keys = "|".join(k for k, v in GENRE_ALIASES.items() if k != v)
+    return F.regexp_replace(x, f"^(?:{keys})$", GENRE_ALIASES["sci fi"])
+
+
+def _list_json(raw: Column) -> Column:
+    """JSON / Python-literal list -> array<string>; only bracketed text is
+    handed to the JSON parser (a failed parse per row is expensive)."""
+    return F.when(raw.startswith("["), F.from_json(raw, "array<string>"))
 
 
 def _dict_name(e: Column) -> Column:
@@ -53,7 +59,10 @@ def parse_genres_clean(value: Column) -> Column:
     split on ``, | ; /``. ``'[]'`` parses to an empty list.
     """
     raw = strip_unicode(value)
-    arr = F.from_json(raw, "array<string>")
+    return _clean_from(raw, _list_json(raw))
+
+
+def _clean_from(raw: Column, arr: Column) -> Column:
     truthy = F.filter(arr, lambda e: e.isNotNull() & ~e.isin("", "{}", "[]"))
     nameless = F.exists(truthy, lambda e: e.startswith("{") & _dict_name(e).isNull())
     from_list = F.transform(
@@ -76,7 +85,10 @@ def parse_genres_transform(value: Column) -> Column:
     brackets, split on ``, | ; /``, and each part stripped of quotes.
     """
     raw = strip_unicode(value)
-    arr = F.from_json(raw, "array<string>")
+    return _transform_from(raw, _list_json(raw))
+
+
+def _transform_from(raw: Column, arr: Column) -> Column:
     names = F.transform(
         F.filter(arr, lambda e: e.isNotNull() & ~e.startswith("[")),
         lambda e: F.when(e.startswith("{"), _dict_name(e)).otherwise(e),
@@ -114,6 +126,18 @@ PARSERS = {
 }
 
 
+def with_parsed_genres(df, src: str, out: str, variant: str = "transform"):
+    """Append ``out`` = parsed genre list of ``src``. The stripped text and its
+    JSON parse are staged as columns first, so each is evaluated once per row
+    (conditional branches get no common-subexpression elimination)."""
+    if variant == "notebook":
+        return df.withColumn(out, parse_genres_notebook(F.col(src).cast("string")))
+    staged = df.withColumn("_graw", strip_unicode(F.col(src).cast("string")))
+    staged = staged.withColumn("_garr", _list_json(F.col("_graw")))
+    build = _clean_from if variant == "clean" else _transform_from
+    return staged.withColumn(out, build(F.col("_graw"), F.col("_garr"))).drop("_graw", "_garr")
+
+
 def genre_columns(genres_list: Column, missing: Column | None = None) -> dict[str, Column]:
     """First genre (``missing`` when empty) and the number of genres."""
     first = F.get(genres_list, 0)

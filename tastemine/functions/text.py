@@ -6,11 +6,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Python's str.strip() removes Unicode white space and the separators
-# U+001C..U+001F; Java needs (?U) for the former and an explicit range for
-# the latter.
-_WS = r"[\s\x1c-\x1f]"
-_STRIP_RE = rf"(?U)^{_WS}+|{_WS}+$"
+# Fixed values that must equal Python's str.isspace(): the characters that
+# str.strip() removes (ASCII controls 09-0D and 1C-1F, space, U+0085, U+00A0,
+# U+1680, U+2000-U+200A, U+2028, U+2029, U+202F, U+205F, U+3000).
+PY_WHITESPACE = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(chr(c) for c in range(0x2000, 0x200B))
+                 + "\u2028\u2029\u202f\u205f\u3000")
+WS_CLASS = "[\\t\\n\\x0B\\f\\r\\x1C-\\x1F \\x85\\xA0\\u1680\\u2000-\\u200A\\u2028\\u2029\\u202F\\u205F\\u3000]"
 # Text that a lenient numeric parser accepts (pandas ``to_numeric``).
 NUMERIC_RE = r"^[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|(?i:inf|infinity|nan))$"
 # Fixed date formats tried, in order, when a year is not a bare number.
@@ -27,8 +28,14 @@ YEAR_MIN, YEAR_MAX = 1870, 2100
 
 
 def strip_unicode(c: Column) -> Column:
-    """Python ``str.strip()`` semantics (Unicode white space)."""
-    return F.regexp_replace(c, _STRIP_RE, "")
+    """Python ``str.strip()`` semantics (Unicode white space); a plain
+    character-set trim, no regular expression."""
+    return F.btrim(c, F.lit(PY_WHITESPACE))
+
+
+def collapse_whitespace(c: Column) -> Column:
+    """Runs of (Python) white space -> one space."""
+    return F.regexp_replace(c, WS_CLASS + "+", " ")
 
 
 def lenient_double(c: Column, dtype: T.DataType | None = None) -> Column:
@@ -52,7 +59,8 @@ def standard_year(c: Column, dtype: T.DataType | None = None, date_fallback: boo
     if date_fallback:
         s = strip_unicode(c.cast("string"))
         parsed = F.coalesce(*[F.try_to_timestamp(s, F.lit(fmt)) for fmt in DATE_FORMATS])
-        year = F.coalesce(year, F.year(parsed).cast("double"))
+        # only text with a date separator can be a date
+        year = F.coalesce(year, F.when(s.rlike("[-/.]"), F.year(parsed).cast("double")))
     return year.cast("int")
 
 

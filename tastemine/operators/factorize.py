@@ -58,18 +58,170 @@ class Factorization:
     cells: DataFrame          # user_id, item_id, u_row, i_col, rating
 
 
+def sparse_rows(cells: DataFrame) -> DataFrame:
+    """Rows of the sparse matrix as ``(u_row, idx array<int>, val array<double>)``
+    (one JVM aggregate; a row holds at most one entry per item)."""
+    g = cells.groupBy("u_row").agg(F.array_sort(F.collect_list(F.struct("i_col", "rating"))).alias("_e"))
+    return g.select("u_row", F.transform("_e", lambda e: e["i_col"].cast("int")).alias("idx"),
+                    F.transform("_e", lambda e: e["rating"].cast("double")).alias("val"))
+
+
+def _times_dense(rows: DataFrame, q: np.ndarray, post: np.ndarray | None = None) -> DataFrame:
+    """``Y = A @ Q`` (then ``@ post``): users stay distributed, Q (items x l,
+    model-sized) is broadcast. Output keeps the row so later passes need no join."""
+    sc = rows.sparkSession.sparkContext
+    bq = sc.broadcast(q)
+    bp = sc.broadcast(post)
+
+    def run(batches):
+        import pandas as pd
+
+        qv, pv = bq.value, bp.value
+        for pdf in batches:
+            lens = pdf["idx"].map(len).to_numpy()
+            idx = np.concatenate(pdf["idx"].to_numpy()).astype(np.int64)
+            val = np.concatenate(pdf["val"].to_numpy()).astype(np.float64)
+            starts = np.concatenate([[0], np.cumsum(lens)[:-1]])
+            y = np.add.reduceat(val[:, None] * qv[idx], starts, axis=0)
+            if pv is not None:
+                y = y @ pv
+            yield pd.DataFrame({"u_row": pdf["u_row"], "idx": pdf["idx"], "val": pdf["val"], "y": list(y)})
+
+    return rows.mapInPandas(run, "u_row bigint, idx array<int>, val array<double>, y array<double>")
+
+
+def _gram(y: DataFrame) -> np.ndarray:
+    """``Y^T Y`` (l x l) by one partial aggregate of per-batch Gram matrices."""
+    from pyspark.ml.functions import array_to_vector
+    from pyspark.ml.stat import Summarizer
+
+    def run(batches):
+        import pandas as pd
+
+        for pdf in batches:
+            m = np.vstack(pdf["y"].to_numpy())
+            yield pd.DataFrame({"g": [(m.T @ m).ravel()]})
+
+    part = y.select("y").mapInPandas(run, "g array<double>")
+    tot = part.agg(Summarizer.sum(array_to_vector("g")).alias("s")).first()["s"].toArray()
+    n = int(round(len(tot) ** 0.5))
+    return tot.reshape(n, n)
+
+
+def _transpose_times(y: DataFrame, n_items: int, post: np.ndarray | None = None) -> np.ndarray:
+    """``A^T @ (Y @ post)`` (items x l): partial sums per batch for the items it
+    touches, summed per item by a map-side-combined aggregate; the result is
+    model-sized (items x l) and returned to the driver."""
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.stat import Summarizer
+
+    bp = y.sparkSession.sparkContext.broadcast(post)
+
+    def run(batches):
+        import pandas as pd
+
+        pv = bp.value
+        for pdf in batches:
+            ys = np.vstack(pdf["y"].to_numpy())
+            if pv is not None:
+                ys = ys @ pv
+            lens = pdf["idx"].map(len).to_numpy()
+            idx = np.concatenate(pdf["idx"].to_numpy()).astype(np.int64)
+            val = np.concatenate(pdf["val"].to_numpy()).astype(np.float64)
+            contrib = val[:, None] * np.repeat(ys, lens, axis=0)
+            uniq, inv = np.unique(idx, return_inverse=True)
+            z = np.zeros((len(uniq), ys.shape[1]))
+            np.add.at(z, inv, contrib)
+            yield pd.DataFrame({"i_col": uniq, "z": list(z)})
+
+    part = y.select("idx", "val", "y").mapInPandas(run, "i_col bigint, z array<double>")
+    agg = part.groupBy("i_col").agg(vector_to_array(Summarizer.sum(array_to_vector("z"))).alias("z"))
+    out = None
+    for r in agg.toLocalIterator():
+        if out is None:
+            out = np.zeros((n_items, len(r["z"])))
+        out[int(r["i_col"])] = r["z"]
+    return out
+
+
+def _chol_inv(g: np.ndarray) -> np.ndarray:
+    """R^-1 of the Cholesky factor of a Gram matrix (CholeskyQR step)."""
+    g = (g + g.T) / 2.0
+    jitter = 1e-12 * max(1.0, float(np.trace(g)))
+    r = np.linalg.cholesky(g + jitter * np.eye(len(g))).T
+    return np.linalg.inv(r)
+
+
+def randomized_svd(rows: DataFrame, n_items: int, k: int, oversample: int = 10, n_iter: int = 5,
+                   seed: int = 42):
+    """Distributed randomized truncated SVD (Halko-Martinsson-Tropp, as
+    scikit-learn's ``TruncatedSVD``): Gaussian test matrix, ``n_iter`` power
+    iterations, CholeskyQR2 on the distributed user side, QR / SVD of the
+    items x l side on the driver. 2 * n_iter + 2 passes over the matrix.
+    Returns (Y-frame, M, sigma, V): user factors U.Sigma = y @ M."""
+    l = min(k + oversample, n_items)
+    rng = np.random.default_rng(seed)
+    q = rng.standard_normal((n_items, l))
+    # Y is read twice per step (Gram, then A^T Y): cached, and recomputable in
+    # one pass from the checkpointed rows if an executor is lost.
+    for _ in range(n_iter):
+        y = _times_dense(rows, q).persist(StorageLevel.MEMORY_AND_DISK)
+        rinv = _chol_inv(_gram(y))
+        q, _ = np.linalg.qr(_transpose_times(y, n_items, rinv))
+        y.unpersist()
+    y = _times_dense(rows, q).persist(StorageLevel.MEMORY_AND_DISK)
+    r1 = _chol_inv(_gram(y))
+    y.unpersist()
+    y2 = checkpoint(_times_dense(rows, q, r1))          # Y R1^-1, second CholeskyQR pass
+    r2 = _chol_inv(_gram(y2))
+    bt = _transpose_times(y2, n_items, r2)              # B^T = A^T Q_u  (items x l)
+    uhat, sig, vt = np.linalg.svd(bt.T, full_matrices=False)
+    m = r2 @ uhat[:, :k] * sig[:k]                      # U.Sigma = (Y2 R2^-1) Uhat_k Sigma_k
+    return y2, m, sig[:k], vt[:k].T
+
+
 def factorize(ratings: DataFrame, user_col: str = "user_id", item_col: str = "movie_id",
-              rating_col: str = "rating", n_factors: int = N_FACTORS) -> Factorization:
+              rating_col: str = "rating", n_factors: int = N_FACTORS, method: str = "randomized") -> Factorization:
     """Truncated SVD of the 0-filled user x item mean-rating matrix (no
     centring), k = min(n_factors, items - 1). Rows are users sorted by id,
-    columns items sorted by id (the pivot's order)."""
+    columns items sorted by id (the pivot's order).
+
+    ``method='randomized'`` (default, the reference's algorithm) makes a fixed
+    number of passes; ``'arpack'`` uses ``IndexedRowMatrix.computeSVD``."""
     spark = ratings.sparkSession
     cells = rating_matrix(ratings, user_col, item_col, rating_col)
     u_idx = dense_index(cells.select(user_col).distinct(), [user_col], "u_row")
     i_idx = dense_index(cells.select(item_col).distinct(), [item_col], "i_col")
     cells = checkpoint(cells.join(u_idx, user_col).join(i_idx, item_col))
     n_items = i_idx.count()
+    n_users = u_idx.count()
     k = max(1, min(n_factors, n_items - 1))
+    parts = partitions_for(spark, n_users, rows_per_partition=50_000)
+    ids = [r[item_col] for r in i_idx.orderBy("i_col").select(item_col).collect()]
+    if method == "randomized":
+        rows = checkpoint(sparse_rows(cells).repartition(parts))
+        y2, m, s, v = randomized_svd(rows, n_items, k)
+        bm = spark.sparkContext.broadcast(m)
+
+        def proj(batches):
+            import pandas as pd
+
+            mv = bm.value
+            for pdf in batches:
+                f = np.vstack(pdf["y"].to_numpy()) @ mv
+                yield pd.DataFrame({"u_row": pdf["u_row"], "factors": list(f)})
+
+        users = checkpoint(y2.select("u_row", "y").mapInPandas(proj, "u_row bigint, factors array<double>")
+                           .join(u_idx, "u_row"))
+    else:
+        users, s, v = _arpack(spark, cells, u_idx, n_items, k, parts)
+    items = spark.createDataFrame(
+        [(ids[j], j, [float(x) for x in v[j]]) for j in range(len(ids))],
+        f"{item_col} {dict(i_idx.dtypes)[item_col]}, i_col bigint, factors array<double>")
+    return Factorization(users, items, [float(x) for x in s], v, ids, k, cells)
+
+
+def _arpack(spark, cells, u_idx, n_items, k, parts):
     rows = cells.groupBy("u_row").agg(F.collect_list(F.struct("i_col", "rating")).alias("_cells"))
 
     def to_row(r):
@@ -78,27 +230,18 @@ def factorize(ratings: DataFrame, user_col: str = "user_id", item_col: str = "mo
 
     # One Python pass builds the sparse rows; the result is checkpointed
     # (reliable) and cached on the JVM side, so the many ARPACK iterations
-    # read cached rows instead of re-running the Python conversion, and a
-    # lost executor recomputes from the checkpoint.
-    n_users = u_idx.count()
-    parts = partitions_for(spark, n_users, rows_per_partition=50_000)
+    # read cached rows instead of re-running the Python conversion.
     row_df = spark.createDataFrame(rows.rdd.map(to_row), T.StructType([
         T.StructField("index", T.LongType(), False), T.StructField("vector", MLlibVectorUDT(), False)]))
     row_df = checkpoint(row_df.repartition(parts)).persist(StorageLevel.MEMORY_AND_DISK)
     row_df.count()
-    mat = IndexedRowMatrix(row_df, numCols=n_items)
-    svd = mat.computeSVD(k, computeU=True)
+    svd = IndexedRowMatrix(row_df, numCols=n_items).computeSVD(k, computeU=True)
     s = np.array(svd.s.toArray())
-    v = np.array(svd.V.toArray())  # items x k
-    # U.Sigma per user row (distributed)
+    v = np.array(svd.V.toArray())
     us = svd.U.rows.map(lambda r: (int(r.index), [float(x) for x in (r.vector.toArray() * s)]))
     users = checkpoint(spark.createDataFrame(us, "u_row bigint, factors array<double>").join(u_idx, "u_row"))
     row_df.unpersist()
-    ids = [r[item_col] for r in i_idx.orderBy("i_col").select(item_col).collect()]
-    items = spark.createDataFrame(
-        [(ids[j], j, [float(x) for x in v[j]]) for j in range(len(ids))],
-        f"{item_col} {dict(i_idx.dtypes)[item_col]}, i_col bigint, factors array<double>")
-    return Factorization(users, items, [float(x) for x in s], v, ids, k, cells)
+    return users, s, v
 
 
 def recommend(fact: Factorization, titles: DataFrame | None = None, k: int = TOP_K,

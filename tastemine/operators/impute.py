@@ -112,7 +112,9 @@ def transform(df: DataFrame, impute: str = "mode", drop_identical: bool = True)
     F3 parser (primary genre ``unknown`` when empty), consolidate fields."""
     out = impute_by_mode(df) if impute == "mode" else impute_unknown(df)
     if "genres" in out.columns:
-        parsed = G.parse_genres_transform(F.col("genres"))
-        out = out.withColumn("genres_list", parsed)
+        from tastemine.operators.cleaning import _staged_genres, parse_by_dictionary
+        from tastemine.session import checkpoint
+        out = checkpoint(out.drop("genres_list") if "genres_list" in out.columns else out)
+        out = parse_by_dictionary(out, "genres", {"genres_list": _staged_genres("transform")})
         out = out.withColumns(G.genre_columns(F.col("genres_list"), missing=F.lit(UNKNOWN)))
     return consolidate_fields(out, drop_identical=drop_identical)
