@@ -112,9 +112,6 @@ def _transpose_times(y: DataFrame, n_items: int, post: np.ndarray | None = None)
     """``A^T @ (Y @ post)`` (items x l): partial sums per batch for the items it
     touches, summed per item by a map-side-combined aggregate; the result is
     model-sized (items x l) and returned to the driver."""
-    from pyspark.ml.functions import array_to_vector, vector_to_array
-    from pyspark.ml.stat import Summarizer
-
     bp = y.sparkSession.sparkContext.broadcast(post)
 
     def run(batches):
@@ -134,13 +131,28 @@ def _transpose_times(y: DataFrame, n_items: int, post: np.ndarray | None = None)
             np.add.at(z, inv, contrib)
             yield pd.DataFrame({"i_col": uniq, "z": list(z)})
 
+    def combine(batches):
+        import pandas as pd
+
+        for pdf in batches:
+            if len(pdf) == 0:
+                continue
+            uniq, inv = np.unique(pdf["i_col"].to_numpy(), return_inverse=True)
+            zs = np.vstack(pdf["z"].to_numpy())
+            z = np.zeros((len(uniq), zs.shape[1]))
+            np.add.at(z, inv, zs)
+            yield pd.DataFrame({"i_col": uniq, "z": list(z)})
+
     part = y.select("idx", "val", "y").mapInPandas(run, "i_col bigint, z array<double>")
-    agg = part.groupBy("i_col").agg(vector_to_array(Summarizer.sum(array_to_vector("z"))).alias("z"))
-    out = None
-    for r in agg.toLocalIterator():
-        if out is None:
-            out = np.zeros((n_items, len(r["z"])))
-        out[int(r["i_col"])] = r["z"]
+    # each item's partial sums meet in one partition (at most one per map
+    # batch: bounded by the batch count, not by the data of a hot item)
+    parts = y.sparkSession.sparkContext.defaultParallelism
+    summed = part.repartition(parts, "i_col").mapInPandas(
+        combine, "i_col bigint, z array<double>")
+    pdf = summed.toPandas()
+    out = np.zeros((n_items, len(pdf["z"].iloc[0]) if len(pdf) else 0))
+    if len(pdf):
+        out[pdf["i_col"].to_numpy()] = np.vstack(pdf["z"].to_numpy())
     return out
 
 
@@ -196,7 +208,11 @@ def factorize(ratings: DataFrame, user_col: str = "user_id", item_col: str = "mo
     n_items = i_idx.count()
     n_users = u_idx.count()
     k = max(1, min(n_factors, n_items - 1))
-    parts = partitions_for(spark, n_users, rows_per_partition=50_000)
+    # the passes over the rows are sequential, so the rows span every core;
+    # beyond that, about 200k non-zeros per partition
+    nnz = cells.count()
+    parts = partitions_for(spark, nnz, rows_per_partition=200_000,
+                           minimum=spark.sparkContext.defaultParallelism)
     ids = [r[item_col] for r in i_idx.orderBy("i_col").select(item_col).collect()]
     if method == "randomized":
         rows = checkpoint(sparse_rows(cells).repartition(parts))

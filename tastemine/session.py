@@ -61,10 +61,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, "tables", name)
 
 
-def partitions_for(spark: SparkSession, rows: int, rows_per_partition: int = 100_000) -> int:
+def partitions_for(spark: SparkSession, rows: int, rows_per_partition: int = 100_000, minimum: int = 1) -> int:
     """Partition count sized to the data: about ``rows_per_partition`` rows
     each, at least 1 and at most 4x the default parallelism. Used for the
     small, iteratively re-read inputs of ML fits (profiles, SVD rows), where
     per-task overhead would otherwise dominate every iteration."""
     cap = max(1, 4 * spark.sparkContext.defaultParallelism)
-    return max(1, min(cap, -(-rows // rows_per_partition)))
+    return max(1, minimum, min(cap, -(-rows // rows_per_partition)))
