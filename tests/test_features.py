@@ -101,3 +101,25 @@ def test_top_k_per_group(spark):
     out = top_k_per_group(df, ["g"], [F.desc("v")], 2)
     got = sorted((r["g"], r["v"], r["rank"]) for r in out.collect())
     assert got == [(0, 996, 2), (0, 999, 1), (1, 994, 2), (1, 997, 1), (2, 995, 2), (2, 998, 1)]
+
+
+def test_reduction_matches_numpy_pca(spark):
+    import numpy as np
+    from tastemine.operators.features import fit_reduction
+
+    rnd = np.random.default_rng(5)
+    base = rnd.normal(size=(300, 3))
+    x = np.column_stack([base[:, 0], base[:, 0] * 2 + base[:, 1] * 0.1, base[:, 2], np.ones(300),
+                         rnd.normal(size=300) * 0.01])
+    cols = ["a", "b", "c", "const", "tiny"]
+    df = spark.createDataFrame([tuple(float(v) for v in r) for r in x], ", ".join(f"{c} double" for c in cols))
+    red = fit_reduction(df, cols, kept_variance=0.95)
+    assert "const" not in red.kept and "tiny" in red.kept  # scaled variance 1 > 0.01
+    z = (x[:, [0, 1, 2, 4]] - x[:, [0, 1, 2, 4]].mean(0)) / x[:, [0, 1, 2, 4]].std(0)
+    ev = np.sort(np.linalg.eigvalsh(np.cov(z.T, bias=True)))[::-1]
+    ratios = ev / ev.sum()
+    k = int(np.searchsorted(np.cumsum(ratios), 0.95, side="right") + 1)
+    assert red.n_components == k and np.allclose(red.ratios, ratios[:k])
+    proj = np.array([[r[f"pca_{i}"] for i in range(k)] for r in red.transform(df, []).collect()])
+    assert np.allclose(proj.mean(0), 0, atol=1e-9)
+    assert np.allclose(np.cov(proj.T, bias=True), np.diag(ev[:k]), atol=1e-9)
