@@ -181,13 +181,14 @@ class Sweep:
 
 
 def k_sweep(features: DataFrame, k_values=K_RANGE, seed: int = SEED, n_init: int = N_INIT,
-            parallel: int = 8) -> Sweep:
+            parallel: int = 16) -> Sweep:
     """K2: for each k the best-of-n_init model, its inertia and the three
     indices; best k = first maximum of the silhouette (ties -> smaller k).
 
     All (k, seed) fits are independent Spark jobs over the same cached
     features and run concurrently from a thread pool; the per-k metric rows
-    are tiny and gathered into one frame."""
+    are tiny and gathered into one frame. More fits than cores run at once
+    because each fit is mostly short, latency-bound jobs."""
     spark = features.sparkSession
     n = features.count()
     features = features.repartition(partitions_for(spark, n, 50_000)).persist()

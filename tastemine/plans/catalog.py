@@ -1122,3 +1122,28 @@ def q_cells_sample(spark, sf):
 def q_rule_labels(spark, sf):
     """M4: rule export text columns."""
     return _mined(spark, sf).rules.select("antecedents_str", "consequents_str", "rule")
+
+
+@register("clustering_metrics")
+def q_clustering_metrics(spark, sf):
+    """K7: the clustering metrics document as one nested row (users, features,
+    k analysis, best k, distribution, indices, quality, PCA, cluster profiles)."""
+    from tastemine.operators.cluster import cluster_indices, evaluation, pca_2d
+    from tastemine.operators.profiles import cluster_distribution, cluster_profiles, profile_features
+    st = Stages.of(spark, sf)
+    sw = st.sweep()
+    labels, users, model = st.clustered(None)
+    feats = st.features()
+    pts = feats.join(labels, "user_idx").withColumnRenamed("user_cluster", "prediction")
+    ev = evaluation(cluster_indices(pts))
+    k_analysis = sw.table.agg(F.sort_array(F.collect_list(F.struct(
+        "k", "inertia", "silhouette", "davies_bouldin", "calinski_harabasz"))).alias("k_analysis"))
+    dist = cluster_distribution(labels).agg(F.map_from_entries(F.collect_list(F.struct(
+        F.concat(F.lit("cluster_"), F.col("user_cluster").cast("string")), F.col("count")))).alias("cluster_distribution"))
+    _, ratios = pca_2d(feats)
+    prof = cluster_profiles(users).agg(F.sort_array(F.collect_list(F.struct("*"))).alias("cluster_profiles"))
+    head = st.profiles().agg(F.count(F.lit(1)).alias("num_users")).withColumns({
+        "num_features": F.lit(len(profile_features(st.profiles()))), "best_k": F.lit(sw.best_k),
+        "pca_explained_variance_ratio": F.array(*[F.lit(r) for r in ratios]),
+        "pca_total_explained_variance": F.lit(float(sum(ratios)))})
+    return head.crossJoin(k_analysis).crossJoin(dist).crossJoin(ev).crossJoin(prof)

@@ -137,3 +137,13 @@ def test_dedupe_column_names(spark):
     df = spark.createDataFrame([(1, 2, 3)], "a int, b int, c int").toDF("a", "b", "a")
     out = C.dedupe_column_names(df)
     assert out.columns == ["a", "b"] and out.first()["a"] == 1
+
+
+def test_infer_cluster_column_and_affix(spark):
+    from tastemine.functions.text import columns_by_affix, infer_cluster_column
+    df = spark.createDataFrame([(1, 2, 3)], "user_idx int, user_cluster int, z int")
+    assert infer_cluster_column(df) == "user_cluster"
+    assert infer_cluster_column(df.drop("user_cluster")) == "z"
+    cols = ["genre_a", "genre_count", "genre_count_scaled", "x_pref", "genre_b_pref"]
+    assert columns_by_affix(cols, prefix="genre_", exclude=("genre_count_scaled",)) == ["genre_a", "genre_count", "genre_b_pref"]
+    assert columns_by_affix(cols, suffix="_pref") == ["x_pref", "genre_b_pref"]
