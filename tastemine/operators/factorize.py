@@ -1,12 +1,14 @@
 """Rating-matrix factorization and top-k recommendations.
 
-The user x item matrix is never pivoted: it stays as sparse rows of an
-``IndexedRowMatrix``. ``computeSVD`` runs its iterations as distributed
-matrix-vector products; the item factors V (items x k) are the model and the
-only thing shipped to executors (broadcast, size items x k, independent of
-the number of ratings). Scores U.Sigma.V^T are produced and reduced to the
-top k per user *inside* ``mapInPandas`` batches, so the dense score matrix
-never exists as rows.
+The user x item matrix is never pivoted: it stays as sparse rows
+``(u_row, idx, val)``. The truncated SVD is randomized (as the reference's
+``TruncatedSVD``): a fixed number of passes over the rows, user-side
+matrices distributed, item-side matrices (items x l, the size of the model)
+on the driver; ``method='arpack'`` uses ``IndexedRowMatrix.computeSVD``.
+The item factors V are the only thing shipped to executors (broadcast, size
+items x k, independent of the number of ratings). Scores U.Sigma.V^T are
+produced and reduced to the top k per user *inside* ``mapInPandas`` batches,
+so the dense score matrix never exists as rows.
 """
 
 from __future__ import annotations
@@ -16,7 +18,7 @@ from dataclasses import dataclass
 import numpy as np
 from pyspark.mllib.linalg import Vectors as MLlibVectors
 from pyspark.mllib.linalg import VectorUDT as MLlibVectorUDT
-from pyspark.mllib.linalg.distributed import IndexedRow, IndexedRowMatrix
+from pyspark.mllib.linalg.distributed import IndexedRowMatrix
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T

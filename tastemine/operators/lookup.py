@@ -83,7 +83,9 @@ def rule_recommendations(queries: DataFrame, rules: DataFrame, fuzzy: bool = Tru
     then rule text); the top N per query by lift (ties: title) are returned.
     Deterministic replacement of the reference's order-dependent shared state.
     """
-    r = rules.withColumn("_rid", F.monotonically_increasing_id())
+    # a content key (not a generated id): the rules are read by two branches
+    r = rules.withColumn("_rid", F.concat_ws("\u0001", F.array_join("antecedents", "\u0002"),
+                                             F.array_join("consequents", "\u0002")))
     r = r.select("_rid", "antecedents", "consequents", "confidence", "lift",
                  F.array_join("antecedents", "|").alias("_atext"))
     r = r.filter(F.col("lift").isNotNull() & ~F.isnan("lift"))
