@@ -22,6 +22,10 @@ from tastemine.session import partitions_for
 
 SEED = 42
 N_INIT = 10
+# scikit-learn's KMeans defaults (the reference): run to convergence, not
+# Spark ML's 20-iteration default.
+MAX_ITER = 300
+TOL = 1e-4
 K_RANGE = range(2, 11)
 
 
@@ -166,7 +170,8 @@ def fit_kmeans(features: DataFrame, k: int, seed: int = SEED, n_init: int = N_IN
     """Best of ``n_init`` k-means runs (seeds seed..seed+n_init-1) by cost.
     Runs are independent Spark jobs submitted from a small thread pool."""
     def one(s):
-        return KMeans(k=k, seed=s, featuresCol="features", predictionCol="prediction").fit(features)
+        return KMeans(k=k, seed=s, maxIter=MAX_ITER, tol=TOL, featuresCol="features",
+                      predictionCol="prediction").fit(features)
 
     with ThreadPoolExecutor(max_workers=max(1, min(parallel, n_init))) as ex:
         models = list(ex.map(one, range(seed, seed + n_init)))
@@ -197,7 +202,8 @@ def k_sweep(features: DataFrame, k_values=K_RANGE, seed: int = SEED, n_init: int
 
     def one(ks_):
         k, s = ks_
-        return k, KMeans(k=k, seed=s, featuresCol="features", predictionCol="prediction").fit(features)
+        return k, KMeans(k=k, seed=s, maxIter=MAX_ITER, tol=TOL, featuresCol="features",
+                         predictionCol="prediction").fit(features)
 
     with ThreadPoolExecutor(max_workers=parallel) as ex:
         fits = list(ex.map(one, [(k, s) for k in ks for s in range(seed, seed + n_init)]))
