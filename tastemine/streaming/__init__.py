@@ -1,0 +1,8 @@
+"""Intentionally empty.
+
+The reference is a batch pipeline: it has no streams, watermarks, windows
+over time or stateful operators, so no streaming operator is built here
+(adding one would add a capability the reference does not have). Every stage
+in ``tastemine.operators`` is a plain DataFrame transformation, so a caller
+can apply it per micro-batch inside ``foreachBatch`` if needed.
+"""
