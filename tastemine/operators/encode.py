@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tastemine.functions.genres import canonical_genre
-from tastemine.operators.indexing import encode_labels
+from tastemine.operators.indexing import encode_many
 
 # Fixed values that must equal the reference: source -> code, TF-IDF settings.
 SOURCE_CODES = {"TMDB_cleaned": 0, "Trakt_cleaned": 1}
@@ -95,9 +95,8 @@ def preprocess_features(df: DataFrame, wide_genres: bool = True) -> Encoded:
     if wide_genres:
         vocab = genre_vocabulary(out)
         out = multi_hot(out, vocab)
-    out = encode_labels(out, "primary_genre", "primary_genre_encoded", fill="unknown")
-    out = encode_labels(out, "user_id", "user_idx")
-    out = encode_labels(out, "movie_id", "movie_idx")
+    out = encode_many(out, [("primary_genre", "primary_genre_encoded", "unknown"),
+                            ("user_id", "user_idx", None), ("movie_id", "movie_idx", None)])
     if "source" in out.columns:
         out = out.withColumn("source_encoded", source_code(F.col("source")))
     feats = {

@@ -56,6 +56,25 @@ def encode_labels(df: DataFrame, col: str, out: str, fill: str | None = None) ->
     return keyed.join(codes, keyed["_key"].eqNullSafe(codes["_value"]), "left").drop("_key", "_value")
 
 
+def encode_many(df: DataFrame, specs: list[tuple[str, str, str | None]]) -> DataFrame:
+    """E4 for several columns: ``specs`` = (column, output, null fill). The
+    code tables are independent jobs (each blocks on its checkpoint), so they
+    are built concurrently from a small thread pool, then joined."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    keyed = df
+    for i, (col, _, fill) in enumerate(specs):
+        key = F.col(col).cast("string")
+        keyed = keyed.withColumn(f"_key{i}", F.coalesce(key, F.lit(fill)) if fill is not None else key)
+    with ThreadPoolExecutor(max_workers=len(specs)) as ex:
+        codes = list(ex.map(lambda i: label_codes(keyed, f"_key{i}", specs[i][1]), range(len(specs))))
+    out = keyed
+    for i, c in enumerate(codes):
+        c = c.withColumnRenamed("_value", f"_value{i}")
+        out = out.join(c, out[f"_key{i}"].eqNullSafe(c[f"_value{i}"]), "left").drop(f"_key{i}", f"_value{i}")
+    return out
+
+
 def top_k_per_group(df: DataFrame, group_cols: list[str], order_cols: list[Column], k: int,
                     rank_col: str = "rank", buckets: int = 64) -> DataFrame:
     """First ``k`` rows of every group in ``order_cols`` order, with ranks 1..k.
