@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from tastemine.llm import exact_dedup, mixing, packing, quality_rules, simhash
+from tastemine.llm import exact_dedup, license_scan, mixing, packing, pii, quality_model, quality_rules, secrets, simhash
 
 QUERIES = {
+    "op1_secret_scan": secrets.query,
+    "op3_quality_classifier": quality_model.query,
+    "op4_license_scan": license_scan.query,
     "op5_mixing": mixing.query,
     "op6_simhash_dedup": simhash.query,
+    "op7_pii": pii.query,
     "op8_quality_rules": quality_rules.query,
     "op9_exact_dedup": exact_dedup.query,
     "op10_best_fit_packing": packing.query,

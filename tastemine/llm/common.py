@@ -48,3 +48,13 @@ def word_count(text: Column) -> Column:
 def words(text: Column) -> Column:
     """The words of a text, in order, unchanged."""
     return F.array_remove(F.split(text, SPACE + "+", -1), "")
+
+
+def of_kind(spans: str, kind: str) -> Column:
+    """The number of spans of a kind in an array of spans."""
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("bigint")
+
+
+def listed(spans: Column) -> Column:
+    """kind:start:end of spans in their order, comma-joined."""
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")

@@ -131,8 +131,13 @@ def ablations(ledger_df: DataFrame, policy: Policy) -> DataFrame:
 
 
 def kept_documents(docs: DataFrame, policy: str = CURRENT) -> DataFrame:
-    """The documents that the policy keeps, as they are."""
-    return common.unpacked(ledger(docs, carry=True).where(verdict(POLICIES[policy])), docs)
+    """The documents that the policy keeps, as they are.
+
+    Not a filter on the verdict: Spark would push that below the measurements and write their expressions out in it
+    again and again. An array of no or one row is opened instead."""
+    judged = ledger(docs, carry=True)
+    row = F.when(verdict(POLICIES[policy]), F.array(F.col(common.ROW))).otherwise(F.array().cast(judged.select(F.array(common.ROW)).schema[0].dataType))
+    return common.unpacked(judged.select(F.explode(row).alias(common.ROW)), docs)
 
 
 def query(spark, sf_dir):
