@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from tastemine.llm import common
 
-CONTAINED = 0.85
+CONTAINED = 0.9
 
 # Phrases of the base, each with its label.
 PHRASES = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
