@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from tastemine.llm import exact_dedup, license_scan, mixing, packing, pii, quality_model, quality_rules, secrets, simhash
+from tastemine.llm import exact_dedup, license_scan, mixing, packing, pii, quality_model, quality_rules, secrets, simhash, substring_dedup
 
 QUERIES = {
     "op1_secret_scan": secrets.query,
+    "op2_substring_dedup": substring_dedup.query,
     "op3_quality_classifier": quality_model.query,
     "op4_license_scan": license_scan.query,
     "op5_mixing": mixing.query,
