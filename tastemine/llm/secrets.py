@@ -8,8 +8,9 @@ one of ordinary identifiers. A run is a secret if the mean log-likelihood ratio
 Both models are counted by Spark from labelled samples of the documents: the values in base spans are random strings,
 the other token-like runs (of four or more characters) are ordinary. The fit reads the documents with the smallest
 digests of their ids, at most ``SAMPLE_DOCS`` for ordinary runs, and at most ``SAMPLE_SECRETS`` base values of all
-documents; both bounds are parameters. Counts are mixed with a uniform model, so symbols and pairs never seen in one of
-the samples still have a likelihood, also where a sample is empty. A model is a table over pairs of 128 characters.
+documents; both bounds are parameters. Letters are folded to lower case, as shouting is no secret. Pairs seen too seldom
+fall back, in the ordinary model, on single characters and, in the random one, on a uniform choice, so every string has a
+likelihood under both, also where a sample is empty. A model is a table over pairs of 128 characters.
 
 Everything is column expressions. A null text is empty; an empty text has no spans. Rows are scanned one by one, so
 repeated rows and null ids need no care; positions are code points, ends exclusive.
@@ -31,13 +32,15 @@ HEX = r"[0-9a-f]{24,}"
 BASE = ("assign", "access", "hex")
 
 RUN = 20
-THRESHOLD = 1.0
+THRESHOLD = 1.5
 SAMPLE_DOCS = 2000
 SAMPLE_SECRETS = 5000
-SYMBOLS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
+SYMBOLS = "abcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 _TOKEN = r"[A-Za-z0-9+/_=-]"
-#: share of the uniform model in each of the two
-MIX_RANDOM, MIX_ORDINARY = 0.5, 0.02
+#: what a character's row in the ordinary model weighs beside its single characters, in pairs seen
+BACKING = 20.0
+#: share of the uniform choice in the random model
+UNIFORM = 0.5
 
 
 def _with_spans(df: DataFrame, out: str, pattern: str, kind: str, keep=lambda m: F.lit(True)) -> DataFrame:
@@ -67,8 +70,8 @@ def with_base(df: DataFrame) -> DataFrame:
 
 
 def _codes(value: Column) -> Column:
-    """ASCII codes of a string's characters, with 0 before the first."""
-    return F.concat(F.array(F.lit(0)), F.transform(F.split(value, ""), lambda c: F.ascii(c)))
+    """ASCII codes of a string's characters in lower case, with 0 before the first."""
+    return F.concat(F.array(F.lit(0)), F.transform(F.split(F.lower(value), ""), lambda c: F.ascii(c)))
 
 
 def _pair_counts(values: DataFrame) -> dict[tuple[int, int], int]:
@@ -82,23 +85,23 @@ def _pair_counts(values: DataFrame) -> dict[tuple[int, int], int]:
 def ratio_table(random: dict[tuple[int, int], int], ordinary: dict[tuple[int, int], int]) -> list[float]:
     """Log-likelihood ratio of each pair (a, b) at 128 * a + b: how much likelier b is after a in a random string."""
     codes = [ord(c) for c in SYMBOLS]
+    flat = 1 / len(codes)
 
-    def model(counts: dict[tuple[int, int], int], uniform: float):
-        rows: dict[int, int] = {}
-        for (a, _), n in counts.items():
-            rows[a] = rows.get(a, 0) + n
+    def totals(counts: dict[tuple[int, int], int], which: int) -> dict[int, int]:
+        out: dict[int, int] = {}
+        for pair, n in counts.items():
+            out[pair[which]] = out.get(pair[which], 0) + n
+        return out
 
-        def p(a: int, b: int) -> float:
-            flat = 1 / len(codes)
-            return uniform * flat + (1 - uniform) * (counts.get((a, b), 0) / rows[a] if rows.get(a) else flat)
-
-        return p
-
-    p, q = model(random, MIX_RANDOM), model(ordinary, MIX_ORDINARY)
+    random_rows, ordinary_rows, single = totals(random, 0), totals(ordinary, 0), totals(ordinary, 1)
+    seen = sum(single.values())
     out = [0.0] * (128 * 128)
     for a in [0, *codes]:
         for b in codes:
-            out[128 * a + b] = math.log(p(a, b) / q(a, b))
+            trained = random.get((a, b), 0) / random_rows[a] if random_rows.get(a) else flat
+            backing = (single.get(b, 0) + 1) / (seen + len(codes))
+            q = (ordinary.get((a, b), 0) + BACKING * backing) / (ordinary_rows.get(a, 0) + BACKING)
+            out[128 * a + b] = math.log((UNIFORM * flat + (1 - UNIFORM) * trained) / q)
     return out
 
 
