@@ -1,14 +1,12 @@
 """Rating-matrix factorization and top-k recommendations.
 
-The user x item matrix is never pivoted: it stays as sparse rows
-``(u_row, idx, val)``. The truncated SVD is randomized (as the reference's
-``TruncatedSVD``): a fixed number of passes over the rows, user-side
-matrices distributed, item-side matrices (items x l, the size of the model)
-on the driver; ``method='arpack'`` uses ``IndexedRowMatrix.computeSVD``.
-The item factors V are the only thing shipped to executors (broadcast, size
-items x k, independent of the number of ratings). Scores U.Sigma.V^T are
-produced and reduced to the top k per user *inside* ``mapInPandas`` batches,
-so the dense score matrix never exists as rows.
+The user x item matrix is never pivoted: it stays as cells ``(u_row, i_col, rating)``. The truncated SVD is randomized
+(as the reference's ``TruncatedSVD``): a fixed number of passes, each a join of the cells with a table of one row per
+item (or user) and a map-side combined sum per user (or item) in the JVM. Both sides stay distributed; only matrices as
+wide as the sketch (``n_factors`` + 10 squared) reach the driver.
+
+Scores U.Sigma . V^T come from joining blocks of users with blocks of items. Each pair of blocks is reduced to the top k
+per user inside ``mapInArrow``, so the dense score matrix never exists as rows.
 """
 
 from __future__ import annotations
@@ -16,22 +14,21 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.mllib.linalg import Vectors as MLlibVectors
-from pyspark.mllib.linalg import VectorUDT as MLlibVectorUDT
-from pyspark.mllib.linalg.distributed import IndexedRowMatrix
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
+import pyarrow as pa
 from pyspark import StorageLevel
+from pyspark.ml.functions import array_to_vector
+from pyspark.ml.stat import Summarizer
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
 
 from tastemine.operators.indexing import dense_index
-from tastemine.session import checkpoint, partitions_for
+from tastemine.session import checkpoint
 
 N_FACTORS = 50
 TOP_K = 10
-# elements of one in-task score block (rows x items)
-BLOCK_ELEMENTS = 4_000_000
+# rows of a block of users, and of a block of items, that are scored together
+USER_BLOCK = 1024
+ITEM_BLOCK = 4096
 
 
 def rating_matrix(df: DataFrame, user_col: str = "user_id", item_col: str = "movie_id",
@@ -54,212 +51,127 @@ class Factorization:
     users: DataFrame          # user_id, u_row, factors array<double> (U.Sigma)
     items: DataFrame          # item_id, i_col, factors array<double> (V row)
     sigma: list[float]
-    item_matrix: np.ndarray   # V, items x k, in column order
-    item_ids: list
+    n_items: int
     n_factors: int
     cells: DataFrame          # user_id, item_id, u_row, i_col, rating
 
 
-def sparse_rows(cells: DataFrame) -> DataFrame:
-    """Rows of the sparse matrix as ``(u_row, idx array<int>, val array<double>)``
-    (one JVM aggregate; a row holds at most one entry per item)."""
-    g = cells.groupBy("u_row").agg(F.array_sort(F.collect_list(F.struct("i_col", "rating"))).alias("_e"))
-    return g.select("u_row", F.transform("_e", lambda e: e["i_col"].cast("int")).alias("idx"),
-                    F.transform("_e", lambda e: e["rating"].cast("double")).alias("val"))
+def _names(n: int) -> list[str]:
+    return [f"c{j}" for j in range(n)]
 
 
-def _times_dense(rows: DataFrame, q: np.ndarray, post: np.ndarray | None = None) -> DataFrame:
-    """``Y = A @ Q`` (then ``@ post``): users stay distributed, Q (items x l,
-    model-sized) is broadcast. Output keeps the row so later passes need no join."""
-    sc = rows.sparkSession.sparkContext
-    bq = sc.broadcast(q)
-    bp = sc.broadcast(post)
+def _matrix(batch: pa.RecordBatch) -> np.ndarray:
+    """All columns of a batch but the first (the key) as a matrix."""
+    return np.stack([np.asarray(c) for c in batch.columns[1:]], axis=1)
 
-    def run(batches):
-        import pandas as pd
 
-        qv, pv = bq.value, bp.value
-        for pdf in batches:
-            lens = pdf["idx"].map(len).to_numpy()
-            idx = np.concatenate(pdf["idx"].to_numpy()).astype(np.int64)
-            val = np.concatenate(pdf["val"].to_numpy()).astype(np.float64)
-            starts = np.concatenate([[0], np.cumsum(lens)[:-1]])
-            y = np.add.reduceat(val[:, None] * qv[idx], starts, axis=0)
-            if pv is not None:
-                y = y @ pv
-            yield pd.DataFrame({"u_row": pdf["u_row"], "idx": pdf["idx"], "val": pdf["val"], "y": list(y)})
+def _times(cells: DataFrame, dense: DataFrame, inner: str, outer: str) -> DataFrame:
+    """Cells times a table (``inner``, c0..): per ``outer`` the sum of rating * row."""
+    cols = dense.columns[1:]
+    joined = cells.join(dense.withColumnRenamed(inner, "_k"), F.col(inner) == F.col("_k"))
+    return joined.groupBy(outer).agg(*[F.sum(F.col("rating") * F.col(c)).alias(c) for c in cols])
+
+
+def _gram(dense: DataFrame) -> np.ndarray:
+    """X^T X of a table (key, c0..): one matrix per task, summed in the JVM."""
+
+    def run(batches):
+        g = None
+        for batch in batches:
+            x = _matrix(batch)
+            g = x.T @ x if g is None else g + x.T @ x
+        if g is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([g.ravel()], pa.list_(pa.float64()))], names=["g"])
 
-    return rows.mapInPandas(run, "u_row bigint, idx array<int>, val array<double>, y array<double>")
+    part = dense.mapInArrow(run, "g array<double>")
+    n = len(dense.columns) - 1
+    return part.agg(Summarizer.sum(array_to_vector("g")).alias("s")).first()["s"].toArray().reshape(n, n)
 
 
-def _gram(y: DataFrame) -> np.ndarray:
-    """``Y^T Y`` (l x l) by one partial aggregate of per-batch Gram matrices."""
-    from pyspark.ml.functions import array_to_vector
-    from pyspark.ml.stat import Summarizer
+def _by(dense: DataFrame, m: np.ndarray) -> DataFrame:
+    """X @ m of a table (key, c0..); m is as wide as the sketch."""
+    key = dense.columns[0]
+    names = [key, *_names(m.shape[1])]
 
     def run(batches):
-        import pandas as pd
+        for batch in batches:
+            x = _matrix(batch) @ m
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c) for c in x.T)], names=names)
 
-        for pdf in batches:
-            m = np.vstack(pdf["y"].to_numpy())
-            yield pd.DataFrame({"g": [(m.T @ m).ravel()]})
+    return dense.mapInArrow(run, f"{key} bigint, " + ", ".join(f"{c} double" for c in names[1:]))
 
-    part = y.select("y").mapInPandas(run, "g array<double>")
-    tot = part.agg(Summarizer.sum(array_to_vector("g")).alias("s")).first()["s"].toArray()
-    n = int(round(len(tot) ** 0.5))
-    return tot.reshape(n, n)
 
+def _whitening(g: np.ndarray) -> np.ndarray:
+    """M such that X M has orthonormal columns, for g = X^T X; directions without weight are left out."""
+    w, v = np.linalg.eigh((g + g.T) / 2)
+    kept = w > 1e-12 * max(w.max(), 1e-300)
+    return v[:, kept] / np.sqrt(w[kept])
 
-def _transpose_times(y: DataFrame, n_items: int, post: np.ndarray | None = None) -> np.ndarray:
-    """``A^T @ (Y @ post)`` (items x l): partial sums per batch for the items it
-    touches, summed per item by a map-side-combined aggregate; the result is
-    model-sized (items x l) and returned to the driver."""
-    bp = y.sparkSession.sparkContext.broadcast(post)
 
-    def run(batches):
-        import pandas as pd
-
-        pv = bp.value
-        for pdf in batches:
-            ys = np.vstack(pdf["y"].to_numpy())
-            if pv is not None:
-                ys = ys @ pv
-            lens = pdf["idx"].map(len).to_numpy()
-            idx = np.concatenate(pdf["idx"].to_numpy()).astype(np.int64)
-            val = np.concatenate(pdf["val"].to_numpy()).astype(np.float64)
-            contrib = val[:, None] * np.repeat(ys, lens, axis=0)
-            uniq, inv = np.unique(idx, return_inverse=True)
-            z = np.zeros((len(uniq), ys.shape[1]))
-            np.add.at(z, inv, contrib)
-            yield pd.DataFrame({"i_col": uniq, "z": list(z)})
-
-    def combine(batches):
-        import pandas as pd
-
-        for pdf in batches:
-            if len(pdf) == 0:
-                continue
-            uniq, inv = np.unique(pdf["i_col"].to_numpy(), return_inverse=True)
-            zs = np.vstack(pdf["z"].to_numpy())
-            z = np.zeros((len(uniq), zs.shape[1]))
-            np.add.at(z, inv, zs)
-            yield pd.DataFrame({"i_col": uniq, "z": list(z)})
-
-    part = y.select("idx", "val", "y").mapInPandas(run, "i_col bigint, z array<double>")
-    # each item's partial sums meet in one partition (at most one per map
-    # batch: bounded by the batch count, not by the data of a hot item)
-    parts = y.sparkSession.sparkContext.defaultParallelism
-    summed = part.repartition(parts, "i_col").mapInPandas(
-        combine, "i_col bigint, z array<double>")
-    pdf = summed.toPandas()
-    out = np.zeros((n_items, len(pdf["z"].iloc[0]) if len(pdf) else 0))
-    if len(pdf):
-        out[pdf["i_col"].to_numpy()] = np.vstack(pdf["z"].to_numpy())
-    return out
-
-
-def _chol_inv(g: np.ndarray) -> np.ndarray:
-    """R^-1 of the Cholesky factor of a Gram matrix (CholeskyQR step)."""
-    g = (g + g.T) / 2.0
-    jitter = 1e-12 * max(1.0, float(np.trace(g)))
-    r = np.linalg.cholesky(g + jitter * np.eye(len(g))).T
-    return np.linalg.inv(r)
-
-
-def randomized_svd(rows: DataFrame, n_items: int, k: int, oversample: int = 10, n_iter: int = 5,
-                   seed: int = 42):
-    """Distributed randomized truncated SVD (Halko-Martinsson-Tropp, as
-    scikit-learn's ``TruncatedSVD``): Gaussian test matrix, ``n_iter`` power
-    iterations, CholeskyQR2 on the distributed user side, QR / SVD of the
-    items x l side on the driver. 2 * n_iter + 2 passes over the matrix.
-    Returns (Y-frame, M, sigma, V): user factors U.Sigma = y @ M."""
-    l = min(k + oversample, n_items)
-    rng = np.random.default_rng(seed)
-    q = rng.standard_normal((n_items, l))
-    # Y is read twice per step (Gram, then A^T Y): cached, and recomputable in
-    # one pass from the checkpointed rows if an executor is lost.
+def randomized_svd(cells: DataFrame, items: DataFrame, k: int, n_items: int, oversample: int = 10, n_iter: int = 5, seed: int = 42):
+    """Randomized truncated SVD (Halko, Martinsson, Tropp): a Gaussian test matrix that depends on the item's position
+    alone, ``n_iter`` power iterations, and the small problem on the driver. Returns tables of U.Sigma and V and the
+    singular values."""
+    width = min(k + oversample, n_items)
+    names = ["i_col", *_names(width)]
+
+    def gaussian(batches):
+        for batch in batches:
+            x = np.stack([np.random.default_rng((seed, i)).standard_normal(width) for i in batch.column(0).to_pylist()])
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c) for c in x.T)], names=names)
+
+    q = checkpoint(items.select("i_col").mapInArrow(gaussian, "i_col bigint, " + ", ".join(f"{c} double" for c in names[1:])))
     for _ in range(n_iter):
-        y = _times_dense(rows, q).persist(StorageLevel.MEMORY_AND_DISK)
-        rinv = _chol_inv(_gram(y))
-        q, _ = np.linalg.qr(_transpose_times(y, n_items, rinv))
-        y.unpersist()
-    y = _times_dense(rows, q).persist(StorageLevel.MEMORY_AND_DISK)
-    r1 = _chol_inv(_gram(y))
+        z = checkpoint(_times(cells, _times(cells, q, "i_col", "u_row"), "u_row", "i_col"))
+        q = _by(z, _whitening(_gram(z)))
+    q = checkpoint(q)
+    q = checkpoint(_by(q, _whitening(_gram(q))))  # a second time for accuracy
+    y = _times(cells, q, "i_col", "u_row").persist(StorageLevel.MEMORY_AND_DISK)
+    m = _whitening(_gram(y))
+    u = checkpoint(_by(y, m))
     y.unpersist()
-    y2 = checkpoint(_times_dense(rows, q, r1))          # Y R1^-1, second CholeskyQR pass
-    r2 = _chol_inv(_gram(y2))
-    bt = _transpose_times(y2, n_items, r2)              # B^T = A^T Q_u  (items x l)
-    uhat, sig, vt = np.linalg.svd(bt.T, full_matrices=False)
-    m = r2 @ uhat[:, :k] * sig[:k]                      # U.Sigma = (Y2 R2^-1) Uhat_k Sigma_k
-    return y2, m, sig[:k], vt[:k].T
+    m = _whitening(_gram(u))
+    z = checkpoint(_by(_times(cells, u, "u_row", "i_col"), m))
+    w, v = np.linalg.eigh(_gram(z))
+    kept = np.argsort(-w)[:k]
+    sigma = np.sqrt(np.maximum(w[kept], 0))
+    inverse = np.divide(1, sigma, out=np.zeros_like(sigma), where=sigma > 0)
+    return _by(u, m @ v[:, kept] * sigma), _by(z, v[:, kept] * inverse), sigma
 
 
 def factorize(ratings: DataFrame, user_col: str = "user_id", item_col: str = "movie_id",
-              rating_col: str = "rating", n_factors: int = N_FACTORS, method: str = "randomized") -> Factorization:
+              rating_col: str = "rating", n_factors: int = N_FACTORS) -> Factorization:
     """Truncated SVD of the 0-filled user x item mean-rating matrix (no
     centring), k = min(n_factors, items - 1). Rows are users sorted by id,
-    columns items sorted by id (the pivot's order).
-
-    ``method='randomized'`` (default, the reference's algorithm) makes a fixed
-    number of passes; ``'arpack'`` uses ``IndexedRowMatrix.computeSVD``."""
-    spark = ratings.sparkSession
+    columns items sorted by id (the pivot's order)."""
     cells = rating_matrix(ratings, user_col, item_col, rating_col)
-    u_idx = dense_index(cells.select(user_col).distinct(), [user_col], "u_row")
-    i_idx = dense_index(cells.select(item_col).distinct(), [item_col], "i_col")
+    u_idx = checkpoint(dense_index(cells.select(user_col).distinct(), [user_col], "u_row"))
+    i_idx = checkpoint(dense_index(cells.select(item_col).distinct(), [item_col], "i_col"))
     cells = checkpoint(cells.join(u_idx, user_col).join(i_idx, item_col))
     n_items = i_idx.count()
-    n_users = u_idx.count()
     k = max(1, min(n_factors, n_items - 1))
-    # the passes over the rows are sequential, so the rows span every core;
-    # beyond that, about 200k non-zeros per partition
-    nnz = cells.count()
-    parts = partitions_for(spark, nnz, rows_per_partition=200_000,
-                           minimum=spark.sparkContext.defaultParallelism)
-    ids = [r[item_col] for r in i_idx.orderBy("i_col").select(item_col).collect()]
-    if method == "randomized":
-        rows = checkpoint(sparse_rows(cells).repartition(parts))
-        y2, m, s, v = randomized_svd(rows, n_items, k)
-        bm = spark.sparkContext.broadcast(m)
-
-        def proj(batches):
-            import pandas as pd
-
-            mv = bm.value
-            for pdf in batches:
-                f = np.vstack(pdf["y"].to_numpy()) @ mv
-                yield pd.DataFrame({"u_row": pdf["u_row"], "factors": list(f)})
-
-        users = checkpoint(y2.select("u_row", "y").mapInPandas(proj, "u_row bigint, factors array<double>")
-                           .join(u_idx, "u_row"))
-    else:
-        users, s, v = _arpack(spark, cells, u_idx, n_items, k, parts)
-    items = spark.createDataFrame(
-        [(ids[j], j, [float(x) for x in v[j]]) for j in range(len(ids))],
-        f"{item_col} {dict(i_idx.dtypes)[item_col]}, i_col bigint, factors array<double>")
-    return Factorization(users, items, [float(x) for x in s], v, ids, k, cells)
-
-
-def _arpack(spark, cells, u_idx, n_items, k, parts):
-    rows = cells.groupBy("u_row").agg(F.collect_list(F.struct("i_col", "rating")).alias("_cells"))
-
-    def to_row(r):
-        pairs = sorted((int(c["i_col"]), float(c["rating"])) for c in r["_cells"])
-        return int(r["u_row"]), MLlibVectors.sparse(n_items, [p[0] for p in pairs], [p[1] for p in pairs])
-
-    # One Python pass builds the sparse rows; the result is checkpointed
-    # (reliable) and cached on the JVM side, so the many ARPACK iterations
-    # read cached rows instead of re-running the Python conversion.
-    row_df = spark.createDataFrame(rows.rdd.map(to_row), T.StructType([
-        T.StructField("index", T.LongType(), False), T.StructField("vector", MLlibVectorUDT(), False)]))
-    row_df = checkpoint(row_df.repartition(parts)).persist(StorageLevel.MEMORY_AND_DISK)
-    row_df.count()
-    svd = IndexedRowMatrix(row_df, numCols=n_items).computeSVD(k, computeU=True)
-    s = np.array(svd.s.toArray())
-    v = np.array(svd.V.toArray())
-    us = svd.U.rows.map(lambda r: (int(r.index), [float(x) for x in (r.vector.toArray() * s)]))
-    users = checkpoint(spark.createDataFrame(us, "u_row bigint, factors array<double>").join(u_idx, "u_row"))
-    row_df.unpersist()
-    return users, s, v
+    us, v, sigma = randomized_svd(cells.select("u_row", "i_col", "rating"), i_idx, k, n_items)
+
+    def named(dense: DataFrame, ids: DataFrame, key: str) -> DataFrame:
+        return checkpoint(dense.select(key, F.array(*dense.columns[1:]).alias("factors")).join(ids, key))
+
+    return Factorization(named(us, u_idx, "u_row"), named(v, i_idx, "i_col"), [float(x) for x in sigma], n_items, len(sigma), cells)
+
+
+def _top(users: np.ndarray, u: np.ndarray, items: np.ndarray, v: np.ndarray, seen: np.ndarray | None, k: int):
+    """Of a block of users and one of items: (user, item, score) of each user's k best, ties by item."""
+    scores = u @ v.T
+    if seen is not None:
+        scores[seen[0], seen[1]] = -np.inf
+    top = min(k, len(items))
+    least = np.partition(scores, len(items) - top, axis=1)[:, len(items) - top]
+    row, col = np.nonzero((scores >= least[:, None]) & np.isfinite(scores))
+    value = scores[row, col]
+    order = np.lexsort((items[col], -value, row))
+    row, col, value = row[order], col[order], value[order]
+    first = np.searchsorted(row, row)
+    kept = np.arange(len(row)) - first < top
+    return users[row[kept]], items[col[kept]], value[kept]
 
 
 def recommend(fact: Factorization, titles: DataFrame | None = None, k: int = TOP_K,
@@ -268,54 +180,44 @@ def recommend(fact: Factorization, titles: DataFrame | None = None, k: int = TOP
     """score = U.Sigma . V^T for every item, top k per user
     (score desc, item id asc), score rounded to 2, title lookup with default.
 
-    V is broadcast once; each task scores its users in blocks of at most
-    ``BLOCK_ELEMENTS`` cells and keeps only the top k per user. With
-    ``exclude_seen`` the user's rated items are masked before ranking.
+    Blocks of users meet every block of items by an equi-join on the block;
+    each pair keeps the top k per user, and these are merged per user. With
+    ``exclude_seen`` rated items are masked before ranking.
     """
-    spark = fact.users.sparkSession
-    bc_v = spark.sparkContext.broadcast(fact.item_matrix)
-    bc_ids = spark.sparkContext.broadcast(np.array(fact.item_ids))
-    users = fact.users
-    if exclude_seen:
-        seen = fact.cells.groupBy("u_row").agg(F.collect_list("i_col").alias("_seen"))
-        users = users.join(seen, "u_row", "left")
+    def blocks(df: DataFrame, key: str, size: int, name: str) -> DataFrame:
+        rows = F.array_sort(F.collect_list(F.struct(key, "factors")))
+        return df.groupBy(F.floor(F.col(key) / size).cast("bigint").alias(name)).agg(rows.alias(f"_{name}"))
+
+    n_blocks = -(-fact.n_items // ITEM_BLOCK)
+    users = blocks(fact.users, "u_row", USER_BLOCK, "ub").withColumn("_to", F.explode(F.sequence(F.lit(0), F.lit(max(n_blocks - 1, 0)))))
+    pairs = users.join(blocks(fact.items, "i_col", ITEM_BLOCK, "ib"), F.col("_to") == F.col("ib"))
+    if exclude_seen:  # at most a block of users times a block of items per row
+        where = [F.floor(F.col("u_row") / USER_BLOCK).cast("bigint").alias("_sub"), F.floor(F.col("i_col") / ITEM_BLOCK).cast("bigint").alias("_sib")]
+        seen = fact.cells.groupBy(*where).agg(F.collect_list("u_row").alias("_su"), F.collect_list("i_col").alias("_si"))
+        pairs = pairs.join(seen, (F.col("ub") == F.col("_sub")) & (F.col("ib") == F.col("_sib")), "left")
+        pairs = pairs.select("_ub", "_ib", "_su", "_si")
     else:
-        users = users.withColumn("_seen", F.lit(None).cast("array<bigint>"))
-    item_type = "bigint" if np.issubdtype(np.array(fact.item_ids).dtype, np.integer) else "string"
+        pairs = pairs.select("_ub", "_ib")
 
     def score(batches):
-        import pandas as pd
-
-        v = bc_v.value
-        ids = bc_ids.value
-        n_items = v.shape[0]
-        top = min(k, n_items)
-        step = max(1, BLOCK_ELEMENTS // max(1, n_items))
-        for pdf in batches:
-            out = []
-            for start in range(0, len(pdf), step):
-                block = pdf.iloc[start:start + step]
-                u = np.vstack(block["factors"].to_numpy())
-                sc = u @ v.T
-                for r, seen in enumerate(block["_seen"]):
-                    if seen is not None and len(seen):
-                        sc[r, np.asarray(seen, dtype=np.int64)] = -np.inf
-                # top-k: argpartition, then exact order (score desc, item position asc)
-                part = np.argpartition(-sc, top - 1, axis=1)[:, :top] if top < n_items else \
-                    np.tile(np.arange(n_items), (len(block), 1))
-                for r, uid in enumerate(block[user_col]):
-                    cand = part[r]
-                    vals = sc[r, cand]
-                    order = np.lexsort((cand, -vals))
-                    for rank, j in enumerate(cand[order], 1):
-                        if np.isfinite(sc[r, j]):
-                            out.append((uid, ids[j].item() if hasattr(ids[j], "item") else ids[j],
-                                        float(sc[r, j]), rank))
-            yield pd.DataFrame(out, columns=[user_col, item_col, "raw_score", "rank"])
-
-    recs = users.select(user_col, "factors", "_seen").mapInPandas(
-        score, f"{user_col} string, {item_col} {item_type}, raw_score double, rank int")
-    recs = recs.withColumn("score", F.round("raw_score", 2)).drop("raw_score")
+        def side(rows):
+            parts = rows.values.flatten()
+            return np.asarray(parts[0]), np.stack(parts[1].to_numpy(zero_copy_only=False))
+
+        for batch in batches:
+            for at in range(batch.num_rows):
+                (uid, u), (iid, v) = side(batch.column(0)[at]), side(batch.column(1)[at])
+                seen = None
+                if exclude_seen and batch.column(2)[at].is_valid:
+                    a, b = (np.asarray(batch.column(c)[at].values) for c in (2, 3))
+                    seen = np.stack([np.searchsorted(uid, a), np.searchsorted(iid, b)])
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in _top(uid, u, iid, v, seen, k)], names=["u_row", "i_col", "raw_score"])
+
+    best = pairs.mapInArrow(score, "u_row bigint, i_col bigint, raw_score double")
+    rank = F.row_number().over(Window.partitionBy("u_row").orderBy(F.desc("raw_score"), "i_col"))
+    best = best.withColumn("rank", rank).where(F.col("rank") <= k)
+    recs = best.join(fact.users.select("u_row", user_col), "u_row").join(fact.items.select("i_col", item_col), "i_col")
+    recs = recs.withColumn("score", F.round("raw_score", 2))
     if titles is not None:
         recs = recs.join(titles, item_col, "left")
     else:
@@ -338,7 +240,7 @@ def reconstruction_error(fact: Factorization) -> DataFrame:
         F.avg(F.abs(F.col("rating") - F.col("_p"))).alias("mae"),
         F.sum(F.col("rating") ** 2 - 2 * F.col("rating") * F.col("_p")).alias("_cross"),
     )
-    n_items = len(fact.item_ids)
+    n_items = fact.n_items
     norms = fact.users.agg(
         F.sum(F.aggregate("factors", F.lit(0.0), lambda acc, x: acc + x * x)).alias("_pp"),
         F.count(F.lit(1)).alias("_nu"))
