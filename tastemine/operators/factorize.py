@@ -249,13 +249,17 @@ def reconstruction_error(fact: Factorization) -> DataFrame:
         F.sqrt((F.col("_cross") + F.col("_pp")) / (F.col("_nu") * F.lit(n_items))).alias("rmse_all_cells"))
 
 
+def total_variance(cells: DataFrame, n_users: int, item_col: str) -> DataFrame:
+    """The variance of all columns of the 0-filled matrix, from per-item sums of the cells."""
+    col = cells.groupBy(item_col).agg(F.sum("rating").alias("s"), F.sum(F.col("rating") ** 2).alias("q"))
+    return col.agg(F.sum(F.col("q") / n_users - (F.col("s") / n_users) ** 2).alias("total_variance"))
+
+
 def explained_variance(fact: Factorization) -> DataFrame:
     """Var of each U.Sigma column / total column variance of the matrix
     (population variances, zeros included), one row per component plus the
     total. Column variances come from per-item sums of the sparse cells."""
-    nu = fact.users.count()
-    col = fact.cells.groupBy("i_col").agg(F.sum("rating").alias("s"), F.sum(F.col("rating") ** 2).alias("q"))
-    total = col.agg(F.sum(F.col("q") / nu - (F.col("s") / nu) ** 2).alias("_total"))
+    total = total_variance(fact.cells, fact.users.count(), "i_col").withColumnRenamed("total_variance", "_total")
     comp = fact.users.select(F.posexplode("factors").alias("component", "x")).groupBy("component").agg(
         F.var_pop("x").alias("_var"))
     return comp.crossJoin(total).select("component", (F.col("_var") / F.col("_total")).alias("ratio"))

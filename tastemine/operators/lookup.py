@@ -9,7 +9,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tastemine.functions.fuzzy import match_titles
 from tastemine.functions.genres import display_genres
 from tastemine.operators.cleaning import ORDER_COL
 
@@ -72,35 +71,53 @@ def user_recommendations(recs: DataFrame, user_id: str) -> DataFrame:
     return recs.filter(F.col("user_id") == user_id).orderBy("rank")
 
 
-def rule_recommendations(queries: DataFrame, rules: DataFrame, fuzzy: bool = True, top: int = TOP_RULE_RECS,
-                         query_col: str = "query") -> DataFrame:
+# Scores of an exact and of a substring match.
+EXACT_SCORE = 2.0
+SUBSTRING_SCORE = 1.5
+_GRAM = 3
+
+
+def match_titles(queries: DataFrame, titles: DataFrame, query_col: str = "query", title_col: str = "title") -> DataFrame:
+    """``(query, title, score)`` of every title that equals a query or contains it, in any case.
+
+    Equal titles come from an equi-join on the lower-cased text. For substrings the first (up to) three characters of a
+    query are joined with every run of that length in the titles: a title that contains the query has that run, so
+    nothing is lost, and only those pairs are compared."""
+    q = queries.select(F.col(query_col).alias("query")).where(F.length(query_col) > 0).distinct()
+    q = q.withColumn("_q", F.lower("query")).withColumn("_gram", F.substring("_q", 1, _GRAM))
+    t = titles.select(F.col(title_col).alias("title")).where(F.col(title_col).isNotNull()).distinct().withColumn("_t", F.lower("title"))
+    starts = F.sequence(F.lit(1), F.greatest(F.length("_t"), F.lit(1)))
+    runs = F.flatten(F.array(*[F.transform(starts, _run_of(n)) for n in range(1, _GRAM + 1)]))
+    t = t.select("title", "_t", F.explode(F.array_distinct(runs)).alias("_gram"))
+    both = q.join(t, "_gram").where(F.contains("_t", "_q"))
+    score = F.when(F.col("_q") == F.col("_t"), EXACT_SCORE).otherwise(SUBSTRING_SCORE)
+    return both.select("query", "title", score.alias("score"))
+
+
+def _run_of(n: int):
+    return lambda i: F.substring(F.col("_t"), i, F.lit(n))
+
+
+def rule_recommendations(queries: DataFrame, rules: DataFrame, top: int = TOP_RULE_RECS, query_col: str = "query") -> DataFrame:
     """Title query -> rule-based recommendations, for a table of queries.
 
-    A rule is kept for a query when any antecedent title matches it (exact,
-    substring, or fuzzy ratio > 0.7). The matched title of a query is its best
-    match (score, then title). Consequents of the kept rules, minus the matched
-    title (case-insensitive), keep their best rule (lift, then confidence,
-    then rule text); the top N per query by lift (ties: title) are returned.
-    Deterministic replacement of the reference's order-dependent shared state.
+    A rule is kept for a query when any antecedent title matches it (exact or substring). The matched title of a query
+    is its best match (score, then title). Consequents of the kept rules, minus the matched title (case-insensitive),
+    keep their best rule (lift, then confidence); the top N per query by lift (ties: title) are returned.
+
+    Rules are first reduced to the best one per antecedent title and consequent, so a query meets each consequent of a
+    title once, not once per rule.
     """
-    # a content key (not a generated id): the rules are read by two branches
-    r = rules.withColumn("_rid", F.concat_ws("\u0001", F.array_join("antecedents", "\u0002"),
-                                             F.array_join("consequents", "\u0002")))
-    r = r.select("_rid", "antecedents", "consequents", "confidence", "lift",
-                 F.array_join("antecedents", "|").alias("_atext"))
-    r = r.filter(F.col("lift").isNotNull() & ~F.isnan("lift"))
-    ant = r.select("_rid", F.explode("antecedents").alias("title"))
-    titles = ant.select("title").distinct()
-    matches = match_titles(queries, titles, query_col=query_col, fuzzy=fuzzy)
-    best = matches.groupBy("query").agg(
+    r = rules.filter(F.col("lift").isNotNull() & ~F.isnan("lift"))
+    pairs = r.select(F.explode("antecedents").alias("title"), "consequents", "lift", "confidence")
+    pairs = pairs.select("title", F.explode("consequents").alias("movie_title"), "lift", "confidence")
+    best_rule = F.max(F.struct("lift", "confidence")).alias("_b")
+    pairs = pairs.groupBy("title", "movie_title").agg(best_rule).select("title", "movie_title", "_b.*")
+    matches = match_titles(queries, pairs.select("title"), query_col)
+    searched = matches.groupBy("query").agg(
         F.min_by("title", F.struct(F.negative("score"), F.col("title"))).alias("searched_movie"))
-    hit_rules = matches.join(ant, "title").select("query", "_rid").distinct()
-    cons = hit_rules.join(r, "_rid").select(
-        "query", F.explode("consequents").alias("movie_title"), "confidence", "lift", "_atext")
-    cons = cons.join(best, "query").filter(F.lower("movie_title") != F.lower("searched_movie"))
-    pick = F.max_by(F.struct("confidence", "lift"),
-                    F.struct(F.col("lift"), F.col("confidence"), F.negative(F.length("_atext")), "_atext"))
-    per = cons.groupBy("query", "movie_title", "searched_movie").agg(pick.alias("_b"))
+    per = matches.join(pairs, "title").groupBy("query", "movie_title").agg(best_rule)
+    per = per.join(searched, "query").filter(F.lower("movie_title") != F.lower("searched_movie"))
     w = Window.partitionBy("query").orderBy(F.desc("_b.lift"), "movie_title")
     ranked = per.select("query", "searched_movie", "movie_title", F.col("_b.confidence").alias("confidence"),
                         F.col("_b.lift").alias("lift"), F.row_number().over(w).alias("rank"))

@@ -301,17 +301,25 @@ def _mined(spark, sf):
     return Stages.of(spark, sf).mined(RULE_SUPPORT)
 
 
+def _level_sql(k: int) -> list[str]:
+    if k == 1:
+        occurs = "SELECT t, [item] AS items, item AS last FROM bk"
+    else:
+        occurs = f"SELECT o.t, list_append(o.items, b.item) AS items, b.item AS last FROM o{k - 1} o JOIN bk b ON b.t = o.t AND b.item > o.last"
+    return [f"a{k} AS MATERIALIZED ({occurs})",
+            f"f{k} AS MATERIALIZED (SELECT items, count(*) AS c FROM a{k} GROUP BY items HAVING count(*) >= (SELECT m FROM nb))",
+            f"o{k} AS MATERIALIZED (SELECT a.* FROM a{k} a SEMI JOIN f{k} f ON a.items = f.items)"]
+
+
 def _itemset_sql() -> list[str]:
     s = RULE_SUPPORT
     return [
         "bk AS (SELECT DISTINCT l.l_orderkey AS t, p.p_name AS item FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey)",
         "nb AS (SELECT count(DISTINCT t) AS n, ceil(" + repr(s) + " * count(DISTINCT t)) AS m FROM bk)",
-        "bs AS (SELECT t, list_sort(list(item)) AS items FROM bk GROUP BY t)",
-        # every non-empty subset of every basket, counted: exact for any itemset size
-        """sub AS (SELECT list_filter(items, lambda x, i: ((mask >> (i - 1)) & 1) = 1) AS items
-  FROM bs, range(1, 1 << len(items)) AS r(mask))""",
-        """fi AS (SELECT items, count(*) AS c, count(*) / (SELECT n FROM nb) AS support FROM sub
-  GROUP BY items HAVING count(*) >= (SELECT m FROM nb))""",
+        # level by level: occurrences of frequent sets, each extended by a later item of its basket. A basket has at
+        # most as many items as an order has lines (7), so seven levels are all there are.
+        *[part for k in range(1, 8) for part in _level_sql(k)],
+        "fi AS (" + " UNION ALL ".join(f"SELECT items, c, c / (SELECT n FROM nb) AS support FROM f{k}" for k in range(1, 8)) + ")",
         """sp AS (SELECT items, support, m AS mask FROM fi, range(1, (1 << len(items)) - 1) AS r(m) WHERE len(items) >= 2)""",
         """ru AS (SELECT list_filter(items, lambda x, i: ((mask >> (i - 1)) & 1) = 1) AS antecedents,
                  list_filter(items, lambda x, i: ((mask >> (i - 1)) & 1) = 0) AS consequents, support FROM sp)""",
@@ -395,7 +403,7 @@ def q_top_rules_multi(spark, sf):
 def _title_queries(spark, sf):
     """Query table derived from the part names: the name, its upper case,
     its first word and the name without its last letter (exact, exact,
-    substring, substring); the fuzzy variant drops the second letter."""
+    substring, substring)."""
     from tastemine.sources.views import table
     p = table(spark, sf, "part").select("p_name")
     return (p.select(F.col("p_name").alias("query"))
@@ -431,18 +439,7 @@ TITLE_QUERIES_SQL = """q AS (SELECT DISTINCT query FROM (
 def q_rule_lookup_exact(spark, sf):
     """L5 with exact and substring matching (SQL-checkable)."""
     from tastemine.operators.lookup import rule_recommendations
-    return emit(rule_recommendations(_title_queries(spark, sf), _mined(spark, sf).rules, fuzzy=False))
-
-
-@register("rule_lookup_fuzzy")
-def q_rule_lookup_fuzzy(spark, sf):
-    """L5 with fuzzy matching (SequenceMatcher ratio > 0.7): queries with a
-    dropped second letter. Rows-only (no SQL equivalent of the ratio)."""
-    from tastemine.operators.lookup import rule_recommendations
-    from tastemine.sources.views import table
-    q = table(spark, sf, "part").select(
-        F.concat(F.substring("p_name", 1, 1), F.expr("substring(p_name, 3)")).alias("query")).distinct()
-    return emit(rule_recommendations(q, _mined(spark, sf).rules, fuzzy=True))
+    return emit(rule_recommendations(_title_queries(spark, sf), _mined(spark, sf).rules))
 
 
 @register("item_dictionary", O.with_query(O.stage_ctes("split"), f"""SELECT movie_id, movie_title FROM (
@@ -1147,3 +1144,6 @@ def q_clustering_metrics(spark, sf):
         "pca_explained_variance_ratio": F.array(*[F.lit(r) for r in ratios]),
         "pca_total_explained_variance": F.lit(float(sum(ratios)))})
     return head.crossJoin(k_analysis).crossJoin(dist).crossJoin(ev).crossJoin(prof)
+
+
+from tastemine.plans import served  # noqa: E402,F401  registers its queries

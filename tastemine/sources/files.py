@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import json
 import os
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,12 +44,14 @@ def null_tokens_to_null(df: DataFrame) -> DataFrame:
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
-             columns: list[str] | None = None, order_col: str | None = "row_ord") -> DataFrame:
-    """IO1 / IO2: header CSV with quoted multi-line fields, explicit schema,
-    pandas null tokens -> NULL, optional column pruning (Catalyst prunes the
-    scan). ``row_ord`` = (file, position) keeps the file order for keep-first /
-    keep-last semantics."""
-    reader = spark.read.option("header", True).option("multiLine", True).option("escape", '"')
+             columns: list[str] | None = None, order_col: str | None = "row_ord",
+             multi_line: bool = False) -> DataFrame:
+    """IO1 / IO2: header CSV, explicit schema, pandas null tokens -> NULL,
+    optional column pruning (Catalyst prunes the scan). ``row_ord`` = (file,
+    position) keeps the file order for keep-first / keep-last semantics.
+    ``multi_line`` admits line breaks in quoted fields; Spark then reads each
+    file in one task, so it is off unless asked for."""
+    reader = spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"')
     if schema is not None:
         reader = reader.schema(schema)
     df = reader.csv(path)
@@ -135,9 +136,6 @@ def save_model(model, path: str) -> None:
 
 
 def save_params(df: DataFrame, path: str) -> None:
-    """IO9: fitted parameter tables (min/max, vocabularies, label codes)."""
-    write_parquet(df.coalesce(1), path)
-
-
-def union_all(frames: list[DataFrame]) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    """IO9: fitted parameter tables (min/max, vocabularies, label codes); a
+    label-code table has a row per user or item, so it is written as it lies."""
+    write_parquet(df, path)

@@ -12,11 +12,11 @@ def test_csv_round_trip_with_null_tokens(spark, tmp_path):
     src.write_text('user_id,movie_id,movie_title,rating,genres,cast,release_year,language\n'
                    'u1,1,"A, ""quoted"" title",7.5,"[""Drama""]",x,2001,en\n'
                    'NA,2,b,n/a,null,,NaN,None\n')
-    df = IO.read_csv(spark, str(src), schema=IO.RAW_SCHEMA)
+    df = IO.read_csv(spark, str(src), schema=IO.RAW_SCHEMA, multi_line=True)
     r = sorted(df.drop("row_ord").collect(), key=lambda x: x["movie_id"])
     assert r[0]["movie_title"] == 'A, "quoted" title' and r[0]["genres"] == '["Drama"]'
     assert all(v is None for k, v in r[1].asDict().items() if k not in ("movie_id", "movie_title"))
-    pruned = IO.read_csv(spark, str(src), schema=IO.RAW_SCHEMA, columns=["user_id", "rating"])
+    pruned = IO.read_csv(spark, str(src), schema=IO.RAW_SCHEMA, multi_line=True, columns=["user_id", "rating"])
     assert pruned.columns == ["user_id", "rating", "row_ord"]
     out = tmp_path / "out"
     IO.write_csv(df.withColumn("lst", F.array(F.lit("a"), F.lit("b"))).drop("row_ord"), str(out))
