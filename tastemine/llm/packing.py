@@ -7,7 +7,7 @@ Sequences in the same state are a range of numbers, so the plan is a list of ran
 that occur, not on the documents. Pieces then take the planned slots by joining on (length, rank within the length).
 
 Ranks come from one distributed sort; a length that most pieces have is split over many tasks like any other stretch of
-the sort. Python only tokenises: a white-space delimited part of a text is looked up in a bounded table of parts seen
+the sort. Python only tokenises: a white-space delimited part of a text is looked up in bounded tables of parts seen
 before, as the tokenizer drops white space and never joins what it separates.
 
 A null text is empty; an empty text is one piece, id 0. Rows that agree in everything get a place each. Null ids are
@@ -16,12 +16,14 @@ kept. An empty table gives no pieces.
 
 from __future__ import annotations
 
+import os
 import zlib
 from bisect import insort
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,8 +34,10 @@ from tastemine.session import checkpoint
 
 SEQUENCE = 2048
 END = 0
-#: parts of texts whose ids a worker remembers
+#: stems whose ids a worker remembers, up to twice as many
 REMEMBERED = 400_000
+#: texts tokenised together
+ROWS = 1024
 
 
 def tokenizer_path() -> str:
@@ -43,28 +47,82 @@ def tokenizer_path() -> str:
 
 
 class PartIds:
-    """Ids of texts as little-endian unsigned 32-bit numbers, through a bounded table of white-space delimited parts."""
+    """Ids of texts as little-endian unsigned 32-bit numbers, through a table of parts' stems.
+
+    Arrow cuts a batch of texts into white-space delimited parts and numbers the different ones. Each of those is looked
+    up by its stem: without the punctuation behind an ASCII letter or digit, where the tokenizer always cuts, and in
+    lower case, as the tokenizer folds case. New stems are tokenised many at a time, with a mark between them."""
+
+    _of: dict[str, PartIds] = {}
+    MARK = b"\x01"
+    PUNCTUATION = b".,;:!?"
+    ALNUM = frozenset(b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789")
+
+    @classmethod
+    def of(cls, path: str) -> PartIds:
+        """The worker's tables for a tokenizer; later tasks of the same worker find them filled."""
+        if path not in cls._of:
+            cls._of[path] = cls(path)
+        return cls._of[path]
 
     def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark has the cores
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
-
-    def batch(self, texts: Iterable[str]) -> Iterator[bytes]:
-        # bytes.split() knows just the six ASCII white-space characters
-        split = [text.encode().split() for text in texts]
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        known = self.known
-        new = list({part for parts in split for part in parts if part not in known})
-        for i in range(0, len(new), 20_000):
-            some = new[i : i + 20_000]
-            encoded = self.tokenizer.encode_batch_fast([part.decode() for part in some], add_special_tokens=False)
-            for part, found in zip(some, encoded, strict=True):
-                known[part] = np.array(found.ids, dtype="<u4").tobytes()
-        for parts in split:
-            yield b"".join(map(known.__getitem__, parts))
+        self.size = REMEMBERED
+        self.stems: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
+        self.mark = np.array(self.tokenizer.encode(self.MARK.decode(), add_special_tokens=False).ids, dtype="<u4")
+
+    def _encode(self, new: list[bytes]) -> None:
+        plain = [x for x in new if self.MARK not in x] if len(self.mark) == 1 else []
+        between = b" " + self.MARK + b" "
+        groups = [plain[i : i + 500] for i in range(0, len(plain), 500)]
+        found = self.tokenizer.encode_batch_fast([between.join(some).decode() for some in groups], add_special_tokens=False)
+        for some, encoded in zip(groups, found, strict=True):
+            ids = np.array(encoded.ids, dtype="<u4")
+            cuts = np.flatnonzero(ids == self.mark[0])
+            starts, ends = np.append(0, cuts + 1), np.append(cuts, len(ids))
+            for stem, lo, hi in zip(some, starts.tolist(), ends.tolist(), strict=True):
+                self.stems[stem] = ids[lo:hi].tobytes()
+        for x in new if not plain else [x for x in new if self.MARK in x]:
+            self.stems[x] = np.array(self.tokenizer.encode(x.decode(), add_special_tokens=False).ids, dtype="<u4").tobytes()
+
+    def _cut(self, part: bytes) -> tuple[bytes, bytes]:
+        if b"<|" in part:  # may be a special token, which is one as it stands only
+            return part, b""
+        stem = part.rstrip(self.PUNCTUATION)
+        if not stem or stem[-1] not in self.ALNUM:
+            return part.lower(), b""
+        return stem.lower(), part[len(stem) :]
+
+    def _of_parts(self, parts: list[bytes]) -> list[bytes]:
+        """Ids of different parts. Once the table of stems is full, those not asked for since it last was are forgotten."""
+        if len(self.stems) > self.size:
+            self.old, self.stems = self.stems, {}
+        cut = [self._cut(part) for part in parts]
+        new = {x for pair in cut for x in pair}.difference(self.stems)
+        stems, old = self.stems, self.old
+        stems.update((x, old[x]) for x in new if x in old)
+        stems[b""] = b""
+        self._encode(list(new.difference(stems)))
+        return [stems[stem] + stems[rest] if rest else stems[stem] for stem, rest in cut]
+
+    def batch(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of some texts (an array of strings) in a row, and where each text's begin and end."""
+        split = pc.ascii_split_whitespace(texts)  # at the six ASCII white-space characters
+        flat = split.flatten().cast(pa.binary()).dictionary_encode()
+        known = self._of_parts(flat.dictionary.to_pylist())
+        size = np.fromiter(map(len, known), np.int64, len(known)) // 4
+        table = np.frombuffer(b"".join(known), dtype="<u4")
+        part = np.asarray(flat.indices)
+        n = size[part]
+        end = np.cumsum(n)
+        begin = (np.cumsum(size) - size)[part]
+        ids = table[np.repeat(begin - (end - n), n) + np.arange(end[-1] if len(end) else 0)]
+        words = np.cumsum(np.asarray(pc.list_value_length(split)))
+        return ids, np.concatenate([[0], np.append(0, end)[words]])
 
 
 def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sequence: int = SEQUENCE, tokenizer: str | None = None) -> DataFrame:
@@ -74,21 +132,21 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sequ
     schema = T.StructType([T.StructField("_id", id_type)] + [T.StructField(c, T.LongType()) for c in ("piece", "start", "length", "ids_crc32")])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = PartIds(path)
+        parts = PartIds.of(path)
         end = np.array([END], dtype="<u4").tobytes()
         for batch in batches:
-            ids = batch.column(0)
-            for lo in range(0, batch.num_rows, 256):
-                some = batch.column(1).slice(lo, 256).to_pylist()
+            for lo in range(0, batch.num_rows, ROWS):
+                some = batch.slice(lo, ROWS)
+                ids, borders = parts.batch(some.column(1))
                 rows, numbers = [], ([], [], [], [])
-                for row, own in enumerate(parts.batch(some), lo):
-                    own += end
+                for row in range(some.num_rows):
+                    own = ids[borders[row] : borders[row + 1]].tobytes() + end
                     for k, at in enumerate(range(0, len(own), 4 * sequence)):
                         piece = own[at : at + 4 * sequence]
                         rows.append(row)
                         for out, x in zip(numbers, (k, at // 4, len(piece) // 4, zlib.crc32(piece)), strict=True):
                             out.append(x)
-                yield pa.RecordBatch.from_arrays([ids.take(pa.array(rows, pa.int64())), *(pa.array(x, pa.int64()) for x in numbers)], names=schema.names)
+                yield pa.RecordBatch.from_arrays([some.column(0).take(pa.array(rows, pa.int64())), *(pa.array(x, pa.int64()) for x in numbers)], names=schema.names)
 
     return common.packed(docs, False, _id=F.col(f"`{id_col}`"), _t=common.text_of(text_col)).mapInArrow(run, schema)
 

@@ -10,6 +10,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 
@@ -455,6 +456,20 @@ def test_packing(docs, empty):
     assert packing.pack(empty).count() == 0
 
 
+def test_parts_tokenise_like_whole_texts():
+    from tokenizers import Tokenizer
+
+    tokenizer, rng = Tokenizer.from_file(packing.tokenizer_path()), random.Random(12)
+    parts = packing.PartIds(packing.tokenizer_path())
+    parts.size = 50  # forget often
+    bits = ["it's", "We'LL", ".", "..", "!?", ",", "é", "e\u0301", "ǅ", "İ", "ß", "<|endoftext|>", "<|ENDOFTEXT|>", "<|startoftext|>.", "\x01", "x\x01", "\u3000", "\xa0", "\x85", "9", "½", "١", "…", "a", "Bc", "Σ", "ΑΣ", "'", "'s", "\u200b", "😀", "_", "K"]
+    for _ in range(300):
+        texts = ["".join(rng.choice([*bits, " ", " ", "\n"]) for _ in range(rng.randint(0, 25))) for _ in range(6)]
+        ids, borders = parts.batch(pa.array(texts))
+        for text, lo, hi in zip(texts, borders, borders[1:], strict=False):
+            assert ids[lo:hi].tolist() == tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
+
+
 def test_plan_places_everything_once():
     rng = random.Random(9)
     for _ in range(40):
