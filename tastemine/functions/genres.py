@@ -30,9 +30,12 @@ def canonical_genre(name: Column) -> Column:
     """
     x = F.translate(F.lower(strip_unicode(name)), "_-", "  ")
     x = strip_unicode(collapse_whitespace(x))
-    # the alias table as one anchored pattern: no second evaluation of x
-    keys = "|".join(k for k, v in GENRE_ALIASES.items() if k != v)
-    return F.regexp_replace(x, f"^(?:{keys})$", GENRE_ALIASES["sci fi"])
+    # the aliases of a target as one anchored pattern: no second evaluation of x
+    for target in dict.fromkeys(GENRE_ALIASES.values()):
+        keys = "|".join(k for k, v in GENRE_ALIASES.items() if v == target and k != v)
+        if keys:
+            x = F.regexp_replace(x, f"^(?:{keys})$", target)
+    return x
 
 
 def _list_json(raw: Column) -> Column:

@@ -14,15 +14,14 @@ PY_WHITESPACE = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(chr(c
 WS_CLASS = "[\\t\\n\\x0B\\f\\r\\x1C-\\x1F \\x85\\xA0\\u1680\\u2000-\\u200A\\u2028\\u2029\\u202F\\u205F\\u3000]"
 # Text that a lenient numeric parser accepts (pandas ``to_numeric``).
 NUMERIC_RE = r"^[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|(?i:inf|infinity|nan))$"
-# Fixed date formats tried, in order, when a year is not a bare number.
+# Fixed date formats tried, in order, when a year is not a bare number: year first, month first, day first, and with
+# month names (in any case).
 DATE_FORMATS = (
-    "yyyy-MM-dd",
-    "yyyy-MM-dd HH:mm:ss",
-    "yyyy-MM-dd'T'HH:mm:ss",
-    "yyyy/MM/dd",
-    "MM/dd/yyyy",
-    "dd.MM.yyyy",
-    "yyyy-MM",
+    "yyyy-M-d", "yyyy-M-d H:mm:ss", "yyyy-M-d H:mm", "yyyy-M-d'T'HH:mm:ss", "yyyy-M-d'T'HH:mm:ssXXX", "yyyy-M-d'T'HH:mm:ss.SSSXXX",
+    "yyyy/M/d", "yyyy/M/d H:mm:ss", "yyyy.M.d", "yyyy-M",
+    "M/d/yyyy", "M/d/yyyy H:mm:ss", "M/d/yyyy H:mm", "M-d-yyyy",
+    "d/M/yyyy", "d-M-yyyy", "d.M.yyyy", "d.M.yyyy H:mm:ss",
+    "MMM d, yyyy", "MMMM d, yyyy", "MMM d yyyy", "MMMM d yyyy", "d MMM yyyy", "d MMMM yyyy", "d-MMM-yyyy", "MMM yyyy", "MMMM yyyy",
 )
 YEAR_MIN, YEAR_MAX = 1870, 2100
 
@@ -59,8 +58,8 @@ def standard_year(c: Column, dtype: T.DataType | None = None, date_fallback: boo
     if date_fallback:
         s = strip_unicode(c.cast("string"))
         parsed = F.coalesce(*[F.try_to_timestamp(s, F.lit(fmt)) for fmt in DATE_FORMATS])
-        # only text with a date separator can be a date
-        year = F.coalesce(year, F.when(s.rlike("[-/.]"), F.year(parsed).cast("double")))
+        # only text with a date separator or a month's name can be a date
+        year = F.coalesce(year, F.when(s.rlike("[-/.]|[A-Za-z]{3}"), F.year(parsed).cast("double")))
     return year.cast("int")
 
 

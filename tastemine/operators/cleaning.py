@@ -77,11 +77,6 @@ def _dtype(df: DataFrame, name: str) -> T.DataType:
     return df.schema[name].dataType
 
 
-# Dictionary joins are broadcast only below this many distinct values (a
-# checked bound); above it they are ordinary shuffle joins.
-MAX_BROADCAST_DICTIONARY = 200_000
-
-
 def parse_by_dictionary(df: DataFrame, src: str, outputs: dict, key: str = "_dkey",
                         materialize: bool = True) -> DataFrame:
     """Evaluate expensive per-value expressions once per *distinct* value of
@@ -90,9 +85,8 @@ def parse_by_dictionary(df: DataFrame, src: str, outputs: dict, key: str = "_dke
     Genre and year texts repeat massively, and their parsing (JSON, regexes,
     collation-aware case mapping) costs microseconds per value. The distinct
     values come from a map-side-combined aggregate; the dictionary is
-    checkpointed, its size is counted, and it is broadcast only under
-    ``MAX_BROADCAST_DICTIONARY`` rows (a plain join otherwise). ``df`` should
-    be materialised (checkpointed) since it is read twice. ``outputs`` maps
+    checkpointed, and AQE broadcasts it if it turns out to be small. ``df``
+    should be materialised (checkpointed) since it is read twice. ``outputs`` maps
     output name -> function(Column) -> Column, or a staged builder.
     """
     from tastemine.session import checkpoint
@@ -105,8 +99,6 @@ def parse_by_dictionary(df: DataFrame, src: str, outputs: dict, key: str = "_dke
             d = d.withColumn(name, build(F.col(key)))
     if materialize:
         d = checkpoint(d)
-        if d.count() <= MAX_BROADCAST_DICTIONARY:
-            d = F.broadcast(d)
     joined = df.join(d, df[src].eqNullSafe(d[key]), "left")
     return joined.drop(key)
 
@@ -175,10 +167,12 @@ def drop_exact_duplicates(df: DataFrame, order_col: str = ORDER_COL, count_col:
 
 
 def _keep_by_key(df: DataFrame, keys: list[str], order_col: str, last: bool) -> DataFrame:
-    pick = F.max_by if last else F.min_by
-    rest = [c for c in df.columns if c not in keys]
-    agg = df.groupBy(*keys).agg(pick(F.struct(*[F.col(c) for c in rest]), F.col(order_col)).alias("_s"))
-    return agg.select(*[F.col(c) if c in keys else F.col("_s")[c].alias(c) for c in df.columns])
+    """The winner's order per key, then its row: with a 64-bit order both the
+    grouping and the join work on hashes of fixed-size values, no row is
+    sorted to find a maximum. The order is unique, so it names the row."""
+    pick = F.max if last else F.min
+    best = df.groupBy(*keys).agg(pick(order_col).alias("_best")).select("_best")
+    return df.join(best, F.col(order_col) == F.col("_best"), "left_semi")
 
 
 def keep_last_by_key(df: DataFrame, keys=KEY_COLUMNS, order_col: str = ORDER_COL) -> DataFrame:
@@ -220,12 +214,6 @@ def filter_high_rating(df: DataFrame, threshold: float = 7.0, col: str = "rating
     return df.filter(F.col(col) >= threshold)
 
 
-def finite(col: str) -> Column:
-    """Not null, not NaN, not infinite."""
-    c = F.col(col)
-    return c.isNotNull() & ~F.isnan(c) & (F.abs(c) < F.lit(float("inf")))
-
-
 @dataclass
 class Cleaned:
     """Result of ``clean_dataset``: the cleaned rows and a one-row stats frame.
@@ -278,16 +266,15 @@ def clean_dataset(raw: DataFrame, profile: str = "full", genre_parser: str = "cl
         exact = drop_exact_duplicates(df, order_col, count_col="_rows")
     else:
         exact = df.withColumn("_rows", F.lit(1).cast("bigint"))
-    # keep-last per key; also count the rows and exact classes folded into it
-    rest = [c for c in exact.columns if c not in KEY_COLUMNS and c != "_rows"]
+    # keep-last per key: the last order of each, with the rows and exact
+    # classes folded into it, then that row (the order names it)
+    exact = checkpoint(exact)
     agg = exact.groupBy(*KEY_COLUMNS).agg(
-        F.max_by(F.struct(*[F.col(c) for c in rest]), F.col(order_col)).alias("_s"),
-        F.sum("_rows").alias("_rows"),
-        F.count(F.lit(1)).alias("_classes"),
-    )
+        F.max(order_col).alias("_best"), F.sum("_rows").alias("_total"), F.count(F.lit(1)).alias("_classes"))
+    agg = agg.select("_best", F.col("_total").alias("_rows"), "_classes")
     # stage boundary: the deduplicated rows are read by the dictionaries, the
     # cleaned output and the stats
-    survivors = checkpoint(agg.select(*KEY_COLUMNS, "_s.*", "_rows", "_classes"))
+    survivors = checkpoint(exact.drop("_rows").join(agg, F.col(order_col) == F.col("_best")).drop("_best"))
     survivors = parse_by_dictionary(survivors, "release_year", {
         "release_year_clean": lambda c: standard_year(c, year_type, date_fallback=full)})
     survivors = parse_by_dictionary(survivors, "genres", {"genres_list": _staged_genres(genre_parser)})

@@ -17,7 +17,6 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tastemine.functions.text import quality_label
 from tastemine.session import partitions_for
 
 SEED = 42
@@ -118,7 +117,7 @@ def silhouette_sq(points: DataFrame, feat: str = "features", label: str = "predi
          .when(a < b, 1.0 - a / b)
          .when(a > b, b / a - 1.0)
          .otherwise(F.lit(0.0)))
-    return scored.agg(F.avg(s).alias("silhouette"))
+    return scored.agg(F.avg(s).alias("silhouette_sq"))
 
 
 def davies_bouldin(points: DataFrame, feat: str = "features", label: str = "prediction") -> DataFrame:
@@ -165,22 +164,47 @@ def cluster_indices(points: DataFrame, feat: str = "features", label: str = "pre
 
 # --- K2 / K6 -------------------------------------------------------------------------------------
 
-def fit_kmeans(features: DataFrame, k: int, seed: int = SEED, n_init: int = N_INIT,
-               parallel: int = 8) -> KMeansModel:
-    """Best of ``n_init`` k-means runs (seeds seed..seed+n_init-1) by cost.
-    Runs are independent Spark jobs submitted from a small thread pool."""
-    def one(s):
-        return KMeans(k=k, seed=s, maxIter=MAX_ITER, tol=TOL, featuresCol="features",
-                      predictionCol="prediction").fit(features)
+def fit_input(features: DataFrame) -> DataFrame:
+    """The cached input of all fits (the first column is the id): partitions
+    and the order within them depend on the data alone, so a fit is the same
+    on any number of cores."""
+    key = features.columns[0]
+    n = partitions_for(features.count(), 50_000)
+    return features.repartition(n, key).sortWithinPartitions(key).persist()
 
-    with ThreadPoolExecutor(max_workers=max(1, min(parallel, n_init))) as ex:
-        models = list(ex.map(one, range(seed, seed + n_init)))
-    return min(models, key=lambda m: m.summary.trainingCost)
+
+def best_of(features: DataFrame, k_values, seed: int = SEED, n_init: int = N_INIT, parallel: int = 16) -> dict[int, KMeansModel]:
+    """For each k the best of ``n_init`` k-means runs (seeds seed..) by cost;
+    the first seed wins ties. ``features`` comes from ``fit_input``.
+
+    The fits are independent Spark jobs over the same cached rows and run
+    concurrently from a thread pool; more fits than cores run at once because
+    each fit is mostly short, latency-bound jobs."""
+    def one(ks):
+        k, s = ks
+        return k, KMeans(k=k, seed=s, maxIter=MAX_ITER, tol=TOL, featuresCol="features",
+                         predictionCol="prediction").fit(features)
+
+    with ThreadPoolExecutor(max_workers=parallel) as ex:
+        fits = list(ex.map(one, [(k, s) for k in k_values for s in range(seed, seed + n_init)]))
+    models: dict[int, KMeansModel] = {}
+    for k, m in fits:
+        if k not in models or m.summary.trainingCost < models[k].summary.trainingCost:
+            models[k] = m
+    return models
+
+
+def fit_kmeans(features: DataFrame, k: int, seed: int = SEED, n_init: int = N_INIT) -> KMeansModel:
+    """The best model for one k, the same as the sweep's."""
+    cached = fit_input(features)
+    model = best_of(cached, [k], seed, n_init)[k]
+    cached.unpersist()
+    return model
 
 
 @dataclass
 class Sweep:
-    table: DataFrame        # k, inertia, silhouette, davies_bouldin, calinski_harabasz
+    table: DataFrame        # k, inertia, silhouette_sq, davies_bouldin, calinski_harabasz
     best_k: int
     models: dict
 
@@ -188,39 +212,23 @@ class Sweep:
 def k_sweep(features: DataFrame, k_values=K_RANGE, seed: int = SEED, n_init: int = N_INIT,
             parallel: int = 16) -> Sweep:
     """K2: for each k the best-of-n_init model, its inertia and the three
-    indices; best k = first maximum of the silhouette (ties -> smaller k).
-
-    All (k, seed) fits are independent Spark jobs over the same cached
-    features and run concurrently from a thread pool; the per-k metric rows
-    are tiny and gathered into one frame. More fits than cores run at once
-    because each fit is mostly short, latency-bound jobs."""
+    indices; best k = first maximum of the (squared-distance) silhouette,
+    ties -> smaller k."""
     spark = features.sparkSession
-    n = features.count()
-    features = features.repartition(partitions_for(spark, n, 50_000)).persist()
-    features.count()
+    cached = fit_input(features)
     ks = list(k_values)
-
-    def one(ks_):
-        k, s = ks_
-        return k, KMeans(k=k, seed=s, maxIter=MAX_ITER, tol=TOL, featuresCol="features",
-                         predictionCol="prediction").fit(features)
-
-    with ThreadPoolExecutor(max_workers=parallel) as ex:
-        fits = list(ex.map(one, [(k, s) for k in ks for s in range(seed, seed + n_init)]))
-    models = {}
-    for k, m in fits:  # first seed wins ties of cost
-        if k not in models or m.summary.trainingCost < models[k].summary.trainingCost:
-            models[k] = m
+    models = best_of(cached, ks, seed, n_init, parallel)
 
     def score(k):
-        idx = cluster_indices(models[k].transform(features)).first()
-        return (k, float(models[k].summary.trainingCost), float(idx["silhouette"]),
+        idx = cluster_indices(models[k].transform(cached)).first()
+        return (k, float(models[k].summary.trainingCost), float(idx["silhouette_sq"]),
                 float(idx["davies_bouldin"]), float(idx["calinski_harabasz"]))
 
     with ThreadPoolExecutor(max_workers=parallel) as ex:
         rows = list(ex.map(score, ks))
+    cached.unpersist()
     best = max(rows, key=lambda r: (r[2], -r[0]))[0]
-    table = spark.createDataFrame(rows, "k int, inertia double, silhouette double, davies_bouldin double, "
+    table = spark.createDataFrame(rows, "k int, inertia double, silhouette_sq double, davies_bouldin double, "
                                         "calinski_harabasz double")
     return Sweep(table, best, models)
 
@@ -234,11 +242,6 @@ def relabel_by_size(pred: DataFrame, label: str = "prediction", out: str = "user
     return pred.join(F.broadcast(ranked), label).drop(label)
 
 
-def evaluation(indices: DataFrame) -> DataFrame:
-    """Indices plus the three-level quality label."""
-    return indices.withColumn("quality", quality_label(F.col("silhouette")))
-
-
 def pca_2d(features: DataFrame, k: int = 2) -> tuple[DataFrame, list[float]]:
     """Project scaled features on the first k principal components
     (features are already centred by the scaling). Returns projections and
@@ -246,7 +249,3 @@ def pca_2d(features: DataFrame, k: int = 2) -> tuple[DataFrame, list[float]]:
     model = PCA(k=k, inputCol="features", outputCol="pca").fit(features)
     proj = model.transform(features).select("*", vector_to_array("pca").alias("pca_xy"))
     return proj, [float(v) for v in model.explainedVariance]
-
-
-def assemble(df: DataFrame, cols: list[str], out: str = "features") -> DataFrame:
-    return VectorAssembler(inputCols=cols, outputCol=out, handleInvalid="keep").transform(df)

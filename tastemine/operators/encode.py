@@ -19,8 +19,6 @@ from tastemine.operators.indexing import encode_many
 SOURCE_CODES = {"TMDB_cleaned": 0, "Trakt_cleaned": 1}
 TFIDF_MAX_FEATURES = 500
 TFIDF_TOKEN_PATTERN = r"[^,]+"
-# Wide one-hot output needs the vocabulary in the schema; refuse absurd sizes.
-MAX_WIDE_VOCAB = 10_000
 
 
 def minmax_params(df: DataFrame, cols: dict[str, Column]) -> DataFrame:
@@ -46,12 +44,10 @@ def minmax_scale(df: DataFrame, cols: dict[str, Column], params: DataFrame | Non
 
 
 def genre_vocabulary(df: DataFrame, col: str = "genres_list") -> list[str]:
-    """Sorted distinct genre names (collected: one row per genre, bounded)."""
-    vocab = df.select(F.explode(col).alias("g")).distinct()
-    rows = vocab.orderBy("g").limit(MAX_WIDE_VOCAB + 1).collect()
-    if len(rows) > MAX_WIDE_VOCAB:
-        raise ValueError(f"genre vocabulary exceeds {MAX_WIDE_VOCAB}; use genre_long() instead")
-    return [r["g"] for r in rows if r["g"] is not None]
+    """Sorted distinct genre names, for the wide form alone: they become its
+    columns, so they have to be known to the plan."""
+    vocab = df.select(F.explode(col).alias("g")).where(F.col("g").isNotNull()).distinct()
+    return [r["g"] for r in vocab.orderBy("g").collect()]
 
 
 def genre_column_name(g: str) -> str:
@@ -81,9 +77,9 @@ class Encoded:
     genre_vocab: list[str]
 
 
-def preprocess_features(df: DataFrame, wide_genres: bool = True) -> Encoded:
+def preprocess_features(df: DataFrame, wide_genres: bool = False) -> Encoded:
     """Cast null -> unknown, re-canonical genre list, E1 rating scale, E3
-    multi-hot, E4 label codes (primary genre, user, movie as strings), E6
+    multi-hot (``wide_genres``; else see ``genre_long``), E4 label codes (primary genre, user, movie as strings), E6
     source code, E2 year / genre-count scale with null -> 0."""
     out = df.withColumn("cast", F.coalesce(F.col("cast"), F.lit("unknown")))
     out = out.withColumn(
@@ -127,7 +123,12 @@ def tfidf(df: DataFrame, key: str, col: str = "cast", max_features: int = TFIDF_
     stats = tf.groupBy("term").agg(F.sum("tf").alias("total"), F.count(F.lit(1)).alias("df"))
     vocab = stats.orderBy(F.desc("total"), "term").limit(max_features)
     vocab = vocab.crossJoin(F.broadcast(n_docs)).select(
-        "term", (F.log((1.0 + F.col("_n")) / (1.0 + F.col("df"))) + 1.0).alias("idf"))
-    w = tf.join(F.broadcast(vocab), "term").withColumn("w", F.col("tf") * F.col("idf"))
-    norms = w.groupBy(key).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("_norm"))
-    return w.join(norms, key).select(key, "term", (F.col("w") / F.col("_norm")).alias("weight"))
+        F.col("term").alias("_v"), (F.log((1.0 + F.col("_n")) / (1.0 + F.col("df"))) + 1.0).alias("idf"))
+    # with the vocabulary known, one grouping gathers a key's terms and an array expression scales them
+    kept = terms.join(F.broadcast(vocab), F.col("term") == F.col("_v"))
+    w = kept.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("term", "idf"))).alias("_t"))
+    of = lambda t: F.size(F.filter("_t", lambda x: x["term"] == t["term"])) * t["idf"]
+    w = w.select(key, F.transform(F.array_distinct("_t"), lambda t: F.struct(t["term"].alias("term"), of(t).alias("w"))).alias("_w"))
+    norm = F.sqrt(F.aggregate("_w", F.lit(0.0), lambda s, x: s + x["w"] * x["w"]))
+    w = w.select(key, F.explode("_w").alias("_x"), norm.alias("_norm"))
+    return w.select(key, F.col("_x.term").alias("term"), (F.col("_x.w") / F.col("_norm")).alias("weight"))

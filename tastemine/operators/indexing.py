@@ -36,6 +36,19 @@ def dense_index(values: DataFrame, order_by: list[Column | str], out: str = "idx
     return joined.select(*values.columns, (F.col("_off") + local).cast("bigint").alias(out))
 
 
+def running_count(counts: DataFrame, order_by: list[Column | str], count_col: str, out: str = "cum") -> DataFrame:
+    """Append ``out`` = the sum of ``count_col`` up to and including each row,
+    in the total order ``order_by``. Like ``dense_index``: one distributed
+    sort, sums per sorted partition, and a window within each of them."""
+    ordered = checkpoint(counts.orderBy(*order_by).withColumn("_mid", F.monotonically_increasing_id()))
+    ordered = ordered.withColumn("_p", F.shiftright(F.col("_mid"), _SHIFT))
+    sums = ordered.groupBy(F.col("_p").alias("_q")).agg(F.sum(count_col).alias("_n"))
+    offsets = sums.select("_q", F.coalesce(F.sum("_n").over(Window.orderBy("_q").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
+    within = Window.partitionBy("_p").orderBy("_mid").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    cum = ordered.withColumn("_in", F.sum(count_col).over(within)).join(F.broadcast(offsets), F.col("_p") == F.col("_q"))
+    return cum.select(*counts.columns, (F.col("_off") + F.col("_in")).cast("bigint").alias(out))
+
+
 def label_codes(df: DataFrame, col: str | Column, out: str, as_string: bool = True) -> DataFrame:
     """E4 vocabulary: distinct values (as strings, like ``LabelEncoder`` over
     ``astype(str)``) with their code 0..n-1 in lexicographic order."""

@@ -9,24 +9,27 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tastemine.operators.cleaning import ORDER_COL, drop_exact_duplicates
+from tastemine.session import checkpoint
 
 # Fixed values that must equal the reference: source tags.
 SOURCE_TAGS = ("TMDB_cleaned", "Trakt_cleaned")
+PART_SHIFT = 60
 DEDUP_KEYS = ("user_id", "movie_id", "rating", "timestamp")
 
 
 def tag_union(frames: dict[str, DataFrame], order_col: str = ORDER_COL) -> DataFrame:
     """Tag each frame with ``source`` and UNION ALL by name.
 
-    The row order continues across frames: ``row_ord = struct(frame index,
-    row_ord)``, so the first frame's rows come first.
+    The row order continues across frames: the frame's index goes into the
+    bits above the frames' own 64-bit orders (below 2^60), so the first
+    frame's rows come first.
     """
     parts = []
     for i, (name, df) in enumerate(frames.items()):
         inner = F.col(order_col) if order_col in df.columns else F.monotonically_increasing_id()
         parts.append(
             df.withColumn("source", F.lit(name))
-            .withColumn(order_col, F.struct(F.lit(i).alias("part"), inner.alias("ord")))
+            .withColumn(order_col, F.lit(i << PART_SHIFT).cast("bigint") + inner)
         )
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
@@ -49,20 +52,16 @@ def integrate(frames: dict[str, DataFrame], order_col: str = ORDER_COL) -> Integ
     """
     merged = tag_union(frames, order_col)
     keys = [c for c in DEDUP_KEYS if c in merged.columns]
-    exact = drop_exact_duplicates(merged, order_col, count_col="_rows")
-    rest = [c for c in exact.columns if c not in keys and c != "_rows"]
+    exact = checkpoint(drop_exact_duplicates(merged, order_col, count_col="_rows"))
     # an exact class has one source, so per-source row counts fold in here too
     per_source = [
         F.sum(F.when(F.col("source") == name, F.col("_rows")).otherwise(0)).alias(f"_src{i}")
         for i, name in enumerate(frames)
     ]
     agg = exact.groupBy(*keys).agg(
-        F.min_by(F.struct(*[F.col(c) for c in rest]), F.col(order_col)).alias("_s"),
-        F.sum("_rows").alias("_rows"),
-        F.count(F.lit(1)).alias("_classes"),
-        *per_source,
-    )
-    survivors = agg.select(*keys, "_s.*", "_rows", "_classes", *[f"_src{i}" for i in range(len(frames))])
+        F.min(order_col).alias("_best"), F.sum("_rows").alias("_total"), F.count(F.lit(1)).alias("_classes"), *per_source)
+    agg = agg.select("_best", F.col("_total").alias("_rows"), "_classes", *[f"_src{i}" for i in range(len(frames))])
+    survivors = exact.drop("_rows").join(agg, F.col(order_col) == F.col("_best")).drop("_best")
     df = survivors.select(*merged.columns)
     stats = survivors.agg(
         *[F.coalesce(F.sum(f"_src{i}"), F.lit(0)).cast("bigint").alias(f"{_slug(n)}_rows")

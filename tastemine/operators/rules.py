@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tastemine.functions.text import list_text
-from tastemine.operators.cleaning import ORDER_COL
+from tastemine.operators.cleaning import ORDER_COL, filter_high_rating
 
 MIN_SUPPORT = 0.003
 MIN_LIFT = 1.0
@@ -33,7 +33,7 @@ def baskets(df: DataFrame, txn_col: str, item_col: str, min_rating: float | None
     number of distinct items, not by the number of rows of a hot transaction.
     """
     if min_rating is not None:
-        df = df.filter(F.col(rating_col) >= min_rating)
+        df = filter_high_rating(df, min_rating, rating_col)
     return (df.filter(F.col(item_col).isNotNull())
             .groupBy(txn_col).agg(F.array_sort(F.collect_set(item_col)).alias("items")))
 
@@ -76,7 +76,7 @@ def association_rules(itemsets: DataFrame, min_lift: float | None = MIN_LIFT,
     multi = itemsets.filter(F.size("items") >= 2)
     if max_len:
         multi = multi.filter(F.size("items") <= max_len)
-    masks = F.expr("sequence(1, (1 << size(items)) - 2)")
+    masks = F.expr("sequence(1L, shiftleft(1L, size(items)) - 2)")
     splits = multi.select("items", "support", F.explode(masks).alias("mask")).select(
         _split("items", "mask", 1).alias("antecedents"),
         _split("items", "mask", 0).alias("consequents"),

@@ -551,7 +551,7 @@ EMB_SQL = [
     """ps AS (SELECT vec_id, max(CASE WHEN c = own THEN n END) AS nown, max(CASE WHEN c = own THEN d * n / (n - 1) END) AS a,
   min(CASE WHEN c <> own THEN d END) AS b FROM ds GROUP BY vec_id)"""],
     """SELECT round(avg(CASE WHEN nown <= 1 THEN 0.0 WHEN a < b THEN 1 - a / b WHEN a > b THEN b / a - 1 ELSE 0.0 END), 6)
-  AS silhouette FROM ps"""))
+  AS silhouette_sq FROM ps"""))
 def q_embedding_silhouette(spark, sf):
     """K3 on the given embedding labels (squared Euclidean, linear time)."""
     from tastemine.operators.cluster import silhouette_sq
@@ -614,11 +614,12 @@ def q_user_clusters(spark, sf):
 
 @register("kmeans_evaluation")
 def q_kmeans_evaluation(spark, sf):
-    """K6/K7/F9 at a fixed k = 10 (the committed best k): indices + quality label."""
-    from tastemine.operators.cluster import cluster_indices, evaluation
+    """K6/K7 at a fixed k = 10 (the committed best k): the indices. The silhouette is the squared-distance one, so F9's
+    label, which has thresholds for the Euclidean one, is not given."""
+    from tastemine.operators.cluster import cluster_indices
     feats, _, labels, model = _clustered(spark, sf, k=10)
     pts = feats.join(labels, "user_idx").withColumnRenamed("user_cluster", "prediction")
-    return emit(evaluation(cluster_indices(pts)).withColumn("inertia", F.lit(float(model.summary.trainingCost))))
+    return emit(cluster_indices(pts).withColumn("inertia", F.lit(float(model.summary.trainingCost))))
 
 
 @register("kmeans_cluster_cards")
@@ -944,7 +945,12 @@ def q_rating_histogram(spark, sf):
     return emit(histogram(Stages.of(spark, sf).transformed(), "rating", 10))
 
 
-@register("rating_density")
+@register("rating_density", O.with_query(O.stage_ctes("transformed") + [
+    "st AS (SELECT min(rating) AS lo, max(rating) AS hi, stddev_samp(rating) * pow(count(rating), -0.2) AS h, count(rating) AS n FROM trans)",
+    "vals AS (SELECT rating AS v, count(*) AS c FROM trans WHERE rating IS NOT NULL GROUP BY 1)",
+    "grid AS (SELECT i, lo + (hi - lo) * i / 49 AS g, h, n FROM st, range(0, 50) AS r(i))"],
+    """SELECT i::INTEGER AS point, round(any_value(g), 6) AS x,
+  round(sum(c * exp(-0.5 * pow((v - g) / h, 2))) / (any_value(n) * any_value(h) * sqrt(2 * pi())), 6) AS density FROM grid, vals GROUP BY i"""))
 def q_rating_density(spark, sf):
     """Gaussian KDE (Scott bandwidth) of the integrated ratings on 50 points."""
     from tastemine.operators.stats import density
@@ -1124,17 +1130,17 @@ def q_rule_labels(spark, sf):
 @register("clustering_metrics")
 def q_clustering_metrics(spark, sf):
     """K7: the clustering metrics document as one nested row (users, features,
-    k analysis, best k, distribution, indices, quality, PCA, cluster profiles)."""
-    from tastemine.operators.cluster import cluster_indices, evaluation, pca_2d
+    k analysis, best k, distribution, indices, PCA, cluster profiles)."""
+    from tastemine.operators.cluster import cluster_indices, pca_2d
     from tastemine.operators.profiles import cluster_distribution, cluster_profiles, profile_features
     st = Stages.of(spark, sf)
     sw = st.sweep()
     labels, users, model = st.clustered(None)
     feats = st.features()
     pts = feats.join(labels, "user_idx").withColumnRenamed("user_cluster", "prediction")
-    ev = evaluation(cluster_indices(pts))
+    ev = cluster_indices(pts)
     k_analysis = sw.table.agg(F.sort_array(F.collect_list(F.struct(
-        "k", "inertia", "silhouette", "davies_bouldin", "calinski_harabasz"))).alias("k_analysis"))
+        "k", "inertia", "silhouette_sq", "davies_bouldin", "calinski_harabasz"))).alias("k_analysis"))
     dist = cluster_distribution(labels).agg(F.map_from_entries(F.collect_list(F.struct(
         F.concat(F.lit("cluster_"), F.col("user_cluster").cast("string")), F.col("count")))).alias("cluster_distribution"))
     _, ratios = pca_2d(feats)

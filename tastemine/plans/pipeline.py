@@ -4,7 +4,7 @@ raw A/B -> clean (P13) -> half-step (P14) -> integrate (U4) -> transform
 (A12 + F3 + P18) -> encode (E7) -> split (W8) -> {rules, profiles/clusters,
 features, factorization} -> lookups.
 
-Nothing here triggers a job; callers decide what to persist or write.
+Stage boundaries are eager checkpoints; they run when a stage is first asked for.
 """
 
 from __future__ import annotations
@@ -53,7 +53,8 @@ class Stages:
         return self._cache[key]
 
     def raw(self, source: str) -> DataFrame:
-        return self._memo(("raw", source), lambda: V.interactions_raw(self.spark, self.sf_dir, source))
+        lineitem = self._memo("lineitem", lambda: V.ordered_lineitem(self.spark, self.sf_dir))
+        return self._memo(("raw", source), lambda: V.interactions_raw(self.spark, self.sf_dir, source, lineitem))
 
     def cleaned(self, source: str, profile: str = "full") -> C.Cleaned:
         return self._memo(("clean", source, profile), lambda: C.clean_dataset(self.raw(source), profile=profile))
@@ -82,7 +83,7 @@ class Stages:
 
     def encoded(self) -> E.Encoded:
         def build():
-            enc = E.preprocess_features(self.transformed())
+            enc = E.preprocess_features(self.transformed(), wide_genres=True)
             return E.Encoded(checkpoint(enc.df), enc.genre_vocab)
         return self._memo("encoded", build)
 

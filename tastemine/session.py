@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -39,14 +39,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster this setting must point to shared storage (HDFS / object
-    store) and is read from the session. Only when it is unset (local tests)
-    do we choose a scratch folder ourselves.
+    store) and is read from the session. Only where driver and executors are
+    one process (local tests) is a scratch folder chosen when it is unset.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
-    path = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tastemine-ckpt-")
+    path = spark.conf.get("spark.checkpoint.dir", None)
+    if not path:
+        if not re.match(r"local(\[[^,]*(,[^,]*)?\])?$", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        path = tempfile.mkdtemp(prefix="tastemine-ckpt-")
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir() or path
 
@@ -57,16 +61,7 @@ def checkpoint(df, eager: bool = True):
     return df.checkpoint(eager=eager)
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path under the shared checkpoint folder for intermediate tables."""
-    base = ensure_checkpoint_dir(spark)
-    return os.path.join(base, "tables", name)
-
-
-def partitions_for(spark: SparkSession, rows: int, rows_per_partition: int = 100_000, minimum: int = 1) -> int:
-    """Partition count sized to the data: about ``rows_per_partition`` rows
-    each, at least 1 and at most 4x the default parallelism. Used for the
-    small, iteratively re-read inputs of ML fits (profiles, SVD rows), where
-    per-task overhead would otherwise dominate every iteration."""
-    cap = max(1, 4 * spark.sparkContext.defaultParallelism)
-    return max(1, minimum, min(cap, -(-rows // rows_per_partition)))
+def partitions_for(rows: int, rows_per_partition: int = 100_000) -> int:
+    """Partition count of a small input that an ML fit reads many times: a
+    function of the data alone, so results do not depend on the cluster."""
+    return max(1, -(-rows // rows_per_partition))

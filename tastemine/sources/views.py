@@ -15,6 +15,10 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tastemine.operators.indexing import dense_index
+
+# the copy's number stands above a row's position in the order
+COPY_SHIFT = 58
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
     "embeddings pages benchmark labels conversations"
@@ -34,8 +38,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
-def _base(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem")
+def ordered_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``lineitem`` with ``_pos``, its row's place in the order of all its
+    columns (the rows are distinct): the file position a real source would
+    have, as one 64-bit number."""
+    return dense_index(table(spark, sf_dir, "lineitem").select(*LINEITEM_COLUMNS), list(LINEITEM_COLUMNS), "_pos")
+
+
+def _base(spark: SparkSession, li: DataFrame, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type", "p_brand")
     supp = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
@@ -82,8 +92,7 @@ def _interaction_columns(copy: int | Column, cast_name: str) -> list[Column]:
         .otherwise(F.lit("en"))
     )
     return [
-        F.struct((copy if isinstance(copy, Column) else F.lit(copy)).alias("copy"),
-                 *[F.col(c) for c in LINEITEM_COLUMNS]).alias(ORDER_COL),
+        (F.shiftleft((copy if isinstance(copy, Column) else F.lit(copy)).cast("bigint"), COPY_SHIFT) + F.col("_pos")).alias(ORDER_COL),
         F.concat(F.lit("u"), F.col("o_custkey").cast("string")).alias("user_id"),
         F.col("l_partkey").alias("movie_id"),
         F.col("p_name").alias("movie_title"),
@@ -95,14 +104,14 @@ def _interaction_columns(copy: int | Column, cast_name: str) -> list[Column]:
     ]
 
 
-def interactions_raw(spark: SparkSession, sf_dir: str, source: str = "A") -> DataFrame:
+def interactions_raw(spark: SparkSession, sf_dir: str, source: str = "A", lineitem: DataFrame | None = None) -> DataFrame:
     """Raw rating source ``A`` (TMDB-like) or ``B`` (Trakt-like, ``cast_names``).
 
-    A = ``l_orderkey mod 10 < 6`` plus a second copy (``row_ord.copy = 1``) of
+    A = ``l_orderkey mod 10 < 6`` plus a second copy (after all others) of
     its rows with ``l_orderkey mod 100 = 0``; B = ``l_orderkey mod 10 >= 5``.
     ``mod 10 = 5`` is in both, so the sources share keys.
     """
-    base = _base(spark, sf_dir)
+    base = _base(spark, lineitem if lineitem is not None else ordered_lineitem(spark, sf_dir), sf_dir)
     if source.upper() == "A":
         # one pass over the join: rows of orders divisible by 100 are emitted twice
         copies = F.when(F.col("l_orderkey") % 100 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))

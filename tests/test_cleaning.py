@@ -147,3 +147,15 @@ def test_infer_cluster_column_and_affix(spark):
     cols = ["genre_a", "genre_count", "genre_count_scaled", "x_pref", "genre_b_pref"]
     assert columns_by_affix(cols, prefix="genre_", exclude=("genre_count_scaled",)) == ["genre_a", "genre_count", "genre_b_pref"]
     assert columns_by_affix(cols, suffix="_pref") == ["x_pref", "genre_b_pref"]
+
+
+def test_key_dedup_hot_key_and_plan(spark):
+    """One key holds most rows; the plan groups by hash and sorts nothing to find a winner."""
+    df = spark.createDataFrame([(1 if k % 3 else k, "m", float(k), k) for k in range(3000)], "user_id long, movie_id string, rating double, row_ord long")
+    last = C.keep_last_by_key(df, ["user_id", "movie_id"], "row_ord")
+    got = {r["user_id"]: r["row_ord"] for r in last.collect()}
+    assert got[1] == 2999 and got[3] == 3 and len(got) == 1001
+    first = {r["user_id"]: r["row_ord"] for r in C.keep_first_by_key(df, ["user_id", "movie_id"], "row_ord").collect()}
+    assert first[1] == 1
+    plan = last._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "HashAggregate" in plan

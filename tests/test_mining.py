@@ -1,7 +1,6 @@
 """Rules, lookups, clustering and factorization: edge cases and invariants
 (FIXTURES.md sections 3-4)."""
 
-from difflib import SequenceMatcher
 
 import numpy as np
 import pytest
@@ -9,7 +8,6 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from conftest import rows
-from tastemine.functions.fuzzy import match_titles
 from tastemine.operators import cluster as K
 from tastemine.operators import factorize as R
 from tastemine.operators import lookup as L
@@ -48,24 +46,21 @@ def test_item_dictionary_last_first_seen(spark):
     assert M.item_dictionary(df).first()["movie_title"] == "Y"
 
 
-def test_fuzzy_ratio_matches_difflib(spark):
-    q = spark.createDataFrame([("sall ring",), ("red widget",), ("widg",), ("zzz",)], "query string")
-    t = spark.createDataFrame([("small ring",), ("red widget",), ("blue widget",)], "title string")
-    got = {(r["query"], r["title"]): r["score"] for r in match_titles(q, t).collect()}
-    assert got[("red widget", "red widget")] == 2.0
-    assert got[("widg", "red widget")] == 1.5 and got[("widg", "blue widget")] == 1.5
-    expect = SequenceMatcher(None, "sall ring", "small ring").ratio()
-    assert abs(got[("sall ring", "small ring")] - expect) < 1e-12
-    assert not any(k[0] == "zzz" for k in got)
-    for (qq, tt), s in got.items():
-        if s < 1.5:
-            assert s > 0.7 and abs(s - SequenceMatcher(None, qq.lower(), tt.lower()).ratio()) < 1e-12
+def test_title_matches_equal_brute_force(spark):
+    titles = ["small ring", "Red Widget", "blue widget", "ab", "a", "", None, "x%y_z", "widget"]
+    queries = ["red widget", "WIDG", "zzz", "a", "AB", "ing", "%y", "", None, "widget red", "et"]
+    q = spark.createDataFrame([(x,) for x in queries], "query string")
+    t = spark.createDataFrame([(x,) for x in titles], "title string")
+    got = {(r["query"], r["title"]): r["score"] for r in L.match_titles(q, t).collect()}
+    expected = {(x, y): 2.0 if x.lower() == y.lower() else 1.5
+                for x in queries if x for y in titles if y is not None and x.lower() in y.lower()}
+    assert got == expected
 
 
 def test_rule_lookup(spark, toy_rules):
     _, rules = toy_rules
     q = spark.createDataFrame([("A",), ("zzz",)], "query string")
-    out = rows(L.rule_recommendations(q, rules, fuzzy=False), ["rank"])
+    out = rows(L.rule_recommendations(q, rules), ["rank"])
     assert {r["query"] for r in out} == {"A"}
     assert all(r["movie_title"].lower() != "a" for r in out)
     assert [r["rank"] for r in out] == list(range(1, len(out) + 1))
@@ -126,7 +121,7 @@ def test_kmeans_sweep_invariants(spark):
     t = rows(sw.table, ["k"])
     inertia = [r["inertia"] for r in t]
     assert inertia == sorted(inertia, reverse=True)
-    best = max(t, key=lambda r: (r["silhouette"], -r["k"]))["k"]
+    best = max(t, key=lambda r: (r["silhouette_sq"], -r["k"]))["k"]
     assert sw.best_k == best == 3
     labels = K.relabel_by_size(sw.models[3].transform(feats))
     assert labels.select("user_cluster").distinct().count() == 3
@@ -205,3 +200,10 @@ def test_svd_matches_numpy_whatever_the_batches(spark, rows):
             assert same >= 9, (u, same)  # scores that agree in the last digits may change places
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_kmeans_does_not_depend_on_the_input_partitions(spark):
+    df, _, _ = _blobs(spark, n=60, seed=4)
+    feats = df.select("id", array_to_vector("x").alias("features"))
+    costs = {K.fit_kmeans(feats.repartition(n), 3, n_init=2).summary.trainingCost for n in (1, 5, 16)}
+    assert len(costs) == 1
