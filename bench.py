@@ -21,8 +21,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 HEADLINE = [
-    "clean_tmdb",            # P13 clean, source A
-    "clean_trakt",           # P13 clean, source B
+    "clean",                 # P13 clean, both sources
     "rating_balance",        # A10 flagship
     "integrate",             # U4
     "transform",             # A12 + F3 + P18

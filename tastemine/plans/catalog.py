@@ -34,16 +34,26 @@ CLEAN_OUT = (
 )
 
 
-# --- P13 clean --------------------------------------------------------------------------------
+# The sources by the letter of their frames, with their tags.
+SOURCES = {"a": "TMDB_cleaned", "b": "Trakt_cleaned"}
+
+
+def _each_sql(select) -> str:
+    """The rows of both sources, ``select`` giving the query for a source's letter."""
+    return " UNION ALL ".join(f"SELECT '{tag}' AS source, * FROM ({select(x)})" for x, tag in SOURCES.items())
 
-@register("clean_tmdb", O.with_query(O.pipeline_ctes(), f"SELECT {CLEAN_OUT.format(r=O.r6('rating'))} FROM clean_a"))
-def q_clean_tmdb(spark, sf):
-    return emit(Stages.of(spark, sf).cleaned("A").df)
 
+def _each(fn) -> DataFrame:
+    a, b = (fn(x.upper()).withColumn("source", F.lit(tag)) for x, tag in SOURCES.items())
+    return a.unionByName(b)
 
-@register("clean_trakt", O.with_query(O.pipeline_ctes(), f"SELECT {CLEAN_OUT.format(r=O.r6('rating'))} FROM clean_b"))
-def q_clean_trakt(spark, sf):
-    return emit(Stages.of(spark, sf).cleaned("B").df)
+
+# --- P13 clean --------------------------------------------------------------------------------
+
+@register("clean", O.with_query(O.pipeline_ctes(), _each_sql(lambda x: f"SELECT {CLEAN_OUT.format(r=O.r6('rating'))} FROM clean_{x}")))
+def q_clean(spark, sf):
+    """P13 of both sources."""
+    return _each(lambda x: emit(Stages.of(spark, sf).cleaned(x).df))
 
 
 def _stats_sql(src: str, name: str) -> str:
@@ -62,24 +72,21 @@ def _stats_sql(src: str, name: str) -> str:
       AND coalesce(language = 'en', false) = false)::BIGINT AS dropped_language"""
 
 
-@register("clean_stats_tmdb", O.with_query(O.pipeline_ctes(), _stats_sql("a", "clean_a")))
-def q_clean_stats_tmdb(spark, sf):
-    return Stages.of(spark, sf).cleaned("A").stats
-
-
-@register("clean_stats_trakt", O.with_query(O.pipeline_ctes(), _stats_sql("b", "clean_b")))
-def q_clean_stats_trakt(spark, sf):
-    return Stages.of(spark, sf).cleaned("B").stats
+@register("clean_stats", O.with_query(O.pipeline_ctes(), _each_sql(lambda x: _stats_sql(x, f"clean_{x}"))))
+def q_clean_stats(spark, sf):
+    """P13's counts of both sources."""
+    return _each(lambda x: Stages.of(spark, sf).cleaned(x).stats)
 
 
 def _basic_sql() -> str:
-    ctes = O.raw_ctes() + O.clean_ctes("raw_b", "basic_b", "cast_names", profile="basic")
-    return O.with_query(ctes, f"SELECT {CLEAN_OUT.format(r=O.r6('rating'))} FROM basic_b")
+    ctes = O.raw_ctes() + O.clean_ctes("raw_a", "basic_a", "cast", profile="basic") + O.clean_ctes("raw_b", "basic_b", "cast_names", profile="basic")
+    return O.with_query(ctes, _each_sql(lambda x: f"SELECT {CLEAN_OUT.format(r=O.r6('rating'))} FROM basic_{x}"))
 
 
-@register("clean_basic_trakt", _basic_sql())
+@register("clean_basic", _basic_sql())
 def q_clean_basic(spark, sf):
-    return emit(Stages.of(spark, sf).cleaned("B", profile="basic").df)
+    """P13b of both sources."""
+    return _each(lambda x: emit(Stages.of(spark, sf).cleaned(x, profile="basic").df))
 
 
 # --- A10 rating balance (flagship) -------------------------------------------------------------
@@ -99,10 +106,10 @@ BALANCE_SQL = """SELECT
 FROM {src} WHERE rating IS NOT NULL"""
 
 
-@register("rating_balance", O.with_query(O.pipeline_ctes("adjusted"), BALANCE_SQL.format(src="clean_a_adj")))
+@register("rating_balance", O.with_query(O.pipeline_ctes("adjusted"), _each_sql(lambda x: BALANCE_SQL.format(src=f"clean_{x}_adj"))))
 def q_rating_balance(spark, sf):
-    """Flagship: clean the TMDB-like source, adjust half steps, balance verdict."""
-    return Q.rating_balance(Stages.of(spark, sf).adjusted("A"))
+    """Flagship: clean each source, adjust half steps, balance verdict."""
+    return _each(lambda x: Q.rating_balance(Stages.of(spark, sf).adjusted(x)))
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -129,60 +136,61 @@ def q_integrate_stats(spark, sf):
 
 # --- A12 / A13 imputation, P18 transform ------------------------------------------------------
 
-def _impute_raw_sql() -> str:
-    ctes = O.raw_ctes() + [
-        """t_don AS (
-  SELECT movie_id, movie_title,
-    CASE WHEN trim("cast") <> '' THEN trim("cast") END AS c,
+def _impute_raw_sql() -> list[str]:
+    ctes = O.raw_ctes()
+    for x, cast in (("a", '"cast"'), ("b", "cast_names")):
+        ctes.append(f"""don_{x} AS (
+  SELECT movie_id, movie_title, CASE WHEN trim({cast}) <> '' THEN trim({cast}) END AS c,
     CASE WHEN trim(genres) <> '' THEN trim(genres) END AS g
-  FROM raw_a)""",
-    ]
-    for key, col, name in [("movie_id", "c", "a"), ("movie_id", "g", "b"), ("movie_title", "c", "c"),
-                           ("movie_title", "g", "d")]:
-        ctes.append(f"""m_{name} AS (
-  SELECT {key}, v FROM (SELECT {key}, {col} AS v, count(*) AS n FROM t_don WHERE {col} IS NOT NULL GROUP BY ALL)
+  FROM raw_{x})""")
+        for key, col, name in [("movie_id", "c", "ic"), ("movie_id", "g", "ig"), ("movie_title", "c", "tc"), ("movie_title", "g", "tg")]:
+            ctes.append(f"""{name}_{x} AS (
+  SELECT {key}, v FROM (SELECT {key}, {col} AS v, count(*) AS n FROM don_{x} WHERE {col} IS NOT NULL GROUP BY ALL)
   QUALIFY row_number() OVER (PARTITION BY {key} ORDER BY n DESC, v) = 1)""")
-    ctes.append("""imp AS (
+        ctes.append(f"""imp_{x} AS (
   SELECT r.user_id, r.movie_id, r.movie_title,
-    coalesce(CASE WHEN trim(r."cast") <> '' THEN r."cast" END, a.v, c.v, 'unknown') AS "cast",
-    coalesce(CASE WHEN trim(r.genres) <> '' THEN r.genres END, b.v, d.v, 'unknown') AS genres
-  FROM raw_a r
-  LEFT JOIN m_a a ON r.movie_id = a.movie_id LEFT JOIN m_b b ON r.movie_id = b.movie_id
-  LEFT JOIN m_c c ON r.movie_title = c.movie_title LEFT JOIN m_d d ON r.movie_title = d.movie_title)""")
+    coalesce(CASE WHEN trim(r.{cast}) <> '' THEN r.{cast} END, ic.v, tc.v, 'unknown') AS "cast",
+    coalesce(CASE WHEN trim(r.genres) <> '' THEN r.genres END, ig.v, tg.v, 'unknown') AS genres
+  FROM raw_{x} r
+  LEFT JOIN ic_{x} ic ON r.movie_id = ic.movie_id LEFT JOIN ig_{x} ig ON r.movie_id = ig.movie_id
+  LEFT JOIN tc_{x} tc ON r.movie_title = tc.movie_title LEFT JOIN tg_{x} tg ON r.movie_title = tg.movie_title)""")
     return ctes
 
 
-def _impute_raw(spark, sf):
+def _raw_fields(spark, sf, x: str) -> DataFrame:
+    cast = F.col("cast" if x == "A" else "cast_names").alias("cast")
+    return Stages.of(spark, sf).raw(x).select("row_ord", "user_id", "movie_id", "movie_title", cast, "genres")
+
+
+def _impute_raw(spark, sf, x: str) -> DataFrame:
     from tastemine.operators import impute as I
-    raw = Stages.of(spark, sf).raw("A").select("row_ord", "user_id", "movie_id", "movie_title", "cast", "genres")
-    return I.impute_by_mode(raw)
+    return I.impute_by_mode(_raw_fields(spark, sf, x))
 
 
-@register("impute_mode_raw", O.with_query(_impute_raw_sql(), 'SELECT user_id, movie_id, movie_title, "cast", genres FROM imp'))
+@register("impute_mode_raw", O.with_query(_impute_raw_sql(), _each_sql(lambda x: f'SELECT user_id, movie_id, movie_title, "cast", genres FROM imp_{x}')))
 def q_impute_mode_raw(spark, sf):
-    return emit(_impute_raw(spark, sf))
+    return _each(lambda x: emit(_impute_raw(spark, sf, x)))
 
 
-@register("imputation_audit", O.with_query(_impute_raw_sql(), """SELECT count(*)::BIGINT AS rows,
+@register("imputation_audit", O.with_query(_impute_raw_sql(), _each_sql(lambda x: f"""SELECT count(*)::BIGINT AS rows,
   round(avg(CASE WHEN "cast" IS NULL THEN 1.0 ELSE 0.0 END) * 100, 6) AS missing_pct_cast,
   count_if("cast" IS NOT NULL AND trim("cast") = '')::BIGINT AS empty_cast,
   count_if(lower("cast") = 'unknown')::BIGINT AS unknown_cast,
   round(avg(CASE WHEN genres IS NULL THEN 1.0 ELSE 0.0 END) * 100, 6) AS missing_pct_genres,
   count_if(genres IS NOT NULL AND trim(genres) = '')::BIGINT AS empty_genres,
   count_if(lower(genres) = 'unknown')::BIGINT AS unknown_genres
-FROM imp"""))
+FROM imp_{x}""")))
 def q_imputation_audit(spark, sf):
     from tastemine.operators import impute as I
-    return I.imputation_audit(_impute_raw(spark, sf))
+    return _each(lambda x: I.imputation_audit(_impute_raw(spark, sf, x)))
 
 
-@register("impute_unknown_raw", O.with_query(O.raw_ctes(), """SELECT user_id, movie_id,
-  coalesce(nullif(trim("cast"), ''), 'unknown') AS "cast", coalesce(nullif(trim(genres), ''), 'unknown') AS genres
-FROM raw_a"""))
+@register("impute_unknown_raw", O.with_query(O.raw_ctes(), _each_sql(lambda x: """SELECT user_id, movie_id,
+  coalesce(nullif(trim({cast}), ''), 'unknown') AS "cast", coalesce(nullif(trim(genres), ''), 'unknown') AS genres
+FROM raw_{x}""".format(x=x, cast='"cast"' if x == "a" else "cast_names"))))
 def q_impute_unknown_raw(spark, sf):
     from tastemine.operators import impute as I
-    raw = Stages.of(spark, sf).raw("A").select("row_ord", "user_id", "movie_id", "cast", "genres")
-    return emit(I.impute_unknown(raw))
+    return _each(lambda x: emit(I.impute_unknown(_raw_fields(spark, sf, x).drop("movie_title"))))
 
 
 TRANS_OUT = ('user_id, movie_id, movie_title, {r} AS rating, "cast", {y} AS release_year, language, '
@@ -786,11 +794,11 @@ def _missing_sql(src: str, fields: list[str]) -> str:
         for f in fields)
 
 
-@register("missing_top", O.with_query(O.raw_ctes(), f"""SELECT field, round(missing_pct, 6) AS missing_pct FROM (
-  {_missing_sql('raw_a', RAW_FIELDS_A)}) WHERE missing_pct > 0 ORDER BY missing_pct DESC, field LIMIT 8"""))
+@register("missing_top", O.with_query(O.raw_ctes(), _each_sql(lambda x: f"""SELECT field, round(missing_pct, 6) AS missing_pct FROM (
+  {_missing_sql(f"raw_{x}", RAW_FIELDS_A if x == "a" else RAW_FIELDS_B)}) WHERE missing_pct > 0 ORDER BY missing_pct DESC, field LIMIT 8""")))
 def q_missing_top(spark, sf):
-    """A1: top-8 fields by missing % of the raw TMDB-like source."""
-    return emit(Q.missing_top(Stages.of(spark, sf).raw("A"), 8))
+    """A1: top-8 fields by missing % of each raw source."""
+    return _each(lambda x: emit(Q.missing_top(Stages.of(spark, sf).raw(x), 8)))
 
 
 @register("missing_comparison", O.with_query(O.raw_ctes() + [
@@ -806,10 +814,10 @@ def q_missing_comparison(spark, sf):
 
 
 @register("rating_counts", O.with_query(O.pipeline_ctes("adjusted"),
-                                        "SELECT round(rating, 6) AS rating, count(*)::BIGINT AS count FROM clean_a_adj WHERE rating IS NOT NULL GROUP BY rating"))
+                                        _each_sql(lambda x: f"SELECT round(rating, 6) AS rating, count(*)::BIGINT AS count FROM clean_{x}_adj WHERE rating IS NOT NULL GROUP BY rating")))
 def q_rating_counts(spark, sf):
-    """A3: rating value counts of the cleaned TMDB-like source."""
-    return emit(Q.value_counts(Stages.of(spark, sf).adjusted("A"), "rating"))
+    """A3: rating value counts of each cleaned source."""
+    return _each(lambda x: emit(Q.value_counts(Stages.of(spark, sf).adjusted(x), "rating")))
 
 
 @register("language_top", """SELECT coalesce(lang, 'unknown') AS value, count(*)::BIGINT AS count FROM documents
@@ -820,19 +828,19 @@ def q_language_top(spark, sf):
     return Q.top_values(table(spark, sf, "documents"), "lang", 10)
 
 
-@register("top_genres", O.with_query(O.pipeline_ctes("adjusted"), """SELECT g AS genre, count(*)::BIGINT AS count
-FROM clean_a_adj, unnest(genres_list) AS u(g) GROUP BY g ORDER BY count DESC, genre LIMIT 10"""))
+@register("top_genres", O.with_query(O.pipeline_ctes("adjusted"), _each_sql(lambda x: f"""SELECT g AS genre, count(*)::BIGINT AS count
+FROM clean_{x}_adj, unnest(genres_list) AS u(g) GROUP BY g ORDER BY count DESC, genre LIMIT 10""")))
 def q_top_genres(spark, sf):
-    """A5: top-10 genres of the cleaned TMDB-like source."""
-    return Q.top_genres(Stages.of(spark, sf).adjusted("A"))
+    """A5: top-10 genres of each cleaned source."""
+    return _each(lambda x: Q.top_genres(Stages.of(spark, sf).adjusted(x)))
 
 
-@register("year_counts", O.with_query(O.pipeline_ctes("adjusted"), """SELECT year, count FROM (
-  SELECT release_year_clean AS year, count(*)::BIGINT AS count FROM clean_a_adj WHERE release_year_clean IS NOT NULL
-  GROUP BY 1 ORDER BY year DESC LIMIT 20)"""))
+@register("year_counts", O.with_query(O.pipeline_ctes("adjusted"), _each_sql(lambda x: f"""SELECT year, count FROM (
+  SELECT release_year_clean AS year, count(*)::BIGINT AS count FROM clean_{x}_adj WHERE release_year_clean IS NOT NULL
+  GROUP BY 1 ORDER BY year DESC LIMIT 20)""")))
 def q_year_counts(spark, sf):
-    """Counts of the latest 20 release years."""
-    return Q.year_counts(Stages.of(spark, sf).adjusted("A"))
+    """Counts of the latest 20 release years of each source."""
+    return _each(lambda x: Q.year_counts(Stages.of(spark, sf).adjusted(x)))
 
 
 def _two(spark, sf, adjusted: bool = True):
@@ -891,32 +899,47 @@ def q_labels_balance(spark, sf):
     return Q.class_balance(lab, {"low": F.col("quality") == 0, "high": F.col("quality") == 1})
 
 
-@register("quality_report", O.with_query(O.pipeline_ctes("adjusted") + [f"""ms AS (
-  SELECT field, missing_pct FROM ({_missing_sql('clean_a_adj', [c.strip('"') for c in O.CLEAN_COLUMNS.split(', ')])})
-  WHERE missing_pct > 0 ORDER BY missing_pct DESC, field LIMIT 8)""", """bal AS (
-  SELECT count_if(rating < 4) AS neg, count_if(rating >= 4 AND rating < 7) AS neu, count_if(rating >= 7) AS pos FROM clean_a_adj)""",
-    """ver AS (SELECT *, least(neg, neu, pos) / greatest(neg, neu, pos) AS ratio,
+# Fixed values, written out for the oracle: the recommendation for each verdict.
+RECOMMENDATION_SQL = {
+    "balanced": "Dataset has acceptable class spread for rating-based classification; no immediate balancing is required.",
+    "moderately-imbalanced": "Dataset is usable, but classification tasks should consider class weights or targeted resampling.",
+    "imbalanced": "Dataset is imbalanced for rating-class tasks; apply resampling or class-weighted training if you build a classifier.",
+}
+
+
+def _report_ctes(x: str) -> list[str]:
+    return [f"""ms_{x} AS (
+  SELECT field, missing_pct FROM ({_missing_sql(f'clean_{x}_adj', [c.strip('"') for c in O.CLEAN_COLUMNS.split(', ')])})
+  WHERE missing_pct > 0 ORDER BY missing_pct DESC, field LIMIT 8)""", f"""bal_{x} AS (
+  SELECT count_if(rating < 4) AS neg, count_if(rating >= 4 AND rating < 7) AS neu, count_if(rating >= 7) AS pos FROM clean_{x}_adj)""",
+    f"""ver_{x} AS (SELECT *, least(neg, neu, pos) / greatest(neg, neu, pos) AS ratio,
   CASE WHEN least(neg, neu, pos) / greatest(neg, neu, pos) >= 0.6 THEN 'balanced'
-       WHEN least(neg, neu, pos) / greatest(neg, neu, pos) >= 0.35 THEN 'moderately-imbalanced' ELSE 'imbalanced' END AS verdict FROM bal)"""],
-    f"""SELECT 'size' AS section, 'rows_before' AS key, CAST((SELECT count(*) FROM raw_a) AS VARCHAR) AS value
-UNION ALL SELECT 'size', 'rows_after', CAST((SELECT count(*) FROM clean_a) AS VARCHAR)
+       WHEN least(neg, neu, pos) / greatest(neg, neu, pos) >= 0.35 THEN 'moderately-imbalanced' ELSE 'imbalanced' END AS verdict FROM bal_{x})"""]
+
+
+def _report_sql(x: str) -> str:
+    return f"""SELECT 'size' AS section, 'rows_before' AS key, CAST((SELECT count(*) FROM raw_{x}) AS VARCHAR) AS value
+UNION ALL SELECT 'size', 'rows_after', CAST((SELECT count(*) FROM clean_{x}) AS VARCHAR)
 UNION ALL SELECT 'size', 'columns', '12'
-UNION ALL SELECT 'cleaning', 'dropped_exact_duplicates', CAST((SELECT count(*) FROM raw_a) - (SELECT count(*) FROM clean_a_ex) AS VARCHAR)
-UNION ALL SELECT 'cleaning', 'dropped_missing_core_fields', CAST((SELECT count(*) FROM clean_a_ex) - (SELECT count(*) FROM clean_a) AS VARCHAR)
-UNION ALL SELECT 'missing', field, printf('%.2f', missing_pct) FROM ms
-UNION ALL SELECT 'balance', 'negative', CAST(neg AS VARCHAR) FROM ver
-UNION ALL SELECT 'balance', 'neutral', CAST(neu AS VARCHAR) FROM ver
-UNION ALL SELECT 'balance', 'positive', CAST(pos AS VARCHAR) FROM ver
-UNION ALL SELECT 'balance', 'ratio', printf('%.3f', ratio) FROM ver
-UNION ALL SELECT 'balance', 'verdict', verdict FROM ver
+UNION ALL SELECT 'cleaning', 'dropped_exact_duplicates', CAST((SELECT count(*) FROM raw_{x}) - (SELECT count(*) FROM clean_{x}_ex) AS VARCHAR)
+UNION ALL SELECT 'cleaning', 'dropped_missing_core_fields', CAST((SELECT count(*) FROM clean_{x}_ex) - (SELECT count(*) FROM clean_{x}) AS VARCHAR)
+UNION ALL SELECT 'missing', field, printf('%.2f', missing_pct) FROM ms_{x}
+UNION ALL SELECT 'balance', 'negative', CAST(neg AS VARCHAR) FROM ver_{x}
+UNION ALL SELECT 'balance', 'neutral', CAST(neu AS VARCHAR) FROM ver_{x}
+UNION ALL SELECT 'balance', 'positive', CAST(pos AS VARCHAR) FROM ver_{x}
+UNION ALL SELECT 'balance', 'ratio', printf('%.3f', ratio) FROM ver_{x}
+UNION ALL SELECT 'balance', 'verdict', verdict FROM ver_{x}
 UNION ALL SELECT 'recommendation', 'text', CASE verdict
-  WHEN 'balanced' THEN '{Q.RECOMMENDATIONS["balanced"]}'
-  WHEN 'moderately-imbalanced' THEN '{Q.RECOMMENDATIONS["moderately-imbalanced"]}'
-  ELSE '{Q.RECOMMENDATIONS["imbalanced"]}' END FROM ver"""))
+  WHEN 'balanced' THEN '{RECOMMENDATION_SQL["balanced"]}'
+  WHEN 'moderately-imbalanced' THEN '{RECOMMENDATION_SQL["moderately-imbalanced"]}'
+  ELSE '{RECOMMENDATION_SQL["imbalanced"]}' END FROM ver_{x}"""
+
+
+@register("quality_report", O.with_query(O.pipeline_ctes("adjusted") + _report_ctes("a") + _report_ctes("b"), _each_sql(_report_sql)))
 def q_quality_report(spark, sf):
-    """The dataset report of the cleaned, adjusted TMDB-like source."""
+    """The dataset report of each cleaned, adjusted source."""
     st = Stages.of(spark, sf)
-    return Q.quality_report(st.adjusted("A"), st.cleaned("A").stats)
+    return _each(lambda x: Q.quality_report(st.adjusted(x), st.cleaned(x).stats))
 
 
 # --- A21 / A24-A30 / A33 statistics -----------------------------------------------------------
@@ -1036,14 +1059,16 @@ def q_genre_parse_variants(spark, sf):
                          G.parse_genres_notebook(F.col("genres")).alias("parsed_notebook")))
 
 
-@register("genre_json_roundtrip", O.with_query(O.pipeline_ctes(), """SELECT user_id, movie_id, to_json(genres_list)::VARCHAR AS genres_json,
-  array_to_string(CAST(json(to_json(genres_list)) AS VARCHAR[]), '|') AS genres_decoded FROM clean_a"""))
+@register("genre_json_roundtrip", O.with_query(O.pipeline_ctes(), _each_sql(lambda x: f"""SELECT user_id, movie_id, to_json(genres_list)::VARCHAR AS genres_json,
+  array_to_string(CAST(json(to_json(genres_list)) AS VARCHAR[]), '|') AS genres_decoded FROM clean_{x}""")))
 def q_genre_json_roundtrip(spark, sf):
     """genre lists encoded to JSON text and decoded back."""
     from tastemine.functions.genres import from_json_list, to_json_list
-    c = Stages.of(spark, sf).cleaned("A").df
-    j = c.select("user_id", "movie_id", to_json_list(F.col("genres_list")).alias("genres_json"))
-    return emit(j.withColumn("genres_decoded", from_json_list(F.col("genres_json"))))
+
+    def one(x: str) -> DataFrame:
+        j = Stages.of(spark, sf).cleaned(x).df.select("user_id", "movie_id", to_json_list(F.col("genres_list")).alias("genres_json"))
+        return emit(j.withColumn("genres_decoded", from_json_list(F.col("genres_json"))))
+    return _each(one)
 
 
 @register("event_props", """SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events""")

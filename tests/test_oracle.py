@@ -9,11 +9,11 @@ import pytest
 
 from conftest import SF_SMALL
 
-FAST = ["clean_tmdb", "clean_stats_trakt", "clean_basic_trakt", "rating_balance", "integrate", "integrate_stats",
+FAST = ["clean", "clean_stats", "clean_basic", "rating_balance", "integrate", "integrate_stats",
         "impute_mode_raw", "imputation_audit", "transform", "encode", "tfidf_cast", "split_report", "split_index",
         "frequent_itemsets", "association_rules", "rule_lookup_exact", "user_genre_prefs", "cluster_profiles",
         "embedding_silhouette", "embedding_calinski_harabasz", "quality_report", "missing_comparison",
-        "genre_parse_variants", "identical_columns", "rating_histogram", "matrix_shape"]
+        "genre_parse_variants", "identical_columns", "rating_histogram", "matrix_shape", "served_lookup", "segment_cards", "segment_insight", "rule_labels", "io_csv", "io_sparse"]
 
 
 @pytest.fixture(scope="module")
@@ -37,4 +37,4 @@ def test_entry_smoke(spark):
     import __spark_entry__ as e
     out = e.entry(spark)
     r = out.collect()
-    assert len(r) == 1 and r[0]["verdict"] in ("balanced", "moderately-imbalanced", "imbalanced")
+    assert len(r) == 2 and r[0]["verdict"] in ("balanced", "moderately-imbalanced", "imbalanced")
