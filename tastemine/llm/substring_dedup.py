@@ -4,9 +4,9 @@ Recompression names the same words with the same symbols everywhere, without a d
 token, or pairs of neighbours, by the hash of what they stand for. In a pair round the hash of a symbol says whether it
 is a left or a right one, and exactly the neighbours (left, right) become one symbol; nothing else in the text matters.
 So of two equal windows all symbols are equal but for those near the ends, and how far from the ends that is can be told
-from the window alone: each round loses at most one symbol at either end. A window's *anchor* is the least name of two
-neighbouring symbols of the last round that are safe in this sense (of one symbol if there is only one, and the hash of
-the window if there is none). Equal windows have equal anchors, so a window can only repeat text whose anchor occurs in
+from the window alone: each round loses at most one symbol at either end. A window's *anchor* is the longest pair of
+neighbouring symbols of the last round that are safe in this sense, the least name deciding among equals (one symbol if
+there is only one, and the hash of the window if there is none). Equal windows have equal anchors, so a window can only repeat text whose anchor occurs in
 another document; neighbouring windows share anchors, so there are far fewer of them than words.
 
 Spark's part, in this order:
@@ -29,6 +29,7 @@ from __future__ import annotations
 import hashlib
 import uuid
 from collections.abc import Iterable, Iterator
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
@@ -43,14 +44,14 @@ WINDOW = 20
 ROUNDS = 3
 #: words that are parsed at once; longer texts are parsed in pieces that overlap by a window
 SEGMENT = 200_000
-#: words whose hashes a worker remembers
-REMEMBERED = 500_000
+#: bytes whose words are hashed at once
+BLOCK = 1 << 20
 #: documents of the sample that finds hot anchors, and how many of them must have one
 SAMPLE_DOCS = 5000
 HOT_IN_SAMPLE = 10
 
 _M1, _M2, _M3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
-_S30, _S27, _S31, _S63 = (np.uint64(x) for x in (30, 27, 31, 63))
+_S6, _S30, _S27, _S31, _S58, _S63 = (np.uint64(x) for x in (6, 30, 27, 31, 58, 63))
 
 
 def _mix(a: np.ndarray, b: np.ndarray, salt: int) -> np.ndarray:
@@ -66,27 +67,65 @@ def _mix(a: np.ndarray, b: np.ndarray, salt: int) -> np.ndarray:
     return x ^ (x >> _S31)
 
 
-class WordHashes:
-    """64-bit hashes of words, through a bounded table of words seen before."""
-
-    def __init__(self):
-        from xxhash import xxh3_64_intdigest
-
-        class Known(dict):
-            def __missing__(self, word: bytes) -> int:
-                self[word] = out = xxh3_64_intdigest(word)
-                return out
-
-        self.known = Known()
-
-    def __call__(self, words: list[bytes]) -> np.ndarray:
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        return np.fromiter(map(self.known.__getitem__, words), np.uint64, len(words))
+_IS_SPACE = np.zeros(256, dtype=bool)
+_IS_SPACE[[9, 10, 11, 12, 13, 32]] = True
+#: a 64-bit number per byte, and an odd base with its inverse, for sums of byte * base ** place
+_BYTE = _mix(np.arange(256, dtype=np.uint64), np.arange(256, dtype=np.uint64), 11)
+_BASE = 0x9E3779B97F4A7C15 // 8 * 8 + 3
+_powers: list[np.ndarray] = []
+
+
+def _power_tables(n: int) -> list[np.ndarray]:
+    """Powers of the base, and of its inverse, at least ``n`` of each."""
+    if not _powers or len(_powers[0]) < n:
+        size = max(n, BLOCK + BLOCK // 8)
+        _powers[:] = []
+        for base in (_BASE, pow(_BASE, -1, 1 << 64)):
+            steps = np.full(size, base, dtype=np.uint64)
+            steps[0] = 1
+            _powers.append(np.multiply.accumulate(steps))
+    return _powers
+
+
+def hashed_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of all words of some texts (UTF-8), and where each text's begin and end.
+
+    Straight from Arrow's bytes: words are found by comparing neighbours, and a word's hash is the difference of two
+    running sums, moved to place 0 and mixed with its length; a block of bytes is summed at a time."""
+    offsets = np.frombuffer(texts.buffers()[1], np.int64 if pa.types.is_large_binary(texts.type) else np.int32)
+    offsets = offsets[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
+    if not len(offsets) or offsets[-1] == offsets[0]:
+        return np.zeros(0, dtype=np.uint64), np.zeros(len(texts) + 1, dtype=np.int64)
+    data = np.frombuffer(texts.buffers()[2], np.uint8)[offsets[0] : offsets[-1]]
+    offsets = offsets - offsets[0]
+    space = _IS_SPACE[data]
+    border = np.zeros(len(data) + 1, dtype=bool)
+    border[offsets] = True
+    border[1:-1] |= space[:-1]
+    starts = np.flatnonzero(~space & border[:-1])
+    border = np.zeros(len(data) + 1, dtype=bool)
+    border[offsets] = True
+    border[1:-1] |= space[1:]
+    ends = np.flatnonzero(~space & border[1:]) + 1
+    out = np.zeros(len(starts), dtype=np.uint64)
+    at = 0
+    while at < len(starts):
+        lo = starts[at]
+        end = max(at + 1, int(np.searchsorted(ends, lo + BLOCK, side="right")))
+        power, inverse = _power_tables(int(ends[end - 1] - lo) + 1)
+        part = data[lo : ends[end - 1]]
+        sums = np.zeros(len(part) + 1, dtype=np.uint64)
+        np.cumsum(_BYTE[part] * power[: len(part)], out=sums[1:])
+        s, e = starts[at:end] - lo, ends[at:end] - lo
+        out[at:end] = _mix((sums[e] - sums[s]) * inverse[s], (e - s).astype(np.uint64), 13)
+        at = end
+    return out, np.searchsorted(starts, offsets)
 
 
 def window_hashes(w: np.ndarray, salt: int = 1) -> np.ndarray:
     """A hash per window of ``WINDOW`` = 20 words, from hashes of 2, 4, 8 and 16."""
+    if len(w) < WINDOW:
+        return np.zeros(0, dtype=np.uint64)
     h2 = _mix(w[:-1], w[1:], salt)
     h4 = _mix(h2[:-2], h2[2:], salt)
     h8 = _mix(h4[:-4], h4[4:], salt)
@@ -103,7 +142,7 @@ def anchors(w: np.ndarray, first: np.ndarray, at: np.ndarray) -> np.ndarray:
     symbol = np.cumsum(new) - 1
     size = np.diff(np.append(starts, len(w))).astype(np.uint64)
     name = np.where(size > 1, _mix(w[starts], size, 7), w[starts])
-    head = first[starts]
+    head, begins = first[starts], starts
     n = len(name)
     # for a border before symbol k of the first round: the first safe symbol behind it, the last safe one before it
     behind, before = np.arange(n + 1), np.arange(-1, n)
@@ -118,10 +157,12 @@ def anchors(w: np.ndarray, first: np.ndarray, at: np.ndarray) -> np.ndarray:
         kept = np.flatnonzero(new)
         merged = name[kept]
         merged[to[:-1][pair]] = _mix(name[:-1][pair], name[1:][pair], 200 + k)
-        name, head, n = merged, head[kept], len(kept)
+        name, head, begins, n = merged, head[kept], begins[kept], len(kept)
     lo, hi = behind[symbol[at] + 1], before[symbol[at + WINDOW - 1]]
-    # the least of the names of two neighbours between lo and hi, by a table of minima over 1, 2, 4, 8, 16 of them
-    two = np.append(_mix(name[:-1], name[1:], 300), np.uint64(0))
+    # two neighbours between lo and hi, the longest first, by a table of minima over 1, 2, 4, 8, 16 of them
+    place = np.append(begins, len(w))
+    span = np.minimum(place[2:] - place[:-2], 63).astype(np.uint64)
+    two = np.append((np.uint64(63) - span) << _S58 | _mix(name[:-1], name[1:], 300) >> _S6, np.uint64(0))
     least = [two]
     for k in range(4):
         least.append(np.minimum(least[-1], np.append(least[-1][1 << k :], np.full(min(1 << k, n), least[-1][-1]))[:n]))
@@ -172,24 +213,32 @@ def document_anchors(docs: list[np.ndarray]) -> list[np.ndarray]:
     return [np.concatenate(x) if x else np.zeros(0, dtype=np.uint64) for x in out]
 
 
-def cut(words: list[bytes], w: np.ndarray, told: np.ndarray | None) -> tuple[int, str]:
-    """Words removed and digest of the kept ones: windows seen earlier in the document, or among the hashes ``told``."""
-    gone = None
-    if len(w) >= WINDOW:
-        h = window_hashes(w)
-        order = np.argsort(h, kind="stable")
-        again = np.zeros(len(h), dtype=bool)
-        again[order[1:]] = h[order[1:]] == h[order[:-1]]
-        if told is not None:
-            again |= np.isin(h, told)
-        if again.any():
-            depth = np.zeros(len(w) + 1, dtype=np.int64)
-            depth[: len(h)] += again
-            depth[WINDOW : WINDOW + len(h)] -= again
-            gone = np.cumsum(depth[:-1]) > 0
-    if gone is None:
-        return 0, hashlib.sha256(b" ".join(words)).hexdigest()
-    return int(gone.sum()), hashlib.sha256(b" ".join([words[i] for i in np.flatnonzero(~gone)])).hexdigest()
+def removed_words(w: np.ndarray, borders: np.ndarray, told: list[np.ndarray | None] | None) -> np.ndarray:
+    """Which words of some documents a repeated window covers: one seen earlier in its document, or one whose hash the
+    document was ``told``."""
+    gone = np.zeros(len(w), dtype=bool)
+    doc = np.repeat(np.arange(len(borders) - 1), np.diff(borders))
+    at = np.flatnonzero(np.arange(len(w)) + WINDOW <= borders[1:][doc])
+    if not len(at):
+        return gone
+    key = _mix(window_hashes(w)[at], doc[at].astype(np.uint64), 21)  # a window within its document
+    again = np.zeros(len(at), dtype=bool)
+    ordered = np.sort(key)
+    twice = ordered[1:][ordered[1:] == ordered[:-1]]
+    if len(twice):
+        some = np.flatnonzero(np.isin(key, twice))
+        some = some[np.argsort(key[some], kind="stable")]
+        again[some[1:]] = key[some[1:]] == key[some[:-1]]
+    if told is not None:
+        marks = [_mix(m, np.full(len(m), k, dtype=np.uint64), 21) for k, m in enumerate(told) if m is not None]
+        if marks:
+            again |= np.isin(key, np.concatenate(marks))
+    if again.any():
+        depth = np.zeros(len(w) + 1, dtype=np.int64)
+        depth[at[again]] += 1
+        depth[at[again] + WINDOW] -= 1
+        gone = np.cumsum(depth[:-1]) > 0
+    return gone
 
 
 def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -214,16 +263,19 @@ def alone(texts: DataFrame, told: bool = False) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from xxhash import xxh3_64_intdigest, xxh3_128_digest
 
-        hashes = WordHashes()
         for some in _slices(batches):
             rows: tuple[list, ...] = ([], [], [], [], [])
-            marks = some.column(2) if told else None
+            marks = [np.asarray(m.values).view(np.uint64) if m.is_valid else None for m in some.column(2)] if told else None
+            w, borders = hashed_words(some.column(1))
+            gone = removed_words(w, borders, marks)
+            removed = np.concatenate([[0], np.cumsum(gone)])[borders]
             for k, text in enumerate(some.column(1).to_pylist()):
                 words = text.split()
-                whole = b" ".join(words)
-                mark = np.asarray(marks[k].values).view(np.uint64) if told and marks[k].is_valid else None
-                removed, kept = cut(words, hashes(words), mark)
-                for out, x in zip(rows, (xxh3_64_intdigest(whole), xxh3_128_digest(whole), len(words), removed, kept), strict=True):
+                whole = kept = b" ".join(words)
+                n = int(removed[k + 1] - removed[k])
+                if n:
+                    kept = b" ".join(compress(words, ~gone[borders[k] : borders[k + 1]]))
+                for out, x in zip(rows, (xxh3_64_intdigest(w[borders[k] : borders[k + 1]].tobytes()), xxh3_128_digest(whole), len(words), n, hashlib.sha256(kept).hexdigest()), strict=True):
                     out.append(x)
             yield pa.RecordBatch.from_arrays([some.column(0), _long(np.array(rows[0], dtype=np.uint64)), pa.array(rows[1], pa.binary()), pa.array(rows[2], pa.int64()), pa.array(rows[3], pa.int64()), pa.array(rows[4], pa.string())], names=schema.names)
 
@@ -237,13 +289,12 @@ def anchor_rows(texts: DataFrame) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from xxhash import xxh3_64_intdigest
 
-        hashes = WordHashes()
         for some in _slices(batches):
-            split = [text.split() for text in some.column(1).to_pylist()]
-            found = [np.unique(a) for a in document_anchors([hashes(words) for words in split])]
-            sizes = [len(a) for a in found]
-            digest = np.array([xxh3_64_intdigest(b" ".join(words)) for words in split], dtype=np.uint64)
-            row = np.repeat(np.arange(len(split)), sizes)
+            w, borders = hashed_words(some.column(1))
+            docs = [w[lo:hi] for lo, hi in zip(borders, borders[1:], strict=False)]
+            found = [np.unique(a) for a in document_anchors(docs)]
+            digest = np.array([xxh3_64_intdigest(d.tobytes()) for d in docs], dtype=np.uint64)
+            row = np.repeat(np.arange(len(docs)), [len(a) for a in found])
             if len(row):
                 yield pa.RecordBatch.from_arrays([some.column(0).take(pa.array(row)), _long(digest[row]), _long(np.concatenate(found))], names=schema.names)
 
@@ -256,18 +307,18 @@ def window_rows(asked: DataFrame, only_asking: bool) -> DataFrame:
     schema = T.StructType([T.StructField("_h1", T.LongType()), T.StructField("_h2", T.LongType()), asked.schema["_id"]])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
         for some in _slices(batches):
-            docs = [hashes(text.split()) for text in some.column(1).to_pylist()]
+            w, borders = hashed_words(some.column(1))
+            all1, all2 = window_hashes(w), window_hashes(w, 2)
             h1, h2, row = [], [], []
-            for k, (w, a) in enumerate(zip(docs, document_anchors(docs), strict=True)):
+            for k, a in enumerate(document_anchors([w[lo:hi] for lo, hi in zip(borders, borders[1:], strict=False)])):
                 lists = [some.column(2)[k]] if only_asking else [some.column(2)[k], some.column(3)[k]]
                 names = np.concatenate([np.asarray(x.values).view(np.uint64) for x in lists])
-                at = np.flatnonzero(np.isin(a, names))
+                at = borders[k] + np.flatnonzero(np.isin(a, names))
                 if len(at):
-                    one, keep = np.unique(window_hashes(w)[at], return_index=True)
+                    one, keep = np.unique(all1[at], return_index=True)
                     h1.append(one)
-                    h2.append(window_hashes(w, 2)[at[keep]])
+                    h2.append(all2[at[keep]])
                     row.append(np.full(len(one), k))
             if row:
                 yield pa.RecordBatch.from_arrays([_long(np.concatenate(h1)), _long(np.concatenate(h2)), some.column(0).take(pa.array(np.concatenate(row)))], names=schema.names)
