@@ -240,3 +240,46 @@ def q_io_params(spark, sf):
     path = _scratch(spark, "params")
     files.save_params(label_codes(views.table(spark, sf, "orders"), "o_custkey", "code"), path)
     return files.read_parquet(spark, path).select(F.col("_value").alias("value"), "code")
+
+
+# --- A21 info, P2 / P16, E3 long, E12 projections ----------------------------------------------
+
+EVENT_COLUMNS = ("event_id", "user_id", "event_type", "value", "ts", "props")
+
+
+@register("info_events", " UNION ALL ".join(f"SELECT '{c}' AS field, count({c})::BIGINT AS non_null FROM events" for c in EVENT_COLUMNS))
+def q_info_events(spark, sf):
+    """A21 info(): filled rows per column."""
+    from tastemine.operators.stats import info
+    from tastemine.sources import views
+    return info(views.table(spark, sf, "events").select(*EVENT_COLUMNS)).select("field", "non_null")
+
+
+@register("tidy_column_names", "SELECT c_custkey AS id, c_mktsegment AS segment FROM customer")
+def q_tidy_column_names(spark, sf):
+    """Names with blanks trimmed, of equal names the first column kept."""
+    from tastemine.operators.cleaning import dedupe_column_names, trim_column_names
+    from tastemine.sources import views
+    df = views.table(spark, sf, "customer").select("c_custkey", "c_mktsegment", "c_name")
+    return dedupe_column_names(trim_column_names(df.toDF(" id", "segment  ", "id ")))
+
+
+@register("encode_genre_long", O.with_query(O.stage_ctes("encoded"), """SELECT user_idx::BIGINT AS user_idx, movie_idx::BIGINT AS movie_idx, g AS genre
+FROM enc, unnest(list_distinct(genres_list)) AS t(g)"""))
+def q_encode_genre_long(spark, sf):
+    """E3 without a wide vocabulary: the form that any number of genres allows."""
+    from tastemine.operators.encode import genre_long
+    df = Stages.of(spark, sf).encoded().df.withColumn("_k", F.struct("user_idx", "movie_idx"))
+    return genre_long(df, "_k").select("_k.*", "genre")
+
+
+@register("cluster_projection")
+def q_cluster_projection(spark, sf):
+    """Users on the first two principal components, with the ten clusters' centres."""
+    from tastemine.operators.cluster import pca_2d
+    from tastemine.plans.catalog import _clustered
+    feats, _, labels, _ = _clustered(spark, sf, k=10)
+    proj, _ = pca_2d(feats)
+    users = proj.join(labels, "user_idx").select("user_idx", "user_cluster", F.col("pca_xy")[0].alias("x"), F.col("pca_xy")[1].alias("y"))
+    centres = users.groupBy("user_cluster").agg(F.avg("x").alias("x"), F.avg("y").alias("y")).withColumn("user_idx", F.lit(None).cast("bigint"))
+    return emit(users.withColumn("kind", F.lit("user")).unionByName(centres.withColumn("kind", F.lit("centre"))))
