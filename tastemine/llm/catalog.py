@@ -17,6 +17,8 @@ QUERIES = {
     "op10_best_fit_packing": packing.query,
 }
 ORACLE = {
+    "op2_substring_dedup": substring_dedup.SQL,
+    "op4_license_scan": license_scan.SQL,
     "op5_mixing": mixing.SQL,
     "op8_quality_rules": quality_rules.SQL,
     "op9_exact_dedup": exact_dedup.SQL,

@@ -150,3 +150,38 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
 def query(spark, sf_dir):
     """op4: license phrases and notices of every document."""
     return scan(common.documents(spark, sf_dir))
+
+
+def _sql() -> str:
+    quoted = lambda ws: "[" + ", ".join(f"'{w}'" for w in ws) + "]"
+    phrases = ", ".join(f"({quoted(p.split())}, '{label}')" for p, label in PHRASES.items())
+    templates = ", ".join(f"({quoted(ws)}, '{label}')" for label, ws in _template_sets())
+    cut = "'[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'"
+    return f"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t FROM documents
+), w AS (
+  SELECT doc_id, regexp_extract_all(translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), {cut}) AS w FROM d
+), places AS (
+  SELECT doc_id, i - 1 AS i, label FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM w), (VALUES {phrases}) AS p(p, label)
+  WHERE w[i] = p[1] AND list_slice(w, i, i + len(p) - 1) = p
+), base AS (
+  SELECT doc_id, count(*) AS n, min(i) AS lo, max(i) AS hi, list_sort(list_distinct(list(label))) AS labels FROM places GROUP BY doc_id
+), lines AS (
+  SELECT doc_id, i, list_distinct(regexp_extract_all(lower(x), {cut})) AS s
+  FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS x, generate_subscripts(string_split(t, chr(10)), 1) AS i FROM d)
+), met AS (
+  SELECT doc_id, i, label, len(list_intersect(s, p)) / len(p) AS share FROM lines, (VALUES {templates}) AS p(p, label)
+  WHERE len(list_intersect(s, p)) >= ceil({CONTAINED} * len(p) - 1e-9)
+), found AS (
+  SELECT doc_id, list_distinct(list(label)) AS labels, max(share) AS share, count(DISTINCT i) AS blocks FROM met GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGINT) AS n_base, lo AS first_word, hi AS last_word,
+       array_to_string(coalesce(base.labels, []), ',') AS base_labels,
+       array_to_string(list_sort(list_distinct(list_concat(coalesce(base.labels, []), coalesce(found.labels, [])))), ',') AS labels,
+       CASE WHEN n > 0 THEN 1.0::DOUBLE ELSE coalesce(share, 0.0::DOUBLE) END AS score, CAST(coalesce(blocks, 0) AS BIGINT) AS n_blocks
+FROM w LEFT JOIN base USING (doc_id) LEFT JOIN found USING (doc_id)
+"""
+
+
+SQL = _sql()

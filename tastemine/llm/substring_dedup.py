@@ -387,3 +387,22 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def query(spark, sf_dir):
     """op2: what is left of every document."""
     return substring_dedup(common.documents(spark, sf_dir))
+
+
+SQL = f"""
+WITH w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents
+), win AS (
+  SELECT doc_id, i, array_to_string(list_slice(w, i, i + {WINDOW - 1}), ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - {WINDOW - 2})) AS i FROM w WHERE len(w) >= {WINDOW})
+), again AS (
+  SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY g ORDER BY doc_id, i) AS n FROM win) WHERE n > 1
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + {WINDOW})) AS i FROM again
+), kept AS (
+  SELECT doc_id, string_agg(x, ' ' ORDER BY i) AS t
+  FROM (SELECT doc_id, unnest(w) AS x, generate_subscripts(w, 1) AS i FROM w) ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (doc_id) LEFT JOIN (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id) USING (doc_id)
+"""
