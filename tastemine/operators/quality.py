@@ -212,7 +212,7 @@ def report_markdown(name: str, report: DataFrame) -> str:
     by = {}
     for r in rows:
         by.setdefault(r["section"], []).append((r["key"], r["value"]))
-    lines = [f"# Dataset Evaluation: {name}", ""]
+    lines = [f"# Dataset Evaluation: {name}", ""]  # fixed value: the heading
     for section, items in by.items():
         lines.append(f"## {section.title()}")
         lines.extend(f"- {k}: {v}" for k, v in items)

@@ -15,6 +15,8 @@ from tastemine.plans.pipeline import Stages, emit
 
 # --- L1-L3, L6-L8, J1, J3, A31, A32 -----------------------------------------------------------
 
+# Fixed value, written out for the oracle: the new-user sentinel.
+NEW_USER_SQL = "--- Người Dùng Mới (New User) ---"
 RECS_SQL = [TRAIN, f"""dict AS (SELECT movie_id, movie_title FROM (
   SELECT movie_id, movie_title, min((_part, {O.ORD})) AS f FROM splitted WHERE split = 'train' GROUP BY ALL)
 QUALIFY row_number() OVER (PARTITION BY movie_id ORDER BY f DESC) = 1)""", """recs AS MATERIALIZED (
@@ -62,7 +64,7 @@ def q_served_popular(spark, sf):
 
 @register("served_lookup", O.with_query(_recs_sql(POP_SQL, SEG_SQL, f"""cl AS (
   SELECT user_id, user_cluster FROM (SELECT DISTINCT user_id FROM splitted) JOIN seg USING (user_id))""", f"""req AS (
-  SELECT DISTINCT user_id FROM splitted WHERE split IN ('train', 'val') UNION SELECT '{L.NEW_USER}')""", """ans AS (
+  SELECT DISTINCT user_id FROM splitted WHERE split IN ('train', 'val') UNION SELECT '{NEW_USER_SQL}')""", """ans AS (
   SELECT req.user_id, recs.rank, recs.movie_id, recs.movie_title, recs.score FROM req JOIN recs USING (user_id)
   UNION ALL
   SELECT req.user_id, pop.rank, NULL, pop.movie_title, pop.score FROM req, pop
