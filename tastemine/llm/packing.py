@@ -35,7 +35,7 @@ from tastemine.session import checkpoint
 SEQUENCE = 2048
 END = 0
 #: stems whose ids a worker remembers, up to twice as many
-REMEMBERED = 400_000
+REMEMBERED = 250_000
 #: texts tokenised together
 ROWS = 1024
 
@@ -78,9 +78,9 @@ class PartIds:
     def _encode(self, new: list[bytes]) -> None:
         plain = [x for x in new if self.MARK not in x] if len(self.mark) == 1 else []
         between = b" " + self.MARK + b" "
-        groups = [plain[i : i + 500] for i in range(0, len(plain), 500)]
-        found = self.tokenizer.encode_batch_fast([between.join(some).decode() for some in groups], add_special_tokens=False)
-        for some, encoded in zip(groups, found, strict=True):
+        for i in range(0, len(plain), 500):
+            some = plain[i : i + 500]
+            encoded = self.tokenizer.encode_batch_fast([between.join(some).decode()], add_special_tokens=False)[0]
             ids = np.array(encoded.ids, dtype="<u4")
             cuts = np.flatnonzero(ids == self.mark[0])
             starts, ends = np.append(0, cuts + 1), np.append(cuts, len(ids))
@@ -135,6 +135,7 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sequ
         parts = PartIds.of(path)
         end = np.array([END], dtype="<u4").tobytes()
         for batch in batches:
+            pa.default_memory_pool().release_unused()
             for lo in range(0, batch.num_rows, ROWS):
                 some = batch.slice(lo, ROWS)
                 ids, borders = parts.batch(some.column(1))

@@ -32,14 +32,14 @@ from tastemine.session import checkpoint
 SHINGLE = 3
 RADIUS = 3
 SEED = 42
-TILE = 1024
+TILE = 512
 PARTS = 4
 _BITS = 64 // PARTS
 
 #: spread[v] has bit k of the byte v in its k-th byte, so adding up to 255 of them counts eight bits at once
 _SPREAD = sum(((np.arange(256, dtype=np.uint64) >> np.uint64(k)) & np.uint64(1)) << np.uint64(8 * k) for k in range(8)).astype(np.uint64)
 _RUN = 255
-_AT_ONCE = 100_000
+_AT_ONCE = 50_000
 
 
 def _add_votes(votes: np.ndarray, rows: list[int], sizes: list[int], hashes: list[int]) -> None:
@@ -90,8 +90,8 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                some = batch.slice(at, 512)
+            for at in range(0, batch.num_rows, 256):
+                some = batch.slice(at, 256)
                 found = fingerprint_batch(some.column(1).to_pylist(), shingle)
                 yield pa.RecordBatch.from_arrays([some.column(0), pa.array(found.view(np.int64))], names=["_id", "_fp"])
 
