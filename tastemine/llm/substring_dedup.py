@@ -4,9 +4,9 @@ Recompression names the same words with the same symbols everywhere, without a d
 token, or pairs of neighbours, by the hash of what they stand for. In a pair round the hash of a symbol says whether it
 is a left or a right one, and exactly the neighbours (left, right) become one symbol; nothing else in the text matters.
 So of two equal windows all symbols are equal but for those near the ends, and how far from the ends that is can be told
-from the window alone: each round loses at most one symbol at either end. A window's *anchor* is the longest pair of
-neighbouring symbols of the last round that are safe in this sense, the least name deciding among equals (one symbol if
-there is only one, and the hash of the window if there is none). Equal windows have equal anchors, so a window can only repeat text whose anchor occurs in
+from the window alone: each round loses at most one symbol at either end. A window's *anchor* is the longest run of three
+neighbouring symbols of the last round that are safe in this sense, the least name deciding among equals (fewer symbols
+if there are no three, and the hash of the window if there is none). Equal windows have equal anchors, so a window can only repeat text whose anchor occurs in
 another document; neighbouring windows share anchors, so there are far fewer of them than words.
 
 Spark's part, in this order:
@@ -159,18 +159,22 @@ def anchors(w: np.ndarray, first: np.ndarray, at: np.ndarray) -> np.ndarray:
         merged[to[:-1][pair]] = _mix(name[:-1][pair], name[1:][pair], 200 + k)
         name, head, begins, n = merged, head[kept], begins[kept], len(kept)
     lo, hi = behind[symbol[at] + 1], before[symbol[at + WINDOW - 1]]
-    # two neighbours between lo and hi, the longest first, by a table of minima over 1, 2, 4, 8, 16 of them
+    # three neighbours between lo and hi, the longest first, by a table of minima over 1, 2, 4, 8, 16 of them
     place = np.append(begins, len(w))
-    span = np.minimum(place[2:] - place[:-2], 63).astype(np.uint64)
-    two = np.append((np.uint64(63) - span) << _S58 | _mix(name[:-1], name[1:], 300) >> _S6, np.uint64(0))
-    least = [two]
+    two = _mix(name[:-1], name[1:], 300)
+    span = np.minimum(place[3:] - place[:-3], 63).astype(np.uint64)
+    three = (np.uint64(63) - span) << _S58 | _mix(two[:-1], name[2:], 310) >> _S6
+    least = [np.append(three, np.zeros(n - len(three), dtype=np.uint64))]
     for k in range(4):
         least.append(np.minimum(least[-1], np.append(least[-1][1 << k :], np.full(min(1 << k, n), least[-1][-1]))[:n]))
     table = np.stack(least)
     out = np.zeros(len(at), dtype=np.uint64)
-    many = np.flatnonzero(hi > lo)
-    power = np.frexp((hi - lo)[many])[1] - 1
-    out[many] = np.minimum(table[power, lo[many]], table[power, hi[many] - (1 << power)])
+    many = np.flatnonzero(hi >= lo + 2)
+    count = (hi - lo)[many] - 1
+    power = np.frexp(count)[1] - 1
+    out[many] = np.minimum(table[power, lo[many]], table[power, lo[many] + count - (1 << power)])
+    pair = np.flatnonzero(hi == lo + 1)
+    out[pair] = two[lo[pair]]
     one = np.flatnonzero(hi == lo)
     out[one] = _mix(name[lo[one]], name[lo[one]], 400)
     none = np.flatnonzero(hi < lo)
