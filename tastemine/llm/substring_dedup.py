@@ -361,12 +361,12 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         return spark.read.schema(df.schema).parquet(f"{base}/{name}")
 
     texts = _texts(docs, id_col, text_col)
-    own = checkpoint(alone(texts))
+    own = written(alone(texts), "own")
     # whole copies: all their windows start earlier, in the first document with these words
     groups = own.where(f"n_words >= {WINDOW} AND _id IS NOT NULL").groupBy("_all", "n_words").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n")).where("_n > 1")
     groups = checkpoint(groups.select(F.col("_all").alias("_g"), F.col("n_words").alias("_gw"), "_first"))
     own = own.join(groups, (F.col("_all") == F.col("_g")) & (F.col("n_words") == F.col("_gw")), "left")
-    own = checkpoint(own.withColumn("_copy", F.coalesce(F.col("_id") > F.col("_first"), F.lit(False))).drop("_g", "_gw", "_first", "_all"))
+    own = written(own.withColumn("_copy", F.coalesce(F.col("_id") > F.col("_first"), F.lit(False))).drop("_g", "_gw", "_first", "_all"), "copies")
 
     copies = own.where("_copy").select(F.col("_id").alias("_c"), F.col("_dh").alias("_cdh")).distinct()
     shared = shared_anchors(texts).join(copies, (F.col("_id") == F.col("_c")) & (F.col("_dh") == F.col("_cdh")), "left_anti")
