@@ -2,8 +2,12 @@
 
 Base: a place is where a phrase's words stand consecutively; places come from one regular expression per text.
 
-Method: a block is a line of a text, a template a set of words with a label. A block meets a template if it contains at
-least ``CONTAINED`` of the template's words. Words of templates are ordered by their frequency over all documents, rarest
+Method: a block is a line of a text or a passage over line breaks, a template a set of words with a label. A block meets
+a template if it contains at least ``CONTAINED`` of the template's words. A passage is a window of as many consecutive
+words as the template has, and a tenth more. If a line meets a template alone, that template's words in it take no part in
+passages, so every passage that is found is wrapped over lines, and a word counts for one notice. Of overlapping passages
+the one with most words of the template, then the shortest, is the block; its number is that of the line in which it
+begins. Only texts that have enough of a template's words are searched. Words of templates are ordered by their frequency over all documents, rarest
 first. A block can only meet a template of which it has at least one of the first |T| - o + 1 words (prefix filter; o: the
 words needed), of whose vocabulary it has at least o words (length filter), and where the words that follow the shared
 one in both are enough to get to o (positional filter). What passes is counted in full. The join is on the word, with
@@ -16,6 +20,7 @@ labels; null ids are a group of their own.
 from __future__ import annotations
 
 import math
+import re
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -54,10 +59,12 @@ def _words(text: Column) -> Column:
     return F.array_remove(F.split(text, _GAP, -1), "")
 
 
-def _template_sets() -> list[tuple[str, list[str]]]:
-    import re
+def _template_words(text: str) -> list[str]:
+    return re.findall(r"[0-9a-z]+", text.lower())
+
 
-    return [(label, list(dict.fromkeys(re.findall(r"[0-9a-z]+", text.lower())))) for label, text in TEMPLATES]
+def _template_sets() -> list[tuple[str, list[str]]]:
+    return [(label, list(dict.fromkeys(_template_words(text)))) for label, text in TEMPLATES]
 
 
 def base(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -90,14 +97,67 @@ def base(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     )
 
 
-def _blocks(docs: DataFrame, id_col: str, text_col: str, order: list[str], prefixes: list[str], least: int) -> DataFrame:
-    """Lines with at least ``least`` words of templates, one of a prefix among them: (_id, _block, _set). ``_set`` has
-    the line's words of templates in global order. Lines are sifted within a text's array, so each is cut once."""
+def _meets(of: Column, template: Column) -> Column:
+    return (F.size(of) >= template["need"]) & (F.size(F.array_intersect(of, template["words"])) >= template["need"])
+
+
+def _passages(lines: Column, templates: Column, template: Column) -> Column:
+    """Where words of ``template`` (words, need, window) from several of ``lines`` (i, w, s) stand together: array of
+    (i, seen)."""
+    words, need, longest = template["words"], template["need"], template["window"]
+
+    def free(x: Column) -> Column:  # the line's words without those of templates that it meets alone
+        taken = F.flatten(F.transform(F.filter(templates, lambda t: _meets(x["s"], t)), lambda t: t["words"]))
+        kept = lambda ws: F.transform(x["w"], lambda w: F.struct(x["i"].alias("i"), F.when(F.array_contains(words, w) & ~F.array_contains(ws, w), w).alias("w")))
+        return F.flatten(F.transform(F.array(taken), kept))
+
+    placed = F.flatten(F.transform(lines, free))
+    placed = F.transform(placed, lambda x, p: F.struct(p.alias("p"), x["i"].alias("i"), x["w"].alias("w")))
+    placed = F.filter(placed, lambda x: x["w"].isNotNull())
+    passage = lambda p, i, end, seen: F.struct(p.alias("p"), i.alias("i"), end.alias("end"), seen.alias("seen"))
+
+    def add(a: Column, x: Column) -> Column:
+        return F.when(F.array_contains(a["seen"], x["w"]), a).otherwise(passage(a["p"], a["i"], x["p"], F.concat(a["seen"], F.array(x["w"]))))
+
+    def windows(all_: Column) -> Column:
+        def window(x: Column, k: Column) -> Column:
+            within = F.filter(F.slice(all_, k + 1, longest), lambda y: y["p"] < x["p"] + longest)
+            return F.aggregate(within, passage(x["p"], x["i"], x["p"], F.array().cast("array<string>")), add)
+
+        return F.filter(F.transform(all_, window), lambda x: F.size(x["seen"]) >= need)
+
+    def best(found: Column, x: Column) -> Column:
+        last = F.get(found, F.size(found) - 1)
+        more = F.size(x["seen"]) - F.size(last["seen"])
+        better = (more > 0) | ((more == 0) & (x["end"] - x["p"] < last["end"] - last["p"]))
+        apart = (F.size(found) == 0) | (x["p"] > last["end"])
+        return F.when(apart, F.concat(found, F.array(x))).when(better, F.concat(F.slice(found, F.lit(1), F.size(found) - 1), F.array(x))).otherwise(found)
+
+    none = F.array().cast("array<struct<p:int,i:int,end:int,seen:array<string>>>")
+    return F.flatten(F.transform(F.array(placed), lambda x: F.aggregate(windows(x), none, best)))
+
+
+def _blocks(docs: DataFrame, id_col: str, text_col: str, order: list[str], prefixes: list[str], sets: list[tuple[list[str], int, int]]) -> DataFrame:
+    """Lines with as many words of templates as one of them needs, one of a prefix among them, and passages over line
+    breaks: (_id, _block, _set). ``sets`` has the words, the need and the window of each template. ``_set`` has the block's words of
+    templates in global order. Blocks are sifted within a text's array, so each text is cut once."""
     df = common.packed(docs, False, _id=F.col(f"`{id_col}`"), _t=common.text_of(text_col))
     known, first = (F.array(*[F.lit(w) for w in ws]) for ws in (order, prefixes))
-    lines = F.transform(F.split("_t", "\n", -1), lambda x, i: F.struct(i.alias("i"), F.array_intersect(known, _words(F.lower(x))).alias("s")))
-    lines = F.filter(lines, lambda x: (F.size(x["s"]) >= least) & F.arrays_overlap(x["s"], first))
-    return df.select("_id", F.explode(lines).alias("_line")).select("_id", F.col("_line.i").alias("_block"), F.col("_line.s").alias("_set"))
+    templates = F.array(*[F.struct(F.array(*[F.lit(w) for w in ws]).alias("words"), F.lit(need).alias("need"), F.lit(window).alias("window")) for ws, need, window in sets])
+    least = min(need for _, need, _ in sets)
+    cut = F.transform(F.split("_t", "\n", -1), lambda x, i: F.struct(i.alias("i"), _words(F.lower(x)).alias("w")))
+    cut = F.transform(cut, lambda x: F.struct(x["i"].alias("i"), x["w"].alias("w"), F.array_intersect(known, x["w"]).alias("s")))
+
+    def sifted(lines: Column) -> Column:
+        alone = F.filter(lines, lambda x: (F.size(x["s"]) >= least) & F.arrays_overlap(x["s"], first))
+        alone = F.transform(alone, lambda x: F.struct(x["i"].alias("i"), x["s"].alias("s")))
+        all_ = F.when(F.size(lines) > 1, F.array_distinct(F.flatten(F.transform(lines, lambda x: x["s"])))).otherwise(F.array().cast("array<string>"))
+        near = F.transform(F.array(all_), lambda a: F.filter(templates, lambda t: _meets(a, t)))
+        found = F.flatten(F.transform(F.flatten(near), lambda t: _passages(lines, templates, t)))
+        return F.concat(alone, F.transform(found, lambda x: F.struct(x["i"].alias("i"), F.array_intersect(known, x["seen"]).alias("s"))))
+
+    blocks = F.flatten(F.transform(F.array(cut), sifted))
+    return df.select("_id", F.explode(blocks).alias("_line")).select("_id", F.col("_line.i").alias("_block"), F.col("_line.s").alias("_set"))
 
 
 def word_order(docs: DataFrame, text_col: str, vocabulary: list[str]) -> list[str]:
@@ -120,8 +180,9 @@ def template_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         need = math.ceil(contained * len(ranks) - 1e-9)
         needs.append(need)
         index += [(order[ranks[k]], k, label, need, len(ranks), [order[r] for r in ranks]) for k in range(len(ranks) - need + 1)]
+    windows = [(ws, need, math.ceil(len(_template_words(text)) / contained)) for (_, ws), need, (_, text) in zip(sets, needs, TEMPLATES, strict=True)]
     templates = F.broadcast(spark.createDataFrame(index, "_word string, _pos int, label string, _need int, _size int, _template array<string>"))
-    blocks = _blocks(docs, id_col, text_col, order, sorted({w for w, *_ in index}), min(needs))
+    blocks = _blocks(docs, id_col, text_col, order, sorted({w for w, *_ in index}), windows)
     probes = blocks.select("_id", "_block", "_set", F.posexplode("_set").alias("_at", "_w"))
     met = probes.join(templates, F.col("_w") == F.col("_word"))
     met = met.where(F.size("_set") >= F.col("_need"))  # length
@@ -131,8 +192,8 @@ def template_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: id, n_words, n_base, first_word, last_word, base_labels, labels, score, n_blocks (lines that
-    meet a template). The score is 1 with a place of the base, else the largest share of a template that a block has."""
+    """One row per document: id, n_words, n_base, first_word, last_word, base_labels, labels, score, n_blocks (lines in
+    which a block begins that meets a template). The score is 1 with a place of the base, else the largest share of a template that a block has."""
     found = template_join(docs, id_col, text_col)
     found = found.groupBy("_id").agg(F.collect_set("label").alias("_labels"), F.max("share").alias("_share"), F.countDistinct("_block").alias("_blocks"))
     found = found.withColumnRenamed("_id", "_of")

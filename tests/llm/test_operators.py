@@ -192,6 +192,29 @@ def test_license_join_finds_every_block(docs):
     assert {(r["_id"], r["_block"], r["label"]) for r in got.collect()} == expected and expected
 
 
+WRAPPED = {
+    "mit": "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files (the Software)",
+    "bsd": " * Redistribution and use in source and binary forms, with or\r\n * without modification, are permitted provided that the\r\n * following conditions are met:",
+    "apache": "# you may not use this file except in compliance with the License.\n# You may obtain a copy of the License at",
+    "gpl": "you can redistribute it and/or modify\nit under the terms of the GNU General Public License as published by\nthe Free Software Foundation",
+    "mpl": "This Source Code Form is subject\n\nto the terms of the\nMozilla Public License",
+}
+
+
+def test_license_scan_finds_wrapped_notices(spark):
+    rows = [(k, f"the first words\nof a text\n{notice}\nlater words of the text") for k, notice in enumerate(WRAPPED.values())]
+    rows += [(10, WRAPPED["bsd"] + "\n" + WRAPPED["bsd"]), (11, WRAPPED["bsd"].replace("\n", " ")), (12, WRAPPED["bsd"].replace("\n", "\n" + "x " * 30))]
+    rows += [(13, "Released under\nthe MIT License.\nReleased under\nthe MIT License."), (None, WRAPPED["mpl"])]
+    rows += [(14, "Wir gehen mit\nLicensed under the Apache License, Version 2.0")]  # no word counts for two notices
+    wrapped = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r["doc_id"]: (r["labels"], r["score"], r["n_blocks"]) for r in license_scan.scan(wrapped).collect()}
+    assert [got[k] for k in range(5)] == [(label, 1.0, 1) for label in ("mit", "bsd", "apache", "gpl", "mpl")]
+    assert got[10] == ("bsd", 1.0, 2) and got[11] == ("bsd", 1.0, 1) and got[12] == ("", 0.0, 0)
+    assert got[13] == ("mit", 1.0, 2) and got[None] == ("mpl", 1.0, 1) and got[14] == ("apache", 1.0, 1)
+    blocks = {(r["_id"], r["_block"]) for r in license_scan.template_join(wrapped).collect()}
+    assert blocks >= {(k, 2) for k in range(5)} and {b for i, b in blocks if i == 10} == {0, 3}
+
+
 # -- rules and models ------------------------------------------------------------------------------------------------
 
 
