@@ -34,11 +34,20 @@ _IP = re.compile(r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _LOGIN = re.compile(r"[^\s/?#@:]+:[^\s/?#@]+@[A-Za-z0-9.-]+")
-_IBAN = re.compile(r"[\s:#]{0,3}([A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?)(?![A-Za-z0-9])")
+_IBAN = re.compile(r"[\s:#]{0,3}([A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30})")
 _ACCOUNT = re.compile(r"(?:\x20?(?:number|no\.?|nr\.?|#))?[\x20:#=]{0,3}([0-9](?:[\x20-]?[0-9]){7,16})(?![0-9])", re.I)
 _SSN = re.compile(r"[\x20:#=]{0,3}([0-9]{3}-[0-9]{2}-[0-9]{4})(?![0-9])")
 _CUES = {"iban": ("iban", _IBAN), "account": ("account", _ACCOUNT), "acct": ("account", _ACCOUNT), "ssn": ("ssn", _SSN), "social security number": ("ssn", _SSN)}
 
+_FOLDED = {upper: upper + 32 for upper in range(ord("A"), ord("Z") + 1)}
+
+
+def _folded(text: str) -> str:
+    """``text`` in lower case, in which cues are known, every character in its place. Only the Kelvin sign becomes an
+    ASCII letter, one that no cue has; a text that gets longer is folded in A-Z alone."""
+    low = text.lower()
+    return low if len(low) == len(text) else text.translate(_FOLDED)
+
 
 def _luhn(digits: str) -> bool:
     back = [int(c) for c in reversed(digits)]
@@ -50,6 +59,17 @@ def _iban(value: str) -> bool:
     return 15 <= len(plain) <= 34 and int("".join(str(int(c, 36)) for c in plain[4:] + plain[:4])) % 97 == 1
 
 
+def _iban_span(text: str, at: int) -> tuple[int, int] | None:
+    """The longest IBAN that stands behind its cue at ``at``; what follows it may look like more of it."""
+    if m := _IBAN.match(text, at):
+        start, end = m.span(1)
+        while end - start >= 15:
+            if text[end - 1] != " " and not (text[end : end + 1].isascii() and text[end : end + 1].isalnum()) and _iban(text[start:end]):
+                return start, end
+            end -= 1
+    return None
+
+
 def _run_start(text: str, end: int, floor: int, chars: str) -> int:
     """Where the run of ``chars`` that ends at ``end`` begins, not before ``floor``."""
     step, at = 64, end
@@ -72,8 +92,7 @@ class Scanner:
         self.anchors.add_word("@", "@")
         self.anchors.add_word("://", "://")
         for cue in _CUES:
-            for form in {cue, cue.upper(), cue.capitalize()}:
-                self.anchors.add_word(form, cue)
+            self.anchors.add_word(cue, cue)
         self.anchors.make_automaton()
 
     def spans(self, text: str) -> list[tuple[str, int, int]]:
@@ -83,7 +102,7 @@ class Scanner:
         def put(kind: str, start: int, end: int) -> None:
             found.setdefault(kind, []).append((start, end))
 
-        for at, anchor in self.anchors.iter(text):
+        for at, anchor in self.anchors.iter(_folded(text)):
             if anchor == "digit":
                 if at < past["digits"]:
                     continue  # inside a run of digits that is done
@@ -115,7 +134,12 @@ class Scanner:
             else:
                 kind, parser = _CUES[anchor]
                 start = at + 1 - len(anchor)
-                if not (start and text[start - 1].isalnum()) and (m := parser.match(text, at + 1)) and (kind != "iban" or _iban(m[1])):
+                if start and text[start - 1].isalnum():
+                    continue
+                if kind == "iban":
+                    if span := _iban_span(text, at + 1):
+                        put(kind, *span)
+                elif m := parser.match(text, at + 1):
                     put(kind, *m.span(1))
         return [(kind, *span) for kind in KINDS for span in found.get(kind, ())]
 

@@ -159,6 +159,32 @@ def test_pii(docs, empty):
     assert pii.find(empty).count() == 0
 
 
+@pytest.mark.parametrize(
+    ("text", "kind", "value"),
+    [
+        ("IBAN BE71 0961 2345 6769 BIC GKCCBEBB", "iban", "BE71 0961 2345 6769"),
+        ("IBAN: AT61 1904 3002 3457 3201 BIC", "iban", "AT61 1904 3002 3457 3201"),
+        ("iban ES91 2100 0418 4502 0005 1332 EUR 20", "iban", "ES91 2100 0418 4502 0005 1332"),
+        ("IBAN BE71 0961 2345 6769 USD 20 FOR RENT", "iban", "BE71 0961 2345 6769"),
+        ("IbAn BE71096123456769, then", "iban", "BE71096123456769"),
+        ("IBAN DE89 3704 0044 0532 0130 00 BIC", "iban", "DE89 3704 0044 0532 0130 00"),
+        ("IBAN BE71 0961 2345 6769 CODE GKCC", "iban", "BE71 0961 2345 6769"),
+        ("Social Security Number: 123-45-6789", "ssn", "123-45-6789"),
+        ("SOCIAL security NUMBER 123-45-6789", "ssn", "123-45-6789"),
+        ("aCCount No. 12345678", "account", "12345678"),
+        ("İİ Iban BE71096123456769", "iban", "BE71096123456769"),
+    ],
+)
+def test_pii_ends_and_cues(text, kind, value):
+    at = text.index(value)
+    assert [s for s in pii.Scanner().spans(text) if s[0] == kind] == [(kind, at, at + len(value))]
+
+
+def test_pii_refuses_wrong_ibans():
+    for text in ("IBAN BE72 0961 2345 6769 BIC", "IBAN BE71 0961 2345 67690", "IBAN BE71 0961 2345 6769x", "IBAN BE71"):
+        assert not [s for s in pii.Scanner().spans(text) if s[0] == "iban"]
+
+
 def test_pii_scanner_on_random_strings():
     rng, scanner = random.Random(1), pii.Scanner()
     for _ in range(3000):
