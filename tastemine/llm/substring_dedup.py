@@ -13,7 +13,8 @@ Spark's part, in this order:
 
 1. Every document by itself: repeats within it, the digest of what is kept, and a digest that finds whole copies.
 2. Anchors, dealt out by name; those that occur in different texts are gathered per document. Names that many documents
-   of a bounded sample share are salted (they are known to repeat).
+   of a bounded sample share are salted (they are known to repeat); of texts that many rows are copies of, only the
+   first one's names are dealt out.
 3. Texts of documents with such anchors are written once, with them. Their windows under these anchors are verified by
    128-bit hashes: a map-side combined aggregation finds the first document of each window, and a join that Spark can
    split on hot keys tells later documents.
@@ -330,19 +331,30 @@ def window_rows(asked: DataFrame, only_asking: bool) -> DataFrame:
     return asked.select("_id", "_t", "_ask", "_tell").mapInArrow(run, schema)
 
 
-def shared_anchors(texts: DataFrame) -> DataFrame:
-    """(_id, _dh, _ask, _tell): per document its anchors that an earlier, or a later, document with other text has."""
+def placed_anchors(texts: DataFrame, copied: DataFrame) -> DataFrame:
+    """(_sym, _id, _dh, _salt): the distinct anchors of each document, dealt out by (_sym, _salt); a salt above 0 is that
+    of a hot anchor. Of the texts in ``copied`` (_hdh, _hfirst: digest, first id), only the first document takes part."""
     spark = texts.sparkSession
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     some = max(1, texts.select("_id").count() // SAMPLE_DOCS)
-    sample = anchor_rows(texts.where(F.pmod(F.xxhash64("_id"), F.lit(some)) == 0))
+
+    def rows_of(some_texts: DataFrame) -> DataFrame:
+        rows = anchor_rows(some_texts).join(F.broadcast(copied), F.col("_dh") == F.col("_hdh"), "left")
+        return rows.where(F.col("_hdh").isNull() | (F.col("_id") <= F.col("_hfirst"))).select("_id", "_dh", "_sym")
+
+    sample = rows_of(texts.where(F.pmod(F.xxhash64("_id"), F.lit(some)) == 0))
     share = F.count(F.lit(1)) / F.lit(SAMPLE_DOCS)
     # at most the sample's anchors / HOT_IN_SAMPLE rows
     hot = sample.groupBy(F.col("_sym").alias("_hot")).agg(F.ceil(F.lit(partitions) * share).cast("int").alias("_salts"), F.count(F.lit(1)).alias("_n"), F.min("_dh").alias("_a"), F.max("_dh").alias("_b"))
     hot = hot.where((F.col("_n") >= HOT_IN_SAMPLE) & (F.col("_a") != F.col("_b"))).select("_hot", "_salts")
-    rows = anchor_rows(texts).join(F.broadcast(hot), F.col("_sym") == F.col("_hot"), "left")
+    rows = rows_of(texts).join(F.broadcast(hot), F.col("_sym") == F.col("_hot"), "left")
     salt = F.when(F.col("_salts").isNull(), F.lit(0)).otherwise(1 + F.pmod(F.xxhash64("_id"), F.col("_salts")))
-    rows = rows.select("_sym", "_id", "_dh", salt.cast("int").alias("_salt"))
+    return rows.select("_sym", "_id", "_dh", salt.cast("int").alias("_salt"))
+
+
+def shared_anchors(texts: DataFrame, copied: DataFrame) -> DataFrame:
+    """(_id, _dh, _ask, _tell): per document its anchors that an earlier, or a later, document with other text has."""
+    rows = placed_anchors(texts, copied)
     one = Window.partitionBy("_sym", "_salt")
     rows = rows.select("_sym", "_id", "_dh", "_salt", F.min("_id").over(one).alias("_lo"), F.max("_id").over(one).alias("_hi"), (F.min("_dh").over(one) != F.max("_dh").over(one)).alias("_differ"))
     rows = rows.where(F.col("_differ") | (F.col("_salt") > 0))
@@ -351,6 +363,13 @@ def shared_anchors(texts: DataFrame) -> DataFrame:
     return rows.groupBy("_id", "_dh").agg(F.collect_list(ask).alias("_ask"), F.collect_list(tell).alias("_tell"))
 
 
+def hot_copies(groups: DataFrame, rows: int) -> DataFrame:
+    """(_hdh, _hfirst): the texts that as large a share of all rows has as makes an anchor hot; at most ``SAMPLE_DOCS`` /
+    ``HOT_IN_SAMPLE`` rows."""
+    hot = groups.where(F.col("_n") * SAMPLE_DOCS >= rows * HOT_IN_SAMPLE)
+    return hot.groupBy("_hdh").agg(F.max("_first").alias("_hfirst"))
+
+
 def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: id, ``n_words``, ``n_removed``, ``kept_sha256``."""
     spark = docs.sparkSession
@@ -363,13 +382,15 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     texts = _texts(docs, id_col, text_col)
     own = written(alone(texts), "own")
     # whole copies: all their windows start earlier, in the first document with these words
-    groups = own.where(f"n_words >= {WINDOW} AND _id IS NOT NULL").groupBy("_all", "n_words").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n")).where("_n > 1")
-    groups = checkpoint(groups.select(F.col("_all").alias("_g"), F.col("n_words").alias("_gw"), "_first"))
+    groups = own.where(f"n_words >= {WINDOW} AND _id IS NOT NULL").groupBy("_all", "n_words").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n"), F.min("_dh").alias("_hdh")).where("_n > 1")
+    groups = checkpoint(groups.select(F.col("_all").alias("_g"), F.col("n_words").alias("_gw"), "_first", "_n", "_hdh"))
+    copied = hot_copies(groups, own.count())
+    groups = groups.drop("_n", "_hdh")
     own = own.join(groups, (F.col("_all") == F.col("_g")) & (F.col("n_words") == F.col("_gw")), "left")
     own = written(own.withColumn("_copy", F.coalesce(F.col("_id") > F.col("_first"), F.lit(False))).drop("_g", "_gw", "_first", "_all"), "copies")
 
     copies = own.where("_copy").select(F.col("_id").alias("_c"), F.col("_dh").alias("_cdh")).distinct()
-    shared = shared_anchors(texts).join(copies, (F.col("_id") == F.col("_c")) & (F.col("_dh") == F.col("_cdh")), "left_anti")
+    shared = shared_anchors(texts, copied).join(copies, (F.col("_id") == F.col("_c")) & (F.col("_dh") == F.col("_cdh")), "left_anti")
     shared = checkpoint(shared.groupBy(F.col("_id").alias("_i")).agg(F.flatten(F.collect_list("_ask")).alias("_ask"), F.flatten(F.collect_list("_tell")).alias("_tell")))
     asked = texts.join(shared.hint("shuffle_hash"), F.col("_id") == F.col("_i")).select("_id", "_t", "_ask", "_tell")
     asked = written(asked, "asked")

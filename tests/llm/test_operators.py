@@ -417,6 +417,26 @@ def test_substring_dedup_hot_passage(spark):
     _check(substring_dedup.substring_dedup(hot), list(expected.values()), SUB)
 
 
+def test_substring_dedup_hot_copies(spark, monkeypatch):
+    """A third of all rows are copies of one text: they do not meet in one group, and the result is right."""
+    rng = random.Random(13)
+    prose = lambda n: " ".join(f"w{rng.randint(0, 9999)}" for _ in range(n))
+    same = prose(60)
+    rows = [(k, same if k % 3 == 0 else prose(30)) for k in range(600)]
+    rows += [(700 + k, prose(5) + " " + " ".join(same.split()[k : k + 30]) + " " + prose(5)) for k in range(3)]
+    groups, place = [], substring_dedup.placed_anchors
+
+    def placed(*args):
+        out = place(*args)
+        groups.append(out.groupBy("_sym", "_salt").count().agg({"count": "max"}).first()[0])
+        return out
+
+    monkeypatch.setattr(substring_dedup, "placed_anchors", placed)
+    got = substring_dedup.substring_dedup(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(6))
+    _check(got, list(_substrings(rows).values()), SUB)
+    assert max(groups) <= 4
+
+
 def test_anchors_depend_on_the_window_alone():
     rng = np.random.default_rng(2)
     for size in (2, 5, 400):
