@@ -2,7 +2,21 @@
 
 from __future__ import annotations
 
-from tastemine.llm import exact_dedup, license_scan, mixing, packing, pii, quality_model, quality_rules, secrets, simhash, substring_dedup
+from tastemine.llm import (
+    conversation_repair,
+    exact_dedup,
+    license_scan,
+    mixing,
+    packing,
+    pii,
+    quality_model,
+    quality_rules,
+    secrets,
+    simhash,
+    substring_dedup,
+    token_counts,
+    whitening,
+)
 
 QUERIES = {
     "op1_secret_scan": secrets.query,
@@ -15,6 +29,9 @@ QUERIES = {
     "op8_quality_rules": quality_rules.query,
     "op9_exact_dedup": exact_dedup.query,
     "op10_best_fit_packing": packing.query,
+    "op11_embedding_whitening": whitening.query,
+    "op12_conversation_repair": conversation_repair.query,
+    "op13_token_counts": token_counts.query,
 }
 ORACLE = {
     "op2_substring_dedup": substring_dedup.SQL,
