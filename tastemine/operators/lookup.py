@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tastemine.functions.genres import display_genres
+from tastemine.operators import fuzzy
 from tastemine.operators.cleaning import ORDER_COL
 
 # Fixed value that must equal the reference: the cold-start sentinel user.
@@ -98,11 +99,23 @@ def _run_of(n: int):
     return lambda i: F.substring(F.col("_t"), i, F.lit(n))
 
 
-def rule_recommendations(queries: DataFrame, rules: DataFrame, top: int = TOP_RULE_RECS, query_col: str = "query") -> DataFrame:
+def match_titles_fuzzy(queries: DataFrame, titles: DataFrame, query_col: str = "query", title_col: str = "title", cutoff: float = fuzzy.CUTOFF) -> DataFrame:
+    """J6 with F10: the matches of ``match_titles``, and every other title whose similarity to the query exceeds
+    ``cutoff``, the similarity being its score. A pair that matches in several ways has the best score."""
+    plain = match_titles(queries, titles, query_col, title_col)
+    alike = fuzzy.similar(queries, titles, query_col, title_col, cutoff)
+    q = queries.select(F.col(query_col).alias("query")).distinct().withColumn("_q", F.lower("query"))
+    t = titles.select(F.col(title_col).alias("title")).distinct().withColumn("_t", F.lower("title"))
+    alike = alike.join(q, "_q").join(t, "_t").select("query", "title", F.col("ratio").alias("score"))
+    return plain.unionByName(alike).groupBy("query", "title").agg(F.max("score").alias("score"))
+
+
+def rule_recommendations(queries: DataFrame, rules: DataFrame, top: int = TOP_RULE_RECS, query_col: str = "query",
+                         cutoff: float | None = None) -> DataFrame:
     """Title query -> rule-based recommendations, for a table of queries.
 
-    A rule is kept for a query when any antecedent title matches it (exact or substring). The matched title of a query
-    is its best match (score, then title). Consequents of the kept rules, minus the matched title (case-insensitive),
+    A rule is kept for a query when any antecedent title matches it (exact or substring; with a ``cutoff`` also by
+    similarity). The matched title of a query is its best match (score, then title). Consequents of the kept rules, minus the matched title (case-insensitive),
     keep their best rule (lift, then confidence); the top N per query by lift (ties: title) are returned.
 
     Rules are first reduced to the best one per antecedent title and consequent, so a query meets each consequent of a
@@ -113,7 +126,10 @@ def rule_recommendations(queries: DataFrame, rules: DataFrame, top: int = TOP_RU
     pairs = pairs.select("title", F.explode("consequents").alias("movie_title"), "lift", "confidence")
     best_rule = F.max(F.struct("lift", "confidence")).alias("_b")
     pairs = pairs.groupBy("title", "movie_title").agg(best_rule).select("title", "movie_title", "_b.*")
-    matches = match_titles(queries, pairs.select("title"), query_col)
+    if cutoff is None:
+        matches = match_titles(queries, pairs.select("title"), query_col)
+    else:
+        matches = match_titles_fuzzy(queries, pairs.select("title"), query_col, cutoff=cutoff)
     searched = matches.groupBy("query").agg(
         F.min_by("title", F.struct(F.negative("score"), F.col("title"))).alias("searched_movie"))
     per = matches.join(pairs, "title").groupBy("query", "movie_title").agg(best_rule)

@@ -427,12 +427,9 @@ TITLE_QUERIES_SQL = """q AS (SELECT DISTINCT query FROM (
   WHERE length(query) > 0)"""
 
 
-@register("rule_lookup_exact", O.with_query(_itemset_sql() + [TITLE_QUERIES_SQL, """titles AS (
-  SELECT DISTINCT unnest(antecedents) AS title FROM rules)""", """m AS (
-  SELECT query, title, score FROM (
-    SELECT query, title, CASE WHEN lower(query) = lower(title) THEN 2.0
-                              WHEN contains(lower(title), lower(query)) THEN 1.5 END AS score FROM q, titles)
-  WHERE score IS NOT NULL)""", """best AS (
+def _rule_lookup_sql(ctes: list[str]) -> str:
+    """L5 over the matches in ``m`` that ``ctes`` end with."""
+    return O.with_query(_itemset_sql() + [*ctes, """best AS (
   SELECT query, title AS searched_movie FROM m QUALIFY row_number() OVER (PARTITION BY query ORDER BY score DESC, title) = 1)""",
     """rr AS (SELECT row_number() OVER () AS rid, * FROM rules)""", """hit AS (
   SELECT DISTINCT m.query, rr.rid FROM m JOIN (SELECT rid, unnest(antecedents) AS title FROM rr) a ON m.title = a.title
@@ -443,13 +440,102 @@ TITLE_QUERIES_SQL = """q AS (SELECT DISTINCT query FROM (
   SELECT * FROM cand QUALIFY row_number() OVER (PARTITION BY query, movie_title
     ORDER BY lift DESC, confidence DESC, length(atext) DESC, atext DESC) = 1)"""],
     """SELECT query, searched_movie, movie_title, round(confidence, 6) AS confidence, round(lift, 6) AS lift, rank FROM (
-  SELECT *, row_number() OVER (PARTITION BY query ORDER BY lift DESC, movie_title)::INTEGER AS rank FROM per) WHERE rank <= 20"""))
+  SELECT *, row_number() OVER (PARTITION BY query ORDER BY lift DESC, movie_title)::INTEGER AS rank FROM per) WHERE rank <= 20""", True)
+
+
+TITLES_SQL = "titles AS (SELECT DISTINCT unnest(antecedents) AS title FROM rules)"
+MATCH_SQL = """m AS (
+  SELECT query, title, score FROM (
+    SELECT query, title, CASE WHEN lower(query) = lower(title) THEN 2.0
+                              WHEN contains(lower(title), lower(query)) THEN 1.5 END AS score FROM q, titles)
+  WHERE score IS NOT NULL)"""
+
+
+@register("rule_lookup_exact", _rule_lookup_sql([TITLE_QUERIES_SQL, TITLES_SQL, MATCH_SQL]))
 def q_rule_lookup_exact(spark, sf):
     """L5 with exact and substring matching (SQL-checkable)."""
     from tastemine.operators.lookup import rule_recommendations
     return emit(rule_recommendations(_title_queries(spark, sf), _mined(spark, sf).rules))
 
 
+def _misspelt_queries(spark, sf):
+    """Part names with one letter left out, with one letter exchanged (which one, and for what, by the part's key), and
+    with the words in reverse order."""
+    from tastemine.sources.views import table
+    p = table(spark, sf, "part").select("p_name", F.pmod("p_partkey", F.length("p_name")).cast("int").alias("place"),
+                                        F.char((F.col("p_partkey") / 7).cast("bigint") % 26 + 97).alias("letter"))
+    before, behind = F.expr("left(p_name, place)"), F.expr("substring(p_name, place + 2)")
+    return (p.select(F.concat(before, behind).alias("query"))
+            .unionByName(p.select(F.concat(before, "letter", behind).alias("query")))
+            .unionByName(p.select(F.concat_ws(" ", F.reverse(F.split("p_name", " "))).alias("query")))
+            .filter(F.length("query") > 0).distinct())
+
+
+MISSPELT_SQL = """q AS (SELECT DISTINCT query FROM (
+  SELECT left(p_name, place) || substring(p_name, place + 2) AS query FROM p
+  UNION ALL SELECT left(p_name, place) || letter || substring(p_name, place + 2) FROM p
+  UNION ALL SELECT array_to_string(list_reverse(string_split(p_name, ' ')), ' ') FROM p) WHERE length(query) > 0)"""
+P_SQL = """p AS (SELECT p_name, (p_partkey % length(p_name))::INTEGER AS place, chr(((p_partkey // 7) % 26 + 97)::INTEGER) AS letter FROM part)"""
+# The longest common run of each stretch (of equally long ones the first in the query, then in the title), then of the
+# stretches to its left and right, until nothing is common.
+BEST_RUN = """SELECT s.id, s.alo, s.ahi, s.blo, s.bhi, max((least(r.len, r.i - s.alo + 1, r.j - s.blo + 1), -r.i, -r.j)) AS b
+    FROM stretch s JOIN runs r ON r.id = s.id AND r.i BETWEEN s.alo AND s.ahi AND r.j BETWEEN s.blo AND s.bhi
+    GROUP BY s.id, s.alo, s.ahi, s.blo, s.bhi"""
+SIMILAR_SQL = ["""texts AS (
+  SELECT row_number() OVER () AS id, a, b, length(a) AS la, length(b) AS lb
+  FROM (SELECT DISTINCT lower(query) AS a FROM q), (SELECT DISTINCT lower(title) AS b FROM titles)
+  WHERE 20 * least(length(a), length(b)) > 7 * (length(a) + length(b)))""", """runs AS (
+  SELECT id, i, j, i - min(i) OVER (PARTITION BY id, i - j, g) + 1 AS len FROM (
+    SELECT id, i, j, i - row_number() OVER (PARTITION BY id, i - j ORDER BY i) AS g FROM (
+      SELECT id, i, unnest(range(1, lb + 1)) AS j, a, b FROM (SELECT *, unnest(range(1, la + 1)) AS i FROM texts))
+    WHERE a[i] = b[j]))""", f"""stretch AS (
+  SELECT id, 1::BIGINT AS alo, la::BIGINT AS ahi, 1::BIGINT AS blo, lb::BIGINT AS bhi FROM texts
+  UNION ALL
+  SELECT id, x.alo, x.ahi, x.blo, x.bhi FROM (
+    SELECT id, unnest([{{'alo': alo, 'ahi': -b[2] - b[1], 'blo': blo, 'bhi': -b[3] - b[1]}},
+                       {{'alo': 1 - b[2], 'ahi': ahi, 'blo': 1 - b[3], 'bhi': bhi}}]) AS x FROM ({BEST_RUN}))
+  WHERE x.alo <= x.ahi AND x.blo <= x.bhi)""", f"""alike AS (
+  SELECT a, b, 2.0::DOUBLE * sum(m) / (la + lb) AS ratio FROM texts JOIN (SELECT id, b[1] AS m FROM ({BEST_RUN})) USING (id)
+  GROUP BY a, b, la, lb HAVING 20 * sum(m) > 7 * (la + lb))""", MATCH_SQL.replace("m AS", "plain AS", 1), """m AS (
+  SELECT query, title, max(score::DOUBLE) AS score FROM (
+    SELECT * FROM plain UNION ALL
+    SELECT query, title, ratio FROM alike JOIN q ON lower(query) = a JOIN titles ON lower(title) = b) GROUP BY ALL)"""]
+
+
+@register("rule_lookup_fuzzy", _rule_lookup_sql([P_SQL, MISSPELT_SQL, TITLES_SQL, *SIMILAR_SQL]))
+def q_rule_lookup_fuzzy(spark, sf):
+    """L5 with all three ways to match, over misspelt titles."""
+    from tastemine.operators import fuzzy
+    from tastemine.operators.lookup import rule_recommendations
+    return emit(rule_recommendations(_misspelt_queries(spark, sf), _mined(spark, sf).rules, cutoff=fuzzy.CUTOFF))
+
+
+def _rule_titles(spark, sf):
+    return _mined(spark, sf).rules.select(F.explode("antecedents").alias("title")).distinct()
+
+
+@register("title_matches_fuzzy", O.with_query(_itemset_sql() + [P_SQL, MISSPELT_SQL, TITLES_SQL, *SIMILAR_SQL], "SELECT query, title, round(score, 6) AS score FROM m", True))
+def q_title_matches_fuzzy(spark, sf):
+    """Every title that a misspelt one matches, with the score."""
+    from tastemine.operators.lookup import match_titles_fuzzy
+    return emit(match_titles_fuzzy(_misspelt_queries(spark, sf), _rule_titles(spark, sf)))
+
+
+@register("title_matches_report", O.with_query(_itemset_sql() + [P_SQL, MISSPELT_SQL, TITLES_SQL, *SIMILAR_SQL, """chars AS (
+  SELECT id, side, c, count(*) AS n FROM (
+    SELECT id, 'a' AS side, unnest(string_split(a, '')) AS c FROM texts UNION ALL SELECT id, 'b', unnest(string_split(b, '')) FROM texts)
+  GROUP BY ALL)""", """common AS (
+  SELECT x.id, sum(least(x.n, y.n)) AS n FROM chars x JOIN chars y ON x.id = y.id AND x.c = y.c AND x.side = 'a' AND y.side = 'b' GROUP BY x.id)"""],
+    """SELECT (SELECT count(DISTINCT lower(query)) FROM q) * (SELECT count(DISTINCT lower(title)) FROM titles) AS pairs,
+  (SELECT count(*) FROM texts) AS by_length,
+  (SELECT count(*) FROM texts JOIN common USING (id) WHERE 20 * n > 7 * (la + lb)) AS by_characters,
+  (SELECT count(*) FROM alike) AS "similar" """, True))
+def q_title_matches_report(spark, sf):
+    """Pairs of texts that are left after each filter."""
+    from tastemine.operators.fuzzy import filter_report
+    return filter_report(_misspelt_queries(spark, sf), _rule_titles(spark, sf)).drop("by_subsequence")
+
+
 @register("item_dictionary", O.with_query(O.stage_ctes("split"), f"""SELECT movie_id, movie_title FROM (
   SELECT movie_id, movie_title, min((_part, {O.ORD})) AS f FROM splitted WHERE split = 'train' GROUP BY ALL)
 QUALIFY row_number() OVER (PARTITION BY movie_id ORDER BY f DESC) = 1"""))

@@ -160,8 +160,8 @@ def pipeline_ctes(through: str = "clean") -> list[str]:
     return ctes
 
 
-def with_query(ctes: list[str], select: str) -> str:
-    return "WITH " + ",\n".join(ctes) + "\n" + select
+def with_query(ctes: list[str], select: str, recursive: bool = False) -> str:
+    return ("WITH RECURSIVE " if recursive else "WITH ") + ",\n".join(ctes) + "\n" + select
 
 
 def r6(expr: str) -> str:
