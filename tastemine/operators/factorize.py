@@ -1,34 +1,26 @@
 """Rating-matrix factorization and top-k recommendations.
 
 The user x item matrix is never pivoted: it stays as cells ``(u_row, i_col, rating)``. The truncated SVD is randomized
-(as the reference's ``TruncatedSVD``): a fixed number of passes, each a join of the cells with a table of one row per
-item (or user) and a map-side combined sum per user (or item) in the JVM. Both sides stay distributed; only matrices as
-wide as the sketch (``n_factors`` + 10 squared) reach the driver.
+(as the reference's ``TruncatedSVD``), see ``blocked_svd``.
 
-Scores U.Sigma . V^T come from joining blocks of users with blocks of items. Each pair of blocks is reduced to the top k
-per user inside ``mapInArrow``, so the dense score matrix never exists as rows.
+Recommendations are the items with the largest products U.Sigma . V^T, see ``topk``; the dense score matrix never exists
+as rows.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-import numpy as np
-import pyarrow as pa
-from pyspark import StorageLevel
-from pyspark.ml.functions import array_to_vector
-from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tastemine.operators.blocked_svd import randomized_svd
 from tastemine.operators.indexing import dense_index
+from tastemine.operators.topk import top_items
 from tastemine.session import checkpoint
 
 N_FACTORS = 50
 TOP_K = 10
-# rows of a block of users, and of a block of items, that are scored together
-USER_BLOCK = 1024
-ITEM_BLOCK = 4096
 
 
 def rating_matrix(df: DataFrame, user_col: str = "user_id", item_col: str = "movie_id",
@@ -56,122 +48,19 @@ class Factorization:
     cells: DataFrame          # user_id, item_id, u_row, i_col, rating
 
 
-def _names(n: int) -> list[str]:
-    return [f"c{j}" for j in range(n)]
-
-
-def _matrix(batch: pa.RecordBatch) -> np.ndarray:
-    """All columns of a batch but the first (the key) as a matrix."""
-    return np.stack([np.asarray(c) for c in batch.columns[1:]], axis=1)
-
-
-def _times(cells: DataFrame, dense: DataFrame, inner: str, outer: str) -> DataFrame:
-    """Cells times a table (``inner``, c0..): per ``outer`` the sum of rating * row."""
-    cols = dense.columns[1:]
-    joined = cells.join(dense.withColumnRenamed(inner, "_k"), F.col(inner) == F.col("_k"))
-    return joined.groupBy(outer).agg(*[F.sum(F.col("rating") * F.col(c)).alias(c) for c in cols])
-
-
-def _gram(dense: DataFrame) -> np.ndarray:
-    """X^T X of a table (key, c0..): one matrix per task, summed in the JVM."""
-
-    def run(batches):
-        g = None
-        for batch in batches:
-            x = _matrix(batch)
-            g = x.T @ x if g is None else g + x.T @ x
-        if g is not None:
-            yield pa.RecordBatch.from_arrays([pa.array([g.ravel()], pa.list_(pa.float64()))], names=["g"])
-
-    part = dense.mapInArrow(run, "g array<double>")
-    n = len(dense.columns) - 1
-    return part.agg(Summarizer.sum(array_to_vector("g")).alias("s")).first()["s"].toArray().reshape(n, n)
-
-
-def _by(dense: DataFrame, m: np.ndarray) -> DataFrame:
-    """X @ m of a table (key, c0..); m is as wide as the sketch."""
-    key = dense.columns[0]
-    names = [key, *_names(m.shape[1])]
-
-    def run(batches):
-        for batch in batches:
-            x = _matrix(batch) @ m
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c) for c in x.T)], names=names)
-
-    return dense.mapInArrow(run, f"{key} bigint, " + ", ".join(f"{c} double" for c in names[1:]))
-
-
-def _whitening(g: np.ndarray) -> np.ndarray:
-    """M such that X M has orthonormal columns, for g = X^T X; directions without weight are left out."""
-    w, v = np.linalg.eigh((g + g.T) / 2)
-    kept = w > 1e-12 * max(w.max(), 1e-300)
-    return v[:, kept] / np.sqrt(w[kept])
-
-
-def randomized_svd(cells: DataFrame, items: DataFrame, k: int, n_items: int, oversample: int = 10, n_iter: int = 5, seed: int = 42):
-    """Randomized truncated SVD (Halko, Martinsson, Tropp): a Gaussian test matrix that depends on the item's position
-    alone, ``n_iter`` power iterations, and the small problem on the driver. Returns tables of U.Sigma and V and the
-    singular values."""
-    width = min(k + oversample, n_items)
-    names = ["i_col", *_names(width)]
-
-    def gaussian(batches):
-        for batch in batches:
-            x = np.stack([np.random.default_rng((seed, i)).standard_normal(width) for i in batch.column(0).to_pylist()])
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c) for c in x.T)], names=names)
-
-    q = checkpoint(items.select("i_col").mapInArrow(gaussian, "i_col bigint, " + ", ".join(f"{c} double" for c in names[1:])))
-    for _ in range(n_iter):
-        z = checkpoint(_times(cells, _times(cells, q, "i_col", "u_row"), "u_row", "i_col"))
-        q = _by(z, _whitening(_gram(z)))
-    q = checkpoint(q)
-    q = checkpoint(_by(q, _whitening(_gram(q))))  # a second time for accuracy
-    y = _times(cells, q, "i_col", "u_row").persist(StorageLevel.MEMORY_AND_DISK)
-    m = _whitening(_gram(y))
-    u = checkpoint(_by(y, m))
-    y.unpersist()
-    m = _whitening(_gram(u))
-    z = checkpoint(_by(_times(cells, u, "u_row", "i_col"), m))
-    w, v = np.linalg.eigh(_gram(z))
-    kept = np.argsort(-w)[:k]
-    sigma = np.sqrt(np.maximum(w[kept], 0))
-    inverse = np.divide(1, sigma, out=np.zeros_like(sigma), where=sigma > 0)
-    return _by(u, m @ v[:, kept] * sigma), _by(z, v[:, kept] * inverse), sigma
-
-
 def factorize(ratings: DataFrame, user_col: str = "user_id", item_col: str = "movie_id",
-              rating_col: str = "rating", n_factors: int = N_FACTORS) -> Factorization:
+              rating_col: str = "rating", n_factors: int | None = N_FACTORS) -> Factorization:
     """Truncated SVD of the 0-filled user x item mean-rating matrix (no
-    centring), k = min(n_factors, items - 1). Rows are users sorted by id,
+    centring), k = min(n_factors, items - 1), or all items for ``None``. Rows are users sorted by id,
     columns items sorted by id (the pivot's order)."""
     cells = rating_matrix(ratings, user_col, item_col, rating_col)
     u_idx = checkpoint(dense_index(cells.select(user_col).distinct(), [user_col], "u_row"))
     i_idx = checkpoint(dense_index(cells.select(item_col).distinct(), [item_col], "i_col"))
     cells = checkpoint(cells.join(u_idx, user_col).join(i_idx, item_col))
     n_items = i_idx.count()
-    k = max(1, min(n_factors, n_items - 1))
-    us, v, sigma = randomized_svd(cells.select("u_row", "i_col", "rating"), i_idx, k, n_items)
-
-    def named(dense: DataFrame, ids: DataFrame, key: str) -> DataFrame:
-        return checkpoint(dense.select(key, F.array(*dense.columns[1:]).alias("factors")).join(ids, key))
-
-    return Factorization(named(us, u_idx, "u_row"), named(v, i_idx, "i_col"), [float(x) for x in sigma], n_items, len(sigma), cells)
-
-
-def _top(users: np.ndarray, u: np.ndarray, items: np.ndarray, v: np.ndarray, seen: np.ndarray | None, k: int):
-    """Of a block of users and one of items: (user, item, score) of each user's k best, ties by item."""
-    scores = u @ v.T
-    if seen is not None:
-        scores[seen[0], seen[1]] = -np.inf
-    top = min(k, len(items))
-    least = np.partition(scores, len(items) - top, axis=1)[:, len(items) - top]
-    row, col = np.nonzero((scores >= least[:, None]) & np.isfinite(scores))
-    value = scores[row, col]
-    order = np.lexsort((items[col], -value, row))
-    row, col, value = row[order], col[order], value[order]
-    first = np.searchsorted(row, row)
-    kept = np.arange(len(row)) - first < top
-    return users[row[kept]], items[col[kept]], value[kept]
+    k = n_items if n_factors is None else max(1, min(n_factors, n_items - 1))
+    us, v, sigma = randomized_svd(cells.select("u_row", "i_col", "rating"), k, n_items)
+    return Factorization(checkpoint(us.join(u_idx, "u_row")), checkpoint(v.join(i_idx, "i_col")), [float(x) for x in sigma], n_items, len(sigma), cells)
 
 
 def recommend(fact: Factorization, titles: DataFrame | None = None, k: int = TOP_K,
@@ -180,42 +69,9 @@ def recommend(fact: Factorization, titles: DataFrame | None = None, k: int = TOP
     """score = U.Sigma . V^T for every item, top k per user
     (score desc, item id asc), score rounded to 2, title lookup with default.
 
-    Blocks of users meet every block of items by an equi-join on the block;
-    each pair keeps the top k per user, and these are merged per user. With
-    ``exclude_seen`` rated items are masked before ranking.
+    See ``topk`` for the search. With ``exclude_seen`` rated items are left out before ranking.
     """
-    def blocks(df: DataFrame, key: str, size: int, name: str) -> DataFrame:
-        rows = F.array_sort(F.collect_list(F.struct(key, "factors")))
-        return df.groupBy(F.floor(F.col(key) / size).cast("bigint").alias(name)).agg(rows.alias(f"_{name}"))
-
-    n_blocks = -(-fact.n_items // ITEM_BLOCK)
-    users = blocks(fact.users, "u_row", USER_BLOCK, "ub").withColumn("_to", F.explode(F.sequence(F.lit(0), F.lit(max(n_blocks - 1, 0)))))
-    pairs = users.join(blocks(fact.items, "i_col", ITEM_BLOCK, "ib"), F.col("_to") == F.col("ib"))
-    if exclude_seen:  # at most a block of users times a block of items per row
-        where = [F.floor(F.col("u_row") / USER_BLOCK).cast("bigint").alias("_sub"), F.floor(F.col("i_col") / ITEM_BLOCK).cast("bigint").alias("_sib")]
-        seen = fact.cells.groupBy(*where).agg(F.collect_list("u_row").alias("_su"), F.collect_list("i_col").alias("_si"))
-        pairs = pairs.join(seen, (F.col("ub") == F.col("_sub")) & (F.col("ib") == F.col("_sib")), "left")
-        pairs = pairs.select("_ub", "_ib", "_su", "_si")
-    else:
-        pairs = pairs.select("_ub", "_ib")
-
-    def score(batches):
-        def side(rows):
-            parts = rows.values.flatten()
-            return np.asarray(parts[0]), np.stack(parts[1].to_numpy(zero_copy_only=False))
-
-        for batch in batches:
-            for at in range(batch.num_rows):
-                (uid, u), (iid, v) = side(batch.column(0)[at]), side(batch.column(1)[at])
-                seen = None
-                if exclude_seen and batch.column(2)[at].is_valid:
-                    a, b = (np.asarray(batch.column(c)[at].values) for c in (2, 3))
-                    seen = np.stack([np.searchsorted(uid, a), np.searchsorted(iid, b)])
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in _top(uid, u, iid, v, seen, k)], names=["u_row", "i_col", "raw_score"])
-
-    best = pairs.mapInArrow(score, "u_row bigint, i_col bigint, raw_score double")
-    rank = F.row_number().over(Window.partitionBy("u_row").orderBy(F.desc("raw_score"), "i_col"))
-    best = best.withColumn("rank", rank).where(F.col("rank") <= k)
+    best, _ = top_items(fact.users.select("u_row", "factors"), fact.items.select("i_col", "factors"), k, fact.cells if exclude_seen else None)
     recs = best.join(fact.users.select("u_row", user_col), "u_row").join(fact.items.select("i_col", item_col), "i_col")
     recs = recs.withColumn("score", F.round("raw_score", 2))
     if titles is not None:
@@ -226,15 +82,20 @@ def recommend(fact: Factorization, titles: DataFrame | None = None, k: int = TOP
         user_col, item_col, "movie_title", "score", "rank")
 
 
+def predicted(fact: Factorization) -> DataFrame:
+    """The rated cells with ``prediction``, their value in U.Sigma.V^T."""
+    c = fact.cells.join(fact.users.select("u_row", F.col("factors").alias("_u")), "u_row").join(
+        fact.items.select("i_col", F.col("factors").alias("_v")), "i_col")
+    dot = F.aggregate(F.zip_with("_u", "_v", lambda a, b: a * b), F.lit(0.0), lambda acc, x: acc + x)
+    return c.withColumn("prediction", dot).drop("_u", "_v")
+
+
 def reconstruction_error(fact: Factorization) -> DataFrame:
     """RMSE / MAE of U.Sigma.V^T on the rated cells (all users), and the
     all-cells RMSE via sum over rated cells of (r^2 - 2 r p) plus the sum of
     all predictions squared = sum_u |U.Sigma_u . V^T|^2 = sum_u |U.Sigma_u|^2
     (V has orthonormal columns)."""
-    c = fact.cells.join(fact.users.select("u_row", F.col("factors").alias("_u")), "u_row").join(
-        fact.items.select("i_col", F.col("factors").alias("_v")), "i_col")
-    pred = F.aggregate(F.zip_with("_u", "_v", lambda a, b: a * b), F.lit(0.0), lambda acc, x: acc + x)
-    c = c.withColumn("_p", pred)
+    c = predicted(fact).withColumnRenamed("prediction", "_p")
     rated = c.agg(
         F.sqrt(F.avg((F.col("rating") - F.col("_p")) ** 2)).alias("rmse"),
         F.avg(F.abs(F.col("rating") - F.col("_p"))).alias("mae"),

@@ -801,6 +801,65 @@ def q_svd_recommendations(spark, sf):
     return _recs(spark, sf)[1]
 
 
+GENRE_CELLS = f"""cells AS (SELECT user_id, primary_genre, avg(rating) AS rating FROM splitted
+  WHERE split = 'train' AND primary_genre IS NOT NULL GROUP BY ALL)"""
+
+
+@register("svd_reconstruction", O.with_query(O.stage_ctes("split") + [GENRE_CELLS],
+                                             "SELECT user_id, primary_genre, round(rating, 6) AS rating FROM cells"))
+def q_svd_reconstruction(spark, sf):
+    """R1 with as many factors as there are columns, where U.Sigma.V^T is the matrix itself: mean ratings by user and
+    genre, back from the factors."""
+    from tastemine.operators.factorize import factorize, predicted
+    train = Stages.of(spark, sf).part("train").where("primary_genre IS NOT NULL")
+    fact = factorize(train, item_col="primary_genre", n_factors=None)
+    return emit(predicted(fact).select("user_id", "primary_genre", F.col("prediction").alias("rating")))
+
+
+@register("svd_energy", O.with_query(O.stage_ctes("split") + [GENRE_CELLS], "SELECT round(sum(rating * rating), 3) AS energy, count(DISTINCT primary_genre) AS columns FROM cells"))
+def q_svd_energy(spark, sf):
+    """The squares of all singular values add up to those of the cells."""
+    from tastemine.operators.factorize import factorize
+    train = Stages.of(spark, sf).part("train").where("primary_genre IS NOT NULL")
+    fact = factorize(train, item_col="primary_genre", n_factors=None)
+    energy = fact.users.agg(F.round(F.sum(F.aggregate("factors", F.lit(0.0), lambda a, x: a + x * x)), 3).alias("energy"))
+    return energy.crossJoin(fact.items.agg(F.count(F.lit(1)).alias("columns")))
+
+
+@register("embedding_top_products", """WITH e AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings)
+SELECT vec_id, other_id, round(score, 6) AS score, rank FROM (
+  SELECT a.vec_id, b.vec_id AS other_id, list_inner_product(a.v, b.v) AS score,
+         row_number() OVER (PARTITION BY a.vec_id ORDER BY list_inner_product(a.v, b.v) DESC, b.vec_id)::INTEGER AS rank
+  FROM e a JOIN e b ON a.vec_id <> b.vec_id) WHERE rank <= 10""")
+def q_embedding_top_products(spark, sf):
+    """For every vector the ten others with the largest inner product."""
+    return emit(_top_products(spark, sf)[0].withColumnRenamed("raw_score", "score"))
+
+
+def _top_products(spark, sf):
+    from tastemine.operators.indexing import dense_index
+    from tastemine.operators.topk import top_items
+    from tastemine.session import checkpoint
+    from tastemine.sources.views import table
+    e = table(spark, sf, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("factors"))
+    e = checkpoint(dense_index(e, ["vec_id"], "row"))
+    users, items = e.select(F.col("row").alias("u_row"), "factors"), e.select(F.col("row").alias("i_col"), "factors")
+    best, told = top_items(users, items, 10, e.select(F.col("row").alias("u_row"), F.col("row").alias("i_col")))
+    a, b = e.select("vec_id", F.col("row").alias("u_row")), e.select(F.col("vec_id").alias("other_id"), F.col("row").alias("i_col"))
+    return best.join(a, "u_row").join(b, "i_col").select("vec_id", "other_id", "raw_score", "rank"), told
+
+
+@register("topk_search_report")
+def q_topk_search_report(spark, sf):
+    """Of all pairs of a user and a block of items, how many were scored; factors, and embeddings."""
+    from tastemine.operators.topk import top_items
+    fact = Stages.of(spark, sf).factorization()
+    _, told = top_items(fact.users.select("u_row", "factors"), fact.items.select("i_col", "factors"), 10)
+    rows = [("factors", told), ("embeddings", _top_products(spark, sf)[1])]
+    return spark.createDataFrame([(n, x["pairs"], x["scored"], x["rounds"], x["scored"] / max(1, x["pairs"])) for n, x in rows],
+                                 "vectors string, pairs bigint, scored bigint, rounds int, share double")
+
+
 @register("svd_metrics")
 def q_svd_metrics(spark, sf):
     """RMSE / MAE on rated cells, all-cells RMSE, explained variance, k."""
