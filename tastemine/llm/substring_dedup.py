@@ -16,7 +16,7 @@ Spark's part, in this order:
    of a bounded sample share are salted (they are known to repeat); of texts that many rows are copies of, only the
    first one's names are dealt out.
 3. Texts of documents with such anchors are written once, with them. Their windows under these anchors are verified by
-   128-bit hashes: a map-side combined aggregation finds the first document of each window, and a join that Spark can
+   two hashes of 64 bits each, that share nothing since every word has two independent ones: a map-side combined aggregation finds the first document of each window, and a join that Spark can
    split on hot keys tells later documents.
 4. Documents that were told something are cut once more, with that.
 
@@ -34,6 +34,7 @@ from itertools import compress
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -45,8 +46,6 @@ WINDOW = 20
 ROUNDS = 3
 #: words that are parsed at once; longer texts are parsed in pieces that overlap by a window
 SEGMENT = 200_000
-#: bytes whose words are hashed at once
-BLOCK = 1 << 20
 #: documents of the sample that finds hot anchors, and how many of them must have one
 SAMPLE_DOCS = 5000
 HOT_IN_SAMPLE = 10
@@ -68,59 +67,24 @@ def _mix(a: np.ndarray, b: np.ndarray, salt: int) -> np.ndarray:
     return x ^ (x >> _S31)
 
 
-_IS_SPACE = np.zeros(256, dtype=bool)
-_IS_SPACE[[9, 10, 11, 12, 13, 32]] = True
-#: a 64-bit number per byte, and an odd base with its inverse, for sums of byte * base ** place
-_BYTE = _mix(np.arange(256, dtype=np.uint64), np.arange(256, dtype=np.uint64), 11)
-_BASE = 0x9E3779B97F4A7C15 // 8 * 8 + 3
-_powers: list[np.ndarray] = []
-
-
-def _power_tables(n: int) -> list[np.ndarray]:
-    """Powers of the base, and of its inverse, at least ``n`` of each."""
-    if not _powers or len(_powers[0]) < n:
-        size = max(n, BLOCK + BLOCK // 8)
-        _powers[:] = []
-        for base in (_BASE, pow(_BASE, -1, 1 << 64)):
-            steps = np.full(size, base, dtype=np.uint64)
-            steps[0] = 1
-            _powers.append(np.multiply.accumulate(steps))
-    return _powers
-
-
-def hashed_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of all words of some texts (UTF-8), and where each text's begin and end.
-
-    Straight from Arrow's bytes: words are found by comparing neighbours, and a word's hash is the difference of two
-    running sums, moved to place 0 and mixed with its length; a block of bytes is summed at a time."""
-    offsets = np.frombuffer(texts.buffers()[1], np.int64 if pa.types.is_large_binary(texts.type) else np.int32)
-    offsets = offsets[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
-    if not len(offsets) or offsets[-1] == offsets[0]:
-        return np.zeros(0, dtype=np.uint64), np.zeros(len(texts) + 1, dtype=np.int64)
-    data = np.frombuffer(texts.buffers()[2], np.uint8)[offsets[0] : offsets[-1]]
-    offsets = offsets - offsets[0]
-    space = _IS_SPACE[data]
-    border = np.zeros(len(data) + 1, dtype=bool)
-    border[offsets] = True
-    border[1:-1] |= space[:-1]
-    starts = np.flatnonzero(~space & border[:-1])
-    border = np.zeros(len(data) + 1, dtype=bool)
-    border[offsets] = True
-    border[1:-1] |= space[1:]
-    ends = np.flatnonzero(~space & border[1:]) + 1
-    out = np.zeros(len(starts), dtype=np.uint64)
-    at = 0
-    while at < len(starts):
-        lo = starts[at]
-        end = max(at + 1, int(np.searchsorted(ends, lo + BLOCK, side="right")))
-        power, inverse = _power_tables(int(ends[end - 1] - lo) + 1)
-        part = data[lo : ends[end - 1]]
-        sums = np.zeros(len(part) + 1, dtype=np.uint64)
-        np.cumsum(_BYTE[part] * power[: len(part)], out=sums[1:])
-        s, e = starts[at:end] - lo, ends[at:end] - lo
-        out[at:end] = _mix((sums[e] - sums[s]) * inverse[s], (e - s).astype(np.uint64), 13)
-        at = end
-    return out, np.searchsorted(starts, offsets)
+def hashed_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Two independent 64-bit hashes of all words of some texts (UTF-8), and where each text's words begin and end.
+
+    Arrow cuts the texts at the six ASCII white-space characters and numbers the different words; each of those is
+    hashed once, to 128 bits."""
+    from xxhash import xxh3_128_digest
+
+    large = pa.types.is_large_binary(texts.type)
+    as_text = (pa.LargeStringArray if large else pa.StringArray).from_buffers(len(texts), texts.buffers()[1], texts.buffers()[2], None, 0, texts.offset)
+    split = pc.ascii_split_whitespace(as_text)
+    flat = split.flatten()
+    given = np.asarray(pc.binary_length(flat)) > 0  # white space at an end leaves an empty part
+    coded = flat.cast(pa.large_binary() if large else pa.binary()).dictionary_encode()
+    names = np.frombuffer(b"".join(map(xxh3_128_digest, coded.dictionary.to_pylist())), dtype="<u8").reshape(-1, 2)
+    word = np.asarray(coded.indices)[given]
+    ends = np.cumsum(np.asarray(pc.list_value_length(split)))
+    borders = np.concatenate([[0], np.concatenate([[0], np.cumsum(given)])[ends]]).astype(np.int64)
+    return names[word, 0], names[word, 1], borders
 
 
 def window_hashes(w: np.ndarray, salt: int = 1) -> np.ndarray:
@@ -218,26 +182,29 @@ def document_anchors(docs: list[np.ndarray]) -> list[np.ndarray]:
     return [np.concatenate(x) if x else np.zeros(0, dtype=np.uint64) for x in out]
 
 
-def removed_words(w: np.ndarray, borders: np.ndarray, told: list[np.ndarray | None] | None) -> np.ndarray:
-    """Which words of some documents a repeated window covers: one seen earlier in its document, or one whose hash the
-    document was ``told``."""
+def removed_words(w: np.ndarray, other: np.ndarray, borders: np.ndarray, told: list[tuple[np.ndarray, np.ndarray] | None] | None) -> np.ndarray:
+    """Which words of some documents a repeated window covers: one seen earlier in its document, or one whose hashes the
+    document was ``told``. Windows agree if both their hashes do, from the words' first (``w``) and second (``other``)."""
     gone = np.zeros(len(w), dtype=bool)
     doc = np.repeat(np.arange(len(borders) - 1), np.diff(borders))
     at = np.flatnonzero(np.arange(len(w)) + WINDOW <= borders[1:][doc])
     if not len(at):
         return gone
-    key = _mix(window_hashes(w)[at], doc[at].astype(np.uint64), 21)  # a window within its document
+    owner = doc[at].astype(np.uint64)
+    key = _mix(window_hashes(w)[at], owner, 21)  # a window within its document
+    check = _mix(window_hashes(other)[at], owner, 22)
     again = np.zeros(len(at), dtype=bool)
     ordered = np.sort(key)
     twice = ordered[1:][ordered[1:] == ordered[:-1]]
     if len(twice):
         some = np.flatnonzero(np.isin(key, twice))
-        some = some[np.argsort(key[some], kind="stable")]
-        again[some[1:]] = key[some[1:]] == key[some[:-1]]
+        some = some[np.lexsort((some, check[some], key[some]))]
+        again[some[1:]] = (key[some[1:]] == key[some[:-1]]) & (check[some[1:]] == check[some[:-1]])
     if told is not None:
-        marks = [_mix(m, np.full(len(m), k, dtype=np.uint64), 21) for k, m in enumerate(told) if m is not None]
+        marks = [(m, np.full(len(m[0]), k, dtype=np.uint64)) for k, m in enumerate(told) if m is not None]
         if marks:
-            again |= np.isin(key, np.concatenate(marks))
+            both = [np.concatenate([_mix(m[j], own, 21 + j) for m, own in marks]) for j in range(2)]
+            again |= np.isin(key, both[0]) & np.isin(check, both[1])
     if again.any():
         depth = np.zeros(len(w) + 1, dtype=np.int64)
         depth[at[again]] += 1
@@ -261,7 +228,7 @@ def _long(a: np.ndarray) -> pa.Array:
 
 
 def alone(texts: DataFrame, told: bool = False) -> DataFrame:
-    """Each document cut by itself (``told``: and by the window hashes in ``_told``): _id, _dh (64-bit digest of the
+    """Each document cut by itself (``told``: and by the window hashes in ``_told1`` and ``_told2``): _id, _dh (64-bit digest of the
     words), _all (128-bit digest), n_words, n_removed, kept_sha256."""
     schema = T.StructType([texts.schema["_id"], T.StructField("_dh", T.LongType()), T.StructField("_all", T.BinaryType()), T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("kept_sha256", T.StringType())])
 
@@ -270,9 +237,11 @@ def alone(texts: DataFrame, told: bool = False) -> DataFrame:
 
         for some in _slices(batches):
             rows: tuple[list, ...] = ([], [], [], [], [])
-            marks = [np.asarray(m.values).view(np.uint64) if m.is_valid else None for m in some.column(2)] if told else None
-            w, borders = hashed_words(some.column(1))
-            gone = removed_words(w, borders, marks)
+            marks = None
+            if told:
+                marks = [tuple(np.asarray(x.values).view(np.uint64) for x in both) if both[0].is_valid else None for both in zip(some.column(2), some.column(3), strict=True)]
+            w, other, borders = hashed_words(some.column(1))
+            gone = removed_words(w, other, borders, marks)
             removed = np.concatenate([[0], np.cumsum(gone)])[borders]
             for k, text in enumerate(some.column(1).to_pylist()):
                 words = text.split()
@@ -295,7 +264,7 @@ def anchor_rows(texts: DataFrame) -> DataFrame:
         from xxhash import xxh3_64_intdigest
 
         for some in _slices(batches):
-            w, borders = hashed_words(some.column(1))
+            w, _, borders = hashed_words(some.column(1))
             docs = [w[lo:hi] for lo, hi in zip(borders, borders[1:], strict=False)]
             found = [np.unique(a) for a in document_anchors(docs)]
             digest = np.array([xxh3_64_intdigest(d.tobytes()) for d in docs], dtype=np.uint64)
@@ -313,8 +282,8 @@ def window_rows(asked: DataFrame, only_asking: bool) -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for some in _slices(batches):
-            w, borders = hashed_words(some.column(1))
-            all1, all2 = window_hashes(w), window_hashes(w, 2)
+            w, other, borders = hashed_words(some.column(1))
+            all1, all2 = window_hashes(w), window_hashes(other)
             h1, h2, row = [], [], []
             for k, a in enumerate(document_anchors([w[lo:hi] for lo, hi in zip(borders, borders[1:], strict=False)])):
                 lists = [some.column(2)[k]] if only_asking else [some.column(2)[k], some.column(3)[k]]
@@ -398,8 +367,8 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     firsts = window_rows(asked, False).groupBy("_h1", "_h2").agg(F.min("_id").alias("_first"), F.max("_id").alias("_last"))
     firsts = written(firsts.where(F.col("_first") < F.col("_last")).select(F.col("_h1").alias("_f1"), F.col("_h2").alias("_f2"), "_first"), "firsts")
     told = window_rows(asked.where(F.size("_ask") > 0), True).join(firsts, (F.col("_h1") == F.col("_f1")) & (F.col("_h2") == F.col("_f2")) & (F.col("_id") > F.col("_first")))
-    told = told.groupBy(F.col("_id").alias("_i")).agg(F.collect_list("_h1").alias("_told"))
-    again = alone(asked.select("_id", "_t").join(told, F.col("_id") == F.col("_i")).select("_id", "_t", "_told"), told=True)
+    told = told.groupBy(F.col("_id").alias("_i")).agg(F.collect_list("_h1").alias("_told1"), F.collect_list("_h2").alias("_told2"))
+    again = alone(asked.select("_id", "_t").join(told, F.col("_id") == F.col("_i")).select("_id", "_t", "_told1", "_told2"), told=True)
     again = again.select(F.col("_id").alias("_i"), F.col("_dh").alias("_idh"), F.col("n_removed").alias("_removed"), F.col("kept_sha256").alias("_kept")).dropDuplicates(["_i", "_idh"])
 
     out = own.join(again, (F.col("_id") == F.col("_i")) & (F.col("_dh") == F.col("_idh")), "left")

@@ -404,6 +404,15 @@ def test_substring_dedup(docs, empty):
     assert substring_dedup.substring_dedup(empty).count() == 0
 
 
+def test_substring_dedup_tells_words_apart(spark):
+    """Words on which sums of byte * base ** place agree for any base modulo 2 ** 64."""
+    thue = "".join("ab"[k.bit_count() % 2] for k in range(1024))
+    words = [f"w{k}" for k in range(25)]
+    one, two = [*words[:10], thue, *words[11:]], [*words[:10], thue.translate(str.maketrans("ab", "ba")), *words[11:], "x", "y", "z"]
+    got = substring_dedup.substring_dedup(spark.createDataFrame([(1, " ".join(one)), (2, " ".join(two)), (3, " ".join(two))], "doc_id bigint, text string"))
+    assert {r["doc_id"]: (r["n_words"], r["n_removed"]) for r in got.collect()} == {1: (25, 0), 2: (28, 0), 3: (28, 28)}
+
+
 def test_substring_dedup_hot_passage(spark):
     rng = random.Random(11)
     word = lambda: rng.choice("abcdefgh")  # noqa: E731  few words: runs, and chance repeats
