@@ -1,4 +1,4 @@
-"""User clustering (K1-K7, E8, E12) on Spark ML.
+"""User clustering.
 
 Quality indices are computed from per-cluster sufficient statistics (count,
 vector sum, sum of squared norms), so every index is linear in the number of
@@ -10,21 +10,15 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.evaluation import ClusteringEvaluator
-from pyspark.ml.feature import PCA, VectorAssembler
+from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tastemine.session import partitions_for
+from tastemine.operators.kmeans import Model, best_by_k, fit_many, points
 
 SEED = 42
 N_INIT = 10
-# scikit-learn's KMeans defaults (the reference): run to convergence, not
-# Spark ML's 20-iteration default.
-MAX_ITER = 300
-TOL = 1e-4
 K_RANGE = range(2, 11)
 
 
@@ -164,65 +158,38 @@ def cluster_indices(points: DataFrame, feat: str = "features", label: str = "pre
 
 # --- K2 / K6 -------------------------------------------------------------------------------------
 
-def fit_input(features: DataFrame) -> DataFrame:
-    """The cached input of all fits (the first column is the id): partitions
-    and the order within them depend on the data alone, so a fit is the same
-    on any number of cores."""
-    key = features.columns[0]
-    n = partitions_for(features.count(), 50_000)
-    return features.repartition(n, key).sortWithinPartitions(key).persist()
-
-
-def best_of(features: DataFrame, k_values, seed: int = SEED, n_init: int = N_INIT, parallel: int = 16) -> dict[int, KMeansModel]:
-    """For each k the best of ``n_init`` k-means runs (seeds seed..) by cost;
-    the first seed wins ties. ``features`` comes from ``fit_input``.
-
-    The fits are independent Spark jobs over the same cached rows and run
-    concurrently from a thread pool; more fits than cores run at once because
-    each fit is mostly short, latency-bound jobs."""
-    def one(ks):
-        k, s = ks
-        return k, KMeans(k=k, seed=s, maxIter=MAX_ITER, tol=TOL, featuresCol="features",
-                         predictionCol="prediction").fit(features)
-
-    with ThreadPoolExecutor(max_workers=parallel) as ex:
-        fits = list(ex.map(one, [(k, s) for k in k_values for s in range(seed, seed + n_init)]))
-    models: dict[int, KMeansModel] = {}
-    for k, m in fits:
-        if k not in models or m.summary.trainingCost < models[k].summary.trainingCost:
-            models[k] = m
-    return models
-
-
-def fit_kmeans(features: DataFrame, k: int, seed: int = SEED, n_init: int = N_INIT) -> KMeansModel:
+def fit_kmeans(features: DataFrame, k: int, seed: int = SEED, n_init: int = N_INIT) -> Model:
     """The best model for one k, the same as the sweep's."""
-    cached = fit_input(features)
-    model = best_of(cached, [k], seed, n_init)[k]
-    cached.unpersist()
-    return model
+    pts = points(features)
+    models, _ = fit_many(pts, [k], range(seed, seed + n_init))
+    pts.unpersist()
+    return best_by_k(models)[k]
 
 
 @dataclass
 class Sweep:
     table: DataFrame        # k, inertia, silhouette_sq, davies_bouldin, calinski_harabasz
     best_k: int
-    models: dict
+    models: dict[int, Model]
+    passes: int             # over the points, for all models
 
 
 def k_sweep(features: DataFrame, k_values=K_RANGE, seed: int = SEED, n_init: int = N_INIT,
             parallel: int = 16) -> Sweep:
     """K2: for each k the best-of-n_init model, its inertia and the three
     indices; best k = first maximum of the (squared-distance) silhouette,
-    ties -> smaller k."""
+    ties -> smaller k. All models are fitted in shared passes (``kmeans``)."""
     spark = features.sparkSession
-    cached = fit_input(features)
+    pts = points(features)
     ks = list(k_values)
-    models = best_of(cached, ks, seed, n_init, parallel)
+    fitted, passes = fit_many(pts, ks, range(seed, seed + n_init))
+    pts.unpersist()
+    models = best_by_k(fitted)
+    cached = features.persist()
 
     def score(k):
         idx = cluster_indices(models[k].transform(cached)).first()
-        return (k, float(models[k].summary.trainingCost), float(idx["silhouette_sq"]),
-                float(idx["davies_bouldin"]), float(idx["calinski_harabasz"]))
+        return (k, models[k].cost, float(idx["silhouette_sq"]), float(idx["davies_bouldin"]), float(idx["calinski_harabasz"]))
 
     with ThreadPoolExecutor(max_workers=parallel) as ex:
         rows = list(ex.map(score, ks))
@@ -230,7 +197,7 @@ def k_sweep(features: DataFrame, k_values=K_RANGE, seed: int = SEED, n_init: int
     best = max(rows, key=lambda r: (r[2], -r[0]))[0]
     table = spark.createDataFrame(rows, "k int, inertia double, silhouette_sq double, davies_bouldin double, "
                                         "calinski_harabasz double")
-    return Sweep(table, best, models)
+    return Sweep(table, best, models, passes)
 
 
 def relabel_by_size(pred: DataFrame, label: str = "prediction", out: str = "user_cluster") -> DataFrame:

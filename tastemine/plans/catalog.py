@@ -713,7 +713,7 @@ def q_kmeans_evaluation(spark, sf):
     from tastemine.operators.cluster import cluster_indices
     feats, _, labels, model = _clustered(spark, sf, k=10)
     pts = feats.join(labels, "user_idx").withColumnRenamed("user_cluster", "prediction")
-    return emit(cluster_indices(pts).withColumn("inertia", F.lit(float(model.summary.trainingCost))))
+    return emit(cluster_indices(pts).withColumn("inertia", F.lit(model.cost)))
 
 
 @register("kmeans_cluster_cards")
