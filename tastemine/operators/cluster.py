@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tastemine.operators.kmeans import Model, best_by_k, fit_many, points
+from tastemine.operators.silhouette import silhouettes
 
 SEED = 42
 N_INIT = 10
@@ -151,7 +152,7 @@ def calinski_harabasz(points: DataFrame, feat: str = "features", label: str = "p
 
 
 def cluster_indices(points: DataFrame, feat: str = "features", label: str = "prediction") -> DataFrame:
-    """K3-K5 together (one row)."""
+    """K3-K5 together (one row) in linear time, the silhouette by squared distance; see ``silhouette`` for the Euclidean one."""
     return (silhouette_sq(points, feat, label).crossJoin(davies_bouldin(points, feat, label))
             .crossJoin(calinski_harabasz(points, feat, label)))
 
@@ -168,7 +169,7 @@ def fit_kmeans(features: DataFrame, k: int, seed: int = SEED, n_init: int = N_IN
 
 @dataclass
 class Sweep:
-    table: DataFrame        # k, inertia, silhouette_sq, davies_bouldin, calinski_harabasz
+    table: DataFrame        # k, inertia, silhouette, silhouette_sq, davies_bouldin, calinski_harabasz
     best_k: int
     models: dict[int, Model]
     passes: int             # over the points, for all models
@@ -176,26 +177,32 @@ class Sweep:
 
 def k_sweep(features: DataFrame, k_values=K_RANGE, seed: int = SEED, n_init: int = N_INIT,
             parallel: int = 16) -> Sweep:
-    """K2: for each k the best-of-n_init model, its inertia and the three
-    indices; best k = first maximum of the (squared-distance) silhouette,
-    ties -> smaller k. All models are fitted in shared passes (``kmeans``)."""
+    """K2: for each k the best-of-n_init model, its inertia and the indices;
+    best k = first maximum of the Euclidean silhouette, ties -> smaller k. All
+    models are fitted in shared passes (``kmeans``), and all silhouettes come
+    from one table of distances (``silhouette``)."""
     spark = features.sparkSession
     pts = points(features)
     ks = list(k_values)
     fitted, passes = fit_many(pts, ks, range(seed, seed + n_init))
     pts.unpersist()
     models = best_by_k(fitted)
-    cached = features.persist()
+    labelled = features.select("features")
+    for k in ks:
+        labelled = models[k].transform(labelled, out=f"p{k}")
+    labelled = labelled.persist()
 
     def score(k):
-        idx = cluster_indices(models[k].transform(cached)).first()
-        return (k, models[k].cost, float(idx["silhouette_sq"]), float(idx["davies_bouldin"]), float(idx["calinski_harabasz"]))
+        idx = cluster_indices(labelled, label=f"p{k}").first()
+        return float(idx["silhouette_sq"]), float(idx["davies_bouldin"]), float(idx["calinski_harabasz"])
 
     with ThreadPoolExecutor(max_workers=parallel) as ex:
-        rows = list(ex.map(score, ks))
-    cached.unpersist()
-    best = max(rows, key=lambda r: (r[2], -r[0]))[0]
-    table = spark.createDataFrame(rows, "k int, inertia double, silhouette_sq double, davies_bouldin double, "
+        rest = ex.map(score, ks)
+        euclidean = {r["labelling"]: r["silhouette"] for r in silhouettes(labelled, [f"p{k}" for k in ks]).collect()}
+        rows = [(k, models[k].cost, euclidean[f"p{k}"], *x) for k, x in zip(ks, rest, strict=True)]
+    labelled.unpersist()
+    best = max(rows, key=lambda r: (r[2] if r[2] is not None else -2.0, -r[0]))[0]
+    table = spark.createDataFrame(rows, "k int, inertia double, silhouette double, silhouette_sq double, davies_bouldin double, "
                                         "calinski_harabasz double")
     return Sweep(table, best, models, passes)
 

@@ -653,6 +653,23 @@ def q_embedding_silhouette(spark, sf):
     return emit(silhouette_sq(table(spark, sf, "embeddings"), "embedding", "label"))
 
 
+@register("embedding_silhouette_euclidean", O.with_query([
+    "e AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS x FROM embeddings)", "cn AS (SELECT label, count(*) AS n FROM e GROUP BY label)",
+    """ds AS (SELECT a.vec_id, a.label AS own, b.label AS c, sum(list_distance(a.x, b.x)) AS d
+  FROM e a JOIN e b ON a.vec_id <> b.vec_id GROUP BY ALL)""",
+    """ps AS (SELECT ds.vec_id, max(CASE WHEN c = own THEN d / (n - 1) END) AS a, min(CASE WHEN c <> own THEN d / n END) AS b
+  FROM ds JOIN cn ON cn.label = ds.c GROUP BY ds.vec_id)""",
+    "s AS (SELECT avg(CASE WHEN a IS NULL OR greatest(a, b) = 0 THEN 0 ELSE (b - a) / greatest(a, b) END) AS s FROM ps)"],
+    "SELECT round(s, 6) AS silhouette, CASE WHEN s > 0.5 THEN 'good' WHEN s > 0.3 THEN 'medium' ELSE 'weak' END AS quality FROM s"))
+def q_embedding_silhouette_euclidean(spark, sf):
+    """K3 as the reference has it, exact, on the given embedding labels; F9's label."""
+    from tastemine.functions.text import quality_label
+    from tastemine.operators.silhouette import silhouettes
+    from tastemine.sources.views import table
+    out = silhouettes(table(spark, sf, "embeddings"), ["label"], "embedding")
+    return emit(out.select("silhouette", quality_label(F.col("silhouette")).alias("quality")))
+
+
 @register("embedding_davies_bouldin", O.with_query(EMB_SQL + [
     """sp AS (SELECT label, avg(sqrt(d2)) AS s FROM (SELECT p.vec_id, p.label, sum((p.v - c.m) * (p.v - c.m)) AS d2
   FROM el p JOIN mu c ON p.i = c.i AND p.label = c.label GROUP BY 1, 2) GROUP BY label)""",
@@ -708,12 +725,14 @@ def q_user_clusters(spark, sf):
 
 @register("kmeans_evaluation")
 def q_kmeans_evaluation(spark, sf):
-    """K6/K7 at a fixed k = 10 (the committed best k): the indices. The silhouette is the squared-distance one, so F9's
-    label, which has thresholds for the Euclidean one, is not given."""
+    """K6/K7 at a fixed k = 10 (the committed best k): the indices, and F9's label."""
+    from tastemine.functions.text import quality_label
     from tastemine.operators.cluster import cluster_indices
+    from tastemine.operators.silhouette import silhouettes
     feats, _, labels, model = _clustered(spark, sf, k=10)
     pts = feats.join(labels, "user_idx").withColumnRenamed("user_cluster", "prediction")
-    return emit(cluster_indices(pts).withColumn("inertia", F.lit(model.cost)))
+    exact = silhouettes(pts, ["prediction"]).select("silhouette", quality_label(F.col("silhouette")).alias("quality"))
+    return emit(cluster_indices(pts).crossJoin(exact).withColumn("inertia", F.lit(model.cost)))
 
 
 @register("kmeans_cluster_cards")
@@ -1310,7 +1329,7 @@ def q_clustering_metrics(spark, sf):
     pts = feats.join(labels, "user_idx").withColumnRenamed("user_cluster", "prediction")
     ev = cluster_indices(pts)
     k_analysis = sw.table.agg(F.sort_array(F.collect_list(F.struct(
-        "k", "inertia", "silhouette_sq", "davies_bouldin", "calinski_harabasz"))).alias("k_analysis"))
+        "k", "inertia", "silhouette", "silhouette_sq", "davies_bouldin", "calinski_harabasz"))).alias("k_analysis"))
     dist = cluster_distribution(labels).agg(F.map_from_entries(F.collect_list(F.struct(
         F.concat(F.lit("cluster_"), F.col("user_cluster").cast("string")), F.col("count")))).alias("cluster_distribution"))
     _, ratios = pca_2d(feats)
