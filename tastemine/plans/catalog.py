@@ -868,6 +868,60 @@ def _top_products(spark, sf):
     return best.join(a, "u_row").join(b, "i_col").select("vec_id", "other_id", "raw_score", "rank"), told
 
 
+def _held_out(spark, sf):
+    """Cells of validation and test users with their split, whether they are given, and the training cells."""
+    from tastemine.operators.evaluate import is_given
+    from tastemine.operators.factorize import rating_matrix
+    st = Stages.of(spark, sf)
+    parts = [rating_matrix(st.part(p)).withColumn("split", F.lit(p)) for p in ("val", "test")]
+    held = parts[0].unionByName(parts[1]).withColumn("given", is_given("user_id", "movie_id"))
+    return held, rating_matrix(st.part("train"))
+
+
+HELD_SQL = ["""held AS (SELECT split, user_id, movie_id, avg(rating) AS rating,
+  md5('42:' || user_id || ':' || CAST(movie_id AS VARCHAR))[1] < '8' AS given FROM splitted WHERE split IN ('val', 'test') GROUP BY ALL)""",
+            "wanted AS (SELECT split, user_id, movie_id FROM held WHERE NOT given AND rating >= 7.0)"]
+
+
+@register("held_out_popular", O.with_query(O.stage_ctes("split") + [*HELD_SQL, """pop AS (
+  SELECT movie_id, row_number() OVER (ORDER BY count(*) DESC, movie_id) AS rank
+  FROM (SELECT DISTINCT user_id, movie_id FROM splitted WHERE split = 'train') GROUP BY movie_id QUALIFY rank <= 10)""", """per AS (
+  SELECT split, user_id, count(*) AS wanted, count(rank) AS hits, coalesce(sum(1 / log2(rank + 1)), 0) AS gain
+  FROM wanted LEFT JOIN pop USING (movie_id) GROUP BY split, user_id)"""], """SELECT split, count(*) AS users, round(avg(hits / 10), 6) AS "precision",
+  round(avg(hits / wanted), 6) AS recall, round(avg(gain / list_sum(list_transform(range(1, least(wanted, 10) + 1), lambda r: 1 / log2(r + 1)))), 6) AS ndcg,
+  round(avg(CASE WHEN hits > 0 THEN 1.0 ELSE 0.0 END), 6) AS hit_rate FROM per GROUP BY split"""))
+def q_held_out_popular(spark, sf):
+    """Rank-aware metrics of the most popular training items for validation and test users."""
+    from tastemine.operators.evaluate import RELEVANT, popular_items, ranking_metrics
+    held, train = _held_out(spark, sf)
+    wanted = held.where(~F.col("given") & (F.col("rating") >= RELEVANT)).select("split", "user_id", "movie_id")
+    lists = held.select("user_id").distinct().crossJoin(F.broadcast(popular_items(train)))  # ten rows
+    return emit(ranking_metrics(lists, wanted, by=("split",)))
+
+
+@register("held_out_popular_users", O.with_query(O.stage_ctes("split") + HELD_SQL, """SELECT split, count(DISTINCT user_id) AS users, count(*) AS cells,
+  count(*) FILTER (given) AS given, count(*) FILTER (NOT given AND rating >= 7.0) AS wanted FROM held GROUP BY split"""))
+def q_held_out_popular_users(spark, sf):
+    """How the cells of validation and test users are divided into given and hidden ones."""
+    from tastemine.operators.evaluate import RELEVANT
+    held, _ = _held_out(spark, sf)
+    return held.groupBy("split").agg(F.countDistinct("user_id").alias("users"), F.count(F.lit(1)).alias("cells"), F.count_if("given").alias("given"),
+                                     F.count_if(~F.col("given") & (F.col("rating") >= RELEVANT)).alias("wanted"))
+
+
+@register("held_out_metrics")
+def q_held_out_metrics(spark, sf):
+    """Validation and test users folded into the factorization by their given cells, beside the popular items."""
+    from tastemine.operators.evaluate import RELEVANT, ranking_metrics, recommend_folded
+    from tastemine.session import checkpoint
+    held, _ = _held_out(spark, sf)
+    held = checkpoint(held)
+    wanted = held.where(~F.col("given") & (F.col("rating") >= RELEVANT)).select("split", "user_id", "movie_id")
+    lists = recommend_folded(Stages.of(spark, sf).factorization(), held.where("given").select("user_id", "movie_id", "rating"))
+    folded = ranking_metrics(lists, wanted, by=("split",)).withColumn("model", F.lit("folded in"))
+    return emit(folded).unionByName(q_held_out_popular(spark, sf).withColumn("model", F.lit("popular")))
+
+
 @register("topk_search_report")
 def q_topk_search_report(spark, sf):
     """Of all pairs of a user and a block of items, how many were scored; factors, and embeddings."""
