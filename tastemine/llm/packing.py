@@ -34,10 +34,10 @@ from tastemine.session import checkpoint
 
 SEQUENCE = 2048
 END = 0
-#: stems whose ids a worker remembers, up to twice as many
-REMEMBERED = 400_000
-#: texts tokenised together
-ROWS = 1024
+#: bytes of stems and their ids that a worker remembers
+REMEMBERED = 32 << 20
+#: bytes of texts tokenised together; a longer text is alone
+AT_ONCE = 6 << 20
 
 
 def tokenizer_path() -> str:
@@ -51,16 +51,23 @@ class PartIds:
 
     Arrow cuts a batch of texts into white-space delimited parts and numbers the different ones. Each of those is looked
     up by its stem: without the punctuation behind an ASCII letter or digit, where the tokenizer always cuts, and in
-    lower case, as the tokenizer folds case. New stems are tokenised many at a time, with a mark between them."""
+    lower case, as the tokenizer folds case. New stems are tokenised many at a time: those of ASCII letters are one word
+    each, and the last token of a word is one that ends words; others get a mark between them. The table
+    holds ``REMEMBERED`` bytes: when half of it is full, the stems not asked for since it last was are forgotten."""
 
     _of: dict[str, PartIds] = {}
     MARK = b"\x01"
-    PUNCTUATION = b".,;:!?"
-    ALNUM = frozenset(b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789")
+    WORD_END = "</w>"
+    PUNCTUATION = ".,;:!?"
+    ALNUM = np.isin(np.arange(256), list(b"abcdefghijklmnopqrstuvwxyz0123456789"))
+    #: stems tokenised in one text
+    TOGETHER = 500
+    #: of a table entry besides its characters and ids: two objects and a slot
+    ENTRY = 160
 
     @classmethod
     def of(cls, path: str) -> PartIds:
-        """The worker's tables for a tokenizer; later tasks of the same worker find them filled."""
+        """The worker's table for a tokenizer; later tasks of the same worker find it filled."""
         if path not in cls._of:
             cls._of[path] = cls(path)
         return cls._of[path]
@@ -70,59 +77,84 @@ class PartIds:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.size = REMEMBERED
         self.stems: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
+        self.held = 0
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.ends[[i for t, i in vocabulary.items() if t.endswith(self.WORD_END)]] = True
         self.mark = np.array(self.tokenizer.encode(self.MARK.decode(), add_special_tokens=False).ids, dtype="<u4")
 
-    def _encode(self, new: list[bytes]) -> None:
-        plain = [x for x in new if self.MARK not in x] if len(self.mark) == 1 else []
-        between = b" " + self.MARK + b" "
-        for i in range(0, len(plain), 500):
-            some = plain[i : i + 500]
-            encoded = self.tokenizer.encode_batch_fast([between.join(some).decode()], add_special_tokens=False)[0]
-            ids = np.array(encoded.ids, dtype="<u4")
+    def _ids(self, texts: list[bytes], between: bytes) -> np.ndarray:
+        return np.array(self.tokenizer.encode_batch_fast([between.join(texts).decode()], add_special_tokens=False)[0].ids, dtype="<u4")
+
+    def _encoded(self, new: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
+        words = [x for x in new if x.isalpha()]  # of bytes: ASCII letters
+        rest = [x for x in new if not x.isalpha()]
+        for i in range(0, len(words), self.TOGETHER):
+            some = words[i : i + self.TOGETHER]
+            ids = self._ids(some, b" ")
+            cuts = np.flatnonzero(self.ends[ids]) + 1
+            if len(cuts) != len(some):  # not a vocabulary with word ends
+                rest += some
+                continue
+            cuts = cuts.tolist()
+            for stem, lo, hi in zip(some, [0, *cuts], cuts, strict=False):
+                yield stem, ids[lo:hi].tobytes()
+        plain = [x for x in rest if self.MARK not in x] if len(self.mark) == 1 else []
+        for i in range(0, len(plain), self.TOGETHER):
+            some = plain[i : i + self.TOGETHER]
+            ids = self._ids(some, b" " + self.MARK + b" ")
             cuts = np.flatnonzero(ids == self.mark[0])
-            starts, ends = np.append(0, cuts + 1), np.append(cuts, len(ids))
-            for stem, lo, hi in zip(some, starts.tolist(), ends.tolist(), strict=True):
-                self.stems[stem] = ids[lo:hi].tobytes()
-        for x in new if not plain else [x for x in new if self.MARK in x]:
-            self.stems[x] = np.array(self.tokenizer.encode(x.decode(), add_special_tokens=False).ids, dtype="<u4").tobytes()
-
-    def _cut(self, part: bytes) -> tuple[bytes, bytes]:
-        if b"<|" in part:  # may be a special token, which is one as it stands only
-            return part, b""
-        stem = part.rstrip(self.PUNCTUATION)
-        if not stem or stem[-1] not in self.ALNUM:
-            return part.lower(), b""
-        return stem.lower(), part[len(stem) :]
-
-    def _of_parts(self, parts: list[bytes]) -> list[bytes]:
-        """Ids of different parts. Once the table of stems is full, those not asked for since it last was are forgotten."""
-        if len(self.stems) > self.size:
-            self.old, self.stems = self.stems, {}
-        cut = [self._cut(part) for part in parts]
-        new = {x for pair in cut for x in pair}.difference(self.stems)
-        stems, old = self.stems, self.old
-        stems.update((x, old[x]) for x in new if x in old)
-        stems[b""] = b""
-        self._encode(list(new.difference(stems)))
-        return [stems[stem] + stems[rest] if rest else stems[stem] for stem, rest in cut]
+            starts, ends = np.append(0, cuts + 1).tolist(), np.append(cuts, len(ids)).tolist()
+            for stem, lo, hi in zip(some, starts, ends, strict=True):
+                yield stem, ids[lo:hi].tobytes()
+        for x in rest if not plain else [x for x in rest if self.MARK in x]:
+            yield x, np.array(self.tokenizer.encode(x.decode(), add_special_tokens=False).ids, dtype="<u4").tobytes()
+
+    def _ids_of(self, stems: list[bytes]) -> list[bytes]:
+        """Ids of different stems."""
+        known = list(map(self.stems.get, stems))
+        missing = [i for i, ids in enumerate(known) if ids is None]
+        if missing:
+            found = {stems[i]: self.old[stems[i]] for i in missing if stems[i] in self.old}
+            found.update(self._encoded([stems[i] for i in missing if stems[i] not in found]))
+            for i in missing:
+                known[i] = found[stems[i]]
+            for stem, ids in found.items():
+                self.held += len(stem) + len(ids) + self.ENTRY
+                if self.held > REMEMBERED // 2:
+                    self.old, self.stems, self.held = self.stems, {}, len(stem) + len(ids) + self.ENTRY
+                self.stems[stem] = ids
+        return known
 
     def batch(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of some texts (an array of strings) in a row, and where each text's begin and end."""
         split = pc.ascii_split_whitespace(texts)  # at the six ASCII white-space characters
-        flat = split.flatten().cast(pa.binary()).dictionary_encode()
-        known = self._of_parts(flat.dictionary.to_pylist())
-        size = np.fromiter(map(len, known), np.int64, len(known)) // 4
-        table = np.frombuffer(b"".join(known), dtype="<u4")
-        part = np.asarray(flat.indices)
-        n = size[part]
-        end = np.cumsum(n)
-        begin = (np.cumsum(size) - size)[part]
-        ids = table[np.repeat(begin - (end - n), n) + np.arange(end[-1] if len(end) else 0)]
+        flat = split.flatten().dictionary_encode()
+        parts = flat.dictionary
+        special = pc.match_substring(parts, "<|")  # may be a special token, which is one as it stands only
+        lower = pc.if_else(special, parts, pc.ascii_lower(parts))
+        stem = pc.ascii_rtrim(lower, characters=self.PUNCTUATION)
+        size = np.asarray(pc.binary_length(stem))
+        data = np.frombuffer(stem.buffers()[2] or b"", np.uint8)
+        last = np.frombuffer(stem.buffers()[1], np.int64 if pa.types.is_large_string(stem.type) else np.int32)[stem.offset + 1 : stem.offset + 1 + len(stem)]
+        cut = (size > 0) & ~np.asarray(special.fill_null(False).to_numpy(zero_copy_only=False))
+        cut[cut] = self.ALNUM[data[last[cut] - 1]]
+        stem = pc.if_else(pa.array(cut), stem, lower)
+        rest = pc.struct_field(pc.extract_regex(lower, f"(?P<rest>[{self.PUNCTUATION}]*)$"), "rest")
+        stem, rest = (x.dictionary_encode() for x in (stem, pc.if_else(pa.array(cut), rest, "")))
+        known = [self._ids_of(x.dictionary.cast(pa.binary()).to_pylist()) for x in (stem, rest)]
+        size = np.fromiter(map(len, known[0] + known[1]), np.int32) // 4
+        table = np.frombuffer(b"".join(known[0] + known[1]), dtype="<u4")
+        pair = np.column_stack([np.asarray(stem.indices), np.asarray(rest.indices) + len(known[0])]).astype(np.int32)
+        both = pair[np.asarray(flat.indices)].reshape(-1)
+        n = size[both]
+        end = np.cumsum(n, dtype=np.int32)
+        begin = (np.cumsum(size, dtype=np.int32) - size)[both]
+        ids = table[np.repeat(begin - (end - n), n) + np.arange(end[-1] if len(end) else 0, dtype=np.int32)]
         words = np.cumsum(np.asarray(pc.list_value_length(split)))
-        return ids, np.concatenate([[0], np.append(0, end)[words]])
+        return ids, np.concatenate([[0], np.append(0, end)[2 * words]])
 
 
 def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sequence: int = SEQUENCE, tokenizer: str | None = None) -> DataFrame:
@@ -136,8 +168,12 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sequ
         end = np.array([END], dtype="<u4").tobytes()
         for batch in batches:
             pa.default_memory_pool().release_unused()
-            for lo in range(0, batch.num_rows, ROWS):
-                some = batch.slice(lo, ROWS)
+            size = np.cumsum(np.asarray(pc.binary_length(batch.column(1))), dtype=np.int64) // AT_ONCE
+            cuts = [0, *(np.flatnonzero(np.diff(size)) + 1).tolist(), batch.num_rows]
+            for lo, hi in zip(cuts, cuts[1:], strict=False):
+                if lo == hi:
+                    continue
+                some = batch.slice(lo, hi - lo)
                 ids, borders = parts.batch(some.column(1))
                 rows, numbers = [], ([], [], [], [])
                 for row in range(some.num_rows):
