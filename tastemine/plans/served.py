@@ -188,6 +188,43 @@ def _scratch(spark, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+# --- IO9: encoders fitted on the training split, saved, loaded and applied to the others --------
+
+_PERSISTED = ("rating", "release_year", "genre_count")
+PERSISTED_SQL = O.with_query(O.stage_ctes("split") + ["""x AS (SELECT split, user_id, movie_id, "cast" AS people, primary_genre, rating,
+  coalesce(release_year::DOUBLE, 0) AS release_year, coalesce(genre_count::DOUBLE, 0) AS genre_count FROM splitted)""",
+    "tr AS (SELECT * FROM x WHERE split = 'train')", """scale AS (SELECT min(rating) AS lo0, max(rating) AS hi0, min(release_year) AS lo1, max(release_year) AS hi1,
+  min(genre_count) AS lo2, max(genre_count) AS hi2, avg(rating) AS m, stddev_pop(rating) AS s FROM tr)""",
+    """codes AS (SELECT v, row_number() OVER (ORDER BY v) - 1 AS code FROM (SELECT DISTINCT CAST(movie_id AS VARCHAR) AS v FROM tr))""",
+    """tok AS (SELECT row_number() OVER () AS id, * FROM x)""", """tf AS (SELECT id, split, term, count(*) AS tf
+  FROM (SELECT id, split, unnest(regexp_extract_all(lower(coalesce(people, '')), '[^,]+')) AS term FROM tok) GROUP BY ALL)""",
+    """voc AS (SELECT term, ln((1.0 + (SELECT count(*) FROM tr)) / (1.0 + count(*))) + 1.0 AS idf FROM tf WHERE split = 'train'
+  GROUP BY term ORDER BY sum(tf) DESC, term LIMIT 500)""",
+    "w AS (SELECT id, count(*) AS terms, sum(tf * idf) / sqrt(sum(tf * idf * tf * idf)) AS weight FROM tf JOIN voc USING (term) GROUP BY id)"],
+    """SELECT split, user_id, movie_id, round((rating - lo0) / (hi0 - lo0), 6) AS rating_scaled, round((release_year - lo1) / (hi1 - lo1), 6) AS release_year_scaled,
+  round((genre_count - lo2) / (hi2 - lo2), 6) AS genre_count_scaled, round((rating - m) / s, 6) AS rating_standard, code AS movie_code,
+  coalesce(terms, 0) AS terms, round(coalesce(weight, 0), 6) AS weight
+FROM tok CROSS JOIN scale LEFT JOIN codes ON v = CAST(movie_id AS VARCHAR) LEFT JOIN w USING (id) WHERE split <> 'train'""")
+
+
+@register("persisted_encoders", PERSISTED_SQL)
+def q_persisted_encoders(spark, sf):
+    """IO9: scalers, label codes, TF-IDF and the reduction in one pipeline, fitted on the training split, saved, and
+    applied as loaded to the other splits."""
+    from pyspark.ml import Pipeline, PipelineModel
+
+    from tastemine.operators import transformers as M
+    rows = Stages.of(spark, sf).split().select("split", "user_id", "movie_id", "cast", *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in _PERSISTED])
+    scaled = [f"{c}_scaled" for c in _PERSISTED]
+    stages = [M.MinMax(inputCols=list(_PERSISTED), outputCols=scaled), M.Standard(inputCols=["rating"], outputCols=["rating_standard"]),
+              M.LabelCodes(inputCol="movie_id", outputCol="movie_code"), M.TfIdf(inputCol="cast", outputCol="tfidf"), M.Reduction(inputCols=scaled, outputCol="pca")]
+    path = _scratch(spark, "pipeline")
+    Pipeline(stages=stages).fit(rows.where("split = 'train'")).write().save(path)
+    out = PipelineModel.load(path).transform(rows.where("split <> 'train'"))
+    weight = F.aggregate("tfidf", F.lit(0.0), lambda s, x: s + x["weight"])
+    return emit(out.select("split", "user_id", "movie_id", *scaled, "rating_standard", "movie_code", F.size("tfidf").cast("bigint").alias("terms"), weight.alias("weight")))
+
+
 @register("io_csv", "SELECT event_id, user_id, event_type, round(value, 6) AS value FROM events")
 def q_io_csv(spark, sf):
     """IO1, IO2, IO5: events as CSV files, read with an explicit schema and pruned."""
