@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from tastemine.functions import genres as G
 from tastemine.functions.text import lenient_double, standard_year, strip_unicode
-from tastemine.session import checkpoint
+from tastemine.session import checkpoint, observed
 
 ORDER_COL = "row_ord"
 
@@ -203,10 +203,14 @@ def filter_language(df: DataFrame, language: str = "en") -> DataFrame:
 
 def adjust_half_step(df: DataFrame, col: str = "rating") -> DataFrame:
     """A rating whose fractional part is 0.5 (np.isclose tolerances) gains 0.5."""
-    r = F.col(col)
+    return df.withColumn(col, half_step_up(F.col(col)))
+
+
+def half_step_up(r: Column) -> Column:
+    """P14 as an expression."""
     frac = r - F.floor(r)
     close = F.abs(frac - 0.5) <= (1e-8 + 1e-5 * 0.5)
-    return df.withColumn(col, F.when(close, r + 0.5).otherwise(r))
+    return F.when(close, r + 0.5).otherwise(r)
 
 
 def filter_high_rating(df: DataFrame, threshold: float = 7.0, col: str = "rating") -> DataFrame:
@@ -216,19 +220,16 @@ def filter_high_rating(df: DataFrame, threshold: float = 7.0, col: str = "rating
 
 @dataclass
 class Cleaned:
-    """Result of ``clean_dataset``: the cleaned rows and a one-row stats frame.
-
-    Both come from the same aggregated plan (``survivors``); persist it when
-    both are consumed.
-    """
+    """Result of ``clean_dataset``: the cleaned rows, a one-row stats frame, and the metrics that were observed while
+    the rows were written (the stats come from them)."""
 
     df: DataFrame
     stats: DataFrame
-    survivors: DataFrame
+    metrics: dict
 
 
 def clean_dataset(raw: DataFrame, profile: str = "full", genre_parser: str = "clean",
-                  language: str = "en", order_col: str = ORDER_COL) -> Cleaned:
+                  language: str = "en", order_col: str = ORDER_COL, observe=None) -> Cleaned:
     """P13 (``profile='full'``) / P13b (``profile='basic'``).
 
     full : trim strings -> standardise -> harmonise -> exact dedup (first)
@@ -244,7 +245,10 @@ def clean_dataset(raw: DataFrame, profile: str = "full", genre_parser: str = "cl
     columns are computed after the dedups, once per distinct text, from the
     aggregated rows (no second scan of the source). Stats: ``rows_before,
     rows_after, dropped_exact_duplicates, dropped_missing_core_fields`` (the
-    reference counts every post-dedup loss there) plus a per-reason breakdown.
+    reference counts every post-dedup loss there) plus a per-reason breakdown;
+    they are observed while the rows are written. ``observe`` maps the columns
+    of the cleaned rows and a condition (a row is among them) to aggregates
+    that are observed as well.
     """
     full = profile == "full"
     if not full and genre_parser == "clean":
@@ -290,27 +294,21 @@ def clean_dataset(raw: DataFrame, profile: str = "full", genre_parser: str = "cl
         "_reason",
         F.when(~has_core, "missing_core").when(~has_genres, "empty_genres").when(~is_lang, "language"),
     )
-    cleaned = survivors.filter(F.col("_reason").isNull()).select(*COMMON_COLUMNS, order_col)
-    s = survivors.agg(
-        F.sum("_rows").alias("rows_before"),
-        F.count(F.lit(1)).alias("_after_key"),
-        F.sum("_classes").alias("_after_exact"),
-        F.count_if(F.col("_reason").isNull()).alias("rows_after"),
-        F.count_if(F.col("_reason") == "missing_core").alias("dropped_null_core"),
-        F.count_if(F.col("_reason") == "empty_genres").alias("dropped_empty_genres"),
-        F.count_if(F.col("_reason") == "language").alias("dropped_language"),
-    )
-    stats = s.select(
-        F.coalesce("rows_before", F.lit(0)).cast("bigint").alias("rows_before"),
-        F.col("rows_after").cast("bigint").alias("rows_after"),
-        F.coalesce(F.col("rows_before") - F.col("_after_exact"), F.lit(0)).cast("bigint").alias("dropped_exact_duplicates"),
-        F.coalesce(F.col("_after_exact") - F.col("rows_after"), F.lit(0)).cast("bigint").alias("dropped_missing_core_fields"),
-        F.coalesce(F.col("_after_exact") - F.col("_after_key"), F.lit(0)).cast("bigint").alias("dropped_key_duplicates"),
-        F.col("dropped_null_core").cast("bigint").alias("dropped_null_core"),
-        F.col("dropped_empty_genres").cast("bigint").alias("dropped_empty_genres"),
-        F.col("dropped_language").cast("bigint").alias("dropped_language"),
+    kept = F.col("_reason").isNull()
+    survivors, m = observed(
+        survivors.select(*COMMON_COLUMNS, order_col, "_rows", "_classes", "_reason"),
+        rows_before=F.coalesce(F.sum("_rows"), F.lit(0)), after_key=F.count(F.lit(1)), after_exact=F.coalesce(F.sum("_classes"), F.lit(0)),
+        rows_after=F.count_if(kept), **{r: F.count_if(F.col("_reason") == r) for r in ("missing_core", "empty_genres", "language")},
+        **(observe(COMMON_COLUMNS, kept) if observe else {}),
     )
-    return Cleaned(cleaned, stats, survivors)
+    stats = {
+        "rows_before": m["rows_before"], "rows_after": m["rows_after"],
+        "dropped_exact_duplicates": m["rows_before"] - m["after_exact"], "dropped_missing_core_fields": m["after_exact"] - m["rows_after"],
+        "dropped_key_duplicates": m["after_exact"] - m["after_key"], "dropped_null_core": m["missing_core"],
+        "dropped_empty_genres": m["empty_genres"], "dropped_language": m["language"],
+    }
+    table = raw.sparkSession.createDataFrame([tuple(stats.values())], ", ".join(f"{c} bigint" for c in stats))
+    return Cleaned(survivors.filter(kept).select(*COMMON_COLUMNS, order_col), table, m)
 
 
 def drop_identical_columns(df: DataFrame, protect: tuple[str, ...] = (ORDER_COL,)) -> tuple[DataFrame, list[str]]:

@@ -39,7 +39,11 @@ def missing_long(df: DataFrame) -> DataFrame:
 
 def missing_top(df: DataFrame, top: int = 8) -> DataFrame:
     """A1: fields with missing % > 0, highest first (tie: name), top N."""
-    return missing_long(df).filter(F.col("missing_pct") > 0).orderBy(F.desc("missing_pct"), "field").limit(top)
+    return _top_missing(missing_long(df), top)
+
+
+def _top_missing(missing: DataFrame, top: int) -> DataFrame:
+    return missing.filter(F.col("missing_pct") > 0).orderBy(F.desc("missing_pct"), "field").limit(top)
 
 
 def missing_comparison(datasets: dict[str, DataFrame], top: int = 10) -> DataFrame:
@@ -131,6 +135,11 @@ def class_balance(df: DataFrame, classes: dict[str, Column]) -> DataFrame:
     ratio = min / max, verdict. No rows -> ``cannot-evaluate``."""
     counts = df.agg(*[F.count_if(cond).cast("bigint").alias(name) for name, cond in classes.items()],
                     F.count(F.lit(1)).alias("_n"))
+    return _verdict(counts, list(classes))
+
+
+def _verdict(counts: DataFrame, classes: list[str]) -> DataFrame:
+    """Ratio and verdict of a row of class counts, ``_n`` being their sum."""
     lo = F.least(*[F.col(n) for n in classes])
     hi = F.greatest(*[F.col(n) for n in classes])
     ratio = F.when(hi > 0, lo / hi)
@@ -146,13 +155,12 @@ def class_balance(df: DataFrame, classes: dict[str, Column]) -> DataFrame:
 def rating_balance(df: DataFrame, col: str = "rating") -> DataFrame:
     """A10: negative [-inf, 4), neutral [4, 7), positive [7, inf)."""
     r = F.col(col)
+    return class_balance(df.filter(r.isNotNull() & ~F.isnan(r)), _classes(r))
+
+
+def _classes(r: Column) -> dict[str, Column]:
     lo, hi = BALANCE_BOUNDS
-    rated = df.filter(r.isNotNull() & ~F.isnan(r))
-    return class_balance(rated, {
-        "negative": r < lo,
-        "neutral": (r >= lo) & (r < hi),
-        "positive": (r >= hi) & (r < F.lit(float("inf"))),
-    })
+    return {"negative": r < lo, "neutral": (r >= lo) & (r < hi), "positive": (r >= hi) & (r < F.lit(float("inf")))}
 
 
 # Fixed values that must equal the reference: recommendation text per verdict.
@@ -166,14 +174,33 @@ RECOMMENDATIONS = {
 }
 
 
-def quality_report(cleaned: DataFrame, stats: DataFrame, top_missing: int = 8) -> DataFrame:
+def observed_metrics(columns: list[str], kept: Column, rating: Column | None = None) -> dict[str, Column]:
+    """What ``quality_report`` needs, as aggregates that can be observed while the rows are written: nulls per column and
+    the classes of ``rating`` (as adjusted) among the rows with ``kept``."""
+    r = F.col("rating") if rating is None else rating
+    nulls = {f"null_{c}": F.count_if(kept & F.col(c).isNull()) for c in columns}
+    rated = kept & r.isNotNull() & ~F.isnan(r)
+    return nulls | {f"class_{name}": F.count_if(rated & cond) for name, cond in _classes(r).items()} | {"rated": F.count_if(rated)}
+
+
+def quality_report(cleaned: DataFrame, stats: DataFrame, top_missing: int = 8, metrics: dict | None = None) -> DataFrame:
     """The dataset report as a ``(section, key, value)`` frame.
 
     Built from the cleaning stats (P13), missing top-N (A1) and balance (A10);
-    every part is a small aggregate. The recommendation text follows the
-    verdict (anything not balanced / moderate falls to the imbalanced text).
+    every part is a small aggregate, or comes from ``metrics`` that were
+    observed while the rows were written, so that nothing is read. The
+    recommendation text follows the verdict (anything not balanced / moderate
+    falls to the imbalanced text).
     """
     ncols = len(_data_columns(cleaned))
+    if metrics is None:
+        lacking, bal = missing_long(cleaned), rating_balance(cleaned)
+    else:
+        spark, n = cleaned.sparkSession, metrics["rows_after"]
+        lacking = [(c, 100.0 * metrics[f"null_{c}"] / n if n else 0.0) for c in _data_columns(cleaned)]
+        lacking = spark.createDataFrame(lacking, "field string, missing_pct double")
+        counts = [metrics[f"class_{c}"] for c in ("negative", "neutral", "positive")]
+        bal = _verdict(spark.createDataFrame([(*counts, metrics["rated"])], "negative bigint, neutral bigint, positive bigint, _n bigint"), ["negative", "neutral", "positive"])
     size = stats.select(
         F.lit("size").alias("section"),
         F.explode(F.create_map(
@@ -187,10 +214,9 @@ def quality_report(cleaned: DataFrame, stats: DataFrame, top_missing: int = 8) -
             F.lit("dropped_exact_duplicates"), F.col("dropped_exact_duplicates").cast("string"),
             F.lit("dropped_missing_core_fields"), F.col("dropped_missing_core_fields").cast("string"),
         )).alias("key", "value"))
-    missing = missing_top(cleaned, top_missing).select(
+    missing = _top_missing(lacking, top_missing).select(
         F.lit("missing").alias("section"), F.col("field").alias("key"),
         F.format_number(F.col("missing_pct"), 2).alias("value"))
-    bal = rating_balance(cleaned)
     balance = bal.select(
         F.lit("balance").alias("section"),
         F.explode(F.create_map(

@@ -1157,7 +1157,7 @@ UNION ALL SELECT 'recommendation', 'text', CASE verdict
 def q_quality_report(spark, sf):
     """The dataset report of each cleaned, adjusted source."""
     st = Stages.of(spark, sf)
-    return _each(lambda x: Q.quality_report(st.adjusted(x), st.cleaned(x).stats))
+    return _each(lambda x: Q.quality_report(st.adjusted(x), st.cleaned(x).stats, metrics=st.cleaned(x).metrics))
 
 
 # --- A21 / A24-A30 / A33 statistics -----------------------------------------------------------
@@ -1188,12 +1188,14 @@ def q_rating_histogram(spark, sf):
 
 @register("rating_density", O.with_query(O.stage_ctes("transformed") + [
     "st AS (SELECT min(rating) AS lo, max(rating) AS hi, stddev_samp(rating) * pow(count(rating), -0.2) AS h, count(rating) AS n FROM trans)",
-    "vals AS (SELECT rating AS v, count(*) AS c FROM trans WHERE rating IS NOT NULL GROUP BY 1)",
+    """ends AS (SELECT floor((rating - lo) / h * 64) AS bin, count(*) AS c, sum((rating - lo) / h * 64 - floor((rating - lo) / h * 64)) AS o
+  FROM trans, st WHERE rating IS NOT NULL GROUP BY 1)""",
+    "vals AS (SELECT lo + b * h / 64 AS v, m AS c FROM (SELECT bin AS b, c - o AS m FROM ends UNION ALL SELECT bin + 1, o FROM ends), st)",
     "grid AS (SELECT i, lo + (hi - lo) * i / 49 AS g, h, n FROM st, range(0, 50) AS r(i))"],
     """SELECT i::INTEGER AS point, round(any_value(g), 6) AS x,
   round(sum(c * exp(-0.5 * pow((v - g) / h, 2))) / (any_value(n) * any_value(h) * sqrt(2 * pi())), 6) AS density FROM grid, vals GROUP BY i"""))
 def q_rating_density(spark, sf):
-    """Gaussian KDE (Scott bandwidth) of the integrated ratings on 50 points."""
+    """Gaussian KDE (Scott bandwidth, linear binning) of the integrated ratings on 50 points."""
     from tastemine.operators.stats import density
     return emit(density(Stages.of(spark, sf).transformed(), "rating", 50))
 

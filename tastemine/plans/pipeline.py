@@ -19,6 +19,7 @@ from tastemine.operators import cleaning as C
 from tastemine.operators import encode as E
 from tastemine.operators import impute as I
 from tastemine.operators import integrate as U
+from tastemine.operators import quality as Q
 from tastemine.operators import split as S
 from tastemine.session import checkpoint
 from tastemine.sources import views as V
@@ -57,7 +58,9 @@ class Stages:
         return self._memo(("raw", source), lambda: V.interactions_raw(self.spark, self.sf_dir, source, lineitem))
 
     def cleaned(self, source: str, profile: str = "full") -> C.Cleaned:
-        return self._memo(("clean", source, profile), lambda: C.clean_dataset(self.raw(source), profile=profile))
+        def metrics(columns, kept):
+            return Q.observed_metrics(columns, kept, C.half_step_up(F.col("rating")))
+        return self._memo(("clean", source, profile), lambda: C.clean_dataset(self.raw(source), profile=profile, observe=metrics))
 
     def adjusted(self, source: str) -> DataFrame:
         """Cleaned + half-step adjusted (applied to both sources)."""
