@@ -55,9 +55,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or path
 
 
-def checkpoint(df, eager: bool = True):
-    """Reliable checkpoint into ``spark.checkpoint.dir`` (survives executor loss)."""
+def checkpoint(df, eager: bool = True, few: bool = False):
+    """Reliable checkpoint into ``spark.checkpoint.dir`` (survives executor loss). A table that is much smaller than the
+    input (``few``) is written in as many files as there are cores, not in one for each shuffle partition: creating
+    thousands of tiny files costs more than writing them."""
     ensure_checkpoint_dir(df.sparkSession)
+    if few:
+        df = df.coalesce(max(1, df.sparkSession.sparkContext.defaultParallelism))
     return df.checkpoint(eager=eager)
 
 
