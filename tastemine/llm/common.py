@@ -50,6 +50,36 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(text, SPACE + "+", -1), "")
 
 
+#: elements added up at a time by ``running``
+_GROUP = 64
+
+
+def running(sizes: Column) -> Column:
+    """The sum of the elements before each element of an array of longs.
+
+    Appending to an array copies it, so elements are added up in groups, and the groups in turn: work in proportion to
+    the elements for any number that a text can have, not to their square."""
+    none = F.array().cast("array<bigint>")
+
+    def add(acc: Column, x: Column) -> Column:
+        return F.struct((acc["at"] + x).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out"))
+
+    def starts(xs: Column) -> Column:
+        return F.aggregate(xs, F.struct(F.lit(0).cast("bigint").alias("at"), none.alias("out")), add)
+
+    def of(xs: Column) -> Column:
+        cuts = F.filter(F.sequence(F.lit(1), F.greatest(F.size(xs), F.lit(1)), F.lit(_GROUP)), lambda k: k <= F.size(xs))
+        groups = F.transform(cuts, lambda k: starts(F.slice(xs, k, F.lit(_GROUP))))
+        return bound(groups, lambda gs: F.flatten(F.zip_with(gs, starts(F.transform(gs, lambda g: g["at"]))["out"], lambda g, at: F.transform(g["out"], lambda x: x + at))))
+
+    return bound(sizes, of)
+
+
+def bound(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` evaluated once, however often ``use`` reads it; ``use`` returns an array."""
+    return F.flatten(F.transform(F.array(value), use))
+
+
 def of_kind(spans: str, kind: str) -> Column:
     """The number of spans of a kind in an array of spans."""
     return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("bigint")

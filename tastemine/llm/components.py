@@ -24,14 +24,14 @@ def components(edges: DataFrame) -> DataFrame:
 
     Alternates large-star and small-star steps: each is an aggregation and a join, neighbours are never gathered in a
     row, and the number of edges never grows. Every round ends in a checkpoint, so lineage stays short."""
-    now = checkpoint(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u != v").distinct())
+    now = checkpoint(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u != v").distinct(), few=True)
     mark = None
     while True:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = _star(both, False).select(F.col("a").alias("u"), F.col("b").alias("v"))
         # every edge now leads from a node to a smaller one
         small = _star(large, True).select(F.col("a").alias("u"), F.col("b").alias("v"))
-        now = checkpoint(small)
+        now = checkpoint(small, few=True)
         seen = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if tuple(seen) == mark:
             return now.select(F.col("u").alias("node"), F.col("v").alias("root"))

@@ -9,7 +9,7 @@ passages, so every passage that is found is wrapped over lines, and a word count
 the one with most words of the template, then the shortest, is the block; its number is that of the line in which it
 begins. Only texts that have enough of a template's words are searched. Words of templates are ordered by their frequency over all documents, rarest
 first. A block can only meet a template of which it has at least one of the first |T| - o + 1 words (prefix filter; o: the
-words needed), of whose vocabulary it has at least o words (length filter), and where the words that follow the shared
+words needed), also for windows, which are tried only where a word of the prefix stands; of whose vocabulary it has at least o words (length filter), and where the words that follow the shared
 one in both are enough to get to o (positional filter). What passes is counted in full. The join is on the word, with
 the templates' prefixes; their number depends on the templates alone, so that side is broadcast.
 
@@ -28,6 +28,8 @@ from pyspark.sql import functions as F
 from tastemine.llm import common
 
 CONTAINED = 0.9
+#: words of templates in a text that windows are cut from together
+PIECE = 256
 
 # Phrases of the base, each with its label.
 PHRASES = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
@@ -45,6 +47,7 @@ TEMPLATES = [
     ("mpl", "This Source Code Form is subject to the terms of the Mozilla Public License"),
     ("cc-by-nc", "Licensed under CC BY-NC 4.0"),
     ("cc-by-sa", "Licensed under CC BY-SA 4.0"),
+    ("proprietary", "All rights reserved."),
     ("proprietary", "All rights reserved. No part of this work may be reproduced without written permission"),
 ]
 
@@ -120,31 +123,51 @@ def _passages(lines: Column, templates: Column, template: Column) -> Column:
         return F.when(F.array_contains(a["seen"], x["w"]), a).otherwise(passage(a["p"], a["i"], x["p"], F.concat(a["seen"], F.array(x["w"]))))
 
     def windows(all_: Column) -> Column:
-        def window(x: Column, k: Column) -> Column:
-            within = F.filter(F.slice(all_, k + 1, longest), lambda y: y["p"] < x["p"] + longest)
-            return F.aggregate(within, passage(x["p"], x["i"], x["p"], F.array().cast("array<string>")), add)
+        def window(some: Column):
+            def of(x: Column, k: Column) -> Column:
+                within = F.filter(F.slice(some, k + 1, longest), lambda y: y["p"] < x["p"] + longest)
+                fits = lambda ws: (F.size(ws) >= need) & F.exists(ws, lambda y: F.array_contains(template["prefix"], y["w"]))
+                seen = lambda ws: F.when(fits(ws), F.aggregate(ws, passage(x["p"], x["i"], x["p"], F.array().cast("array<string>")), add))
+                return F.get(F.transform(F.array(within), seen), F.lit(0))
 
-        return F.filter(F.transform(all_, window), lambda x: F.size(x["seen"]) >= need)
+            return of
 
-    def best(found: Column, x: Column) -> Column:
-        last = F.get(found, F.size(found) - 1)
-        more = F.size(x["seen"]) - F.size(last["seen"])
-        better = (more > 0) | ((more == 0) & (x["end"] - x["p"] < last["end"] - last["p"]))
-        apart = (F.size(found) == 0) | (x["p"] > last["end"])
-        return F.when(apart, F.concat(found, F.array(x))).when(better, F.concat(F.slice(found, F.lit(1), F.size(found) - 1), F.array(x))).otherwise(found)
+        # a slice costs as much as what it is cut from, so windows are cut from pieces
+        def piece(at: Column) -> Column:
+            whole = lambda some: F.transform(F.slice(some, F.lit(1), F.lit(PIECE)), lambda x, k: window(some)(x, k))
+            return common.bound(F.slice(all_, at, PIECE + longest), whole)
 
-    none = F.array().cast("array<struct<p:int,i:int,end:int,seen:array<string>>>")
-    return F.flatten(F.transform(F.array(placed), lambda x: F.aggregate(windows(x), none, best)))
+        starts = F.filter(F.sequence(F.lit(1), F.greatest(F.size(all_), F.lit(1)), F.lit(PIECE)), lambda k: k <= F.size(all_))
+        return F.filter(F.flatten(F.transform(starts, piece)), lambda x: x.isNotNull() & (F.size(x["seen"]) >= need))
 
+    # what a fold carries is copied at every step, so it carries the windows' numbers only
+    light = "struct<picks:array<int>,p:int,end:int,n:int>"
 
-def _blocks(docs: DataFrame, id_col: str, text_col: str, order: list[str], prefixes: list[str], sets: list[tuple[list[str], int, int]]) -> DataFrame:
+    def best(a: Column, x: Column) -> Column:
+        more = x["n"] - a["n"]
+        better = (more > 0) | ((more == 0) & (x["end"] - x["p"] < a["end"] - a["p"]))
+        apart = (F.size(a["picks"]) == 0) | (x["p"] > a["end"])
+        took = lambda picks: F.struct(F.concat(picks, F.array(x["k"])).alias("picks"), x["p"].alias("p"), x["end"].alias("end"), x["n"].alias("n"))
+        return F.when(apart, took(a["picks"])).when(better, took(F.slice(a["picks"], F.lit(1), F.size(a["picks"]) - 1))).otherwise(a)
+
+    def chosen(found: Column) -> Column:
+        told = F.transform(found, lambda x, k: F.struct(x["p"].alias("p"), x["end"].alias("end"), F.size(x["seen"]).alias("n"), k.alias("k")))
+        none = F.struct(F.array().cast("array<int>").alias("picks"), *[F.lit(0).alias(c) for c in ("p", "end", "n")]).cast(light)
+        picks = F.aggregate(told, none, lambda a, x: best(a, x).cast(light), lambda a: a["picks"])
+        return F.transform(picks, lambda k: F.element_at(found, k + 1))
+
+    return common.bound(placed, lambda all_: common.bound(windows(all_), chosen))
+
+
+def _blocks(docs: DataFrame, id_col: str, text_col: str, order: list[str], prefixes: list[str], sets: list[tuple[list[str], int, int, list[str]]]) -> DataFrame:
     """Lines with as many words of templates as one of them needs, one of a prefix among them, and passages over line
-    breaks: (_id, _block, _set). ``sets`` has the words, the need and the window of each template. ``_set`` has the block's words of
+    breaks: (_id, _block, _set). ``sets`` has the words, the need, the window and the prefix of each template. ``_set`` has the block's words of
     templates in global order. Blocks are sifted within a text's array, so each text is cut once."""
     df = common.packed(docs, False, _id=F.col(f"`{id_col}`"), _t=common.text_of(text_col))
     known, first = (F.array(*[F.lit(w) for w in ws]) for ws in (order, prefixes))
-    templates = F.array(*[F.struct(F.array(*[F.lit(w) for w in ws]).alias("words"), F.lit(need).alias("need"), F.lit(window).alias("window")) for ws, need, window in sets])
-    least = min(need for _, need, _ in sets)
+    list_of = lambda ws: F.array(*[F.lit(w) for w in ws])
+    templates = F.array(*[F.struct(list_of(ws).alias("words"), F.lit(need).alias("need"), F.lit(window).alias("window"), list_of(prefix).alias("prefix")) for ws, need, window, prefix in sets])
+    least = min(need for _, need, _, _ in sets)
     cut = F.transform(F.split("_t", "\n", -1), lambda x, i: F.struct(i.alias("i"), _words(F.lower(x)).alias("w")))
     cut = F.transform(cut, lambda x: F.struct(x["i"].alias("i"), x["w"].alias("w"), F.array_intersect(known, x["w"]).alias("s")))
 
@@ -174,13 +197,14 @@ def template_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     sets = _template_sets()
     order = word_order(docs, text_col, sorted({w for _, ws in sets for w in ws}))
     rank = {w: k for k, w in enumerate(order)}
-    index, needs = [], []
+    index, needs, starts = [], [], []
     for label, ws in sets:
         ranks = sorted(rank[w] for w in ws)
         need = math.ceil(contained * len(ranks) - 1e-9)
         needs.append(need)
+        starts.append([order[r] for r in ranks[: len(ranks) - need + 1]])
         index += [(order[ranks[k]], k, label, need, len(ranks), [order[r] for r in ranks]) for k in range(len(ranks) - need + 1)]
-    windows = [(ws, need, math.ceil(len(_template_words(text)) / contained)) for (_, ws), need, (_, text) in zip(sets, needs, TEMPLATES, strict=True)]
+    windows = [(ws, need, math.ceil(len(_template_words(text)) / contained), prefix) for (_, ws), need, (_, text), prefix in zip(sets, needs, TEMPLATES, starts, strict=True)]
     templates = F.broadcast(spark.createDataFrame(index, "_word string, _pos int, label string, _need int, _size int, _template array<string>"))
     blocks = _blocks(docs, id_col, text_col, order, sorted({w for w, *_ in index}), windows)
     probes = blocks.select("_id", "_block", "_set", F.posexplode("_set").alias("_at", "_w"))

@@ -43,7 +43,7 @@ def targets(sources: DataFrame) -> DataFrame:
     the targets of the sources that are above their limit at the present level ``num / den`` per unit of weight."""
     ranked = dense_index(sources, [F.col("source").asc_nulls_last()], "_rank")
     weight = F.element_at(F.array(*[F.lit(w) for w in WEIGHTS]), (F.col("_rank") % len(WEIGHTS) + 1).cast("int"))
-    ranked = checkpoint(ranked.withColumn("weight", weight.cast("bigint")))
+    ranked = checkpoint(ranked.withColumn("weight", weight.cast("bigint")), few=True)
     total = ranked.agg(F.sum(F.col("source_size").cast("decimal(38,0)")), F.sum("weight")).first()
     whole, weights = int(total[0] or 0), int(total[1] or 0)
     num, den, full = whole, max(1, weights), F.lit(False)
@@ -79,7 +79,7 @@ def apportion(cells: DataFrame, key: list[str], within: str | None, weight: str,
         cells = cells.withColumn("_e", n - F.sum("_base").over(frame))
     else:
         cells = cells.crossJoin(F.broadcast(cells.agg(F.sum("_base").alias("_sum")))).withColumn("_e", n - F.col("_sum")).drop("_sum")
-    cells = checkpoint(cells)
+    cells = checkpoint(cells, few=True)
     some = F.ceil(w * (F.abs(F.col("_e")) + F.col("_cells")) / F.col("_all")).cast("bigint") + 1
     first = F.when(F.col("_e") > 0, F.col("_base")).otherwise(F.greatest(F.col("_base") - some, F.lit(0)))
     last = F.when(F.col("_e") > 0, F.col("_base") + some).otherwise(F.col("_base")) - 1
@@ -103,10 +103,10 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     """One row per document: id, ``size``, ``source_size``, ``target``, ``taken`` (with ``carry`` also ``_row``)."""
     sized = lambda carry: common.packed(docs, carry, _id=F.col(f"`{id_col}`"), source=F.col(f"`{source_col}`"), size=common.word_count(common.text_of(text_col)))
     sources = sized(False).groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("rows"))
-    sources = targets(checkpoint(sources))
+    sources = targets(checkpoint(sources, few=True))
     seats = sources.agg(F.round(F.sum("source_size") / F.lit(BLOCK)).cast("bigint").alias("seats"))
     sources = apportion(sources.crossJoin(F.broadcast(seats)), ["source"], None, "target", "seats")
-    sources = checkpoint(sources.withColumn("shards", F.ceil(F.col("rows") / F.lit(ROWS_PER_SHARD)).cast("bigint")).withColumnRenamed("quota", "blocks").withColumnRenamed("source", "_s").drop("seats"))
+    sources = checkpoint(sources.withColumn("shards", F.ceil(F.col("rows") / F.lit(ROWS_PER_SHARD)).cast("bigint")).withColumnRenamed("quota", "blocks").withColumnRenamed("source", "_s").drop("seats"), few=True)
     table = F.broadcast(sources) if sources.count() <= BROADCAST_SOURCES else sources
 
     def dealt(carry: bool) -> DataFrame:
@@ -115,7 +115,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
         return df.withColumn("shard", F.conv(F.substring("_key", 1, 8), 16, 10).cast("bigint") % F.col("shards"))
 
     shards = dealt(False).groupBy("_s", "shard").agg(F.sum("size").alias("shard_size"), F.first("blocks").alias("blocks"))
-    shards = apportion(checkpoint(shards), ["_s", "shard"], "_s", "shard_size", "blocks")
+    shards = apportion(checkpoint(shards, few=True), ["_s", "shard"], "_s", "shard_size", "blocks")
     shards = shards.select(F.col("_s").alias("_s2"), F.col("shard").alias("_shard2"), "shard_size", F.least(F.col("quota") * BLOCK, MOST * F.col("shard_size")).alias("_words"))
     # the words before a document, in seeded order within its shard; some thousand rows at a time
     before = Window.partitionBy("_s", "shard").orderBy("_key", F.col("_id").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)

@@ -5,12 +5,15 @@ are made of and asks which of two first-order Markov models of characters explai
 one of ordinary identifiers. A run is a secret if the mean log-likelihood ratio per character is at least
 ``THRESHOLD``.
 
-Both models are counted by Spark from labelled samples of the documents: the values in base spans are random strings,
-the other token-like runs (of four or more characters) are ordinary. The fit reads the documents with the smallest
-digests of their ids, at most ``SAMPLE_DOCS`` for ordinary runs, and at most ``SAMPLE_SECRETS`` base values of all
-documents; both bounds are parameters. Letters are folded to lower case, as shouting is no secret. Pairs seen too seldom
+Both models are counted by Spark: the values in base spans are labelled random strings, all other token-like runs (of four
+or more characters) of all documents are ordinary. Of the labelled values at most ``SAMPLE_SECRETS`` are read, a
+parameter. Runs are counted first and their pairs with those counts, so what is counted are different runs. Letters are folded to lower case, as shouting is no secret. Pairs seen too seldom
 fall back, in the ordinary model, on single characters and, in the random one, on a uniform choice, so every string has a
-likelihood under both, also where a sample is empty. A model is a table over pairs of 128 characters.
+likelihood under both, also where nothing was counted. A model is a table over pairs of 128 characters.
+
+Work and memory grow in proportion to a text, also to one of many spans: offsets are added up in groups, and a run that
+a base span overlaps is told by its own characters (access and hex spans lie within one run) or by a mark in place of
+the assignments.
 
 Everything is column expressions. A null text is empty; an empty text has no spans. Rows are scanned one by one, so
 repeated rows and null ids need no care; positions are code points, ends exclusive.
@@ -30,10 +33,11 @@ ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']
 ACCESS = r"AKIA[A-Z0-9]{16,}"
 HEX = r"[0-9a-f]{24,}"
 BASE = ("assign", "access", "hex")
+#: stands for a character of an assignment
+MARK = "\x01"
 
 RUN = 20
 THRESHOLD = 1.5
-SAMPLE_DOCS = 2000
 SAMPLE_SECRETS = 5000
 SYMBOLS = "abcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 _TOKEN = r"[A-Za-z0-9+/_=-]"
@@ -48,18 +52,19 @@ def _with_spans(df: DataFrame, out: str, pattern: str, kind: str, keep=lambda m:
     m, gaps, steps = f"_{out}_m", f"_{out}_g", f"_{out}_s"
     df = df.withColumn(m, F.regexp_extract_all("_t", F.lit(pattern), F.lit(0)))
     df = df.withColumn(gaps, F.when(F.size(m) > 0, F.slice(F.split("_t", pattern, -1), F.lit(1), F.size(m))))
-    df = df.withColumn(steps, F.zip_with(gaps, m, lambda g, x: F.struct(F.length(g).cast("bigint").alias("gap"), x.alias("value"))))
     none = F.array().cast("array<struct<start:bigint,kind:string,end:bigint,value:string>>")
 
-    def add(acc: Column, step: Column) -> Column:
-        start = acc["at"] + step["gap"]
-        end = start + F.length(step["value"])
-        span = F.struct(start.alias("start"), F.lit(kind).alias("kind"), end.alias("end"), step["value"].alias("value"))
-        return F.struct(end.alias("at"), F.when(keep(step["value"]), F.concat(acc["spans"], F.array(span))).otherwise(acc["spans"]).alias("spans"))
+    def step(before: Column, gap: Column) -> Column:
+        return F.struct((before + F.length(gap)).alias("start"), F.length(gap).alias("gap"))
+
+    def span(at: Column, value: Column) -> Column:
+        start = at["start"]
+        return F.struct(start.alias("start"), F.lit(kind).alias("kind"), (start + F.length(value)).alias("end"), value.alias("value"))
 
-    first = F.struct(F.lit(0).cast("bigint").alias("at"), none.alias("spans"))
-    summed = F.aggregate(F.coalesce(steps, F.array().cast("array<struct<gap:bigint,value:string>>")), first, add, lambda acc: acc["spans"])
-    return df.withColumn(out, summed).drop(m, gaps, steps)
+    sizes = F.zip_with(gaps, m, lambda g, x: (F.length(g) + F.length(x)).cast("bigint"))
+    df = df.withColumn(steps, F.zip_with(common.running(sizes), gaps, step))
+    spans = F.filter(F.zip_with(steps, m, span), lambda s: keep(s["value"]))
+    return df.withColumn(out, F.when(F.size(m) > 0, spans).otherwise(none)).drop(m, gaps, steps)
 
 
 def with_base(df: DataFrame) -> DataFrame:
@@ -75,11 +80,12 @@ def _codes(value: Column) -> Column:
 
 
 def _pair_counts(values: DataFrame) -> dict[tuple[int, int], int]:
-    """Counts of neighbouring characters in the column ``value``; at most as many rows as there are pairs of symbols."""
-    codes = values.where(F.length("value") > 0).select(_codes(F.col("value")).alias("c"))
-    pairs = codes.select(F.zip_with(F.slice("c", F.lit(1), F.size("c") - 1), F.slice("c", F.lit(2), F.size("c") - 1), lambda a, b: F.struct(a.alias("a"), b.alias("b"))).alias("p"))
-    counts = pairs.select(F.explode("p").alias("p")).groupBy("p.a", "p.b").agg(F.count(F.lit(1)).alias("n"))
-    return {(r["a"], r["b"]): r["n"] for r in counts.collect()}
+    """Neighbouring characters of (value, n), in lower case, each n times; a first character follows 0. At most as many
+    rows as there are pairs of symbols."""
+    text = F.concat(F.lit(" "), F.lower("value"))
+    at = values.where(F.length("value") > 0).select("n", text.alias("v"), F.explode(F.sequence(F.lit(1), F.length("value"))).alias("i"))
+    counts = at.groupBy(F.substring("v", F.col("i"), F.lit(2)).alias("pair")).agg(F.sum("n").alias("n"))
+    return {(0 if r["pair"][0] == " " else ord(r["pair"][0]), ord(r["pair"][1])): r["n"] for r in counts.collect()}
 
 
 def ratio_table(random: dict[tuple[int, int], int], ordinary: dict[tuple[int, int], int]) -> list[float]:
@@ -105,25 +111,30 @@ def ratio_table(random: dict[tuple[int, int], int], ordinary: dict[tuple[int, in
     return out
 
 
-def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample_docs: int = SAMPLE_DOCS, sample_secrets: int = SAMPLE_SECRETS) -> list[float]:
-    """The ratio table, from a bounded sample of labelled strings."""
+def train(docs: DataFrame, text_col: str = "text", sample_secrets: int = SAMPLE_SECRETS) -> list[float]:
+    """The ratio table, from a bounded sample of labelled values and all other runs."""
     text = common.text_of(text_col)
-    digest = F.md5(F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit("")))
-    least = docs.select(digest.alias("_d")).orderBy("_d").limit(sample_docs)
-    some = docs.select(digest.alias("_k"), text.alias("_t")).join(F.broadcast(least.distinct()), F.col("_k") == F.col("_d"), "left_semi")
-    # what is left of a text without its base spans
-    rest = F.regexp_replace(F.regexp_replace(F.regexp_replace("_t", ASSIGN, " "), ACCESS, " "), HEX, " ")
-    ordinary = some.select(F.explode(F.regexp_extract_all(rest, F.lit(_TOKEN + "{4,}"), F.lit(0))).alias("value"))
+    # runs outside assignments, counted; access and hex spans lie within one run
+    runs = F.regexp_extract_all(_marked(text, _has_assignment(text)), F.lit(_TOKEN.replace("[", "[" + MARK) + "{4,}"), F.lit(0))
+    ordinary = docs.select(F.explode(runs).alias("value")).groupBy("value").agg(F.count(F.lit(1)).alias("n"))
+    ordinary = ordinary.where(~(F.col("value").contains(MARK) | F.col("value").rlike(ACCESS) | F.col("value").rlike(HEX)))
+    none = F.array().cast("array<string>")
     values = F.concat(
-        F.transform(F.regexp_extract_all(text, F.lit(ASSIGN), F.lit(2)), lambda v: v),
+        F.when(_has_assignment(text), F.regexp_extract_all(text, F.lit(ASSIGN), F.lit(2))).otherwise(none),
         F.regexp_extract_all(text, F.lit(ACCESS), F.lit(0)),
         F.regexp_extract_all(text, F.lit(HEX), F.lit(0)),
     )
     random = docs.select(F.explode(values).alias("value")).where(F.length("value") >= RUN).distinct()
-    random = random.orderBy(F.md5("value")).limit(sample_secrets)
+    random = random.orderBy(F.md5("value")).limit(sample_secrets).withColumn("n", F.lit(1))
     return ratio_table(_pair_counts(random), _pair_counts(ordinary))
 
 
+def _has_assignment(text: Column) -> Column:
+    """A cheap test that every text with an assignment passes."""
+    folded = F.lower(text)
+    return folded.contains("passw") | folded.contains("secret") | folded.contains("token") | folded.contains("api")
+
+
 def likelihood_ratio(value: Column, table: list[float]) -> Column:
     """Mean log-likelihood ratio per character of a string over ``SYMBOLS``."""
     ratios = F.split(F.lit(",".join(f"{x:.6f}" for x in table)), ",").cast("array<double>")
@@ -135,17 +146,27 @@ def likelihood_ratio(value: Column, table: list[float]) -> Column:
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", table: list[float] | None = None, threshold: float = THRESHOLD) -> DataFrame:
     """One row per document: id, ``base`` and ``random``: arrays of (start, kind, end, value), by start; ``random`` are
     the method's spans that no base span overlaps."""
-    table = table or train(docs, id_col, text_col)
+    table = table or train(docs, text_col)
     df = with_base(common.packed(docs, False, _id=F.col(f"`{id_col}`"), _t=common.text_of(text_col)))
     order = F.create_map(*[F.lit(x) for k, kind in enumerate(BASE) for x in (kind, k)])
     ranked = F.transform(F.concat("assign", "access", "hex"), lambda s: F.struct(s["start"].alias("start"), F.element_at(order, s["kind"]).alias("rank"), s.alias("s")))
     df = df.withColumn("base", F.transform(F.array_sort(ranked), lambda x: x["s"]))
-    df = _with_spans(df, "_runs", _TOKEN + f"{{{RUN},}}", "random", lambda m: likelihood_ratio(m, table) >= threshold)
-    free = F.filter("_runs", lambda r: ~F.exists("base", lambda b: (b["start"] < r["end"]) & (b["end"] > r["start"])))
-    df = df.withColumn("random", F.when(F.size("_runs") > 0, free).otherwise(F.col("_runs")))
+    df = df.withColumn("_t", _marked(F.col("_t"), F.size("assign") > 0))
+    free = lambda r: ~(r.contains(MARK) | r.rlike(ACCESS) | r.rlike(HEX))
+    df = _with_spans(df, "random", _TOKEN.replace("[", "[" + MARK) + f"{{{RUN},}}", "random", lambda m: F.when(free(m), likelihood_ratio(m, table) >= threshold))
     return df.select(F.col("_id").alias(id_col), "base", "random")
 
 
+def _marked(text: Column, some: Column) -> Column:
+    """``text`` with a mark in place of each character of its assignments, looked for where ``some``; nothing moves. Marks
+    that stood in it are spaces."""
+    plain = lambda c: F.translate(c, MARK, " ")
+    found = F.concat(F.regexp_extract_all(text, F.lit(ASSIGN), F.lit(0)), F.array(F.lit("")))
+    hidden = lambda x: F.when(F.length(F.regexp_extract(x, ASSIGN, 2)) >= 6, F.repeat(F.lit(MARK), F.length(x))).otherwise(x)
+    pieces = F.zip_with(F.split(text, ASSIGN, -1), found, lambda gap, x: F.concat(plain(gap), hidden(x)))
+    return F.when(some, F.array_join(pieces, "")).otherwise(plain(text))
+
+
 def query(spark, sf_dir):
     """op1: counts, digest and spans of the secrets in every document."""
     df = scan(common.documents(spark, sf_dir))

@@ -166,11 +166,11 @@ def links(nodes: DataFrame, radius: int = RADIUS) -> DataFrame:
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """One row per document: id, ``fingerprint`` (16 hexadecimal digits), ``component_id``."""
     found = checkpoint(fingerprints(docs, id_col, text_col, shingle))
-    nodes = checkpoint(found.groupBy("_fp").agg(F.min("_id").alias("_least")))
+    nodes = checkpoint(found.groupBy("_fp").agg(F.min("_id").alias("_least")), few=True)
     roots = components(links(nodes, radius))
     rooted = nodes.join(roots, F.col("_fp") == F.col("node"), "left").select("_fp", "_least", F.coalesce("root", "_fp").alias("_root"))
     least = rooted.groupBy("_root").agg(F.min("_least").alias("component_id"))
-    classes = checkpoint(rooted.select("_fp", "_root").join(least, "_root").select(F.col("_fp").alias("_f"), "component_id"))
+    classes = checkpoint(rooted.select("_fp", "_root").join(least, "_root").select(F.col("_fp").alias("_f"), "component_id"), few=True)
     out = found.join(classes, F.col("_fp") == F.col("_f"))
     return out.select(F.col("_id").alias(id_col), F.lpad(F.lower(F.hex("_fp")), 16, "0").alias("fingerprint"), "component_id")
 

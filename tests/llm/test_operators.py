@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import collections
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -17,6 +18,7 @@ import xxhash
 from tastemine.llm import exact_dedup, license_scan, mixing, packing, pii, quality_model, quality_rules, secrets, simhash, substring_dedup
 
 WS = re.compile(r"[^\x20\x09-\x0D]+")
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, _id string, _t bigint, size double, n_words string, spans int, _row string, label int, `a.b` string"
 
 
@@ -241,6 +243,58 @@ def test_license_scan_finds_wrapped_notices(spark):
     assert blocks >= {(k, 2) for k in range(5)} and {b for i, b in blocks if i == 10} == {0, 3}
 
 
+def _passages(text: str) -> set[tuple[int, str]]:
+    """(line, label) of every block of a text that meets a template, line by line and window by window."""
+    sets = [(label, ws, math.ceil(license_scan.CONTAINED * len(ws) - 1e-9), math.ceil(len(license_scan._template_words(t)) / license_scan.CONTAINED))
+            for (label, ws), (_, t) in zip(license_scan._template_sets(), license_scan.TEMPLATES, strict=True)]
+    lines = [WORD.findall(x.lower()) for x in text.split("\n")]
+    blocks = [(i, set(ws)) for i, ws in enumerate(lines)]
+    everything = set().union(*lines)
+    for _, words, need, longest in sets if len(lines) > 1 else []:
+        if len(everything & set(words)) < need:
+            continue
+        placed, p = [], 0
+        for i, ws in enumerate(lines):
+            taken = {w for _, other, n, _ in sets if len(set(ws) & set(other)) >= n for w in other}
+            for w in ws:
+                if w in words and w not in taken:
+                    placed.append((p, i, w))
+                p += 1
+        best: list[tuple[int, int, int, set]] = []  # first, line, end, seen
+        for k, (first, i, _) in enumerate(placed):
+            end, seen = first, set()
+            for q, _, w in placed[k : k + longest]:
+                if q < first + longest and w not in seen:
+                    seen.add(w)
+                    end = q
+            if len(seen) < need:
+                continue
+            if not best or first > best[-1][2]:
+                best.append((first, i, end, seen))
+            elif (len(seen), best[-1][2] - best[-1][0]) > (len(best[-1][3]), end - first):
+                best[-1] = (first, i, end, seen)
+        blocks += [(i, seen) for _, i, _, seen in best]
+    return {(i, label) for i, ws in blocks for label, words, need, _ in sets if len(ws & set(words)) >= need}
+
+
+def test_license_passages_against_plain_windows(spark, monkeypatch):
+    rng = random.Random(11)
+    vocabulary = sorted({w for _, ws in license_scan._template_sets() for w in ws})
+
+    def part() -> str:
+        words = rng.choice(license_scan.TEMPLATES)[1].split() if rng.random() < 0.7 else rng.choices(vocabulary, k=rng.randint(1, 12))
+        words = [w for w in words if rng.random() > 0.04]
+        return "".join(w + rng.choice([" ", " ", " ", "\n", "\n", ", ", " other "]) for w in words)
+
+    texts = ["".join(part() for _ in range(rng.randint(1, 6))) for _ in range(150)] + ["".join(part() for _ in range(80)), "", "\n\n", "All rights\nreserved.", "all Rights reserved"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(4)
+    expected = {(k, *x) for k, t in enumerate(texts) for x in _passages(t)}
+    assert sum(1 for k, i, _ in expected if (k, i) not in {(k, i) for k, t in enumerate(texts) for i, _ in _passages(t.replace("\n", "\r"))}) > 30
+    for piece in (256, 3):
+        monkeypatch.setattr(license_scan, "PIECE", piece)
+        assert {(r["_id"], r["_block"], r["label"]) for r in license_scan.template_join(df).collect()} == expected
+
+
 # -- rules and models ------------------------------------------------------------------------------------------------
 
 
