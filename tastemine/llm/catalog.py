@@ -39,4 +39,5 @@ ORACLE = {
     "op5_mixing": mixing.SQL,
     "op8_quality_rules": quality_rules.SQL,
     "op9_exact_dedup": exact_dedup.SQL,
+    "op12_conversation_repair": conversation_repair.SQL,
 }

@@ -362,3 +362,58 @@ def summary(conversations: DataFrame, conv: str = "conv_id", turn: str = "turn",
 def query(spark, sf_dir):
     """op12: faults, cheapest repair and its digest for every conversation."""
     return summary(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
+SQL = """
+WITH RECURSIVE keyed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k
+  FROM conversations
+), hit AS (  -- CRC-32, a bit at a time: -1 stands for a shift
+  SELECT * EXCLUDE (k), xor(list_reduce(list_concat([4294967295::BIGINT], flatten(list_transform(string_split(k, ''),
+           lambda c: [ascii(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+           lambda a, e: CASE WHEN e >= 0 THEN xor(a, e) ELSE xor(a >> 1, (a & 1) * 3988292384) END), 4294967295) % 20 AS hit
+  FROM keyed
+), damaged AS (
+  SELECT conv_id, turn, CASE WHEN hit = 4 THEN 'user' ELSE role END AS role,
+         CASE hit WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text, unnest(range(0, CASE WHEN hit = 3 THEN 2 ELSE 1 END)) AS copy
+  FROM hit WHERE hit <> 0
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, left(text, 64), sha256(text), copy) AS pos,
+         rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS bare
+  FROM damaged
+), r AS (
+  SELECT conv_id, turn, pos, role, text, left(role, 1) AS i, CASE WHEN bare = '' THEN 'blank'
+         WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY pos) > 1 THEN 'duplicate' WHEN right(bare, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+         coalesce(lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY pos) || left(role, 1) NOT IN ('su', 'ua', 'au'), false) AS wrong
+  FROM placed
+), follows(p, i, q) AS (VALUES ('', 's', 's'), ('', 'u', 'u'), ('s', 'u', 'u'), ('u', 'a', 'a'), ('a', 'u', 'u')),
+inserted(p, q, t, put) AS (  -- no, one or two empty turns
+  VALUES ('', '', '', []::VARCHAR[]), ('s', 's', '', []), ('u', 'u', '', []), ('a', 'a', '', []),
+         ('', 'u', 'I', ['user:']), ('s', 'u', 'I', ['user:']), ('u', 'a', 'I', ['assistant:']), ('a', 'u', 'I', ['user:']),
+         ('', 'a', 'II', ['user:', 'assistant:']), ('s', 'a', 'II', ['user:', 'assistant:']), ('u', 'u', 'II', ['assistant:', 'user:']), ('a', 'a', 'II', ['user:', 'assistant:'])
+), edits AS (
+  SELECT conv_id, pos, q.q AS p, q.q AS q, 4 AS cost, 'D' AS t, []::VARCHAR[] AS put FROM r, (SELECT DISTINCT q FROM inserted) q
+  UNION ALL SELECT conv_id, pos, p, q, CASE WHEN fault = 'truncated' THEN 3 ELSE 0 END, 'K', [role || ':' || text] FROM r JOIN follows USING (i) WHERE fault NOT IN ('blank', 'duplicate')
+  UNION ALL SELECT conv_id, pos, p, q, CASE WHEN fault = 'truncated' THEN 6 ELSE 3 END, 'R', [CASE WHEN follows.i = 'u' THEN 'user' ELSE 'assistant' END || ':' || text]
+  FROM r JOIN follows ON follows.i <> 's' WHERE fault NOT IN ('blank', 'duplicate')
+), way(conv_id, pos, s, best) AS (
+  SELECT DISTINCT conv_id, 0::BIGINT, '', {'cost': 0::BIGINT, 'audit': '', 'put': []::VARCHAR[]} FROM r
+  UNION ALL
+  SELECT w.conv_id, w.pos + 1, e.q, min({'cost': w.best.cost + 3 * length(n.t) + e.cost, 'audit': w.best.audit || n.t || e.t, 'put': list_concat(w.best.put, n.put, e.put)})
+  FROM way w JOIN inserted n ON n.p = w.s JOIN edits e ON e.conv_id = w.conv_id AND e.pos = w.pos + 1 AND e.p = n.q
+  GROUP BY w.conv_id, w.pos, e.q
+), done AS (
+  SELECT w.conv_id, min({'cost': w.best.cost + 3 * length(n.t), 'audit': w.best.audit || n.t, 'put': list_concat(w.best.put, n.put)}) AS best
+  FROM way w JOIN inserted n ON n.p = w.s JOIN (SELECT conv_id, max(pos) AS pos FROM r GROUP BY conv_id) l ON l.conv_id = w.conv_id AND l.pos = w.pos
+  WHERE n.q IN ('', 'a') GROUP BY w.conv_id
+), counts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+         count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (wrong) AS illegal
+  FROM r GROUP BY conv_id
+)
+SELECT conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+       coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, coalesce(best.cost, 0)::BIGINT AS cost,
+       coalesce(best.audit, '') AS audit, sha256(coalesce(array_to_string(best.put, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) LEFT JOIN counts USING (conv_id) LEFT JOIN done USING (conv_id)
+"""
