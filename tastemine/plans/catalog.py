@@ -271,6 +271,34 @@ def q_split_report(spark, sf):
     return sampling_report(Stages.of(spark, sf).split(), "user_idx", "movie_id")
 
 
+SKETCH_K = 256
+SKETCH_SQL = O.with_query(O.stage_ctes("split") + ["""v AS (SELECT split, 'users' AS counted, ('0x' || substr(md5(user_id), 1, 15))::BIGINT AS h FROM splitted
+  UNION SELECT split, 'movies', ('0x' || substr(md5(CAST(movie_id AS VARCHAR)), 1, 15))::BIGINT FROM splitted)""",
+    "g AS (SELECT split, counted, h FROM v UNION SELECT 'all', counted, h FROM v)",
+    f"least_ AS (SELECT *, row_number() OVER (PARTITION BY split, counted ORDER BY h) AS n FROM g QUALIFY n <= {SKETCH_K})"],
+    f"""SELECT split, counted, count(*)::BIGINT AS kept, round(CASE WHEN count(*) < {SKETCH_K} THEN count(*)::DOUBLE
+  ELSE {SKETCH_K - 1} / ((max(h) + 1)::DOUBLE / 1152921504606846976.0::DOUBLE) END, 6) AS estimate FROM least_ GROUP BY split, counted""")
+
+
+@register("distinct_sketches", SKETCH_SQL)
+def q_distinct_sketches(spark, sf):
+    """A17 at scale: sketches of users and movies per split and source, stored, read back, and rolled up to splits and to
+    all rows."""
+    import uuid
+
+    from tastemine.operators import sketch as K
+    from tastemine.session import ensure_checkpoint_dir
+    from tastemine.sources import files
+    rows = Stages.of(spark, sf).split().select("split", "source", "user_id", "movie_id")
+    path = f"{ensure_checkpoint_dir(spark)}/sketches-{uuid.uuid4().hex}"
+    for name, col in (("users", "user_id"), ("movies", "movie_id")):
+        files.write_parquet(K.sketch(rows, ["split", "source"], col, SKETCH_K).withColumn("counted", F.lit(name)), f"{path}/{name}")
+    stored = files.read_parquet(spark, f"{path}/users").unionByName(files.read_parquet(spark, f"{path}/movies"))
+    split = K.merge(stored, ["split", "counted"], SKETCH_K)
+    whole = K.merge(split, ["counted"], SKETCH_K).withColumn("split", F.lit("all"))
+    return emit(split.unionByName(whole).select("split", "counted", F.size("hashes").cast("bigint").alias("kept"), K.estimate().alias("estimate")))
+
+
 @register("split_index", O.with_query(O.stage_ctes("split"), f"""SELECT
   (row_number() OVER (ORDER BY _part, {O.ORD}) - 1)::BIGINT AS "index", split FROM splitted"""))
 def q_split_index(spark, sf):
