@@ -6,7 +6,7 @@ so copies collapse in a map-side combined aggregation before anything is compare
 Comparison: nodes are put in tiles by the population counts of the fingerprint's four 16-bit parts. Fingerprints within
 ``radius`` bits have population counts that differ, summed over the parts, by at most ``radius``; tile pairs beyond that
 are never formed. A cell with many nodes is cut into tiles of about ``TILE``. Each remaining tile pair is one row of
-an equi-join on the cell, compared by numpy exclusive-or and bit counts, every fingerprint with every other. Of the
+an equi-join on the cell and a salt (of which a cell has one for every ``SHARE`` tiles), compared by numpy exclusive-or and bit counts, every fingerprint with every other. Of the
 links found in a tile pair only a spanning forest goes on (at most as many rows as the two tiles have nodes), which
 keeps the components and never writes out all pairs of a group.
 
@@ -34,6 +34,8 @@ RADIUS = 3
 SEED = 42
 TILE = 512
 PARTS = 4
+#: tiles of a cell that share a key of the join
+SHARE = 16
 _BITS = 64 // PARTS
 
 #: spread[v] has bit k of the byte v in its k-th byte, so adding up to 255 of them counts eight bits at once
@@ -154,11 +156,16 @@ def links(nodes: DataFrame, radius: int = RADIUS) -> DataFrame:
     def moved(d: tuple[int, ...]) -> Column:
         return F.struct(*[(F.col(c) + F.lit(x)).alias(f"_q{k}") for k, (c, x) in enumerate(zip(counts, d, strict=True))], F.lit(d == zero).alias("_zero"))
 
+    salts = F.ceil(F.col("_tiles") / SHARE).cast("int")
+    targets = sizes.select(*[F.col(c).alias(f"_q{k}") for k, c in enumerate(counts)], salts.alias("_salts"))
     inside = lambda s: F.forall(F.array(*[s[f"_q{k}"] for k in range(PARTS)]), lambda q: (q >= 0) & (q <= _BITS))
     other = tiles.select(F.col("_own").alias("_other"), F.col("_tile").alias("_tile2"), F.explode(F.filter(F.array(*[moved(d) for d in steps]), inside)).alias("_to"))
-    other = other.select("_other", "_tile2", "_to.*")
-    met = [F.col(c) == F.col(f"_q{k}") for k, c in enumerate(counts)]
-    pairs = tiles.join(other, met).where(~F.col("_zero") | (F.col("_tile") <= F.col("_tile2")))
+    # a full cell's tiles are dealt out over salts, and what they meet is repeated for each
+    other = other.select("_other", "_tile2", "_to.*").join(F.broadcast(targets), [f"_q{k}" for k in range(PARTS)])
+    other = other.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.col("_salts") - 1)))
+    own = tiles.join(F.broadcast(sizes), counts).withColumn("_salt", (F.col("_tile") % salts).cast("int"))
+    met = [F.col(c) == F.col(f"_q{k}") for k, c in enumerate(counts)] + [F.col("_salt") == F.col("_copy")]
+    pairs = own.join(other, met).where(~F.col("_zero") | (F.col("_tile") <= F.col("_tile2")))
     pairs = pairs.select("_own", "_other", (F.col("_zero") & (F.col("_tile") == F.col("_tile2"))).alias("_same"))
     return pairs.mapInArrow(_compare(radius), "u bigint, v bigint")
 

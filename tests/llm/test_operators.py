@@ -419,11 +419,12 @@ def test_simhash_links_lose_no_component(spark):
     nodes = spark.createDataFrame([(int(x),) for x in prints.view(np.int64)], "_fp bigint")
     from tastemine.llm.components import components
 
-    old, simhash.TILE = simhash.TILE, 16
+    old = simhash.TILE, simhash.SHARE
+    simhash.TILE, simhash.SHARE = 4, 2
     try:
         found = components(simhash.links(nodes)).collect()
     finally:
-        simhash.TILE = old
+        simhash.TILE, simhash.SHARE = old
     place = {int(x): k for k, x in enumerate(prints.view(np.int64))}
     near_pairs = [(a, int(b)) for a in range(len(prints)) for b in np.flatnonzero(np.bitwise_count(prints ^ prints[a]) <= 3) if b < a]
     expected = _roots(len(prints), near_pairs)
