@@ -23,6 +23,8 @@ from tastemine.operators.cleaning import ORDER_COL, filter_high_rating
 MIN_SUPPORT = 0.003
 MIN_LIFT = 1.0
 HIGH_RATING = 7.0
+# bits of a subset's number that are opened together
+MASK_BITS = 10
 
 
 def baskets(df: DataFrame, txn_col: str, item_col: str, min_rating: float | None = None,
@@ -76,8 +78,12 @@ def association_rules(itemsets: DataFrame, min_lift: float | None = MIN_LIFT,
     multi = itemsets.filter(F.size("items") >= 2)
     if max_len:
         multi = multi.filter(F.size("items") <= max_len)
-    masks = F.expr("sequence(1L, shiftleft(1L, size(items)) - 2)")
-    splits = multi.select("items", "support", F.explode(masks).alias("mask")).select(
+    # subsets by number, opened in two steps so that a long itemset is never one array of 2^n
+    high = F.expr(f"sequence(0L, shiftright(shiftleft(1L, size(items)) - 1, {MASK_BITS}))")
+    low = F.expr(f"sequence(0L, least(shiftleft(1L, {MASK_BITS}), shiftleft(1L, size(items))) - 1)")
+    masks = multi.select("items", "support", F.explode(high).alias("_high")).select("items", "support", "_high", F.explode(low).alias("_low"))
+    masks = masks.withColumn("mask", F.expr(f"shiftleft(_high, {MASK_BITS}) + _low"))
+    splits = masks.where(F.expr("mask BETWEEN 1 AND shiftleft(1L, size(items)) - 2")).select(
         _split("items", "mask", 1).alias("antecedents"),
         _split("items", "mask", 0).alias("consequents"),
         "support",

@@ -271,6 +271,15 @@ def q_split_report(spark, sf):
     return sampling_report(Stages.of(spark, sf).split(), "user_idx", "movie_id")
 
 
+@register("split_threshold", O.with_query(O.stage_ctes("encoded"), """SELECT user_id, CASE WHEN u < 0.7 THEN 'train'
+  WHEN u < 0.85 THEN 'val' ELSE 'test' END AS split FROM (
+  SELECT DISTINCT user_id, ('0x' || substr(md5('42:' || user_id), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE AS u FROM enc)"""))
+def q_split_threshold(spark, sf):
+    """W8 in one pass: a user's split from its hash alone, so it stays when users are added."""
+    from tastemine.operators.split import group_assignment
+    return group_assignment(Stages.of(spark, sf).encoded().df, "user_id", mode="threshold")
+
+
 SKETCH_K = 256
 SKETCH_SQL = O.with_query(O.stage_ctes("split") + ["""v AS (SELECT split, 'users' AS counted, ('0x' || substr(md5(user_id), 1, 15))::BIGINT AS h FROM splitted
   UNION SELECT split, 'movies', ('0x' || substr(md5(CAST(movie_id AS VARCHAR)), 1, 15))::BIGINT FROM splitted)""",
@@ -681,6 +690,26 @@ def q_embedding_silhouette(spark, sf):
     return emit(silhouette_sq(table(spark, sf, "embeddings"), "embedding", "label"))
 
 
+@register("inferred_clusters", """SELECT t AS "table", c AS "column", label, count(*)::BIGINT AS count FROM (
+  SELECT 'embeddings' AS t, 'label' AS c, CAST(label AS VARCHAR) AS label FROM embeddings
+  UNION ALL SELECT 'labels', 'toxic', CAST(toxic AS VARCHAR) FROM labels
+  UNION ALL SELECT 'customer', 'c_mktsegment', c_mktsegment FROM customer) GROUP BY ALL""")
+def q_inferred_clusters(spark, sf):
+    """the column that holds the labels (named so, else the last one), and how many rows each label has."""
+    from functools import reduce
+
+    from tastemine.functions.text import infer_cluster_column
+    from tastemine.sources.views import table
+
+    def counted(name, df):
+        column = infer_cluster_column(df)
+        counts = df.groupBy(F.col(column).cast("string").alias("label")).agg(F.count(F.lit(1)).alias("count"))
+        return counts.select(F.lit(name).alias("table"), F.lit(column).alias("column"), "label", "count")
+
+    customer = table(spark, sf, "customer").select("c_custkey", "c_mktsegment")
+    return reduce(DataFrame.unionByName, [counted("embeddings", table(spark, sf, "embeddings")), counted("labels", table(spark, sf, "labels")), counted("customer", customer)])
+
+
 @register("embedding_silhouette_euclidean", O.with_query([
     "e AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS x FROM embeddings)", "cn AS (SELECT label, count(*) AS n FROM e GROUP BY label)",
     """ds AS (SELECT a.vec_id, a.label AS own, b.label AS c, sum(list_distance(a.x, b.x)) AS d
@@ -997,13 +1026,12 @@ def q_popular_recommended(spark, sf):
 
 @register("recommendations_lookup")
 def q_recommendations_lookup(spark, sf):
-    """L2 + L3 + J1: requests = every user of the validation split plus the
+    """L2 + L3 + J1: requests = every user of all three splits plus the
     new-user sentinel; answers = own recommendations or the popular list,
     with the user's k-means cluster (null when unknown)."""
     from tastemine.operators.lookup import NEW_USER, recommendations_for, user_clusters
     st, recs = _recs(spark, sf)
-    reqs = st.part("val").select("user_id").distinct().unionByName(
-        st.part("train").select("user_id").distinct()).unionByName(
+    reqs = st.split().select("user_id").distinct().unionByName(
         spark.range(1).select(F.lit(NEW_USER).alias("user_id")))
     _, _, labels, _ = _clustered(spark, sf, k=10)
     clusters = user_clusters(st.encoded().df, labels)

@@ -64,17 +64,17 @@ def q_served_popular(spark, sf):
 
 @register("served_lookup", O.with_query(_recs_sql(POP_SQL, SEG_SQL, f"""cl AS (
   SELECT user_id, user_cluster FROM (SELECT DISTINCT user_id FROM splitted) JOIN seg USING (user_id))""", f"""req AS (
-  SELECT DISTINCT user_id FROM splitted WHERE split IN ('train', 'val') UNION SELECT '{NEW_USER_SQL}')""", """ans AS (
+  SELECT DISTINCT user_id FROM splitted UNION SELECT '{NEW_USER_SQL}')""", """ans AS (
   SELECT req.user_id, recs.rank, recs.movie_id, recs.movie_title, recs.score FROM req JOIN recs USING (user_id)
   UNION ALL
   SELECT req.user_id, pop.rank, NULL, pop.movie_title, pop.score FROM req, pop
   WHERE req.user_id NOT IN (SELECT user_id FROM recs))"""),
     "SELECT ans.*, cl.user_cluster FROM ans LEFT JOIN cl USING (user_id)"))
 def q_served_lookup(spark, sf):
-    """Every training and validation user and the new-user sentinel; own list or the popular one, with
+    """Every user of all three splits and the new-user sentinel; own list or the popular one, with
     the segment of known users."""
     st = Stages.of(spark, sf)
-    requests = st.part("val").select("user_id").unionByName(st.part("train").select("user_id")).unionByName(
+    requests = st.split().select("user_id").distinct().unionByName(
         spark.range(1).select(F.lit(L.NEW_USER).alias("user_id")))
     encoded = st.encoded().df
     ids = encoded.select("user_id", "user_idx").distinct()
