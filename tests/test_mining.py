@@ -202,6 +202,20 @@ def test_svd_matches_numpy_whatever_the_batches(spark, rows):
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
 
 
+def test_rules_of_long_itemsets_are_opened_in_steps(spark, monkeypatch):
+    from tastemine.operators import rules
+
+    items = [f"i{k}" for k in range(7)]
+    sets = [([x for k, x in enumerate(items) if m >> k & 1], (8 - m.bit_count()) / 10) for m in range(1, 128)]
+    df = spark.createDataFrame(sets, "items array<string>, support double")
+    found = []
+    for bits in (10, 3):
+        monkeypatch.setattr(rules, "MASK_BITS", bits)
+        found.append(sorted((r["antecedents"], r["consequents"], r["support"]) for r in rules.association_rules(df, None).collect()))
+    assert found[0] == found[1]
+    assert len(found[0]) == sum(2 ** len(s) - 2 for s, _ in sets) == len({(*a, "|", *c) for a, c, _ in found[0]})
+
+
 def test_kmeans_does_not_depend_on_the_input_partitions(spark):
     df, _, _ = _blobs(spark, n=60, seed=4)
     feats = df.select("id", array_to_vector("x").alias("features"))
