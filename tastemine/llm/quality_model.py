@@ -198,10 +198,12 @@ def held_out(id_col: Column) -> Column:
 
 
 def train(found: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: str = "quality", sample: int = SAMPLE) -> Model:
-    """Fit on at most ``sample`` labelled rows that are not held out."""
+    """Fit on at most ``sample`` labelled ids that are not held out. An id with both labels has none; of several rows with
+    one id the one with the least features is read."""
     known = labels.select(F.col(f"`{id_col}`").alias("_l"), F.col(f"`{label_col}`").cast("double").alias("_y")).where("_y IN (0, 1) AND _l IS NOT NULL").where(~held_out(F.col("_l")))
-    chosen = known.dropDuplicates(["_l"]).orderBy(F.md5(F.col("_l").cast("string"))).limit(sample)
-    rows = found.join(chosen, F.col("_id") == F.col("_l")).select("_x", "_y").toArrow()
+    known = known.groupBy("_l").agg(F.min("_y").alias("_y"), F.max("_y").alias("_other")).where("_y = _other")
+    chosen = known.orderBy(F.md5(F.col("_l").cast("string"))).limit(sample)
+    rows = found.join(chosen, F.col("_id") == F.col("_l")).groupBy("_l").agg(F.min("_x").alias("_x"), F.min("_y").alias("_y")).select("_x", "_y").toArrow()
     x = np.asarray(rows.column(0).combine_chunks().flatten()).reshape(-1, len(FEATURES)) if rows.num_rows else np.zeros((0, len(FEATURES)))
     y = np.asarray(rows.column(1))
     order = np.lexsort((*x.T, y))  # the sums of a fit depend on the order of rows in the last digits

@@ -338,6 +338,40 @@ def test_quality_classifier_on_held_out_rows(spark):
     assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2) for r in got)
 
 
+def test_scores_are_sums_of_table_entries(spark):
+    """Every score of the query against the tables read one entry at a time, and the features against plain Python."""
+    from bisect import bisect_right
+
+    sf = "/root/testdata/sf0.01"
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    model = quality_model.train(quality_model.featurise(docs), labels)
+    got = {r["doc_id"]: r["score"] for r in quality_model.query(spark, sf).collect()}
+    rows = docs.collect()
+    assert len(got) == len(rows) and model.pairs
+    for r in rows:
+        text = (r["text"] or "").encode()
+        x = quality_model.features(text)
+        words, lines = text.split(), [y for y in text.split(b"\n") if y.strip()]
+        if words:
+            n, chars = len(words), sum(map(len, words))
+            assert x[0] == float(np.log1p(n)) and x[1] == chars / n and x[4] == len(re.findall(rb"[0-9]", text)) / chars
+            assert x[7] == len(set(words)) / n and x[8] == 1 - len(set(lines)) / len(lines) and x[12] == max(collections.Counter(words).values()) / n
+        raw = model.intercept + sum(t[bisect_right(list(c), v)] for c, t, v in zip(model.cuts, model.tables, x, strict=True))
+        raw += sum(t[bisect_right(list(a), x[f]), bisect_right(list(b), x[g])] for f, g, a, b, t in model.pairs)
+        assert abs(got[r["doc_id"]] - 1 / (1 + math.exp(-raw))) < 1e-12
+
+
+def test_labels_that_disagree_and_rows_that_share_an_id(spark):
+    texts = [("good words in a row " * k, 1) for k in range(5, 25)] + [("$$$ ### !! " * k, 0) for k in range(5, 25)]
+    docs = spark.createDataFrame([(k, t) for k, (t, _) in enumerate(texts)] + [(3, "another text"), (3, "another text")], "doc_id bigint, text string")
+    labels = [(k, y) for k, (_, y) in enumerate(texts)]
+    frame = lambda rows: spark.createDataFrame(rows, "doc_id bigint, quality int")
+    both = frame([*labels, *[(k, 1 - y) for k, y in labels[::2]], *labels])
+    a, b = (quality_model.train(quality_model.featurise(d), x) for d, x in ((docs, both), (docs.repartition(5), frame(labels[1::2]))))
+    x = np.array([quality_model.features(t.encode()) for t, _ in texts])
+    assert (a.raw(x) == b.raw(x)).all()
+
+
 def test_interactions_are_learned():
     rng = np.random.default_rng(0)
     x = rng.random((4000, len(quality_model.FEATURES)))
