@@ -161,6 +161,20 @@ def q_feature_covariance(spark, sf):
     return emit(spark.createDataFrame(rows, "a string, b string, covariance double"))
 
 
+@register("feature_projection_norms", O.with_query(O.stage_ctes("split") + [TRAIN, "m AS (SELECT " + ", ".join(
+    f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in SCALED) + " FROM tr)"], "SELECT split, user_id, movie_id, round(" + " + ".join(
+    f"power(({c} - m_{c}) / s_{c}, 2)" for c in SCALED) + ", 6) AS norm FROM splitted, m WHERE split <> 'train'"))
+def q_feature_projection_norms(spark, sf):
+    """E8-E10 with all components kept, which is a rotation: squared lengths of projected rows are those of scaled ones."""
+    from tastemine.operators.features import fit_reduction
+    st = Stages.of(spark, sf)
+    red = fit_reduction(st.part("train"), list(SCALED), kept_variance=1.0)
+    rows = st.split().where("split <> 'train'")
+    out = red.transform(rows, ("split", "user_id", "movie_id"))
+    norm = sum((F.col(f"pca_{k}") * F.col(f"pca_{k}") for k in range(red.n_components)), start=F.lit(0.0))
+    return emit(out.select("split", "user_id", "movie_id", norm.alias("norm")))
+
+
 @register("high_rated_baskets", O.with_query(O.stage_ctes("split") + [TRAIN], """SELECT user_id,
   count(DISTINCT movie_title)::BIGINT AS n_items, min(movie_title) AS first_item, max(movie_title) AS last_item
 FROM tr WHERE rating >= 7 AND movie_title IS NOT NULL GROUP BY user_id"""))
