@@ -13,7 +13,10 @@ FAST = ["clean", "clean_stats", "clean_basic", "rating_balance", "integrate", "i
         "impute_mode_raw", "imputation_audit", "transform", "encode", "tfidf_cast", "split_report", "split_index",
         "frequent_itemsets", "association_rules", "rule_lookup_exact", "user_genre_prefs", "cluster_profiles",
         "embedding_silhouette", "embedding_calinski_harabasz", "quality_report", "missing_comparison",
-        "genre_parse_variants", "identical_columns", "rating_histogram", "matrix_shape", "served_lookup", "segment_cards", "segment_insight", "rule_labels", "io_csv", "io_sparse"]
+        "genre_parse_variants", "identical_columns", "rating_histogram", "matrix_shape", "served_lookup", "segment_cards", "segment_insight", "rule_labels", "io_csv", "io_sparse",
+        "rule_lookup_fuzzy", "title_matches_fuzzy", "title_matches_report", "svd_reconstruction", "svd_energy", "embedding_top_products",
+        "embedding_silhouette_euclidean", "held_out_popular", "held_out_popular_users", "persisted_encoders", "rating_density",
+        "distinct_sketches", "split_threshold", "inferred_clusters", "feature_projection_norms"]
 
 
 @pytest.fixture(scope="module")
