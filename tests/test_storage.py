@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from conftest import rows
 from tastemine.operators import cleaning as C
 from tastemine.operators import impute as I
+from tastemine.operators import rules as R
 from tastemine.operators.indexing import dense_index
+from tastemine.plans import catalog
 from tastemine.plans.pipeline import Stages
 
 
@@ -68,6 +70,14 @@ def tables(spark, tmp_path):
     return str(tmp_path)
 
 
+def test_basket_shape_mines_nothing(spark, tables, monkeypatch):
+    def mine(*a, **k):
+        raise AssertionError("mined")
+    monkeypatch.setattr(R, "frequent_itemsets", mine)
+    r = catalog.q_basket_shape(spark, tables).first()
+    assert (r["items"], r["baskets"]) == (5, 40) and r["mean_size"] == (16 * 2 + 24 * 3) / 40
+
+
 def test_encoded_rows_are_stored_without_the_wide_block(spark, tables):
     st = Stages.of(spark, tables)
     enc, split = st.encoded(), st.split()
