@@ -87,3 +87,27 @@ def test_encoded_rows_are_stored_without_the_wide_block(spark, tables):
     scanned = split._jdf.queryExecution().optimizedPlan().collectLeaves().head().schema().fieldNames()
     assert not set(wide) & set(scanned)
     assert split.count() == enc.df.count() > 0
+
+
+def _itemsets(b, support):
+    return {(tuple(r["items"]), r["freq"], round(r["support"], 12)) for r in R.frequent_itemsets(b, support).collect()}
+
+
+@pytest.mark.parametrize("support", [0.0, 0.02, 0.2])
+def test_short_baskets_are_mined_without_trees(spark, monkeypatch, support):
+    import numpy as np
+    rng = np.random.default_rng(3)
+    baskets = [(t, sorted({f"i{k}" for k in rng.zipf(1.6, 5) if k < 15})) for t in range(300)] + [(300, []), (301, None)]
+    b = spark.createDataFrame(baskets, "t long, items array<string>")
+    with monkeypatch.context() as m:
+        m.setattr(R, "SUBSETS", 0)
+        expected = _itemsets(b, support)
+
+    def trees(*a, **k):
+        raise AssertionError("FP-Growth over short baskets")
+    monkeypatch.setattr(R, "FPGrowth", trees)
+    assert _itemsets(b, support) == expected and max(len(x[0]) for x in expected) >= 2
+    assert R.frequent_itemsets(b.where("false"), support).count() == 0
+    long = spark.createDataFrame([([f"i{k}" for k in range(30)],)], "items array<string>")
+    with pytest.raises(AssertionError):
+        R.frequent_itemsets(long, 0.5)
