@@ -105,3 +105,23 @@ def test_predictions_of_all_factors_are_the_ratings(spark):
     got = {(r["user_id"], r["movie_id"]): (r["rating"], r["prediction"]) for r in factorize.predicted(fact).collect()}
     assert got.keys() == {("a", "x"), ("a", "y"), ("b", "x"), ("c", "z"), ("c", "x")}
     assert all(abs(a - b) < 1e-9 for a, b in got.values()) and got["c", "x"][0] == 3.5
+
+
+def test_blocks_are_sent_to_tiles_not_to_every_block(spark, monkeypatch):
+    monkeypatch.setattr(topk, "USER_BLOCK", 1)
+    monkeypatch.setattr(topk, "ITEM_BLOCK", 1)
+    monkeypatch.setattr(topk, "TILES", 4, raising=False)
+    rng = np.random.default_rng(2)
+    u, v = rng.integers(-3, 4, (40, 3)).astype(float), rng.integers(1, 4, (40, 3)).astype(float)
+    users, items = _frames(spark, u, v)
+    sent, join = [], type(users).join
+
+    def counted(self, other, *a, **k):
+        if "_items" in self.columns + other.columns:
+            sent.extend([self.count(), other.count()])
+        return join(self, other, *a, **k)
+    monkeypatch.setattr(type(users), "join", counted)
+    seen = [(k, k) for k in range(40)]
+    best, _ = topk.top_items(users, items, 3, spark.createDataFrame(seen, "u_row bigint, i_col bigint"))
+    assert _lists(best, 40) == _dense(u, v, 3, seen)
+    assert sent and sum(sent) < 40 * 40 / 4
