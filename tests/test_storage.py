@@ -111,3 +111,27 @@ def test_short_baskets_are_mined_without_trees(spark, monkeypatch, support):
     long = spark.createDataFrame([([f"i{k}" for k in range(30)],)], "items array<string>")
     with pytest.raises(AssertionError):
         R.frequent_itemsets(long, 0.5)
+
+
+def test_both_dedups_of_the_cleaning_share_one_shuffle(spark):
+    data = [(u, m, f"t{m}", r, "Drama", "c", "1999", "en", k) for k, (u, m, r) in enumerate(
+        [("a", 1, 1.0), ("a", 1, 2.0), ("a", 1, 1.0), (None, 1, 3.0), (None, 1, 3.0), ("b", 2, 4.0)])]
+    df = spark.createDataFrame(data, ", ".join(f"{c} {t}" for c, t in C.COMMON_SCHEMA[:8]) + ", row_ord long")
+    exact = C.drop_exact_duplicates(df, count_col="n", within=C.KEY_COLUMNS)
+    kept = C.keep_ranked(exact, C.KEY_COLUMNS, F.desc("row_ord"))
+    assert _plan(kept).count("Exchange hashpartitioning") == 1
+    assert {(r["user_id"], r["movie_id"]): (r["rating"], r["row_ord"], r["n"]) for r in kept.collect()} == {
+        ("a", 1): (2.0, 1, 1), (None, 1): (3.0, 3, 2), ("b", 2): (4.0, 5, 1)}
+    assert exact.agg(F.sum("n")).first()[0] == 6 and exact.count() == 4
+
+
+def test_integrated_rows_are_shuffled_without_the_lists_that_are_parsed_anew(spark, tables):
+    st = Stages.of(spark, tables)
+    whole, rows_ = st.integrated().df, st.integrated_table()
+    assert rows_.schema.names == whole.schema.names and [f.dataType for f in rows_.schema] == [f.dataType for f in whole.schema]
+    scanned = rows_._jdf.queryExecution().optimizedPlan().collectLeaves().head().schema().fieldNames()
+    assert not set(I.REBUILT_COLUMNS) & set(scanned) and set(whole.columns) - set(I.REBUILT_COLUMNS) == set(scanned)
+    expected = I.transform(whole, drop_identical=False)
+    got = I.transform(rows_, drop_identical=False)
+    assert got.columns == expected.columns and expected.where("genre_count > 0").count() > 0
+    assert sorted(map(str, got.collect())) == sorted(map(str, expected.collect()))
