@@ -52,6 +52,26 @@ def test_hot_blocks_are_cut_and_rows_go_only_where_they_are_needed(spark, monkey
     items.unpersist()
 
 
+def test_rows_are_stored_once_and_not_for_every_block_that_needs_them(spark, monkeypatch):
+    """Pieces, a row for every block that needs it, are made anew for each pass; after a pass its shuffles may go."""
+    monkeypatch.setattr(blocked_svd, "BLOCK", 10)
+    kept, released = [], []
+    keep = blocked_svd.checkpoint
+
+    def checkpoint(df):
+        kept.append(keep(df))
+        return kept[-1]
+    monkeypatch.setattr(blocked_svd, "checkpoint", checkpoint)
+    monkeypatch.setattr(blocked_svd, "release", lambda s: released.append(s), raising=False)
+    a, cells = _cells(spark)
+    blocked_svd.randomized_svd(cells, 8, a.shape[1], oversample=2, n_iter=2)
+    passes = [df for df in kept if "data" in df.columns]
+    assert len(passes) == 4 and len(released) >= 2
+    for df in passes:
+        sizes = [len(r["rows"]) // 4 for r in df.select("rows").collect()]
+        assert sum(sizes) <= max(a.shape)
+
+
 def _dense(u, v, k, seen=()):
     scores = u @ v.T
     for a, b in seen:
