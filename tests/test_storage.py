@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from conftest import rows
 from tastemine.operators import cleaning as C
 from tastemine.operators import impute as I
+from tastemine.operators import integrate as U
 from tastemine.operators import rules as R
 from tastemine.operators.indexing import dense_index
 from tastemine.plans import catalog
@@ -135,3 +136,50 @@ def test_integrated_rows_are_shuffled_without_the_lists_that_are_parsed_anew(spa
     got = I.transform(rows_, drop_identical=False)
     assert got.columns == expected.columns and expected.where("genre_count > 0").count() > 0
     assert sorted(map(str, got.collect())) == sorted(map(str, expected.collect()))
+
+
+def _shuffle_files(spark):
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {name for name in (files.apply(i).getName() for i in range(files.size())) if name.startswith("shuffle_")}
+
+
+def test_the_rating_chain_keeps_neither_shuffles_nor_superseded_rows(spark, tables):
+    """A stage's shuffles go when its table is stored, and so do the rows that only led to the next table."""
+    import time
+    from pathlib import Path
+    from urllib.parse import urlparse
+
+    from tastemine.session import release
+    release(spark)
+    folder = Path(urlparse(spark.sparkContext.getCheckpointDir()).path)
+    shuffles, stored_before = _shuffle_files(spark), set(folder.iterdir())
+    st = Stages(spark, tables)
+    st.integrated_table()
+    for _ in range(50):
+        if not (left := _shuffle_files(spark) - shuffles):
+            break
+        time.sleep(0.2)
+    assert not left
+    kept = [set(spark.read.parquet(str(f)).columns) for f in set(folder.iterdir()) - stored_before if f.name.startswith("stored-")]
+    assert {*C.COMMON_COLUMNS[:8], "row_ord"} not in kept  # deduplicated, not yet parsed
+    whole = Stages(spark, tables)
+    before = set(folder.iterdir())
+    assert whole.split().count() == st.split().count() > 0  # st has its integrated rows still
+    kept = [set(spark.read.parquet(str(f)).columns) for f in set(folder.iterdir()) - before if f.name.startswith("stored-")]
+    assert not [c for c in kept if {"source", "genres"} <= c and "genres_list" not in c]
+    assert sorted(map(str, st.integrated_table().collect())) == sorted(map(str, whole.integrated_table().collect()))
+
+
+def test_frames_with_one_row_a_key_meet_by_their_keys(spark):
+    schema = "user_id string, movie_id long, rating double, genres string, row_ord long"
+    a = spark.createDataFrame([("a", 1, 2.0, "x", 3), ("b", 1, None, "x", 4), (None, 2, 5.0, "x", 5), ("c", 3, 0.0, None, 6)], schema)
+    b = spark.createDataFrame([("a", 1, 2.0, "y", 1), ("a", 2, 2.0, "y", 2), ("b", 1, None, "y", 3), (None, 2, 5.0, "y", 4), ("c", 3, 1.0, "y", 5), ("c", 4, -0.0, "y", 6)], schema)
+    c = spark.createDataFrame([("a", 2, 2.0, "z", 1), ("d", 2, 2.0, "z", 2), ("c", 3, 0.0, "z", 3)], schema)
+    frames = {"A_x": a, "B_x": b, "C_x": c}
+    ranked, met = U.integrate(frames), U.integrate(frames, unique=("user_id", "movie_id"))
+    assert met.df.columns == ranked.df.columns
+    assert sorted(map(str, met.df.collect())) == sorted(map(str, ranked.df.collect())) and met.df.count() == 8
+    assert met.stats.collect() == ranked.stats.collect()
+    assert "Window" in _plan(ranked.df) and "Window" not in _plan(met.df)
+    # not unique by the keys that count: ranked as before
+    assert "Window" in _plan(U.integrate(frames, unique=("user_id", "genres")).df)
