@@ -183,3 +183,26 @@ def test_frames_with_one_row_a_key_meet_by_their_keys(spark):
     assert "Window" in _plan(ranked.df) and "Window" not in _plan(met.df)
     # not unique by the keys that count: ranked as before
     assert "Window" in _plan(U.integrate(frames, unique=("user_id", "genres")).df)
+
+
+def test_split_of_users_reaches_the_rows_with_their_code(spark, tables, monkeypatch):
+    """No join of whole rows for the split alone, and the rounds of a large table make the same rows."""
+    from tastemine.operators import encode as E
+    from tastemine.operators import split as S
+    from tastemine.plans import pipeline
+    sized = []
+    operator = S.group_split
+    monkeypatch.setattr(S, "group_split", lambda df, col, **kw: (sized.append(df.count()), operator(df, col, **kw))[1])
+    one = Stages(spark, tables)
+    split = one.split()
+    users = split.select("user_idx").distinct().count()
+    assert sized == [users] and split.count() > users
+    enc = E.preprocess_features(one.transformed()).df
+    expected = operator(enc, "user_idx")
+    assert split.columns[: len(expected.columns)] == expected.columns
+    table = sorted(map(str, expected.collect()))
+    assert sorted(map(str, split.select(*expected.columns).collect())) == table
+    monkeypatch.setattr(pipeline, "rounds_for", lambda rows: 3)
+    again = Stages(spark, tables).split()
+    assert sorted(map(str, again.select(*expected.columns).collect())) == table
+    assert E.genre_vocabulary(again) == E.genre_vocabulary(split)
