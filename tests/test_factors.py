@@ -72,6 +72,33 @@ def test_rows_are_stored_once_and_not_for_every_block_that_needs_them(spark, mon
         assert sum(sizes) <= max(a.shape)
 
 
+def test_passes_in_rounds_give_the_same_factors(spark, monkeypatch):
+    """Rounds send a share of the rows each, their shuffles may go, and no stored rows stay but those of the factors."""
+    from pathlib import Path
+    from urllib.parse import urlparse
+    monkeypatch.setattr(blocked_svd, "BLOCK", 10)
+    a, cells = _cells(spark)
+    folder = Path(urlparse(spark.sparkContext.getCheckpointDir()).path)
+    us, v, sigma = blocked_svd.randomized_svd(cells, 8, a.shape[1], n_iter=1)
+    us, v = us.orderBy("u_row").collect(), v.orderBy("i_col").collect()
+    monkeypatch.setattr(blocked_svd, "PASS_BYTES", 40_000)
+    monkeypatch.setattr(blocked_svd, "ROUNDS", 3)
+    sent, before = [], set(folder.rglob("part-*"))
+    half_pass = blocked_svd.half_pass
+
+    def counted(pieces, to, m=None):
+        sent.append(sum(len(r["rows"]) // 4 for r in pieces.select("rows").collect()))
+        return half_pass(pieces, to, m)
+    monkeypatch.setattr(blocked_svd, "half_pass", counted)
+    us3, v3, sigma3, remove = blocked_svd.factors_of(cells, 8, a.shape[1], n_iter=1)
+    assert len(sent) == 3 * 4 and max(sent) < 0.6 * sum(sent[:3])
+    assert np.allclose(sigma, sigma3, rtol=1e-12)
+    for one, three in ((us, us3.orderBy("u_row").collect()), (v, v3.orderBy("i_col").collect())):
+        assert np.allclose(np.abs([r["factors"] for r in one]), np.abs([r["factors"] for r in three]), atol=1e-9)  # signs are arbitrary
+    remove()
+    assert not [f for f in set(folder.rglob("part-*")) - before if f.stat().st_size]
+
+
 def _dense(u, v, k, seen=()):
     scores = u @ v.T
     for a, b in seen:
@@ -145,3 +172,37 @@ def test_blocks_are_sent_to_tiles_not_to_every_block(spark, monkeypatch):
     best, _ = topk.top_items(users, items, 3, spark.createDataFrame(seen, "u_row bigint, i_col bigint"))
     assert _lists(best, 40) == _dense(u, v, 3, seen)
     assert sent and sum(sent) < 40 * 40 / 4
+
+
+def test_rounds_of_the_search_are_bounded_by_what_they_send(spark, monkeypatch):
+    """A round takes as many blocks as it may send; only the last lists stay stored."""
+    from pathlib import Path
+    from urllib.parse import urlparse
+    monkeypatch.setattr(topk, "USER_BLOCK", 16)
+    monkeypatch.setattr(topk, "ITEM_BLOCK", 4)
+    monkeypatch.setattr(topk, "SHARE", 2)
+    monkeypatch.setattr(topk, "TILES", 4)
+    monkeypatch.setattr(topk, "ROUND_BYTES", 1, raising=False)
+    rng = np.random.default_rng(7)
+    u, v = rng.integers(-3, 4, (40, 3)).astype(float), rng.integers(-3, 4, (50, 3)).astype(float)
+    users, items = _frames(spark, u, v)
+    folder = Path(urlparse(spark.sparkContext.getCheckpointDir()).path)
+    before = set(folder.iterdir())
+    best, told = topk.top_items(users, items, 6)
+    assert _lists(best, 40) == _dense(u, v, 6)
+    assert told["rounds"] == 7  # 13 blocks: 1, then 2 at a time
+    tables = [f for f in set(folder.iterdir()) - before if f.name.startswith("stored-")]
+    assert len(tables) == 2  # the lists, and the items' order
+
+
+def test_best_of_a_block_keeps_ties_and_bars():
+    rng = np.random.default_rng(3)
+    for k in (1, 3, 20):
+        scores = rng.integers(-4, 5, (30, 12)).astype(float)
+        scores[rng.random(scores.shape) < 0.1] = -np.inf
+        items, least = rng.permutation(12), np.where(rng.random(30) < 0.5, -np.inf, rng.integers(-4, 5, 30).astype(float))
+        row, item, value = topk._best(scores, items, least, k)
+        for r in range(30):
+            order = [c for c in np.lexsort((items, -scores[r])) if np.isfinite(scores[r, c])][: min(k, 12)]
+            want = [(int(items[c]), scores[r, c]) for c in order if scores[r, c] >= least[r]]
+            assert [(int(i), x) for i, x in zip(item[row == r], value[row == r], strict=True)] == want
